@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .minhash_dedup import op5_bottom_k_minhash
+from .mixing import op4_raked_mixing
 from .packing import op1_mixture_packing
 from .sharding import op7_jump_shards
+from .toxicity import op3_ordinal_toxicity
 
 QUERIES = {
     "op1_mixture_packing": op1_mixture_packing,
+    "op3_ordinal_toxicity": op3_ordinal_toxicity,
+    "op4_raked_mixing": op4_raked_mixing,
+    "op5_bottom_k_minhash": op5_bottom_k_minhash,
     "op7_jump_shards": op7_jump_shards,
     "op9_exact_dedup": op9_exact_dedup,
 }
