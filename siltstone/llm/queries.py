@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from .chat_format import op8_columnar_chat
+from .embedding_dedup import op10_lattice_embeddings
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .minhash_dedup import op5_bottom_k_minhash
 from .mixing import op4_raked_mixing
 from .packing import op1_mixture_packing
 from .sharding import op7_jump_shards
 from .toxicity import op3_ordinal_toxicity
+from .url_filter import op2_url_rules
 
 QUERIES = {
     "op1_mixture_packing": op1_mixture_packing,
+    "op2_url_rules": op2_url_rules,
     "op3_ordinal_toxicity": op3_ordinal_toxicity,
     "op4_raked_mixing": op4_raked_mixing,
     "op5_bottom_k_minhash": op5_bottom_k_minhash,
     "op7_jump_shards": op7_jump_shards,
+    "op8_columnar_chat": op8_columnar_chat,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_lattice_embeddings": op10_lattice_embeddings,
 }
 ORACLES = {"op9_exact_dedup": OP9_SQL}

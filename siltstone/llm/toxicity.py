@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression.
 
 A text is a sparse bag: the distinct words (runs of ASCII letters, digits and non-ASCII bytes,
-A-Z lower-cased) and the distinct first 4 and 5 bytes of words, hashed. The model has one weight a
+A-Z lower-cased) and the distinct first 4 to 8 bytes of longer words, hashed. The model has one weight a
 feature, shared by all grades, and ordered thresholds: P(grade >= k) = sigmoid(x.w - theta_k).
 Expected severity is the sum of these probabilities.
 
@@ -11,8 +11,8 @@ chance; there are at most MAX_FEATURES weights, so what is broadcast is bounded.
 row and whole texts, in one pass without a shuffle.
 
 Labels carry 0 or 1. Where they carry no grades, `grades_from_labels` makes three: 0 as labelled,
-and the rows labelled 1 split at the median of their rate of indicative features, so that more of
-these in fewer words is the more severe grade.
+and the rows labelled 1 split at the median of their number of indicative features, so that more of
+these is the more severe grade.
 
 Defined cases: a null or empty text has no feature, expected severity of the thresholds alone and is
 not rejected; labels that are null or without a document are left out; with no labelled rows, or
@@ -31,7 +31,11 @@ from .bytewords import LETTER, LOWER, chunks, hashed, spans
 from .common import parquet, ship
 
 SAMPLE_ROWS, MAX_FEATURES, MIN_ROWS = 30_000, 20_000, 4
-PREFIXES = (4, 5)
+#: Of the rows with a feature, so many have a grade above 0; features of both kinds of row only blur the thresholds.
+MIN_SHARE = 0.5
+#: P(grade > 0) from which a text is rejected: a toxic text that stays costs more than a clean one that goes.
+REJECT_AT = 0.2
+PREFIXES = (4, 5, 6, 7, 8)
 
 
 def bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,17 +115,16 @@ def indicative(rows: np.ndarray, values: np.ndarray, graded: np.ndarray) -> np.n
     base = graded.mean()
     z = (bad - n * base) / np.sqrt(np.maximum(n * base * (1 - base), 1e-9))
     lift = (bad + 0.5 * base) / (n + 0.5)
-    good = (n >= MIN_ROWS) & (z >= 4) & (lift >= 2.5 * base)
+    good = (n >= MIN_ROWS) & (z >= 4) & (lift >= max(2.5 * base, MIN_SHARE) if base < 0.2 else base)
     order = np.flatnonzero(good)
     return names[order[np.argsort(-z[order], kind="stable")][:MAX_FEATURES]]
 
 
-def grades_from_labels(label: np.ndarray, rows: np.ndarray, values: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """0 where the label is 0; 1 or 2 below or above the median rate of indicative features of the others."""
-    found = indicative(rows, values, label > 0)
-    rate = np.bincount(rows[np.isin(values, found)], minlength=len(label)) / np.maximum(words, 1)
+def grades_from_labels(label: np.ndarray, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """0 where the label is 0; of the others, 2 with more distinct indicative features than their median, else 1."""
+    count = np.bincount(rows[np.isin(values, indicative(rows, values, label > 0))], minlength=len(label))
     bad = label > 0
-    return np.where(bad, 1 + (rate > np.median(rate[bad])), 0) if bad.any() else np.zeros(len(label), dtype=np.int64)
+    return np.where(bad, 1 + (count > np.median(count[bad])), 0) if bad.any() else np.zeros(len(label), dtype=np.int64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", graded: bool = False, sample_rows: int = SAMPLE_ROWS) -> CumulativeLink:
@@ -143,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: st
     rows = np.repeat(np.arange(len(bag)), [len(b) for b in bag])
     values = np.concatenate(bag)
     if not graded:
-        grade = grades_from_labels(np.minimum(grade, 1), rows, values, words)
+        grade = grades_from_labels(np.minimum(grade, 1), rows, values)
     features = np.sort(indicative(rows, values, grade > 0))
     if not len(features):
         return none
@@ -152,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: st
     return CumulativeLink.fit(rows[hit], place[hit], grade, features)
 
 
-def score(docs: DataFrame, model: CumulativeLink, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: CumulativeLink, id_col: str = "doc_id", text_col: str = "text", threshold: float = REJECT_AT) -> DataFrame:
     """One row per input row: id, severity (expected grade), p_any (that the grade is above 0), grade (most probable), rejected (p_any >= threshold)."""
     ship(docs.sparkSession)
 
