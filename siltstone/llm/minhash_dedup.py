@@ -1,19 +1,20 @@
 """Near-duplicate documents from bottom-k sketches made with one hash function.
 
-1. Each text's distinct word shingles are hashed once; the smallest LISTED hashes are its sketch.
+1. Each text's distinct word shingles are hashed once; the smallest KEPT hashes are its sketch.
    Texts with equal shingle sets form a class, and only its smallest id goes on.
-2. Inverted lists of retained values. Two sets of similarity t share at least ``need`` of the values
-   in their sketches (but for one pair in ten million at exactly t), so by the prefix principle
+2. Inverted lists of the LISTED smallest values. Two sets of similarity t share at least ``need`` of these (but for one pair in ten million at exactly t), so by the prefix principle
    they share one of the first ``LISTED - need + 1`` values in any order common to all. The order
    is by how often a value occurs, from a table of fixed size, then by value: lists of values that
    many documents share are left out wherever enough rarer values exist. The order affects cost
    only, so no value and no partner is capped.
-3. Lists are read as stars and give clusters outside of which no link can exist. A document is sent
-   to its cluster once. A cluster of more than BLOCK documents is split into blocks by set size and
-   id; every two blocks whose sizes allow a link meet in one task, so no task holds more than two.
-4. Within blocks, sketches of UNION values estimate each pair's similarity; what may reach the
-   threshold is confirmed on full sets with integers. A pair already joined by confirmed links needs
-   no link of its own. Links then give components.
+3. Lists are read as stars and give clusters outside of which no link can exist. A cluster of more
+   than BLOCK documents is split into blocks by set size and id; every two blocks whose sizes allow a
+   link meet in one task, so no task holds more than two.
+4. Sketches of KEPT values are sent to their clusters, and each pair is estimated by the sketch of
+   its union; pairs that may reach the threshold give finer clusters.
+5. Texts are sent to the finer clusters, and what may reach the threshold by a sketch of UNION values
+   is confirmed on full sets, with integers. A pair already joined by confirmed links needs no link
+   of its own, so what comes out of 4 and 5 is a forest, never all pairs. Links give components.
 
 Defined cases: null text, empty text and text of white space have no shingle and link with nothing;
 a text with fewer words than a shingle is one shingle, its whole sequence; a null id links with
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .bytewords import chunks, mix, sets
 from .common import components, parquet, ship, written
 
-LISTED, UNION, BLOCK = 32, 256, 512
+LISTED, KEPT, UNION, BLOCK = 32, 64, 256, 512
 TABLE_BITS = 20
 
 
@@ -55,7 +56,7 @@ def _digests(width: int):
                 values, at = sets(data, offsets, width)
                 n = np.diff(at)
                 k1, k2 = (_totals(mix(values ^ np.uint64(salt)), at) for salt in (0x5BD1E995, 0x27D4EB2F))
-                low = [values[a : min(b, a + LISTED)].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                low = [values[a : min(b, a + KEPT)].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(n)), pa.array(n), pa.array(k1), pa.array(k2), pa.array(low, pa.binary())], names=["id", "n", "k1", "k2", "sketch"])
     return run
@@ -69,8 +70,8 @@ def _totals(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values of all sketches, one after another, and the row of each."""
-    cells = column.to_pylist()
+    """The LISTED first values of all sketches, one after another, and the row of each."""
+    cells = [c[: 8 * LISTED] for c in column.to_pylist()]
     return np.frombuffer(b"".join(cells), dtype=np.uint64), np.repeat(np.arange(len(cells)), [len(c) // 8 for c in cells])
 
 
@@ -127,6 +128,30 @@ def overlaps(parts: list[np.ndarray], columns: int = 4096) -> np.ndarray:
     return out
 
 
+def forest(ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that join what a matrix of links joins, breadth first: one for each merge."""
+    found: list[tuple[int, int]] = []
+    left = linked.any(axis=1)
+    while left.any():
+        s = int(np.flatnonzero(left)[0])
+        left[s], queue = False, [s]
+        while queue:
+            x = queue.pop()
+            got = np.flatnonzero(linked[x] & left)
+            left[got] = False
+            found += [(int(ids[x]), int(ids[y])) for y in got]
+            queue += got.tolist()
+    return found
+
+
+def alike(ids: np.ndarray, size: np.ndarray, low: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Edges that join the documents of these sketches whose similarity may reach the threshold."""
+    shared = overlaps(low)
+    small, large, both = np.minimum.outer(size, size), np.maximum.outer(size, size), np.add.outer(size, size)
+    enough = np.where(large <= KEPT, 100 * shared >= percent * (both - shared), shared >= needed(KEPT, percent / 100))
+    return forest(ids, enough & (100 * small >= percent * large) & ~np.eye(len(ids), dtype=bool))
+
+
 def links(ids: np.ndarray, full: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Confirmed links that join what is linked among these sets; one for each merge."""
     m = len(ids)
@@ -152,19 +177,9 @@ def links(ids: np.ndarray, full: list[np.ndarray], percent: int) -> list[tuple[i
         if x != y:
             parent[max(x, y)] = min(x, y)
 
-    left = np.ones(m, dtype=bool)
-    for s in range(m):  # breadth first over sure links, a row of the matrix for each document
-        if not left[s]:
-            continue
-        left[s], queue = False, [s]
-        while queue:
-            x = queue.pop()
-            got = np.flatnonzero(sure[x] & left)
-            left[got] = False
-            for y in got.tolist():
-                join(x, y)
-                found.append((int(ids[x]), int(ids[y])))
-                queue.append(y)
+    for x, y in forest(np.arange(m), sure):
+        join(x, y)
+        found.append((int(ids[x]), int(ids[y])))
     # others: the values that both sketches hold bound what the sketch of the union holds of the intersection
     t = percent / 100
     spread = 6 * (t * (1 - t) / UNION) ** 0.5
@@ -180,13 +195,36 @@ def links(ids: np.ndarray, full: list[np.ndarray], percent: int) -> list[tuple[i
     return found
 
 
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
+
+
+def _alike(percent: int):
+    """Over rows (key, id, n, sketch), sorted by key."""
+    def run(batches):
+        key, held, out = None, [], []
+        for batch in batches:
+            for k, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if k != key:
+                    if len(held) > 1:
+                        ids, n, low = zip(*held, strict=True)
+                        out += alike(np.array(ids), np.array(n), [np.frombuffer(x, np.uint64) for x in low], percent)
+                    key, held = k, []
+                held.append(row)
+            yield _edges(out)
+            out = []
+        if len(held) > 1:
+            ids, n, low = zip(*held, strict=True)
+            yield _edges(alike(np.array(ids), np.array(n), [np.frombuffer(x, np.uint64) for x in low], percent))
+    return run
+
+
 def _linked(width: int, percent: int):
     def run(batches):
         key, ids, full = None, [], []
 
         def done():
-            got = links(np.array(ids), full, percent) if len(ids) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.int64()), pa.array([y for _, y in got], pa.int64())], names=["a", "b"])
+            return _edges(links(np.array(ids), full, percent))
 
         for batch in batches:
             keys, own = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -245,11 +283,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     postings = reps.mapInArrow(_postings(spark.sparkContext.broadcast(table), t), "value bigint, id bigint")
     lists = postings.groupBy("value").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head < tail").select("value", "head")
     stars = postings.join(lists, "value").where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
-    clusters = components(stars)
 
-    members = written(reps.select("id", "n").join(clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id"))
-    sent = written(_blocks(members, t))
-    pairs = texts.join(sent, "id").select("key", "id", "text").repartition("key").sortWithinPartitions("key", "id")
+    def placed(edges: DataFrame) -> DataFrame:
+        clusters = components(edges).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+        return written(_blocks(written(reps.select("id", "n").join(clusters, "id")), t))
+
+    # merge joins at every size: what is placed grows with the documents
+    near = reps.join(placed(stars).hint("merge"), "id").select("key", "id", "n", "sketch").repartition("key").sortWithinPartitions("key", "id")
+    finer = placed(near.mapInArrow(_alike(percent), "a bigint, b bigint"))
+    pairs = texts.join(finer.hint("merge"), "id").select("key", "id", "text").repartition("key").sortWithinPartitions("key", "id")
     found = components(pairs.mapInArrow(_linked(width, percent), "a bigint, b bigint"))
     of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select(*set_key, F.coalesce("component", "rep").alias("component_id"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
