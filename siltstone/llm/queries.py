@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat_format import op8_columnar_chat
 from .embedding_dedup import op10_lattice_embeddings
 from .exact_dedup import OP9_SQL, op9_exact_dedup
+from .html_extract import op6_page_differencing
 from .minhash_dedup import op5_bottom_k_minhash
 from .mixing import op4_raked_mixing
 from .packing import op1_mixture_packing
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_ordinal_toxicity": op3_ordinal_toxicity,
     "op4_raked_mixing": op4_raked_mixing,
     "op5_bottom_k_minhash": op5_bottom_k_minhash,
+    "op6_page_differencing": op6_page_differencing,
     "op7_jump_shards": op7_jump_shards,
     "op8_columnar_chat": op8_columnar_chat,
     "op9_exact_dedup": op9_exact_dedup,

@@ -115,7 +115,7 @@ def indicative(rows: np.ndarray, values: np.ndarray, graded: np.ndarray) -> np.n
     base = graded.mean()
     z = (bad - n * base) / np.sqrt(np.maximum(n * base * (1 - base), 1e-9))
     lift = (bad + 0.5 * base) / (n + 0.5)
-    good = (n >= MIN_ROWS) & (z >= 4) & (lift >= max(2.5 * base, MIN_SHARE) if base < 0.2 else base)
+    good = (n >= MIN_ROWS) & (z >= 4) & (lift >= min(max(2.5 * base, MIN_SHARE), (1 + base) / 2))
     order = np.flatnonzero(good)
     return names[order[np.argsort(-z[order], kind="stable")][:MAX_FEATURES]]
 
@@ -173,6 +173,19 @@ def score(docs: DataFrame, model: CumulativeLink, id_col: str = "doc_id", text_c
     return texts.mapInArrow(run, "id bigint, severity double, p_any double, grade int, rejected boolean").withColumnRenamed("id", id_col)
 
 
+def without_toxic(docs: DataFrame, model: CumulativeLink, text_col: str = "text", threshold: float = REJECT_AT) -> DataFrame:
+    """The rows of docs, all columns, whose text isn't rejected: one pass without a shuffle."""
+    ship(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            kept = [model.at_least(values, owner, len(n))[:, 0] < threshold for _, data, offsets in chunks(batch.column(place)) for values, owner, n in [bags(data, offsets)]]
+            yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3_ordinal_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = parquet(spark, sf_dir, "documents")
     return score(docs, fit(docs, parquet(spark, sf_dir, "labels")))
