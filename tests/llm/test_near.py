@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from siltstone.llm import minhash_dedup
+from siltstone.llm import common, minhash_dedup
 from siltstone.llm.bytewords import chunks, sets
 from siltstone.llm.common import components
 from siltstone.llm.minhash_dedup import near_duplicates, needed, op5_bottom_k_minhash
@@ -65,7 +65,9 @@ def test_sets_are_the_sets():
                     assert seen.setdefault(frozenset(want), got) == got
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(common, "ONE_TASK", one_task)
     random.seed(3)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(random.randrange(200, 300), random.randrange(200, 300)) for _ in range(80)] + [(None, 5), (7, 7)]
     parent = {}
