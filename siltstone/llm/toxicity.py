@@ -10,7 +10,7 @@ by a hash of the id. Features come from that sample, those whose occurrence in g
 chance; there are at most MAX_FEATURES weights, so what is broadcast is bounded. Scoring reads every
 row and whole texts, in one pass without a shuffle.
 
-Labels carry 0 or 1. Where they carry no grades, `grades_from_labels` makes three: 0 as labelled,
+Labels carry 0 or 1. Where they carry no grades, `graded` makes three: 0 as labelled,
 and the rows labelled 1 split at the median of their number of indicative features, so that more of
 these is the more severe grade.
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import LETTER, LOWER, chunks, hashed, spans
-from .common import parquet, ship
+from .common import parquet, ship, written
 
 SAMPLE_ROWS, MAX_FEATURES, MIN_ROWS = 30_000, 20_000, 4
 #: Of the rows with a feature, so many have a grade above 0; features of both kinds of row only blur the thresholds.
@@ -56,13 +56,31 @@ def bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return values[new], owner[new], n
 
 
-def _featured(batches):
+def _feature_counts(batches):
+    """(feature, n, bad): rows and bad rows of each feature, summed for a batch. Batches: grade, text."""
     for batch in batches:
-        for first, data, offsets in chunks(batch.column(2)):
-            values, owner, n = bags(data, offsets)
-            at = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(n)))])
-            cells = pa.array([values[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(n)), batch.column(1).slice(first, len(n)), cells, pa.array(n.astype(np.int64))], names=["id", "grade", "bag", "words"])
+        found, bad = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+        grade = batch.column(0).to_numpy()
+        for first, data, offsets in chunks(batch.column(1)):
+            values, owner, _ = bags(data, offsets)
+            found.append(values)
+            bad.append(grade[first + owner] > 0)
+        names, cols = np.unique(np.concatenate(found), return_inverse=True)
+        n = np.bincount(cols, minlength=len(names))
+        yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(np.bincount(cols, weights=np.concatenate(bad), minlength=len(names)).astype(np.int64))], names=["feature", "n", "bad"])
+
+
+def _places(features: np.ndarray):
+    """(id, grade, places): which of the features each text has. Batches: id, grade, text."""
+    def run(batches):
+        for batch in batches:
+            for first, data, offsets in chunks(batch.column(2)):
+                values, owner, n = bags(data, offsets)
+                place = np.minimum(np.searchsorted(features, values), len(features) - 1)
+                hit = features[place] == values
+                cuts = np.cumsum(np.bincount(owner[hit], minlength=len(n)))[:-1]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(n)), batch.column(1).slice(first, len(n)), pa.array(np.split(place[hit], cuts), pa.list_(pa.int64()))], names=["id", "grade", "places"])
+    return run
 
 
 class CumulativeLink:
@@ -108,51 +126,48 @@ class CumulativeLink:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
 
 
-def indicative(rows: np.ndarray, values: np.ndarray, graded: np.ndarray) -> np.ndarray:
-    """Features whose share of rows with a grade above 0 is beyond chance, most telling first."""
-    names, cols = np.unique(values, return_inverse=True)
-    n, bad = np.bincount(cols), np.bincount(cols, weights=graded[rows].astype(float))
-    base = graded.mean()
-    z = (bad - n * base) / np.sqrt(np.maximum(n * base * (1 - base), 1e-9))
+def indicative(counts: DataFrame, rows: int, bad_rows: int) -> np.ndarray:
+    """Of (feature, n, bad), the features whose share of bad rows is beyond chance, most telling first, MAX_FEATURES at most; ascending."""
+    base = bad_rows / rows
+    n, bad = F.col("n"), F.col("bad")
+    z = (bad - n * base) / F.sqrt(n * (base * (1 - base)))
     lift = (bad + 0.5 * base) / (n + 0.5)
-    good = (n >= MIN_ROWS) & (z >= 4) & (lift >= min(max(2.5 * base, MIN_SHARE), (1 + base) / 2))
-    order = np.flatnonzero(good)
-    return names[order[np.argsort(-z[order], kind="stable")][:MAX_FEATURES]]
+    good = counts.where((n >= MIN_ROWS) & (z >= 4) & (lift >= min(max(2.5 * base, MIN_SHARE), (1 + base) / 2)))
+    got = good.orderBy(z.desc(), "feature").select("feature").limit(MAX_FEATURES).toArrow()
+    return np.sort(got["feature"].to_numpy().view(np.uint64))
 
 
-def grades_from_labels(label: np.ndarray, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """0 where the label is 0; of the others, 2 with more distinct indicative features than their median, else 1."""
-    count = np.bincount(rows[np.isin(values, indicative(rows, values, label > 0))], minlength=len(label))
+def graded(label: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """0 where the label is 0; of the others, 2 with more indicative features than their median, else 1."""
     bad = label > 0
     return np.where(bad, 1 + (count > np.median(count[bad])), 0) if bad.any() else np.zeros(len(label), dtype=np.int64)
 
 
-def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", graded: bool = False, sample_rows: int = SAMPLE_ROWS) -> CumulativeLink:
-    """The model of a bounded sample of labelled rows. ``graded``: the labels are grades already."""
+def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", grades: bool = False, sample_rows: int = SAMPLE_ROWS) -> CumulativeLink:
+    """The model of a bounded sample of labelled rows. ``grades``: the labels are grades already.
+
+    Features are counted and chosen by the executors; the driver gets at most MAX_FEATURES of them,
+    and of each row of the sample which of these it has.
+    """
     ship(docs.sparkSession)
-    marks = labels.select(F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade")).where("id is not null and grade is not null and grade >= 0").dropDuplicates(["id"])
+    marks = labels.select(F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade")).where("id is not null and grade >= 0").dropDuplicates(["id"])
     n = marks.count()
     if n > sample_rows:
         marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    got = texts.join(marks, "id").select("id", "grade", "text").mapInArrow(_featured, "id bigint, grade int, bag binary, words bigint").toArrow()
-    order = np.argsort(got["id"].to_numpy(), kind="stable")
-    bag = [np.frombuffer(x, dtype=np.uint64) for x in got["bag"].to_pylist()]
-    bag = [bag[i] for i in order]
-    grade, words = got["grade"].to_numpy()[order].astype(np.int64), got["words"].to_numpy()[order]
+    sample = written(texts.join(F.broadcast(marks), "id"))  # ids of the bounded sample alone are broadcast
+    rows, bad = sample.agg(F.count(F.lit(1)), F.count_if(F.col("grade") > 0)).first()
     none = CumulativeLink(np.zeros(0, np.uint64), np.zeros(0), np.array([np.inf]))
-    if not len(grade) or grade.max() == 0 or grade.min() > 0:
+    if not bad or bad == rows:
         return none
-    rows = np.repeat(np.arange(len(bag)), [len(b) for b in bag])
-    values = np.concatenate(bag)
-    if not graded:
-        grade = grades_from_labels(np.minimum(grade, 1), rows, values)
-    features = np.sort(indicative(rows, values, grade > 0))
+    counts = sample.select("grade", "text").mapInArrow(_feature_counts, "feature bigint, n bigint, bad bigint").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    features = indicative(counts, rows, bad)
     if not len(features):
         return none
-    place = np.minimum(np.searchsorted(features, values), len(features) - 1)
-    hit = features[place] == values
-    return CumulativeLink.fit(rows[hit], place[hit], grade, features)
+    got = sample.select("id", "grade", "text").mapInArrow(_places(features), "id bigint, grade int, places array<bigint>").orderBy("id").toArrow()
+    places = [np.array(p, dtype=np.int64) for p in got["places"].to_pylist()]
+    label, count = got["grade"].to_numpy().astype(np.int64), np.array([len(p) for p in places])
+    return CumulativeLink.fit(np.repeat(np.arange(rows), count), np.concatenate(places), label if grades else graded(np.minimum(label, 1), count), features)
 
 
 def score(docs: DataFrame, model: CumulativeLink, id_col: str = "doc_id", text_col: str = "text", threshold: float = REJECT_AT) -> DataFrame:
