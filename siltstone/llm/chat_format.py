@@ -162,3 +162,18 @@ def op8_columnar_chat(spark, sf_dir: str) -> DataFrame:
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     rows = parquet(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     return digests(format_turns(rows))
+
+
+OP8_SQL = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e as (
+  select *, length(regexp_replace(replace(text, '\', '\\'), '<(\|im_start\|>|\|im_end\|>|s>|/s>|\|endoftext\|>)|\[(/?INST\])', '@@\1\2', 'g')) as n_text from c
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '')) as loss_sha256,
+       cast(sum(12 + length(role) + 1 + n_text + 11) as bigint) as formatted_chars
+from e group by conv_id
+"""

@@ -203,3 +203,17 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
 
 def op10_lattice_embeddings(spark, sf_dir: str) -> DataFrame:
     return near_vectors(parquet(spark, sf_dir, "embeddings"))
+
+
+#: All pairs, exactly: the query's links are among these, and its recall is measured against them.
+OP10_SQL = """
+with recursive v as (
+  select vec_id, cast(embedding as double[]) as x from embeddings
+), g as (
+  select vec_id, x from v where vec_id is not null and len(x) > 0 and len(list_filter(x, lambda c: c is null or isnan(c) or isinf(c))) = 0 and len(list_filter(x, lambda c: c <> 0)) > 0
+), e as (
+  select a.vec_id as a, b.vec_id as b from g a join g b on a.vec_id <> b.vec_id and len(a.x) = len(b.x) where list_cosine_similarity(a.x, b.x) >= 0.9
+), r as (select a as vec_id, a as reached from e union select r.vec_id, e.b from r join e on e.a = r.reached),
+c as (select vec_id, min(reached) as component_id from r group by vec_id), k as (select a as vec_id, count(*) as n from e group by a)
+select vec_id, coalesce(n, 0) as n_links, coalesce(component_id, vec_id) as component_id, vec_id = coalesce(component_id, vec_id) as kept from v left join k using (vec_id) left join c using (vec_id)
+"""

@@ -301,3 +301,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
 def op5_bottom_k_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(parquet(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+OP5_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents
+), s as (
+  select distinct doc_id, unnest(case when len(ws) >= 3 then list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+                                      when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as sh from w
+), n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+r as (select a as doc_id, a as reached from e union select r.doc_id, e.b from r join e on e.a = r.reached),
+c as (select doc_id, min(reached) as component_id from r group by doc_id)
+select doc_id, coalesce(n.n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id, doc_id = coalesce(component_id, doc_id) as kept
+from w left join n using (doc_id) left join c using (doc_id)
+"""
