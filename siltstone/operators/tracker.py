@@ -112,3 +112,11 @@ def ranked(df: DataFrame, order: str, parts: int = 64) -> DataFrame:
     before = counts.select("_part", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_part").orderBy(order))
     return df.withColumn("_part", part).join(before, "_part").withColumn("rank", F.col("_before") + within).drop("_part", "_before")
+
+
+def pilot_numbers(rows: DataFrame, prefix: str = "MORE-2025-99", width: int = 4) -> DataFrame:
+    """rows (id, slug) numbered from 0 in order of slug and id: within a slug by a window, slugs after one another by their sizes."""
+    sizes = rows.groupBy("slug").count()
+    before = sizes.select("slug", F.coalesce(F.sum("count").over(Window.orderBy("slug").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    n = F.col("_b") + F.row_number().over(Window.partitionBy("slug").orderBy("id")) - 1
+    return rows.join(before, "slug").select("id", "slug", F.concat(F.lit(prefix), F.lpad(n.cast("string"), width, "0")).alias("mid"))

@@ -14,6 +14,7 @@ from .functions import text as T
 from .functions.latex import clean_text
 from .operators import documents, fidelity, lineage, matching, reports, selection, tracker
 from .plans import rules
+from .sources import acquire
 from .sources.records import OUTCOME_COLUMNS
 from .standin import OUTCOMES, WORKS, columns, outcomes, table, works
 
@@ -247,6 +248,41 @@ def year_for(spark, sf_dir):
     return selection.year_of(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), by)
 
 
+@query(f"""{ROUTED_SQL} select id, route, case when route = 'out_of_scope' then null when route = 'pmc' then 'pmc' when route like 'scoap3%' then 'scoap3' when route = 'springer_oa_api' then 'springer' when route = 'jats_native_open' then 'native'
+  when route = 'elsevier_entitlement' then 'elsevier' else 'tei' end as text_adapter, case when route in ('out_of_scope', 'elsevier_entitlement') then null when route = 'pmc' then 'pmc' when route like 'scoap3%' then 'scoap3'
+  when route in ('springer_oa_api', 'jats_native_open') then 'generic' else 'content' end as file_adapter from routed""")
+def adapter_dispatch(spark, sf_dir):
+    return acquire.adapters(routed(spark, sf_dir)).select("id", "route", "text_adapter", "file_adapter")
+
+
+@query(f"""{WORKS_SQL} select id, case when pdf_url is not null then pdf_url when doi like '10.3389/%' and journal is not null then concat('https://www.frontiersin.org/journals/', replace(regexp_replace(lower(journal), '^frontiers (in|of) ', ''), ' ', '-'), '/articles/', doi, '/pdf')
+  when regexp_matches(doi, '^10[.](1007|1038|1186)/') then concat('https://link.springer.com/content/pdf/', doi, '.pdf') end as first, (pdf_url is not null)::int + coalesce((doi like '10.3389/%' and journal is not null), false)::int + coalesce(regexp_matches(doi, '^10[.](1007|1038|1186)/'), false)::int as n from works""")
+def file_candidates(spark, sf_dir):
+    return works(spark, sf_dir).select("id", acquire.file_addresses().alias("a")).select("id", F.get("a", F.lit(0)).alias("first"), F.size("a").alias("n"))
+
+
+@query(f"{WORKS_SQL} select id, doi from works where lower(doi) = lower('10.7554/ELIFE.3')")
+def doi_lookup(spark, sf_dir):
+    return spark.sql("select id, doi from {w} where lower(doi) = lower(:doi)", args={"doi": "10.7554/ELIFE.3"}, w=works(spark, sf_dir))
+
+
+@query(f"""{ROUTED_SQL}{OUTCOMES_SQL}, s as (select id, json_object('assets', json_object('source', case figures % 3 when 0 then 'repo_pdf' when 1 then 'publisher' end, 'manifest', case when figures = 5 then null else range(0, figures) end)) as j from outcomes)
+  select id, coalesce(json_extract_string(j, '$.assets.source') = 'repo_pdf', false) as from_repository, cast(json_array_length(j, '$.assets.manifest') as integer) as n from s""".replace("json_array_length(j, '$.assets.manifest')", "case when json_type(j, '$.assets.manifest') = 'ARRAY' then json_array_length(j, '$.assets.manifest') end"))
+def sidecar_idioms(spark, sf_dir):
+    manifest = F.when(F.col("figures") != 5, F.when(F.col("figures") == 0, F.array().cast("array<bigint>")).otherwise(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("figures") - 1, F.lit(0)))))
+    source = F.when(F.col("figures") % 3 == 0, "repo_pdf").when(F.col("figures") % 3 == 1, "publisher")
+    j = outcomes(spark, sf_dir).select("id", F.to_json(F.struct(F.struct(source.alias("source"), manifest.alias("manifest")).alias("assets"))).alias("j"))
+    at = lambda p: F.get_json_object("j", p)
+    return j.select("id", F.coalesce(at("$.assets.source") == "repo_pdf", F.lit(False)).alias("from_repository"), F.json_array_length(at("$.assets.manifest")).alias("n"))
+
+
+@query(f"""{WORKS_SQL}, r as (select id, substring(trim(regexp_replace(lower(publisher), '[^a-z0-9]+', '-', 'g'), '-'), 1, 40) as slug from works where has_grobid and publisher is not null)
+  select id, slug, concat('MORE-2025-99', lpad(cast(row_number() over (order by slug, id) - 1 as varchar), 4, '0')) as mid from r""")
+def pilot_numbers(spark, sf_dir):
+    w = works(spark, sf_dir).where("has_grobid and publisher is not null").select("id", T.slug("publisher").alias("slug"))
+    return tracker.pilot_numbers(w)
+
+
 # --- lookups
 
 
