@@ -6,6 +6,8 @@ Every cut of lineage here is a Parquet table under the folder that the cluster n
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _SHIPPED: set[str] = set()
+_MADE: list[str] = []
 #: Edges that one task joins: some 100 MB there.
 ONE_TASK = 1_000_000
 
@@ -47,7 +50,23 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="siltstone-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/siltstone-{uuid.uuid4().hex}"
+    _MADE.append(f"{base.rstrip('/')}/siltstone-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes the tables written so far. Results that were built on them can't be read any more, so this is for the end of a job."""
+    while _MADE:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def _at_end() -> None:
+    spark = SparkSession.getActiveSession() if _MADE else None
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            clean(spark)
 
 
 def written(df: DataFrame) -> DataFrame:
