@@ -40,7 +40,7 @@ _ENCODERS: dict[str, object] = {}
 
 
 def encoder(path: str):
-    """The vocabulary beside ``path`` as a faster library reads it; ids are those of the file named.
+    """Text to an array of ids. The vocabulary beside ``path`` as a faster library reads it; ids are those of the file named.
 
     ``path`` is a tokenizer file of the `tokenizers` library. Where the same vocabulary lies beside
     it as ranks (.tiktoken), that is read, as it gives the same ids in a quarter of the time.
@@ -54,13 +54,13 @@ def encoder(path: str):
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             made = tiktoken.Encoding(hashlib.md5(ranks.encode()).hexdigest(), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-            _ENCODERS[path] = made.encode_ordinary
+            _ENCODERS[path] = lambda text: made.encode_to_numpy(text, disallowed_special=())
         except (ImportError, FileNotFoundError):
             from tokenizers import Tokenizer
 
             plain = Tokenizer.from_file(path)
             plain.encode_special_tokens = True
-            _ENCODERS[path] = lambda text: plain.encode(text, add_special_tokens=False).ids
+            _ENCODERS[path] = lambda text: np.array(plain.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
     return _ENCODERS[path]
 
 
@@ -112,7 +112,7 @@ def _tokenised(path: str, end_id: int, max_queues: int | None):
                 part = batch.slice(at, 512)
                 ids, queues, counts, begins = [], [], [], []
                 for text, source in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    got = np.array([*encode(text or ""), end_id], dtype="<u4")
+                    got = np.append(encode(text or ""), end_id).astype("<u4")
                     queue = "null" if source is None else f"s:{source}"
                     if max_queues:
                         queue = f"h:{zlib.crc32(queue.encode()) % max_queues}"
@@ -135,37 +135,50 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype="<u2").astype("<u4")
 
 
-def _cut(queues: dict[str, int], schedule: Schedule, window: int):
+def _run_starts(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of these lengths end to end: each element's run, and its place in it."""
+    run = np.repeat(np.arange(len(count)), count)
+    return run, np.arange(len(run)) - (np.cumsum(count) - count)[run]
+
+
+def _pieces(queue: np.ndarray, a: np.ndarray, b: np.ndarray, schedule: Schedule, window: int) -> tuple[np.ndarray, ...]:
+    """(document, start in it, length, place in the stream) of all pieces of documents that lie from a to b in their queues."""
     quantum = schedule.quantum
+    doc, k = _run_starts((b - 1) // quantum - a // quantum + 1)
+    j = a[doc] // quantum + 1 + k
+    lo, hi = np.maximum(a[doc], (j - 1) * quantum), np.minimum(b[doc], j * quantum)
+    at = np.empty(len(doc), dtype=np.int64)
+    for s in np.unique(queue):
+        mine = np.flatnonzero(queue[doc] == s)
+        at[mine] = schedule.position(int(s), j[mine]) + (lo - (j - 1) * quantum)[mine]
+    end = at + hi - lo
+    turn, k = _run_starts((end - 1) // window - at // window + 1)  # turns cut at the ends of windows
+    w = at[turn] // window + k
+    place, stop = np.maximum(at[turn], w * window), np.minimum(end[turn], (w + 1) * window)
+    doc, start = doc[turn], lo[turn] + place - at[turn] - a[doc[turn]]
+    # neighbours in a document, in the stream and in a window are one piece
+    first = np.ones(len(doc), dtype=bool)
+    first[1:] = (doc[1:] != doc[:-1]) | (place[1:] != stop[:-1]) | (w[1:] != w[:-1])
+    first = np.flatnonzero(first)
+    return doc[first], start[first], np.add.reduceat(stop - place, first) if len(first) else first, place[first]
+
 
+def _cut(queues: dict[str, int], schedule: Schedule, window: int):
     def run(batches):
-        for batch in batches:
-            docs, starts, lengths, seqs, offsets, tokens, pieces = [], [], [], [], [], [], []
-            for doc, queue, begin, base, n, data in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                s, a = queues[queue], begin + base
-                b = a + n
-                j = np.arange(a // quantum + 1, (b - 1) // quantum + 2)
-                lo, hi = np.maximum(a, (j - 1) * quantum), np.minimum(b, j * quantum)
-                at = schedule.position(s, j) + lo - (j - 1) * quantum
-                # neighbours in the stream are one run; runs end at windows
-                join = np.flatnonzero(at[1:] != at[:-1] + (hi - lo)[:-1]) + 1
-                first = np.concatenate([[0], join])
-                lo, at, hi = lo[first], at[first], hi[np.concatenate([join - 1, [len(hi) - 1]])]
-                ids = unpacked(data)
-                for x, y, p in zip(lo.tolist(), hi.tolist(), at.tolist(), strict=True):
-                    while x < y:
-                        z = min(y, x + window - p % window)
-                        docs.append(doc)
-                        starts.append(x - a)
-                        lengths.append(z - x)
-                        seqs.append(p // window)
-                        offsets.append(p % window)
-                        tokens.append(n)
-                        pieces.append(ids[x - a : z - a].tobytes())
-                        p, x = p + z - x, z
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), *(pa.array(c, pa.int64()) for c in (starts, lengths, tokens, seqs, offsets)), pa.array(pieces, pa.binary())],
-                names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1024):
+                batch = whole.slice(i, 1024)
+                queue = np.array([queues[q] for q in batch.column(1).to_pylist()], dtype=np.int64)
+                begin, base, n = (batch.column(c).to_numpy() for c in (2, 3, 4))
+                doc, start, length, place = _pieces(queue, begin + base, begin + base + n, schedule, window)
+                # pieces of a document are in its order and leave nothing out, so their ids lie end to end as they are
+                ids = np.concatenate([unpacked(x) for x in batch.column(5).to_pylist()])
+                offsets = np.zeros(len(doc) + 1, dtype=np.int32)
+                np.cumsum(length * 4, out=offsets[1:])
+                cells = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(doc)), *(pa.array(c) for c in (start, length, n[doc], place // window, place % window)), cells],
+                    names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
     return run
 
 
