@@ -36,6 +36,7 @@ WINDOW, QUANTUM, END = 1024, 256, 0
 MAX_QUEUES = 512
 #: Rows of the table of running sums, one per input split and queue, up to which it is broadcast; beyond, it is joined.
 BROADCAST_ROWS = 200_000
+SLICE_TOKENS = 1 << 20
 _ENCODERS: dict[str, object] = {}
 
 
@@ -166,8 +167,10 @@ def _pieces(queue: np.ndarray, a: np.ndarray, b: np.ndarray, schedule: Schedule,
 def _cut(queues: dict[str, int], schedule: Schedule, window: int):
     def run(batches):
         for whole in batches:
-            for i in range(0, whole.num_rows, 1024):
-                batch = whole.slice(i, 1024)
+            ends, i = np.cumsum(whole.column(4).to_numpy()), 0
+            while i < whole.num_rows:  # some SLICE_TOKENS at a time, one document at least
+                stop = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SLICE_TOKENS, side="right")))
+                batch, i = whole.slice(i, stop - i), stop
                 queue = np.array([queues[q] for q in batch.column(1).to_pylist()], dtype=np.int64)
                 begin, base, n = (batch.column(c).to_numpy() for c in (2, 3, 4))
                 doc, start, length, place = _pieces(queue, begin + base, begin + base + n, schedule, window)
