@@ -154,9 +154,15 @@ def normal_form(text: Column | str) -> Column:
 
 
 def tokens(text: Column | str) -> Column:
-    """Runs of a-z0-9 of the lower-cased text, words hyphenated over a line end joined."""
-    joined = F.regexp_replace(F.lower(_c(text)), r"(?U)(\w)-\s*\n\s*(\w)", "$1$2")
-    return F.regexp_extract_all(joined, F.lit("([a-z0-9]+)"))
+    """Runs of a-z0-9 of the lower-cased text, words hyphenated over a line end joined.
+
+    The pattern with Unicode word characters is tried only on texts that have a hyphen before a line
+    end; other characters become one space each run, which splits in half the time of extraction.
+    """
+    low = F.lower(_c(text))
+    joined = F.when(low.rlike(r"-\s*\n"), F.regexp_replace(low, r"(?U)(\w)-\s*\n\s*(\w)", "$1$2")).otherwise(low)
+    words = F.trim(F.regexp_replace(joined, "[^a-z0-9]+", " "))
+    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
 
 
 def with_letter(toks: Column | str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .foreign import bibliography_size, from_publisher, from_tei
 from .house import body_latex, captions, measure, prose, residual, to_house, wire
+from .spread import spread
 from .tree import parse, serialise
 
 DOCTYPE = '<?xml version="1.0" encoding="utf-8"?>\n<!DOCTYPE article PUBLIC "-//NLM//DTD JATS (Z39.96) Journal Archiving and Interchange DTD v1.4 20241031//EN" "JATS-archivearticle1-4.dtd">\n'
@@ -49,7 +50,7 @@ def _housed(xml: str, kind: str, mid: str, meta: str | None, codes: list | None,
 
 def crosswalk(sources: DataFrame) -> DataFrame:
     """sources (id, xml, kind, mid, meta JSON, codes array<struct<code,label>>, assets array<string>) to (id, article, missing, residual, error)."""
-    cells = sources.select(F.col("id").cast("string"), "xml", "kind", "mid", "meta", "codes", "assets")
+    cells = spread(sources).select(F.col("id").cast("string"), "xml", "kind", "mid", "meta", "codes", "assets")
     run = _per_document([("article", pa.string()), ("missing", pa.list_(pa.string())), ("residual", pa.int32())], _housed)
     return cells.mapInArrow(run, "id string, article string, missing array<string>, residual int, error string")
 

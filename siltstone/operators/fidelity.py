@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normal_form, numerals, shingles, tokens, with_letter
+from .spread import spread
 
 # Calibrated values.
 DEFAULTS = {"grounding": 0.60, "fail": 0.40, "floor": 0.65, "mass": 0.35, "source_tokens": 2000, "n": 5, "runs": 5}
 
 
+METRICS = ["completeness", "grounding", "mass_ratio", "num_recall"]
+
+
 def _ratio(a: Column, b: Column, empty: float = 0.0) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(empty))
 
@@ -22,7 +26,7 @@ def _thousandths(x: Column) -> Column:
 def streams(pairs: DataFrame, normalise: bool = True) -> DataFrame:
     """Tokens, letter tokens, distinct shingles and numerals of both texts of a pair (pair_id, source_text, target_text, ...)."""
     norm = normal_form if normalise else F.col
-    out = pairs.withColumns({f"{s}_all": tokens(norm(f"{s}_text")) for s in ("source", "target")})
+    out = spread(pairs).withColumns({f"{s}_all": tokens(norm(f"{s}_text")) for s in ("source", "target")})
     out = out.withColumns({f"{s}_toks": with_letter(f"{s}_all") for s in ("source", "target")})
     return out.withColumns({f"{s}_list": shingles(f"{s}_toks", DEFAULTS["n"]) for s in ("source", "target")} | {f"{s}_nums": numerals(f"{s}_all") for s in ("source", "target")})
 
@@ -42,8 +46,8 @@ def _two(x: Column) -> Column:
     return F.format_string("%.2f", x)
 
 
-def evaluate(pairs: DataFrame, source_tokens: int = DEFAULTS["source_tokens"], normalise: bool = True) -> DataFrame:
-    """pairs (pair_id, source_text, target_text, ref_target, ref_source?, floor?) with verdict, reasons and metrics.
+def judged(pairs: DataFrame, source_tokens: int = DEFAULTS["source_tokens"], normalise: bool = True) -> DataFrame:
+    """pairs (pair_id, source_text, target_text, ref_target, ref_source?, floor?) with verdict, reasons and exact metrics.
 
     A floor of null or 0 is the default one. Verdicts use exact ratios, metrics are rounded. Parity of
     references is judged only where the source's count is known.
@@ -58,13 +62,17 @@ def evaluate(pairs: DataFrame, source_tokens: int = DEFAULTS["source_tokens"], n
         F.when(c("grounding") < DEFAULTS["grounding"], F.concat(F.lit("grounding "), _two(c("grounding")), F.lit(f" < {DEFAULTS['grounding']} (wrong pairing?)"))),
         F.when(c("completeness") < DEFAULTS["fail"], F.concat(F.lit("completeness "), _two(c("completeness")), F.lit(f" < {DEFAULTS['fail']}"))),
     ), lambda x: x.isNotNull())
-    judged = m.withColumns({"fails": fails, "pass_floor": floor})
+    out = m.withColumns({"fails": fails, "pass_floor": floor})
     flagged = c("completeness") < c("pass_floor")
     verdict = F.when(F.size("fails") > 0, "fail").when(flagged, "flag").otherwise("pass")
     note = F.concat(F.lit("completeness "), _two(c("completeness")), F.lit(" below the "), _two(c("pass_floor")), F.lit(" floor"))
-    return judged.select("pair_id", verdict.alias("verdict"), F.when(verdict == "flag", F.array(note)).otherwise(c("fails")).alias("reasons"),
-                         *[_thousandths(c(k)).alias(k) for k in ("completeness", "grounding", "mass_ratio", "num_recall")],
-                         "source_tokens", "target_tokens", "ref_target", "ref_source", _thousandths(c("pass_floor")).alias("pass_floor"))
+    return out.select("pair_id", verdict.alias("verdict"), F.when(verdict == "flag", F.array(note)).otherwise(c("fails")).alias("reasons"),
+                      *METRICS, "source_tokens", "target_tokens", "ref_target", "ref_source", "pass_floor")
+
+
+def evaluate(pairs: DataFrame, source_tokens: int = DEFAULTS["source_tokens"], normalise: bool = True) -> DataFrame:
+    """``judged`` with metrics in thousandths."""
+    return judged(pairs, source_tokens, normalise).withColumns({k: _thousandths(F.col(k)) for k in (*METRICS, "pass_floor")})
 
 
 def missing_runs(pairs: DataFrame, normalise: bool = True) -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-METRICS = ["completeness", "grounding", "mass_ratio", "num_recall"]
 
 
 def lane_share(tracker: DataFrame) -> DataFrame:
@@ -95,6 +95,12 @@ def distribution(rows: DataFrame, by: str, metrics: list[str]) -> DataFrame:
     return n.join(tail, [by, "metric"]).select(by, "metric", "n", "least", "p5", "median", "most")
 
 
+def calibration(verdicts: DataFrame, by: str, metrics: list[str]) -> DataFrame:
+    """``distribution`` of metrics that are dear to compute: they are computed once and kept while the report is made."""
+    kept = verdicts.select(by, *metrics).persist(StorageLevel.MEMORY_AND_DISK)
+    return distribution(kept, by, metrics)
+
+
 def differences(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """How many rows differ in each column, and rows on one side alone."""
     x = a.select(key, *[F.col(c).alias(f"a_{c}") for c in columns], F.lit(True).alias("in_a"))

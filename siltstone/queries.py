@@ -469,9 +469,7 @@ def missing_runs(spark, sf_dir):
   s as (select verdict, metric, list_sort(list(x)) as xs from l group by all) select verdict, metric, cast(len(xs) as bigint) as n, xs[1] as least,
     xs[case when len(xs) >= 20 then greatest(cast(floor(len(xs) * 0.05) as bigint), 1) else 1 end] as p5, list_median(xs) as median, xs[-1] as most from s""")
 def calibration_distribution(spark, sf_dir):
-    m = fidelity.metrics(_pairs(spark, sf_dir)).select("pair_id", *reports.METRICS)
-    v = fidelity.evaluate(_pairs(spark, sf_dir), source_tokens=100).select("pair_id", "verdict")
-    return reports.distribution(m.join(v, "pair_id"), "verdict", reports.METRICS)
+    return reports.calibration(fidelity.judged(_pairs(spark, sf_dir), source_tokens=100), "verdict", fidelity.METRICS)
 
 
 # --- lineage
