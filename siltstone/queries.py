@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .functions import text as T
 from .functions.latex import clean_text
 from .operators import documents, fidelity, lineage, matching, reports, selection, tracker
+from .operators.spread import spread
 from .plans import rules
 from .sources import acquire
 from .sources.records import OUTCOME_COLUMNS
@@ -416,7 +417,7 @@ def license_verdict(spark, sf_dir):
 def latex_clean(spark, sf_dir):
     """Generated captions: the tables have no LaTeX."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("The $\\sqrt{s}$ = "), F.col("doc_id") % 14, F.lit(" \\TeV~$p_{T}^{"), F.col("doc_id") % 9, F.lit("}$ \\alpha\\leq\\beta -- ref \\cite{a"), "doc_id", F.lit("}")).alias("caption"))
-    return d.select("doc_id", clean_text("caption").alias("caption"))
+    return spread(d).select("doc_id", clean_text("caption").alias("caption"))
 
 
 # --- fidelity

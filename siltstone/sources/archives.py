@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 MEMBERS = "path string, place int, member string, content binary, error string"
 
 
@@ -42,6 +44,7 @@ def _opened(batches):
 
 def read_members(files: DataFrame) -> DataFrame:
     """(path, content) to one row per archive member."""
+    ship(files.sparkSession)
     return files.select("path", "content").mapInArrow(_opened, MEMBERS)
 
 
