@@ -8,40 +8,23 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import os
 import tempfile
 import uuid
-import zipfile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-_SHIPPED: set[str] = set()
+from ..shipping import ship
+
+__all__ = ["clean", "components", "parquet", "scratch", "ship", "written"]
+
 _MADE: list[str] = []
 #: Edges that one task joins: some 100 MB there.
 ONE_TASK = 1_000_000
 
 
-def ship(spark: SparkSession) -> None:
-    """Let executors import this package: a zip of it goes along unless they can see the sources."""
-    app = spark.sparkContext.applicationId
-    seen = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if app in _SHIPPED or ROOT in seen or os.path.realpath(os.getcwd()) == ROOT:
-        return
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp()), "siltstone.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for at, _, names in os.walk(os.path.join(ROOT, "siltstone")):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(at, name)
-                    z.write(full, os.path.relpath(full, ROOT))
-    spark.sparkContext.addPyFile(path)
-    _SHIPPED.add(app)
-
-
 def scratch(spark: SparkSession) -> str:
     """A fresh path in the shared folder. Where no folder is named (tests, one machine), one is set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
