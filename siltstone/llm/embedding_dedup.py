@@ -79,11 +79,11 @@ class Lattice:
         self.dim, self.blocks, self.tables = dim, blocks, tables
         self.plan = [(rng.normal(size=(dim, 8 * blocks)) / SCALE, rng.random(8 * blocks)) for _ in range(tables)]
 
-    def cells(self, unit: np.ndarray) -> np.ndarray:
+    def cells(self, rows: np.ndarray) -> np.ndarray:
         """(vector, table * (1 + PROBES)): own cell, then those of the nearest neighbours."""
         out = []
         for t, (matrix, shift) in enumerate(self.plan):
-            x = unit @ matrix + shift
+            x = rows @ matrix + shift
             points = np.hstack([decode(x[:, 8 * b : 8 * b + 8]) for b in range(self.blocks)])
             out.append(_name(points, t * 1009 + self.dim))
             near = np.hstack([(x - points)[:, 8 * b : 8 * b + 8] @ neighbours().T for b in range(self.blocks)])
@@ -93,7 +93,7 @@ class Lattice:
                 other = points.copy().reshape(len(points), self.blocks, 8)
                 other[np.arange(len(points)), best // 240] += neighbours()[best % 240]
                 out.append(_name(other.reshape(len(points), -1), t * 1009 + self.dim))
-        return np.array(out).T.reshape(len(unit), -1)
+        return np.array(out).T.reshape(len(rows), -1)
 
 
 def plan(n: int, cosine: float) -> tuple[int, int]:
@@ -111,33 +111,38 @@ def plan(n: int, cosine: float) -> tuple[int, int]:
     return blocks, max(1, ceil(log(MISS) / log(1 - min(0.999, max(p, 1e-3)))))
 
 
-def _hashed(blocks: int, tables: int):
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows as unit vectors in double precision; scaled first, so that no square over- or underflows."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1)[:, None]
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def _hashed(blocks: int, tables: int, kind: str):
+    """kind: the numpy type of the components, in which vectors are sent as they are."""
     def run(batches):
         by_dim: dict[int, Lattice] = {}
         for batch in batches:
             ids, sizes, vectors, names = [], [], [], []
-            cells = [np.array(v, dtype=np.float64) for v in batch.column(2).to_pylist()]
+            cells = [np.array(v, dtype=kind) for v in batch.column(2).to_pylist()]
             for dim in sorted({len(v) for v in cells}):
                 at = [i for i, v in enumerate(cells) if len(v) == dim]
-                x = np.array([cells[i] for i in at])
-                x /= np.abs(x).max(axis=1)[:, None]
-                x /= np.linalg.norm(x, axis=1)[:, None]
                 by_dim.setdefault(dim, Lattice(dim, blocks, tables))
-                found = by_dim[dim].cells(x)
+                found = by_dim[dim].cells(unit(np.array([cells[i] for i in at])))
                 for k, i in enumerate(at):
                     ids.append(batch.column(0)[i].as_py())
                     sizes.append(batch.column(1)[i].as_py())
-                    vectors.append(x[k].tobytes())
+                    vectors.append(cells[i].tobytes())
                     names.append(np.unique(found[k]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary()), pa.array(names, pa.list_(pa.int64()))], names=["id", "size", "unit", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary()), pa.array(names, pa.list_(pa.int64()))], names=["id", "size", "vector", "cells"])
     return run
 
 
-def _compared(cosine: float):
-    def met(key, part, ids, sizes, units, cells):
+def _compared(cosine: float, kind: str):
+    def met(key, part, ids, sizes, vectors, cells):
         """Sums of links and a forest of them, for pairs whose smallest common cell is this one."""
         cell, i, j = key
-        x, w, side = np.array([np.frombuffer(u) for u in units]), np.array(sizes, dtype=np.int64), np.array(part)
+        x, w, side = unit(np.array([np.frombuffer(v, dtype=kind) for v in vectors])), np.array(sizes, dtype=np.int64), np.array(part)
         linked = x @ x.T >= cosine
         np.fill_diagonal(linked, False)
         if i != j:
@@ -182,16 +187,17 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     classes = rows.where("sound").groupBy("h1", "h2", "h3").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
     held = rows.where("sound").join(classes, [*(rows[c] == classes[c] for c in ("h1", "h2", "h3")), rows["id"] == classes["rep"]]).select("rep", "size", "v").dropDuplicates(["rep", "v"])
     blocks, tables = plan(classes.count(), cosine)
-    hashed = written(held.mapInArrow(_hashed(blocks, tables), "id bigint, size bigint, unit binary, cells array<bigint>"))
+    kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
+    hashed = written(held.mapInArrow(_hashed(blocks, tables, kind), "id bigint, size bigint, vector binary, cells array<bigint>"))
     entries = hashed.select("id", F.explode("cells").alias("cell"))
     shared = entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell", F.ceil(F.col("n") / BLOCK).alias("parts"))
     part = F.pmod(F.xxhash64("id"), F.col("parts"))
     spread = entries.join(shared, "cell").withColumn("part", part).select(
         "cell", "id", "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("j")).select(
         "cell", F.least("part", "j").alias("i"), F.greatest("part", "j").alias("j"), "part", "id")
-    sent = spread.join(hashed, "id").select("cell", "i", "j", "part", "id", "size", "unit", "cells")
+    sent = spread.join(hashed, "id").select("cell", "i", "j", "part", "id", "size", "vector", "cells")
     sent = sent.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "id")
-    found = written(sent.mapInArrow(_compared(cosine), "a bigint, b bigint, n bigint"))
+    found = written(sent.mapInArrow(_compared(cosine, kind), "a bigint, b bigint, n bigint"))
     sums = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     joined = components(found.where("b is not null"))
     of_class = classes.join(sums, "rep", "left").join(joined, F.col("rep") == F.col("node"), "left").select(
