@@ -29,7 +29,7 @@ def scratch(spark: SparkSession) -> str:
     """A fresh path in the shared folder. Where no folder is named (tests, one machine), one is set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="siltstone-")
         spark.sparkContext.setCheckpointDir(base)
