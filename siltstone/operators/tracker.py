@@ -90,6 +90,11 @@ def overridden(lint: Column, errors: Column, warnings: Column, residual: Column,
                     (warnings + F.coalesce(fidelity == "flag", F.lit(False)).cast("int")).alias("warnings"))
 
 
+def padded(number: Column, width: int) -> Column:
+    """With zeros up to width; a longer number keeps all its digits (lpad would cut it)."""
+    return F.format_string(f"%0{width}d", number.cast("bigint"))
+
+
 def allocate(files: DataFrame, known: DataFrame, prefix: str = "MORE-2025-", first: int = 910_000, width: int = 6) -> DataFrame:
     """files (id, place) with a key each: those known keep theirs, others get the next numbers in file order.
 
@@ -99,7 +104,7 @@ def allocate(files: DataFrame, known: DataFrame, prefix: str = "MORE-2025-", fir
     top = known.where(F.col("mid").rlike(r"-\d+$")).select(F.coalesce(F.max(F.regexp_extract("mid", r"-(\d+)$", 1).cast("bigint")), F.lit(first)).alias("top"))
     fresh = files.join(known, "id", "left_anti")
     numbered = ranked(fresh, "place").crossJoin(F.broadcast(top))  # one row
-    made = numbered.select("id", "place", F.concat(F.lit(prefix), F.lpad((F.col("top") + F.col("rank")).cast("string"), width, "0")).alias("mid"))
+    made = numbered.select("id", "place", F.concat(F.lit(prefix), padded(F.col("top") + F.col("rank"), width)).alias("mid"))
     return files.join(known, "id").select("id", "place", "mid").unionByName(made)
 
 
@@ -119,4 +124,4 @@ def pilot_numbers(rows: DataFrame, prefix: str = "MORE-2025-99", width: int = 4)
     sizes = rows.groupBy("slug").count()
     before = sizes.select("slug", F.coalesce(F.sum("count").over(Window.orderBy("slug").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     n = F.col("_b") + F.row_number().over(Window.partitionBy("slug").orderBy("id")) - 1
-    return rows.join(before, "slug").select("id", "slug", F.concat(F.lit(prefix), F.lpad(n.cast("string"), width, "0")).alias("mid"))
+    return rows.join(before, "slug").select("id", "slug", F.concat(F.lit(prefix), padded(n, width)).alias("mid"))

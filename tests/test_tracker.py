@@ -76,6 +76,14 @@ def test_allocation_and_ranks(spark):
     assert tracker.allocate(files, known.limit(0)).where("id = 'W0'").first().mid == "MORE-2025-910001"
 
 
+def test_numbers_outgrow_their_width(spark):
+    files = spark.createDataFrame([(f"W{i}", i) for i in range(30)], "id string, place bigint")
+    known = spark.createDataFrame([("X", "MORE-2025-999989")], "id string, mid string")
+    assert {r.id: r.mid for r in tracker.allocate(files, known).collect()} == {f"W{i}": f"MORE-2025-{999_990 + i}" for i in range(30)}
+    rows = spark.range(10_020).selectExpr("format_string('W%05d', id) as id", "'s' as slug")
+    assert {r.id: r.mid for r in tracker.pilot_numbers(rows).collect()} == {f"W{i:05d}": f"MORE-2025-99{i:04d}" for i in range(10_020)}
+
+
 def test_limit_before_skip(spark):
     files = spark.createDataFrame([(f"W{i}",) for i in range(5)], "id string")
     log = spark.createDataFrame([("W0", "ingested"), ("W1", "failed")], "id string, ingest_status string")
