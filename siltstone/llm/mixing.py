@@ -1,15 +1,17 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are summed by cell: source, language and topic. The cells' weights are raked to the three
-target marginals in turn until all hold, and each document is drawn with the probability of its
-cell, the raked weight over the cell's tokens, scaled so that no probability is above 1. In
-expectation the tokens drawn have the target marginals exactly; the draw is a hash of the id, so it
+target marginals in turn until all hold; that is the weight of a document. Documents are drawn with
+the probability of their cell, so that a share of all tokens is drawn in expectation, with the target
+marginals. No probability can pass 1: a cell that would is taken whole, and the others are raked to
+what is left, so a rare cell doesn't scale down the rest. The draw is a hash of the id, so it
 repeats, and a document is drawn at most once.
 
-The categories of a marginal are those its target names; others share one cell, "other". The number
-of cells is thus bounded by the targets, not by the data, and fits the driver. Where no target is
-given, it is the marginal's own token shares to a power below 1, for at most MAX_CATEGORIES
-categories by tokens.
+Where no target is given, it is the marginal's own token shares to a power below 1, for at most
+MAX_CATEGORIES categories by tokens. These are wishes: a category that has fewer tokens than its target is taken whole, and the
+others share the rest in their proportions. Given targets are held exactly, and the share that is
+drawn is lowered to what their categories have. The categories of a marginal
+are those its target names; others share one cell, "other". Only cells with tokens are fitted.
 
 Defined cases: a null category is a category of its own; a null or empty text has no tokens and is
 drawn with its cell's probability; a target for a category without tokens, or a zero target, is
@@ -20,12 +22,17 @@ rows are drawn alike; an empty table gives no rows; input columns named like out
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import parquet, written
 
+#: Share of all tokens that is drawn, in expectation.
+SHARE = 0.85
 MAX_CATEGORIES = 64
+#: Cells up to which their weights are broadcast; beyond, they are joined.
+BROADCAST_CELLS = 100_000
 NULL, OTHER = "\x00null", "\x00other"
 SOURCE_POWER, LANG_POWER, TOPIC_POWER = 0.9, 0.9, 1.0
 
@@ -35,26 +42,89 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("bigint")
 
 
-def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = 1000, tolerance: float = 1e-10) -> np.ndarray:
-    """The cells scaled along each axis in turn until each axis' sums are its target shares of 1."""
-    fit = cells / cells.sum() if cells.sum() else cells.astype(float)
-    wanted = []
-    for axis, target in enumerate(targets):
-        rest = tuple(i for i in range(fit.ndim) if i != axis)
-        there = np.where(fit.sum(axis=rest) > 0, target, 0.0)
-        wanted.append((axis, rest, there / there.sum() if there.sum() else there))
+def factors(n: np.ndarray, u: np.ndarray, group: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """For each group the factor of u at which its sum of n * min(1, u) is its goal (or all of n, when that is less)."""
+    total, most = np.bincount(group, n * u, len(goal)), np.bincount(group, n, len(goal))
+    found = np.divide(goal, total, out=np.zeros(len(goal)), where=total > 0)
+    top = np.zeros(len(goal))
+    np.maximum.at(top, group, u)
+    mine = np.flatnonzero((found * top > 1)[group])
+    if not len(mine):
+        return found
+    # with the first m members at 1, by falling u, the others make up what is left; the first m at which these stay below 1
+    mine = mine[np.lexsort((-u[mine], group[mine]))]
+    g, u = group[mine], u[mine]
+    first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    size = np.diff(np.r_[first, len(g)])
+    a, b = n[mine] / most[g], n[mine] * u / total[g]
+    whole, used = np.cumsum(a) - a, np.cumsum(b) - b
+    whole, used = whole - np.repeat(whole[first], size), used - np.repeat(used[first], size)
+    s = (goal[g] / most[g] - whole) / np.maximum(1 - used, b) * (most / np.where(total > 0, total, 1))[g]
+    found[g[first]] = 1 / u[first + size - 1]
+    fits = np.flatnonzero(s * u <= 1)[::-1]
+    found[g[fits]] = s[fits]
+    return found
+
+
+def fitted(n: np.ndarray, at: list[np.ndarray], goals: list[np.ndarray], whole: bool = False, rounds: int = 1000, tolerance: float = 1e-10) -> tuple[np.ndarray, list[float]]:
+    """(u, the largest miss of each axis): cells n * u, or n * min(1, u) if ``whole``, have the goals as sums along each axis.
+
+    n, and for each axis the place of its category, by cell.
+    """
+    u, worst = np.ones(len(n)), [0.0] * len(at)
     for _ in range(rounds):
-        worst = 0.0
-        for axis, rest, target in wanted:
-            now = fit.sum(axis=rest)
-            worst = max(worst, np.abs(now - target).max(initial=0))
-            ratio = np.divide(target, now, out=np.zeros_like(target), where=now > 0)
-            fit = fit * ratio.reshape([-1 if i == axis else 1 for i in range(fit.ndim)])
-        if worst < tolerance:
+        for axis, (group, goal) in enumerate(zip(at, goals, strict=True)):
+            now = np.bincount(group, n * np.minimum(u, 1) if whole else n * u, len(goal))
+            worst[axis] = np.abs(now - goal).max(initial=0)
+            u = u * (factors(n, u, group, goal) if whole else np.divide(goal, now, out=np.zeros(len(goal)), where=now > 0))[group]
+        if max(worst, default=0) < tolerance:
             break
+    return np.minimum(u, 1) if whole else u, worst
+
+
+def shares(n: np.ndarray, group: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The target over the categories that have tokens, as shares of 1."""
+    there = np.where(np.bincount(group, n, len(target)) > 0, target, 0.0)
+    return there / there.sum() if there.sum() else there
+
+
+def rake(cells: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
+    """The cells scaled along each axis in turn until each axis' sums are its target shares of 1."""
+    at = np.nonzero(cells)
+    n = cells[at] / (cells.sum() or 1.0)
+    fit = np.zeros(cells.shape)
+    fit[at] = n * fitted(n, list(at), [shares(n, g, np.asarray(t, float)) for g, t in zip(at, targets, strict=True)])[0]
     return fit
 
 
+def chances(n: np.ndarray, at: list[np.ndarray], targets: list[np.ndarray], given: list[bool], ratio: np.ndarray, share: float) -> np.ndarray:
+    """The probability of each cell at which a share of the tokens n is drawn with the target marginals.
+
+    Targets that are given hold exactly, for as much as there is; of others, what a category doesn't
+    have goes to those that do. ``ratio`` is the fit without a bound: with the largest made 1 given
+    targets always hold, so the share isn't lowered beyond that.
+    """
+    live = np.flatnonzero(ratio > 0)
+    chance = np.zeros(len(n))
+    if not len(live):
+        return chance
+    n, at, ratio = n[live], [g[live] for g in at], ratio[live]
+    sizes = [np.bincount(g, n, len(t)) for g, t in zip(at, targets, strict=True)]
+    wanted = [shares(n, g, t) for g, t in zip(at, targets, strict=True)]
+    least = 1 / ratio.max()
+    drawn = min([share * n.sum(), *[float((z[t > 0] / t[t > 0]).min()) for z, t, fixed in zip(sizes, wanted, given, strict=True) if fixed]])
+    while True:
+        goals = []
+        for z, t, fixed in zip(sizes, wanted, given, strict=True):
+            over = np.divide(t, z, out=np.zeros(len(t)), where=z > 0)
+            level = factors(z, over, np.zeros(len(t), dtype=np.int64), np.array([drawn]))[0]
+            goals.append(drawn * t if fixed else z * np.minimum(1, over * level))
+        chance[live], worst = fitted(n, at, goals, whole=True)
+        if drawn <= least or not any(given) or max(w for w, fixed in zip(worst, given, strict=True) if fixed) < 1e-8:
+            return chance
+        drawn = max(least, drawn * 0.95)
+
+
 def uniform(id_col: Column, seed: int) -> Column:
     """A number in [0, 1) from the id."""
     return F.pmod(F.xxhash64(F.lit(seed), F.coalesce(id_col.cast("bigint"), F.lit(0))), F.lit(1 << 53)).cast("double") / float(1 << 53)
@@ -68,23 +138,26 @@ def tempered(rows: DataFrame, column: str, power: float) -> dict[str, float]:
     """Shares of tokens to a power, for the categories with most tokens; the rest as one."""
     got = rows.groupBy(_named(column).alias("c")).agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), "c").limit(MAX_CATEGORIES).collect()
     rest = rows.agg(F.sum("tokens")).first()[0] or 0
-    shares = {r.c: float(r.n or 0) ** power for r in got}
+    named = {r.c: float(r.n or 0) ** power for r in got}
     rest -= sum(r.n or 0 for r in got)
-    return shares | ({OTHER: float(rest) ** power} if rest > 0 else {})
-
-
-def calibrate(rows: DataFrame, columns: list[str], targets: list[dict[str, float]]) -> tuple[list[list[str]], np.ndarray]:
-    """Names of each axis' categories, and the ratio of raked weight to tokens in each cell."""
-    names = [[*sorted(k for k in t if k != OTHER), OTHER] for t in targets]
-    keys = [F.when(_named(c).isin(n[:-1]), _named(c)).otherwise(F.lit(OTHER)).alias(f"k{i}") for i, (c, n) in enumerate(zip(columns, names, strict=True))]
-    cells = np.zeros([len(n) for n in names])
-    at = [{k: i for i, k in enumerate(n)} for n in names]
-    for r in rows.select(*keys, "tokens").groupBy(*[f"k{i}" for i in range(len(columns))]).agg(F.sum("tokens").alias("n")).collect():
-        cells[tuple(at[i][r[i]] for i in range(len(columns)))] = r.n or 0
-    goal = [np.array([t.get(k, 0.0) for k in n]) for t, n in zip(targets, names, strict=True)]
-    fit = rake(cells, goal)
-    share = cells / cells.sum() if cells.sum() else cells
-    return names, np.divide(fit, share, out=np.zeros_like(fit), where=share > 0)
+    return named | ({OTHER: float(rest) ** power} if rest > 0 else {})
+
+
+def calibrate(rows: DataFrame, given: list[dict[str, float] | None], powers: tuple[float, ...], share: float) -> pa.Table:
+    """rows (k0, k1, ..., tokens): each cell that has tokens with its weight, raked share over share of tokens, and its probability."""
+    keys = [f"k{i}" for i in range(len(given))]
+    cells = rows.groupBy(*keys).agg(F.sum("tokens").alias("n")).where("n > 0").toArrow().sort_by([(k, "ascending") for k in keys])
+    n = cells["n"].to_numpy().astype(float)
+    n = n / (n.sum() or 1.0)
+    at, targets = [], []
+    for k, goal, power in zip(keys, given, powers, strict=True):
+        coded = cells[k].combine_chunks().dictionary_encode()
+        at.append(coded.indices.to_numpy().astype(np.int64))
+        names = coded.dictionary.to_pylist()
+        targets.append(np.array([goal.get(x, 0.0) for x in names]) if goal else np.bincount(at[-1], n, len(names)) ** power)
+    weight = fitted(n, at, [shares(n, g, t) for g, t in zip(at, targets, strict=True)])[0]
+    chance = chances(n, at, targets, [bool(g) for g in given], weight, share)
+    return pa.table({**{k: cells[k] for k in keys}, "weight": weight, "probability": chance})
 
 
 def counted(docs: DataFrame, columns: tuple[str, ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -93,28 +166,23 @@ def counted(docs: DataFrame, columns: tuple[str, ...], id_col: str = "doc_id", t
 
 
 def mix(rows: DataFrame, columns: tuple[str, ...] = ("source", "lang", "topic"), targets: dict[str, dict[str, float]] | None = None,
-        powers: tuple[float, ...] = (SOURCE_POWER, LANG_POWER, TOPIC_POWER), seed: int = 17) -> DataFrame:
+        powers: tuple[float, ...] = (SOURCE_POWER, LANG_POWER, TOPIC_POWER), seed: int = 17, share: float = SHARE) -> DataFrame:
     """One row per input row (see ``counted``): id, the columns, tokens, weight, probability, sampled.
 
     weight is the raked share of the row's cell over its own share of tokens. ``targets`` maps a
     column to shares by category (the null category: None); a column without one gets its own
-    shares to its power.
+    shares to its power. ``share`` of the tokens is drawn in expectation, or what given targets allow.
     """
-    spark = rows.sparkSession
-    given = {c: {NULL if k is None else str(k): float(v) for k, v in t.items()} for c, t in (targets or {}).items()}
-    goal = [given.get(c) or tempered(rows, c, p) for c, p in zip(columns, powers, strict=True)]
-    names, ratio = calibrate(rows, list(columns), goal)
-    places = [f"_{i}" for i in range(len(columns))]
-    cells = [(*map(int, spot), float(ratio[tuple(spot)])) for spot in np.argwhere(ratio > 0)]
-    weights = spark.createDataFrame(cells, ", ".join(f"{c} int" for c in places) + ", weight double")
-    placed = rows.select("id", *columns, "tokens")
-    for place, column, known in zip(places, columns, names, strict=True):
-        # array_position is 0 for what isn't named; the last place is for that
-        found = F.array_position(F.array(*[F.lit(x) for x in known[:-1]]).cast("array<string>"), _named(column))
-        placed = placed.withColumn(place, F.when(found > 0, found - 1).otherwise(len(known) - 1).cast("int"))
-    chance = F.col("weight") / float(ratio.max(initial=0) or 1.0)
-    return placed.join(weights, places, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0))).select(
-        "id", *columns, "tokens", "weight", chance.alias("probability"), (uniform(F.col("id"), seed) < chance).alias("sampled"))
+    named = {c: {NULL if k is None else str(k): float(v) for k, v in t.items()} for c, t in (targets or {}).items()}
+    given = [named.get(c) or None for c in columns]
+    known = [t or tempered(rows, c, p) for t, c, p in zip(given, columns, powers, strict=True)]
+    keys = {f"k{i}": F.when(_named(c).isin([k for k in t if k != OTHER]), _named(c)).otherwise(F.lit(OTHER)) for i, (c, t) in enumerate(zip(columns, known, strict=True))}
+    cells = calibrate(rows.select(*[v.alias(k) for k, v in keys.items()], "tokens"), given, powers, share)
+    weights = rows.sparkSession.createDataFrame(cells, ", ".join(f"{k} string" for k in keys) + ", weight double, probability double")
+    placed = rows.select("id", *columns, "tokens", *[v.alias(k) for k, v in keys.items()])
+    joined = placed.join(F.broadcast(weights) if cells.num_rows <= BROADCAST_CELLS else weights, list(keys), "left")
+    chance = F.coalesce("probability", F.lit(0.0))
+    return joined.select("id", *columns, "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), chance.alias("probability"), (uniform(F.col("id"), seed) < chance).alias("sampled"))
 
 
 def topics(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from siltstone.llm.mixing import NULL, OTHER, counted, mix, op4_raked_mixing, rake, tempered
+from siltstone.llm.mixing import NULL, OTHER, counted, factors, mix, op4_raked_mixing, rake, tempered
 from siltstone.llm.toxicity import CumulativeLink, fit, op3_ordinal_toxicity, score
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, topic string"
@@ -98,6 +98,28 @@ def test_mixing_edges(spark):
     assert len(tempered(few, "source", 0.5)) == 65 and OTHER in tempered(few, "source", 0.5) and NULL not in tempered(few, "source", 0.5)
 
 
+def test_a_rare_cell_leaves_the_draw(spark):
+    rows = [(i, "w " * 20, "en" if i % 3 else "de", f"s{i % 5}", f"t{i % 4}") for i in range(6000)]
+    kept = []
+    for more in ([], [(9000, "w " * 50, "xx", "new", "t0")]):
+        got = mixed(spark, rows + more).toPandas()
+        kept.append((got.tokens * got.probability).sum() / got.tokens.sum())
+        assert got.probability.max() <= 1 and len(got) == 6000 + len(more)
+    assert np.allclose(kept, 0.85, atol=1e-6)
+    assert got[got.source == "new"].probability.iloc[0] > 1 - 1e-9
+    got = mixed(spark, [*rows, (9000, "w " * 50, "xx", "s0", "t0")], targets={"source": {f"s{i}": 1.0 for i in range(5)}}).toPandas()
+    by = (got.tokens * got.probability).groupby(got.source).sum()
+    assert np.allclose(by / by.sum(), 0.2, atol=1e-6) and by.sum() / got.tokens.sum() > 0.84
+
+
+def test_probabilities_are_bounded_and_hold_goals():
+    rng = np.random.default_rng(4)
+    n, group, u = rng.random(200), rng.integers(0, 9, 200), rng.random(200) * 10
+    goal = np.bincount(group, n, 9) * np.array([0.1, 0.3, 0.5, 0.7, 0.9, 0.99, 1.0, 0.0, 0.2])
+    got = np.bincount(group, n * np.minimum(1, u * factors(n, u, group, goal)[group]), 9)
+    assert np.allclose(got, goal)
+
+
 def test_queries(spark):
     d = "/root/testdata/sf0.001"
     assert op3_ordinal_toxicity(spark, d).count() == op4_raked_mixing(spark, d).count() == 200
