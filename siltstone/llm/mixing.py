@@ -7,11 +7,12 @@ marginals. No probability can pass 1: a cell that would is taken whole, and the
 what is left, so a rare cell doesn't scale down the rest. The draw is a hash of the id, so it
 repeats, and a document is drawn at most once.
 
-Where no target is given, it is the marginal's own token shares to a power below 1, for at most
-MAX_CATEGORIES categories by tokens. These are wishes: a category that has fewer tokens than its target is taken whole, and the
+Where no target is given, it is the marginal's own token shares to a power below 1, for all of its
+categories. These are wishes: a category that has fewer tokens than its target is taken whole, and the
 others share the rest in their proportions. Given targets are held exactly, and the share that is
-drawn is lowered to what their categories have. The categories of a marginal
-are those its target names; others share one cell, "other". Only cells with tokens are fitted.
+drawn is lowered to what their categories have. A marginal with given targets has the categories that
+they name; others share one, "other". Only cells with tokens are fitted, on the driver: their number
+is that of the combinations there are, and no category is left out.
 
 Defined cases: a null category is a category of its own; a null or empty text has no tokens and is
 drawn with its cell's probability; a target for a category without tokens, or a zero target, is
@@ -30,6 +31,7 @@ from .common import parquet, written
 
 #: Share of all tokens that is drawn, in expectation.
 SHARE = 0.85
+#: Categories that ``tempered`` names; the fit has all of them.
 MAX_CATEGORIES = 64
 #: Cells up to which their weights are broadcast; beyond, they are joined.
 BROADCAST_CELLS = 100_000
@@ -135,7 +137,7 @@ def _named(column: str) -> Column:
 
 
 def tempered(rows: DataFrame, column: str, power: float) -> dict[str, float]:
-    """Shares of tokens to a power, for the categories with most tokens; the rest as one."""
+    """Shares of tokens to a power, for the categories with most tokens; the rest as one. Targets to read or to give; ``mix`` without given ones takes all categories."""
     got = rows.groupBy(_named(column).alias("c")).agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), "c").limit(MAX_CATEGORIES).collect()
     rest = rows.agg(F.sum("tokens")).first()[0] or 0
     named = {r.c: float(r.n or 0) ** power for r in got}
@@ -175,8 +177,7 @@ def mix(rows: DataFrame, columns: tuple[str, ...] = ("source", "lang", "topic"),
     """
     named = {c: {NULL if k is None else str(k): float(v) for k, v in t.items()} for c, t in (targets or {}).items()}
     given = [named.get(c) or None for c in columns]
-    known = [t or tempered(rows, c, p) for t, c, p in zip(given, columns, powers, strict=True)]
-    keys = {f"k{i}": F.when(_named(c).isin([k for k in t if k != OTHER]), _named(c)).otherwise(F.lit(OTHER)) for i, (c, t) in enumerate(zip(columns, known, strict=True))}
+    keys = {f"k{i}": F.when(_named(c).isin([k for k in t if k != OTHER]), _named(c)).otherwise(F.lit(OTHER)) if t else _named(c) for i, (c, t) in enumerate(zip(columns, given, strict=True))}
     cells = calibrate(rows.select(*[v.alias(k) for k, v in keys.items()], "tokens"), given, powers, share)
     weights = rows.sparkSession.createDataFrame(cells, ", ".join(f"{k} string" for k in keys) + ", weight double, probability double")
     placed = rows.select("id", *columns, "tokens", *[v.alias(k) for k, v in keys.items()])

@@ -120,6 +120,20 @@ def test_probabilities_are_bounded_and_hold_goals():
     assert np.allclose(got, goal)
 
 
+def test_all_categories_are_raked(spark):
+    sizes = np.r_[np.full(70, 40), np.arange(2, 62)]
+    rows, at = [], 0
+    for s, k in enumerate(sizes):
+        for _ in range(k):
+            rows.append((at, "w " * (1 + at % 3), "en" if at % 4 else "de", f"s{s:03d}", f"t{at % 90}"))
+            at += 1
+    got = mixed(spark, rows, powers=(0.5, 0.9, 1.0)).toPandas()
+    n = got.groupby("source").tokens.sum()
+    want = n ** 0.5 / (n ** 0.5).sum()
+    have = (got.tokens * got.weight).groupby(got.source).sum() / got.tokens.sum()
+    assert len(n) == 130 and np.allclose(have, want, rtol=1e-4)
+
+
 def test_queries(spark):
     d = "/root/testdata/sf0.001"
     assert op3_ordinal_toxicity(spark, d).count() == op4_raked_mixing(spark, d).count() == 200
