@@ -8,9 +8,11 @@ text, and nothing in it is deleted for being on other pages too: articles may sh
 
 A page without any of these is differenced: pages of a host are ordered by path, the blocks of a page
 are aligned with those of its nearest pages, before and after, by longest common subsequence, and
-blocks that are aligned go. A neighbour with which most of the page is aligned is a copy of it and
-tells nothing. Pages are ordered by a range partitioning, so a host may lie in many partitions, and
-the two pages on either side of a boundary are neighbours like others.
+blocks that are aligned go. A page with which nearly all of the blocks are aligned that aren't left
+out by their tags is a copy and tells nothing, so the next one on that side is asked, until one isn't
+a copy. A run of equal pages is asked once. Pages are ordered by a range partitioning, so a host may
+lie in many partitions; pages for which a partition ends before a page is found that isn't a copy go
+on with the runs of the partitions beyond it.
 
 Defined cases: null or empty html has no text; a page whose host has no other page keeps its blocks;
 a null url has the empty host; repeated rows are extracted each (a copy tells nothing); an empty
@@ -24,7 +26,7 @@ import re
 from bisect import bisect_left
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import parquet, ship, written
@@ -46,8 +48,8 @@ NAMED = [{"article", "body"}, {"article", "content"}, {"article", "text"}, {"ent
 WALLS = set("article main body table td th section aside nav header footer".split())
 IMPLIED = set("p li dd dt td th tr option".split())
 ARTICLE, MAIN, NAME = 3, 2, 1
-#: A neighbour that is aligned with this share of a page's blocks is a copy.
-COPY = 0.8
+#: A page that is aligned with this share of the blocks of another that aren't left out is a copy of it.
+COPY = 0.95
 
 
 def _kind(name: str, attributes: str, in_article: bool) -> tuple[bool, int]:
@@ -191,17 +193,23 @@ def differenced(lines: list, kept: list[int], others: list[list]) -> list[int]:
     """What is left of the kept blocks without those aligned with a neighbour's that isn't a copy."""
     gone: set[int] = set()
     for other in others:
-        shared = aligned(lines, other)
-        if other and len(shared) < COPY * len(lines):
-            gone.update(shared)
+        gone.update(shared(lines, kept, other) or ())
     return [i for i in kept if i not in gone]
 
 
+def shared(lines: list, kept: list[int], other: list) -> set[int] | None:
+    """The kept blocks that are aligned with the other page's; none when that is a copy, or has no blocks."""
+    if not other or lines == other:
+        return None
+    found = set(aligned(lines, other)).intersection(kept)
+    return found if len(found) < COPY * len(kept) else None
+
+
 def _read(batches):
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
-            texts, plain, kept, lines = [], [], [], []
+            texts, plain, kept, lines, sums = [], [], [], [], []
             for page in batch.column(4).to_pylist():
                 got = blocks(page)
                 keep, sure = chosen(got)
@@ -209,62 +217,134 @@ def _read(batches):
                 plain.append(not sure)
                 kept.append(keep)
                 lines.append([t for t, _, _ in got] if not sure else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(texts, pa.string()), pa.array(plain), pa.array(kept, pa.list_(pa.int32())), pa.array(lines, pa.list_(pa.string()))],
-                                             names=["id", "url", "host", "path", "text", "plain", "kept", "lines"])
+                sums.append(_digest(page or "") if not sure else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(texts, pa.string()), pa.array(plain), pa.array(kept, pa.list_(pa.int32())), pa.array(lines, pa.list_(pa.string())), pa.array(sums, pa.int64())],
+                                             names=["id", "url", "host", "path", "text", "plain", "kept", "lines", "sum"])
 
 
-def _hashes(batches):
+def _digest(x: str) -> int:
     import xxhash
 
-    for batch in batches:
-        rows = [[xxhash.xxh64_intdigest(t) - (1 << 63) for t, _, _ in blocks(page)] for page in batch.column(4).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(rows, pa.list_(pa.int64()))], names=["id", "url", "host", "path", "lines"])
-
+    return xxhash.xxh64_intdigest(x) - (1 << 63)
 
-def _without_shared(batches):
-    import xxhash
 
+def _hashes(batches):
     for batch in batches:
-        texts = []
-        for lines, kept, *near in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
-            own = [xxhash.xxh64_intdigest(t) - (1 << 63) for t in lines]
-            texts.append("\n".join(lines[i] for i in differenced(own, kept, [n for n in near if n])))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
+        lines, kept, sums = [], [], []
+        for page in batch.column(4).to_pylist():
+            got = blocks(page)
+            keep, sure = chosen(got)
+            lines.append([_digest(t) for t, _, _ in got])
+            kept.append(None if sure else keep)
+            sums.append(_digest(page or ""))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sums, pa.int64()), pa.array(lines, pa.list_(pa.int64())), pa.array(kept, pa.list_(pa.int32()))],
+                                         names=["id", "url", "host", "path", "sum", "lines", "kept"])
+
+
+def _runs(pages: pa.Table) -> tuple[list[tuple], list[int]]:
+    """(host, lines) of each run of equal pages of a partition in order, and each page's run."""
+    runs, at = [], []
+    for one in zip(pages["host"].to_pylist(), pages["lines"].to_pylist(), strict=True):
+        if not runs or runs[-1] != one:
+            runs.append(one)
+        at.append(len(runs) - 1)
+    return runs, at
+
+
+def _search(runs: list[tuple], at: int, side: int, host: str, lines: list, kept: list[int]) -> list[int] | None:
+    """The blocks shared with the first run from ``at`` on that isn't a copy; none are where the host ends, None where the partition does."""
+    while 0 <= at < len(runs):
+        if runs[at][0] != host:
+            return []
+        found = shared(lines, kept, runs[at][1])
+        if found is not None:
+            return sorted(found)
+        at += side
+    return None
+
+
+def _within(beyond: dict[tuple[int, int], int]):
+    def run(pages: pa.Table) -> pa.Table:
+        pages = pages.sort_by("row")
+        part, (runs, places) = pages["part"][0].as_py(), _runs(pages)
+        rows, known = [], {}
+        for i, url, total, kept, at in zip(*(pages[c].to_pylist() for c in ("id", "url", "sum", "kept")), places, strict=True):
+            for side in (-1, 1) if kept else ():
+                key = at, side, tuple(kept)
+                if key not in known:
+                    gone, start = _search(runs, at + side, side, *runs[at], kept), beyond.get((part, side))
+                    known[key] = (None, None, gone or [], None, None, None) if gone is not None or start is None else (_digest(repr((*runs[at], kept))), start, None, *runs[at], kept)
+                rows.append((i, url, total, side, *known[key]))
+        return pa.Table.from_pylist([dict(zip(WITHIN.names, r, strict=True)) for r in rows], schema=WITHIN)
+    return run
+
+
+def _beyond(beyond: dict[tuple[int, int], int]):
+    def run(askers: pa.Table, pages: pa.Table) -> pa.Table:
+        runs, _ = _runs(pages.sort_by("row"))
+        rows = askers.to_pylist()
+        for r in rows:
+            r["gone"] = _search(runs, 0 if r["side"] > 0 else len(runs) - 1, r["side"], r["host"], r["lines"], r["kept"])
+            if r["gone"] is None:
+                r["at"] = beyond.get((r["at"], r["side"]))
+                r["gone"] = [] if r["at"] is None else None
+        return pa.Table.from_pylist([{k: r[k] for k in BEYOND.names} for r in rows], schema=BEYOND)
+    return run
+
+
+_PAGE = [("host", pa.string()), ("lines", pa.list_(pa.int64())), ("kept", pa.list_(pa.int32()))]
+WITHIN = pa.schema([("id", pa.int64()), ("url", pa.string()), ("sum", pa.int64()), ("side", pa.int32()), ("who", pa.int64()), ("start", pa.int32()), ("gone", pa.list_(pa.int32())), *_PAGE])
+BEYOND = pa.schema([("who", pa.int64()), ("side", pa.int32()), ("start", pa.int32()), ("at", pa.int32()), ("gone", pa.list_(pa.int32())), *_PAGE])
+_PAGE_SQL = "host string, lines array<bigint>, kept array<int>"
 
 
 def neighbours(lined: DataFrame) -> DataFrame:
-    """Each row with the lines of the pages before and after it on its host, by path."""
-    order = ["host", "path", "id", "url"]
+    """(id, url, sum, gone): the places of the blocks that are shared with the nearest pages, before and after on the host by path, that aren't copies.
+
+    Partitions are searched first. Equal pages whose search comes to the end of one go on as one row,
+    a partition a round.
+    """
+    order = ["host", "path", "id", "url", "sum"]
     placed = written(lined.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}))
-    within = Window.partitionBy("part").orderBy("row")
-    edge = F.struct("row", "host", "lines")
-    # one row per partition: its first and last page, and those of the partitions around it that have rows
-    ends = placed.groupBy("part").agg(F.min_by(edge, "row").alias("first"), F.max_by(edge, "row").alias("final"))
-    around = Window.orderBy("part")
-    ends = ends.select("part", F.lag("final").over(around).alias("earlier"), F.lead("first").over(around).alias("later"))
-    near = placed.withColumns({"prev": F.lag(F.struct("host", "lines")).over(within), "next": F.lead(F.struct("host", "lines")).over(within)}).join(ends, "part")
+    parts = sorted(r.part for r in placed.select("part").distinct().collect())
+    beyond = {(a, 1): b for a, b in zip(parts, parts[1:])} | {(b, -1): a for a, b in zip(parts, parts[1:])}
+    first = written(placed.groupBy("part").applyInArrow(_within(beyond), f"id bigint, url string, sum bigint, side int, who bigint, start int, gone array<int>, {_PAGE_SQL}"))
+    same = ["who", "side", "start"]
+    found = first.where("start is null").select("id", "url", "sum", "side", "gone")
+    asking = written(first.where("start is not null").dropDuplicates(same).select(*same, F.col("start").alias("at"), "gone", "host", "lines", "kept"))
+    waiting = first.where("start is not null").select("id", "url", "sum", *same)
+    while at := [r["at"] for r in asking.select("at").distinct().collect()]:
+        there = placed.where(F.col("part").isin(at)).select(F.col("part").alias("at"), "row", "host", "lines")
+        got = written(asking.groupBy("at").cogroup(there.groupBy("at")).applyInArrow(_beyond(beyond), f"who bigint, side int, start int, at int, gone array<int>, {_PAGE_SQL}"))
+        found = found.unionByName(waiting.join(got.where("gone is not null").select(*same, "gone"), same).select("id", "url", "sum", "side", "gone"))
+        asking = got.where("gone is null")
+    one = found.dropDuplicates(["id", "url", "sum", "side"])
+    return one.groupBy("id", "url", "sum").agg(F.flatten(F.collect_list("gone")).alias("gone"))  # two sides
 
-    def side(own, over):
-        return (F.when((F.col(own) if own in ("prev", "next") else own).isNotNull(), F.when(F.col(f"{own}.host") == F.col("host"), F.col(f"{own}.lines")))
-                .otherwise(F.when(F.col(f"{over}.host") == F.col("host"), F.col(f"{over}.lines"))))
 
-    return near.select(*order, side("prev", "earlier").alias("before"), side("next", "later").alias("after"))
+def _without_shared(batches):
+    for batch in batches:
+        texts = []
+        for lines, kept, gone in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+            out = set(gone or ())
+            texts.append("\n".join(lines[i] for i in kept if i not in out))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: id, url, text, n_chars."""
     ship(pages.sparkSession)
     raw = pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).alias("url"), host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"), F.col(html_col).alias("html"))
-    read = written(raw.mapInArrow(_read, "id bigint, url string, host string, path string, text string, plain boolean, kept array<int>, lines array<string>"))
+    read = written(raw.mapInArrow(_read, "id bigint, url string, host string, path string, text string, plain boolean, kept array<int>, lines array<string>, sum bigint"))
     text = read.where("not plain").select("id", "url", "text")
     plain = read.where("plain and size(kept) > 0")
     text = text.unionByName(read.where("plain and size(kept) = 0").select("id", "url", "text"))
     if not plain.isEmpty():
         hosts = plain.select(F.col("host").alias("h")).distinct()
-        lined = raw.join(hosts, F.col("host") == F.col("h"), "left_semi").mapInArrow(_hashes, "id bigint, url string, host string, path string, lines array<bigint>")
-        near = neighbours(lined).select("id", F.col("url").alias("url2"), "before", "after").dropDuplicates(["id", "url2"])
-        asked = plain.join(near.withColumnRenamed("id", "id2"), F.col("id").eqNullSafe(F.col("id2")) & F.col("url").eqNullSafe(F.col("url2")), "left")
-        text = text.unionByName(asked.select("id", "url", "lines", "kept", "before", "after").mapInArrow(_without_shared, "id bigint, url string, text string"))
+        lined = raw.join(hosts, F.col("host") == F.col("h"), "left_semi").mapInArrow(_hashes, "id bigint, url string, host string, path string, sum bigint, lines array<bigint>, kept array<int>")
+        near = neighbours(lined).toDF("id2", "url2", "sum2", "gone")
+        asked = plain.join(near, F.col("id").eqNullSafe(F.col("id2")) & F.col("url").eqNullSafe(F.col("url2")) & (F.col("sum") == F.col("sum2")), "left")
+        text = text.unionByName(asked.select("id", "url", "lines", "kept", "gone").mapInArrow(_without_shared, "id bigint, url string, text string"))
     return text.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("bigint").alias("n_chars"))
 
 

@@ -70,6 +70,26 @@ def test_differencing(spark):
     assert differenced([1, 2, 3], [0, 1, 2], []) == [0, 1, 2]
 
 
+def test_menus_and_runs_of_copies(spark):
+    menu = "<nav>" + "".join(f"<li>menu {k}</li>" for k in range(60)) + "</nav>"
+    rows = []
+    for i in range(40):
+        n, url, page = plain(i, "".join(f"<p>own {i} {k}</p>" for k in range(6)))
+        rows.append((n, url, menu + page))
+    for i in range(100, 130):  # one run of copies, longer than a partition
+        rows.append((i, f"http://runs.com/b{i}", plain(i, "<p>same</p><p>text</p>")[2]))
+    rows += [(99, "http://runs.com/a", plain(99, "<p>first</p>")[2]), (131, "http://runs.com/c", plain(131, "<p>last</p>")[2])]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.page_id: r.text for r in main_text(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(rows)
+    assert all(got[i] == "\n".join(f"own {i} {k}" for k in range(6)) for i in range(40))
+    assert {got[i] for i in range(100, 130)} == {"same\ntext"} and (got[99], got[131]) == ("first", "last")
+
+
 def brute(page):
     """Of pages like those of the test tables: what is between the tags of their article."""
     inside = page.partition("<article>")[2].partition("</article>")[0].partition("<footer>")[0]
