@@ -35,6 +35,8 @@ START, MIDDLE, STOP = b"<|im_start|>", b"\n", b"<|im_end|>\n"
 #: Control strings, by first character: the template's own and those of other common templates.
 CONTROL = {"<": ("|im_start|>", "|im_end|>", "s>", "/s>", "|endoftext|>"), "[": ("INST]", "/INST]")}
 TRAINED = "assistant"
+#: Bytes of text that are assembled at once, and from which an item is copied without indices of its bytes.
+SLICE, LONG = 1 << 20, 1 << 12
 
 
 def escaped(texts: pa.Array) -> pa.Array:
@@ -55,10 +57,14 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def scattered(out: np.ndarray, to: np.ndarray, data: np.ndarray, at: np.ndarray) -> None:
-    """Copies item i of data, from at[i] to at[i+1], to out at to[i]."""
+    """Copies item i of data, from at[i] to at[i+1], to out at to[i]: short ones by scatter indices, LONG ones each as they are."""
     size = np.diff(at)
-    shift = np.repeat(to - (at[:-1] - at[0]), size)
-    out[np.arange(len(shift)) + shift] = data[at[0] : at[-1]]
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[to[i] : to[i] + size[i]] = data[at[i] : at[i + 1]]
+    short = np.flatnonzero(size <= LONG)
+    size = size[short]
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(to[short], size) + step] = data[np.repeat(at[:-1][short], size) + step]
 
 
 def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -81,10 +87,10 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np
 def _formatted(batches):
     """conv_id, segment, loss_from, loss_to (bytes, null outside of the loss) of each turn, in bounded pieces."""
     for whole in batches:
-        i = 0
-        while i < whole.num_rows:
-            batch = whole.slice(i, 1024)
-            i += batch.num_rows
+        ends, i = np.cumsum(pc.fill_null(pc.binary_length(whole.column(2)), 0).to_numpy().astype(np.int64)), 0
+        while i < whole.num_rows:  # some SLICE bytes of text at a time, one turn at least
+            stop = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SLICE, side="right")))
+            batch, i = whole.slice(i, min(stop, i + 1024) - i), min(stop, i + 1024)
             roles, texts = (pc.fill_null(batch.column(k), "") for k in (1, 2))
             segments, begin, end = assemble(roles, texts)
             mask = pc.invert(pc.equal(roles, TRAINED)).to_numpy(zero_copy_only=False)

@@ -13,16 +13,18 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
 
-__all__ = ["clean", "components", "parquet", "scratch", "ship", "written"]
+__all__ = ["clean", "components", "far", "near", "parquet", "scratch", "ship", "without", "written"]
 
 _MADE: list[str] = []
 #: Edges that one task joins: some 100 MB there.
 ONE_TASK = 1_000_000
+#: Bits of a sieve, as a power of two. It has at most 2**20 words of 64 bits, so what is broadcast is bounded.
+SIEVE_BITS = 26
 
 
 def scratch(spark: SparkSession) -> str:
@@ -64,6 +66,41 @@ def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _sifted(df: DataFrame, of: list[Column], few: DataFrame, keys: list[str], hit: bool) -> DataFrame:
+    """The rows of df whose bit is set (or isn't) in a bitmap of the hashed keys of few, which is broadcast."""
+    def place(columns: list[Column]) -> Column:
+        return F.xxhash64(*columns).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = few.select(place([F.col(k) for k in keys]).alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), place(of).alias("place"))  # names of df can't clash
+    found = rows.join(F.broadcast(words), F.shiftright("place", 6) == F.col("word"), "left").withColumn("hit", F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False)))
+    return found.where(F.col("hit") if hit else ~F.col("hit")).select("row.*")
+
+
+def near(df: DataFrame, of: list[Column], few: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of df whose ``of`` may be among the keys of few: all that are, and some others.
+
+    For a join of wide rows with few keys: only these rows have to be moved. A bitmap of a fixed size
+    is broadcast; with more than some tens of millions of keys it lets more pass, and then all.
+    """
+    return _sifted(df, of, few, keys, True)
+
+
+def far(df: DataFrame, of: list[Column], few: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of df that ``near`` leaves out."""
+    return _sifted(df, of, few, keys, False)
+
+
+def without(df: DataFrame, of: list[Column], gone: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of df whose ``of`` isn't among the keys of gone; nulls are equal. Rows that can't be among them aren't shuffled."""
+    maybe = near(df, of, gone, keys)
+    maybe = maybe.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(f"of{i}") for i, c in enumerate(of)])
+    names = gone.select(*[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)]).distinct().hint("merge")
+    same = [F.col(f"of{i}").eqNullSafe(F.col(f"key{i}")) for i in range(len(of))]
+    return far(df, of, gone, keys).unionByName(maybe.join(names, same, "left_anti").select("row.*"))
+
+
 def _one_task(batches):
     """Components of all edges that come, by union-find."""
     a, b = [], []

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import parquet, written
+from .common import far, near, parquet, written
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 PREFIX_CHARS = 256
@@ -28,37 +28,38 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_all: bool = False) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_all: bool = False, mark: Column | None = None) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256, and ``mark`` if one is given.
 
     keep_id is the smallest id among the rows whose normalised texts are equal. With ``hash_all``
-    false, the full content is hashed in a second scan, for survivors of the first two levels alone,
-    and text_sha256 is null for the others; true hashes every row in the first scan, for callers
-    that want the digest of each row, and the levels then choose which rows are grouped by it.
+    false, the full content is hashed in a second scan for survivors of the first two levels alone
+    (by a sieve of their ids, so no text is moved), and text_sha256 is null for the others; true
+    hashes every row in the first scan, for callers that want the digest of each row, and the
+    levels then choose which rows are grouped by it. ``mark`` tells rows of one id apart.
     """
-    text = normalised(F.col(text_col))
-    level0 = docs.select(F.col(id_col).alias("id"), text.alias("t")).select(
-        "id", F.octet_length("t").alias("size"), F.xxhash64(F.octet_length("t"), F.substring("t", 1, PREFIX_CHARS)).alias("head"),
-        *([F.unhex(F.sha2("t", 256)).alias("full")] if hash_all else []))
-    level0 = written(level0)
+    marks = [] if mark is None else [mark.alias("mark")]
+    source = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("t"), *marks)
+    marks = ["mark"] if marks else []
+    level0 = written(source.select(
+        "id", *marks, F.octet_length("t").alias("size"), F.xxhash64(F.octet_length("t"), F.substring("t", 1, PREFIX_CHARS)).alias("head"),
+        *([F.unhex(F.sha2("t", 256)).alias("full")] if hash_all else [])))
 
     lengths = level0.groupBy("size").count().where("count > 1").select("size")
     level1 = level0.join(lengths, "size", "left_semi")
     heads = level1.groupBy("head").count().where("count > 1").select("head")
     level2 = level1.join(heads, "head", "left_semi")
-    if not hash_all:
-        ids = level2.select(F.col("id").alias("id2")).distinct()
-        met = F.col("id").eqNullSafe(F.col("id2"))
-        read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(ids, met, "left_semi")
-        level2 = written(read.select("id", F.unhex(F.sha2(normalised(F.col("t")), 256)).alias("full")))
-    groups = level2.groupBy("full").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = level0.select("id", "full") if hash_all else level2.select("id", "full").unionByName(
-        level0.join(ids, met, "left_anti").select("id", F.lit(None).cast("binary").alias("full")))
-    return rows.join(groups, "full", "left").select(
-        F.col("id").alias(id_col), F.coalesce("keep_id", "id").alias("keep_id"),
-        F.coalesce("n", F.lit(1).cast("bigint")).alias("group_size"),
-        F.col("id").eqNullSafe(F.coalesce("keep_id", "id")).alias("kept"),
-        F.lower(F.hex("full")).alias("text_sha256"))
+    alone = None
+    if hash_all:
+        rows, grouped = level0.select("id", *marks, "full"), level2
+    else:
+        ids = written(level2.select("id").distinct())
+        found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), *([mark.alias("mark")] if marks else []))
+        rows = grouped = written(near(found, [F.col("id")], ids, ["id"]).select("id", *marks, F.unhex(F.sha2(normalised(F.col("t")), 256)).alias("full")))
+        alone = far(level0, [F.col("id")], ids, ["id"]).select("id", *marks, F.lit(None).cast("binary").alias("full"), F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("n"))
+    groups = grouped.groupBy("full").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    got = rows.join(groups, "full", "left").select("id", *marks, "full", F.coalesce("keep_id", "id").alias("keep_id"), F.coalesce("n", F.lit(1).cast("bigint")).alias("n"))
+    got = got if alone is None else got.unionByName(alone)
+    return got.select(F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"), F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("full")).alias("text_sha256"), *marks)
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Near-duplicate documents from bottom-k sketches made with one hash function.
 
 1. Each text's distinct word shingles are hashed once; the smallest KEPT hashes are its sketch.
-   Texts with equal shingle sets form a class, and only its smallest id goes on.
+   Texts with equal shingle sets form a class, which is numbered, and one sketch of it goes on.
 2. Inverted lists of the LISTED smallest values. Two sets of similarity t share at least ``need`` of these (but for one pair in ten million at exactly t), so by the prefix principle
    they share one of the first ``LISTED - need + 1`` values in any order common to all. The order
    is by how often a value occurs, from a table of fixed size, then by value: lists of values that
@@ -16,10 +16,13 @@
    is confirmed on full sets, with integers. A pair already joined by confirmed links needs no link
    of its own, so what comes out of 4 and 5 is a forest, never all pairs. Links give components.
 
+Only texts of the finer clusters are moved: a sieve of their ids keeps the others where they are.
+
 Defined cases: null text, empty text and text of white space have no shingle and link with nothing;
 a text with fewer words than a shingle is one shingle, its whole sequence; a null id links with
-nothing and is kept; rows that repeat an id are one document; an empty table gives no rows; a long
-text is one row of the arrays, never cut; other columns are not touched.
+nothing and is kept; rows that repeat an id are judged each by its own text, so of two rows of an
+id one may be kept; an empty table gives no rows; a long text is one row of the arrays, never cut;
+other columns are not touched.
 """
 
 from __future__ import annotations
@@ -28,14 +31,15 @@ from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import chunks, mix, sets
-from .common import components, parquet, ship, written
+from .common import components, near, parquet, ship, written
 
 LISTED, KEPT, UNION, BLOCK = 32, 64, 256, 512
 TABLE_BITS = 20
+SALTS = 0x5BD1E995, 0x27D4EB2F
 
 
 def needed(k: int, t: float, miss: float = 1e-7) -> int:
@@ -55,10 +59,11 @@ def _digests(width: int):
             for first, data, offsets in chunks(batch.column(1)):
                 values, at = sets(data, offsets, width)
                 n = np.diff(at)
-                k1, k2 = (_totals(mix(values ^ np.uint64(salt)), at) for salt in (0x5BD1E995, 0x27D4EB2F))
+                k1, k2 = (_totals(mix(values ^ np.uint64(salt)), at) for salt in SALTS)
                 low = [values[a : min(b, a + KEPT)].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(n)), pa.array(n), pa.array(k1), pa.array(k2), pa.array(low, pa.binary())], names=["id", "n", "k1", "k2", "sketch"])
+                    [batch.column(0).slice(first, len(n)), batch.column(2).slice(first, len(n)), pa.array(n), pa.array(k1), pa.array(k2), pa.array(low, pa.binary())],
+                    names=["id", "mark", "n", "k1", "k2", "sketch"])
     return run
 
 
@@ -220,6 +225,7 @@ def _alike(percent: int):
 
 
 def _linked(width: int, percent: int):
+    """Over rows (key, class, k1, text), sorted by key and class: of rows that repeat an id, those whose text isn't of the class are passed over, and so are repeats."""
     def run(batches):
         key, ids, full = None, [], []
 
@@ -227,14 +233,17 @@ def _linked(width: int, percent: int):
             return _edges(links(np.array(ids), full, percent))
 
         for batch in batches:
-            keys, own = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, data, offsets in chunks(batch.column(2)):
+            keys, own, sums = (batch.column(i).to_pylist() for i in range(3))
+            for first, data, offsets in chunks(batch.column(3)):
                 values, at = sets(data, offsets, width)
+                found = _totals(mix(values ^ np.uint64(SALTS[0])), at).tolist()
                 for i in range(len(offsets) - 1):
                     if keys[first + i] != key:
                         if len(ids) > 1:
                             yield done()
                         key, ids, full = keys[first + i], [], []
+                    if found[i] != sums[first + i] or ids and ids[-1] == own[first + i]:
+                        continue
                     ids.append(own[first + i])
                     full.append(values[at[i] : at[i + 1]].copy())
         if len(ids) > 1:
@@ -266,37 +275,44 @@ def _blocks(members: DataFrame, t: float) -> DataFrame:
     return m.select("id", F.explode(F.when(F.col("parts").isNull(), F.array(F.col("cluster").cast("string"))).otherwise(split)).alias("key"))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id, kept, and ``mark`` if one is given, which tells rows of one id apart."""
     spark = docs.sparkSession
     ship(spark)
     t = percent / 100
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    digests = written(texts.mapInArrow(_digests(width), "id bigint, n bigint, k1 bigint, k2 bigint, sketch binary"))
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), (F.lit(None) if mark is None else mark).cast("bigint").alias("mark"))
+    digests = written(texts.select("id", "text", "mark").mapInArrow(_digests(width), "id bigint, mark bigint, n bigint, k1 bigint, k2 bigint, sketch binary"))
     set_key = ["k1", "k2", "n"]
-    classes = digests.where("n > 0 and id is not null").groupBy(*set_key).agg(F.min("id").alias("rep"))
-    reps = written(digests.join(classes.select("rep", *set_key), [*(digests[c] == classes[c] for c in set_key), digests["id"] == classes["rep"]], "left_semi").select("id", "n", "sketch"))
+    sound = digests.where("n > 0 and id is not null")
+    classes = written(sound.groupBy(*set_key).agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch")).withColumn("class", F.monotonically_increasing_id()))
+    reps = classes.select(F.col("class").alias("id"), "n", "sketch")
 
     table = np.zeros(1 << TABLE_BITS, dtype=np.int64)  # fixed size: 8 MB
     got = reps.select("sketch").mapInArrow(_counts, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     table[got["slot"].to_numpy()] = got["n"].to_numpy()
     postings = reps.mapInArrow(_postings(spark.sparkContext.broadcast(table), t), "value bigint, id bigint")
     lists = postings.groupBy("value").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head < tail").select("value", "head")
-    stars = postings.join(lists, "value").where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
+    stars = postings.join(lists.hint("merge"), "value").where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
 
     def placed(edges: DataFrame) -> DataFrame:
         clusters = components(edges).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
-        return written(_blocks(written(reps.select("id", "n").join(clusters, "id")), t))
-
-    # merge joins at every size: what is placed grows with the documents
-    near = reps.join(placed(stars).hint("merge"), "id").select("key", "id", "n", "sketch").repartition("key").sortWithinPartitions("key", "id")
-    finer = placed(near.mapInArrow(_alike(percent), "a bigint, b bigint"))
-    pairs = texts.join(finer.hint("merge"), "id").select("key", "id", "text").repartition("key").sortWithinPartitions("key", "id")
-    found = components(pairs.mapInArrow(_linked(width, percent), "a bigint, b bigint"))
-    of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select(*set_key, F.coalesce("component", "rep").alias("component_id"))
+        return written(_blocks(written(reps.select("id", "n").join(clusters.hint("merge"), "id")), t))
+
+    # what is placed grows with the documents, so joins are merge joins at every size; only rows that may be met are moved
+    rough = placed(stars)
+    met = near(reps, [F.col("id")], rough, ["id"]).join(rough.hint("merge"), "id").select("key", "id", "n", "sketch").repartition("key").sortWithinPartitions("key", "id")
+    finer = placed(met.mapInArrow(_alike(percent), "a bigint, b bigint"))
+    wanted = written(classes.select(F.col("class").alias("id"), "rep", "k1").join(finer.hint("merge"), "id").select("key", F.col("id").alias("class"), "rep", "k1"))
+    pairs = near(texts.select("id", "text"), [F.col("id")], wanted, ["rep"]).join(wanted.hint("merge"), F.col("id") == F.col("rep")).select("key", "class", "k1", "text")
+    found = components(pairs.repartition("key").sortWithinPartitions("key", "class").mapInArrow(_linked(width, percent), "a bigint, b bigint"))
+    joined = written(classes.select("class", *set_key, "rep").join(found.hint("merge"), F.col("class") == F.col("node"), "left"))
+    linked = joined.where("component is not null")
+    least = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
+    alone = joined.where("component is null").select(*set_key, F.col("rep").alias("component_id"))  # not joined on a null
+    of_class = linked.join(least.hint("merge"), "component").select(*set_key, "component_id").unionByName(alone)
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return digests.join(of_class, set_key, "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return digests.join(of_class.hint("merge"), set_key, "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), *([] if mark is None else ["mark"]))
 
 
 def op5_bottom_k_minhash(spark, sf_dir: str) -> DataFrame:

@@ -15,13 +15,17 @@ they name; others share one, "other". Only cells with tokens are fitted, on the
 is that of the combinations there are, and no category is left out.
 
 Defined cases: a null category is a category of its own; a null or empty text has no tokens and is
-drawn with its cell's probability; a target for a category without tokens, or a zero target, is
+drawn with its cell's probability, or, in a cell without tokens, with the share of all tokens that is
+drawn; a target for a category without tokens, or a zero target, is
 renormalised over the others (a zero target drops the category); a null id is drawn as id 0; repeated
 rows are drawn alike; an empty table gives no rows; input columns named like outputs are not touched.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,12 +35,12 @@ from .common import parquet, written
 
 #: Share of all tokens that is drawn, in expectation.
 SHARE = 0.85
-#: Categories that ``tempered`` names; the fit has all of them.
-MAX_CATEGORIES = 64
 #: Cells up to which their weights are broadcast; beyond, they are joined.
 BROADCAST_CELLS = 100_000
 NULL, OTHER = "\x00null", "\x00other"
 SOURCE_POWER, LANG_POWER, TOPIC_POWER = 0.9, 0.9, 1.0
+#: The languages that the query mixes and their shares of its tokens; sources and topics are tempered.
+LANG_TARGETS = {"en": 0.56, "de": 0.16, "fr": 0.16, "es": 0.12}
 
 
 def word_count(text: Column) -> Column:
@@ -136,15 +140,6 @@ def _named(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(NULL))
 
 
-def tempered(rows: DataFrame, column: str, power: float) -> dict[str, float]:
-    """Shares of tokens to a power, for the categories with most tokens; the rest as one. Targets to read or to give; ``mix`` without given ones takes all categories."""
-    got = rows.groupBy(_named(column).alias("c")).agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), "c").limit(MAX_CATEGORIES).collect()
-    rest = rows.agg(F.sum("tokens")).first()[0] or 0
-    named = {r.c: float(r.n or 0) ** power for r in got}
-    rest -= sum(r.n or 0 for r in got)
-    return named | ({OTHER: float(rest) ** power} if rest > 0 else {})
-
-
 def calibrate(rows: DataFrame, given: list[dict[str, float] | None], powers: tuple[float, ...], share: float) -> pa.Table:
     """rows (k0, k1, ..., tokens): each cell that has tokens with its weight, raked share over share of tokens, and its probability."""
     keys = [f"k{i}" for i in range(len(given))]
@@ -159,17 +154,17 @@ def calibrate(rows: DataFrame, given: list[dict[str, float] | None], powers: tup
         targets.append(np.array([goal.get(x, 0.0) for x in names]) if goal else np.bincount(at[-1], n, len(names)) ** power)
     weight = fitted(n, at, [shares(n, g, t) for g, t in zip(at, targets, strict=True)])[0]
     chance = chances(n, at, targets, [bool(g) for g in given], weight, share)
-    return pa.table({**{k: cells[k] for k in keys}, "weight": weight, "probability": chance})
+    return pa.table({**{k: cells[k] for k in keys}, "weight": weight, "probability": chance, "n": n})
 
 
-def counted(docs: DataFrame, columns: tuple[str, ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id, the columns and tokens of each document: texts are read once, what follows reads these narrow rows."""
-    return written(docs.select(F.col(id_col).alias("id"), *[F.col(c) for c in columns], word_count(F.col(text_col)).alias("tokens")))
+def counted(docs: DataFrame, columns: tuple[str, ...], id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
+    """Id, the columns, tokens of each document and ``mark`` if one is given: texts are read once, what follows reads these narrow rows."""
+    return written(docs.select(F.col(id_col).alias("id"), *[F.col(c) for c in columns], word_count(F.col(text_col)).alias("tokens"), *([] if mark is None else [mark.alias("mark")])))
 
 
 def mix(rows: DataFrame, columns: tuple[str, ...] = ("source", "lang", "topic"), targets: dict[str, dict[str, float]] | None = None,
         powers: tuple[float, ...] = (SOURCE_POWER, LANG_POWER, TOPIC_POWER), seed: int = 17, share: float = SHARE) -> DataFrame:
-    """One row per input row (see ``counted``): id, the columns, tokens, weight, probability, sampled.
+    """One row per input row (see ``counted``): id, the columns, tokens, weight, probability, sampled, and its mark if it has one.
 
     weight is the raked share of the row's cell over its own share of tokens. ``targets`` maps a
     column to shares by category (the null category: None); a column without one gets its own
@@ -179,11 +174,15 @@ def mix(rows: DataFrame, columns: tuple[str, ...] = ("source", "lang", "topic"),
     given = [named.get(c) or None for c in columns]
     keys = {f"k{i}": F.when(_named(c).isin([k for k in t if k != OTHER]), _named(c)).otherwise(F.lit(OTHER)) if t else _named(c) for i, (c, t) in enumerate(zip(columns, given, strict=True))}
     cells = calibrate(rows.select(*[v.alias(k) for k, v in keys.items()], "tokens"), given, powers, share)
-    weights = rows.sparkSession.createDataFrame(cells, ", ".join(f"{k} string" for k in keys) + ", weight double, probability double")
-    placed = rows.select("id", *columns, "tokens", *[v.alias(k) for k, v in keys.items()])
+    weights = rows.sparkSession.createDataFrame(cells, ", ".join(f"{k} string" for k in keys) + ", weight double, probability double, n double")
+    mean = float((cells["probability"].to_numpy() * cells["n"].to_numpy()).sum()) if cells.num_rows else 1.0
+    dropped = [_named(c).isin([k for k, v in t.items() if v <= 0]) if OTHER in t else ~_named(c).isin([k for k, v in t.items() if v > 0]) for c, t in zip(columns, given, strict=True) if t]
+    bare = F.when(reduce(or_, dropped), F.lit(0.0)).otherwise(F.lit(mean)) if dropped else F.lit(mean)
+    marks = [c for c in rows.columns if c == "mark"]
+    placed = rows.select("id", *columns, "tokens", *marks, *[v.alias(k) for k, v in keys.items()])
     joined = placed.join(F.broadcast(weights) if cells.num_rows <= BROADCAST_CELLS else weights, list(keys), "left")
-    chance = F.coalesce("probability", F.lit(0.0))
-    return joined.select("id", *columns, "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), chance.alias("probability"), (uniform(F.col("id"), seed) < chance).alias("sampled"))
+    chance = F.coalesce("probability", bare)
+    return joined.select("id", *columns, "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), chance.alias("probability"), (uniform(F.col("id"), seed) < chance).alias("sampled"), *marks)
 
 
 def topics(spark, sf_dir: str) -> DataFrame:
@@ -191,10 +190,10 @@ def topics(spark, sf_dir: str) -> DataFrame:
     return parquet(spark, sf_dir, "embeddings").where("vec_id is not null").groupBy(F.col("vec_id").alias("id")).agg(F.min("label").cast("string").alias("topic"))
 
 
-def mixed_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``mix`` over documents with the production targets; topics come from the table of embeddings, none where it has no vector."""
-    return mix(counted(docs, ("source", "lang")).join(topics(spark, sf_dir), "id", "left"))
+def mixed_documents(spark, docs: DataFrame, sf_dir: str, targets: dict[str, dict[str, float]] | None = None, mark: Column | None = None) -> DataFrame:
+    """``mix`` over documents; topics come from the table of embeddings, none where it has no vector. Without targets all marginals are tempered."""
+    return mix(counted(docs, ("source", "lang"), mark=mark).join(topics(spark, sf_dir), "id", "left"), targets=targets)
 
 
 def op4_raked_mixing(spark, sf_dir: str) -> DataFrame:
-    return mixed_documents(spark, parquet(spark, sf_dir, "documents"), sf_dir).withColumnRenamed("id", "doc_id")
+    return mixed_documents(spark, parquet(spark, sf_dir, "documents"), sf_dir, {"lang": LANG_TARGETS}).withColumnRenamed("id", "doc_id")

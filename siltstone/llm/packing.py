@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import zlib
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from .common import parquet, ship, written
 
 WINDOW, QUANTUM, END = 1024, 256, 0
-#: More sources than this share queues by a hash of their names, so that the schedule stays small.
-MAX_QUEUES = 512
+#: Without given weights, a queue's target is its share of all tokens to this power: rarer sources are served a little earlier.
+POWER = 0.9
 #: Rows of the table of running sums, one per input split and queue, up to which it is broadcast; beyond, it is joined.
 BROADCAST_ROWS = 200_000
 SLICE_TOKENS = 1 << 20
@@ -54,44 +54,63 @@ def encoder(path: str):
 
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            made = tiktoken.Encoding(hashlib.md5(ranks.encode()).hexdigest(), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-            _ENCODERS[path] = lambda text: made.encode_to_numpy(text, disallowed_special=())
+            with open(path, encoding="utf-8") as f:  # a token that the file adds is one id wherever its text occurs
+                added = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", ())}
+            made = tiktoken.Encoding(hashlib.md5(ranks.encode()).hexdigest(), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=added)
+            _ENCODERS[path] = lambda text: made.encode_to_numpy(text, allowed_special="all")
         except (ImportError, FileNotFoundError):
             from tokenizers import Tokenizer
 
             plain = Tokenizer.from_file(path)
-            plain.encode_special_tokens = True
             _ENCODERS[path] = lambda text: np.array(plain.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
     return _ENCODERS[path]
 
 
 class Schedule:
-    """Where each turn of each queue lies in the stream of all windows."""
+    """Where each turn of each queue lies in the stream of all windows.
+
+    Queues are numbered by falling number of turns. Then those of one weight that still have a turn
+    are the first of them, so turns are counted by weight, with running sums, and not by queue. Weights
+    are whole numbers with a sum near 2**20, so there are at most some 1,450 different ones,
+    however many queues there are.
+    """
 
     def __init__(self, tokens: list[int], weights: list[int], quantum: int):
-        self.tokens, self.weights, self.quantum = np.array(tokens, dtype=np.int64), np.array(weights, dtype=np.int64), quantum
-        self.turns = -(-self.tokens // quantum)
-        self.last = np.where(self.turns > 0, self.tokens - (self.turns - 1) * quantum, 0)
-        with_last = np.flatnonzero(self.turns > 0)
-        self.short = quantum - self.last
-        self.ranks_of_last = {int(s): int(self._rank(int(s), self.turns[[s]])[0]) for s in with_last}
-        ends = sorted((r, int(self.short[s])) for s, r in self.ranks_of_last.items())
-        self.end_ranks = np.array([r for r, _ in ends], dtype=np.int64)
-        self.end_short = np.concatenate([[0], np.cumsum([x for _, x in ends], dtype=np.int64)])
-
-    def _rank(self, s: int, j: np.ndarray) -> np.ndarray:
-        """How many turns are due before turn j (from 1) of queue s; ties go to the lower queue."""
-        due = 2 * j.astype(np.int64) - 1
-        rank = j.astype(np.int64) - 1
-        for other, w in enumerate(self.weights):
-            if other != s and self.turns[other]:
-                # turns i of the other with (2i-1) * w_s < due * w (or equal, for a lower queue)
-                top = due * w + (1 if other < s else 0)
-                rank = rank + np.minimum(self.turns[other], (-(-top // self.weights[s])) // 2)
+        self.quantum, self.tokens, self.weights = quantum, np.array(tokens, dtype=np.int64), np.array(weights, dtype=np.int64)
+        turns = -(-self.tokens // quantum)
+        order = np.argsort(-turns, kind="stable")
+        self.number = np.empty(len(order), dtype=np.int64)  # of each queue as given
+        self.number[order] = np.arange(len(order))
+        self.by_weight = []
+        numbered, weighed = turns[order], self.weights[order]
+        for w in np.unique(weighed):
+            members = np.flatnonzero(weighed == w)
+            up = numbered[members][::-1]
+            self.by_weight.append((int(w), members, up, np.concatenate([[0], np.cumsum(up)])))
+        live = np.flatnonzero(turns > 0)
+        rank = self._rank(live, turns[live])
+        short = (turns * quantum - self.tokens)[live]
+        at = np.argsort(rank, kind="stable")
+        self.end_ranks = rank[at]
+        self.end_short = np.concatenate([[0], np.cumsum(short[at])])
+
+    def _rank(self, s: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """How many turns are due before turns j (from 1) of queues s; of equal ones the lower number's is first."""
+        due, own, number = 2 * j.astype(np.int64) - 1, self.weights[s], self.number[s]
+        rank = np.zeros(len(due), dtype=np.int64)
+        for w, members, up, total in self.by_weight:
+            # turns i with (2i-1) * own < due * w, and with <= for those of a lower number; its own come to j-1
+            before, upto = -(-(due * w) // own) // 2, -(-(due * w + 1) // own) // 2
+            few = np.searchsorted(up, before)
+            rank += total[few] + (len(up) - few) * before
+            equal = np.flatnonzero(upto > before)
+            if len(equal):
+                have = len(up) - np.searchsorted(up, upto[equal])
+                rank[equal] += np.minimum(have, np.searchsorted(members, number[equal]))
         return rank
 
-    def position(self, s: int, j: np.ndarray) -> np.ndarray:
-        """The token of the whole stream at which turn j of queue s begins."""
+    def position(self, s: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The tokens of the whole stream at which turns j of queues s begin."""
         rank = self._rank(s, j)
         return rank * self.quantum - self.end_short[np.searchsorted(self.end_ranks, rank, side="left")]
 
@@ -102,7 +121,7 @@ def whole_weights(shares: list[float]) -> list[int]:
     return [max(1, round(x / total * (1 << 20))) for x in shares]
 
 
-def _tokenised(path: str, end_id: int, max_queues: int | None):
+def _tokenised(path: str, end_id: int):
     def run(batches):
         from pyspark import TaskContext
 
@@ -115,8 +134,6 @@ def _tokenised(path: str, end_id: int, max_queues: int | None):
                 for text, source in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     got = np.append(encode(text or ""), end_id).astype("<u4")
                     queue = "null" if source is None else f"s:{source}"
-                    if max_queues:
-                        queue = f"h:{zlib.crc32(queue.encode()) % max_queues}"
                     ids.append(got.astype("<u2").tobytes() if end_id < 65536 and (not len(got) or got.max() < 65536) else b"\xff" + got.tobytes())
                     queues.append(queue)
                     counts.append(len(got))
@@ -148,10 +165,7 @@ def _pieces(queue: np.ndarray, a: np.ndarray, b: np.ndarray, schedule: Schedule,
     doc, k = _run_starts((b - 1) // quantum - a // quantum + 1)
     j = a[doc] // quantum + 1 + k
     lo, hi = np.maximum(a[doc], (j - 1) * quantum), np.minimum(b[doc], j * quantum)
-    at = np.empty(len(doc), dtype=np.int64)
-    for s in np.unique(queue):
-        mine = np.flatnonzero(queue[doc] == s)
-        at[mine] = schedule.position(int(s), j[mine]) + (lo - (j - 1) * quantum)[mine]
+    at = schedule.position(queue[doc], j) + lo - (j - 1) * quantum
     end = at + hi - lo
     turn, k = _run_starts((end - 1) // window - at // window + 1)  # turns cut at the ends of windows
     w = at[turn] // window + k
@@ -185,24 +199,23 @@ def _cut(queues: dict[str, int], schedule: Schedule, window: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, weights: dict[str, float] | None = None, window: int = WINDOW, quantum: int = QUANTUM, end_id: int = END,
+def pack(docs: DataFrame, tokenizer: str, weights: dict[str, float] | None = None, window: int = WINDOW, quantum: int = QUANTUM, end_id: int = END, power: float = POWER,
          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (32-bit little-endian).
 
     ``weights`` are target shares by source (null: None as key); without them, and for sources not
-    named, the target is the source's share of all tokens, so that no queue runs dry early.
+    named, the target is the source's share of all tokens to ``power`` (1: no queue runs dry early).
     Documents are read once; their ids are written to the shared folder, 2 bytes a token.
     """
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).cast("string").alias("source"))
-    fold = None if weights else MAX_QUEUES if len(docs.select("source").distinct().limit(MAX_QUEUES).take(MAX_QUEUES)) == MAX_QUEUES else None
-    ids = written(docs.mapInArrow(_tokenised(tokenizer, end_id, fold), "doc_id bigint, queue string, split int, begin bigint, doc_tokens bigint, ids binary"))
+    ids = written(docs.mapInArrow(_tokenised(tokenizer, end_id), "doc_id bigint, queue string, split int, begin bigint, doc_tokens bigint, ids binary"))
     sums = ids.groupBy("queue", "split").agg(F.sum("doc_tokens").alias("n"))
     totals = sorted((r.queue, r.n) for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect())
     named = {("null" if k is None else f"s:{k}"): v for k, v in (weights or {}).items()}
     whole = sum(n for _, n in totals) or 1
-    schedule = Schedule([n for _, n in totals], whole_weights([named.get(q, n / whole) for q, n in totals]), quantum)
+    schedule = Schedule([n for _, n in totals], whole_weights([named.get(q, (n / whole) ** power) for q, n in totals]), quantum)
     before = Window.partitionBy("queue").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("queue", "split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     rows = sums.count()

@@ -7,12 +7,12 @@ Expected severity is the sum of these probabilities.
 
 Fitting takes labelled rows up to SAMPLE_ROWS, a documented bound: a larger labelled set is thinned
 by a hash of the id. Features come from that sample, those whose occurrence in graded rows is beyond
-chance; there are at most MAX_FEATURES weights, so what is broadcast is bounded. Scoring reads every
+chance; there are at most MAX_FEATURES weights (a parameter), so what is broadcast is bounded. Scoring reads every
 row and whole texts, in one pass without a shuffle.
 
-Labels carry 0 or 1. Where they carry no grades, `graded` makes three: 0 as labelled,
-and the rows labelled 1 split at the median of their number of indicative features, so that more of
-these is the more severe grade.
+Labels carry 0 or 1 for toxic and for quality. Where they carry no grades, a toxic text is of grade 1,
+and of grade 2 if it is labelled as of no quality too; others are of grade 0. Grades are not made from
+what the model sees. With several labels of one document the most severe counts.
 
 Defined cases: a null or empty text has no feature, expected severity of the thresholds alone and is
 not rejected; labels that are null or without a document are left out; with no labelled rows, or
@@ -56,35 +56,45 @@ def bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return values[new], owner[new], n
 
 
+def _bags(batches):
+    """(id, grade, bag): the features of each text. Batches: id, grade, text."""
+    for batch in batches:
+        for first, data, offsets in chunks(batch.column(2)):
+            values, owner, n = bags(data, offsets)
+            at = np.cumsum(np.bincount(owner, minlength=len(n)))[:-1]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, len(n)) for c in (0, 1)), pa.array([v.tobytes() for v in np.split(values, at)], pa.binary())], names=["id", "grade", "bag"])
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The features of all bags, one after another, and the row of each."""
+    cells = column.to_pylist()
+    return np.frombuffer(b"".join(cells), dtype=np.uint64), np.repeat(np.arange(len(cells)), [len(c) // 8 for c in cells])
+
+
 def _feature_counts(batches):
-    """(feature, n, bad): rows and bad rows of each feature, summed for a batch. Batches: grade, text."""
+    """(feature, n, bad): rows and bad rows of each feature, summed for a batch. Batches: id, grade, bag."""
     for batch in batches:
-        found, bad = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
-        grade = batch.column(0).to_numpy()
-        for first, data, offsets in chunks(batch.column(1)):
-            values, owner, _ = bags(data, offsets)
-            found.append(values)
-            bad.append(grade[first + owner] > 0)
-        names, cols = np.unique(np.concatenate(found), return_inverse=True)
+        values, row = _flat(batch.column(2))
+        bad = batch.column(1).to_numpy()[row] > 0
+        names, cols = np.unique(values, return_inverse=True)
         n = np.bincount(cols, minlength=len(names))
-        yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(np.bincount(cols, weights=np.concatenate(bad), minlength=len(names)).astype(np.int64))], names=["feature", "n", "bad"])
+        yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(np.bincount(cols, weights=bad, minlength=len(names)).astype(np.int64))], names=["feature", "n", "bad"])
 
 
 def _places(features: np.ndarray):
-    """(id, grade, places): which of the features each text has. Batches: id, grade, text."""
+    """(id, grade, places): which of the features each text has. Batches: id, grade, bag."""
     def run(batches):
         for batch in batches:
-            for first, data, offsets in chunks(batch.column(2)):
-                values, owner, n = bags(data, offsets)
-                place = np.minimum(np.searchsorted(features, values), len(features) - 1)
-                hit = features[place] == values
-                cuts = np.cumsum(np.bincount(owner[hit], minlength=len(n)))[:-1]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(n)), batch.column(1).slice(first, len(n)), pa.array(np.split(place[hit], cuts), pa.list_(pa.int64()))], names=["id", "grade", "places"])
+            values, row = _flat(batch.column(2))
+            place = np.minimum(np.searchsorted(features, values), len(features) - 1)
+            hit = features[place] == values
+            cuts = np.cumsum(np.bincount(row[hit], minlength=batch.num_rows))[:-1]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.split(place[hit], cuts), pa.list_(pa.int64()))], names=["id", "grade", "places"])
     return run
 
 
 class CumulativeLink:
-    """Shared weights and ordered thresholds, fitted by proximal gradient steps with momentum."""
+    """Shared weights and ordered thresholds, fitted by gradient steps with momentum, scaled by running squares."""
 
     def __init__(self, features: np.ndarray, weights: np.ndarray, thresholds: np.ndarray):
         self.features, self.weights, self.thresholds = features, weights, thresholds
@@ -126,48 +136,51 @@ class CumulativeLink:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
 
 
-def indicative(counts: DataFrame, rows: int, bad_rows: int) -> np.ndarray:
-    """Of (feature, n, bad), the features whose share of bad rows is beyond chance, most telling first, MAX_FEATURES at most; ascending."""
+def indicative(counts: DataFrame, rows: int, bad_rows: int, most: int = MAX_FEATURES) -> np.ndarray:
+    """Of (feature, n, bad), the features whose share of bad rows is beyond chance, the most telling ones; ascending."""
     base = bad_rows / rows
     n, bad = F.col("n"), F.col("bad")
     z = (bad - n * base) / F.sqrt(n * (base * (1 - base)))
     lift = (bad + 0.5 * base) / (n + 0.5)
     good = counts.where((n >= MIN_ROWS) & (z >= 4) & (lift >= min(max(2.5 * base, MIN_SHARE), (1 + base) / 2)))
-    got = good.orderBy(z.desc(), "feature").select("feature").limit(MAX_FEATURES).toArrow()
+    got = good.orderBy(z.desc(), "feature").select("feature").limit(most).toArrow()
     return np.sort(got["feature"].to_numpy().view(np.uint64))
 
 
-def graded(label: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """0 where the label is 0; of the others, 2 with more indicative features than their median, else 1."""
-    bad = label > 0
-    return np.where(bad, 1 + (count > np.median(count[bad])), 0) if bad.any() else np.zeros(len(label), dtype=np.int64)
+def graded(labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", grades: bool = False) -> DataFrame:
+    """(id, grade), one row per document. ``grades``: the labels are grades already."""
+    grade = F.col(label_col).cast("int")
+    if not grades:
+        worse = F.col("quality") == 0 if "quality" in labels.columns else F.lit(False)
+        grade = F.when(grade > 0, F.when(worse, 2).otherwise(1)).when(grade == 0, 0)
+    return labels.select(F.col(id_col).alias("id"), grade.alias("grade")).where("id is not null and grade >= 0").groupBy("id").agg(F.max("grade").alias("grade"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", grades: bool = False, sample_rows: int = SAMPLE_ROWS) -> CumulativeLink:
-    """The model of a bounded sample of labelled rows. ``grades``: the labels are grades already.
+def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", grades: bool = False, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES) -> CumulativeLink:
+    """The model of a bounded sample of labelled rows.
 
-    Features are counted and chosen by the executors; the driver gets at most MAX_FEATURES of them,
+    Features are counted and chosen by the executors; the driver gets at most ``max_features`` of them,
     and of each row of the sample which of these it has.
     """
     ship(docs.sparkSession)
-    marks = labels.select(F.col(id_col).alias("id"), F.col(grade_col).cast("int").alias("grade")).where("id is not null and grade >= 0").dropDuplicates(["id"])
+    marks = graded(labels, grade_col, id_col, grades)
     n = marks.count()
     if n > sample_rows:
         marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = written(texts.join(F.broadcast(marks), "id"))  # ids of the bounded sample alone are broadcast
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(marks), "id")  # ids of the bounded sample alone are broadcast
+    sample = written(texts.select("id", "grade", "text").mapInArrow(_bags, "id bigint, grade int, bag binary"))
     rows, bad = sample.agg(F.count(F.lit(1)), F.count_if(F.col("grade") > 0)).first()
     none = CumulativeLink(np.zeros(0, np.uint64), np.zeros(0), np.array([np.inf]))
     if not bad or bad == rows:
         return none
-    counts = sample.select("grade", "text").mapInArrow(_feature_counts, "feature bigint, n bigint, bad bigint").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    features = indicative(counts, rows, bad)
+    counts = sample.mapInArrow(_feature_counts, "feature bigint, n bigint, bad bigint").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    features = indicative(counts, rows, bad, max_features)
     if not len(features):
         return none
-    got = sample.select("id", "grade", "text").mapInArrow(_places(features), "id bigint, grade int, places array<bigint>").orderBy("id").toArrow()
+    got = sample.mapInArrow(_places(features), "id bigint, grade int, places array<bigint>").orderBy("id", "places").toArrow()
     places = [np.array(p, dtype=np.int64) for p in got["places"].to_pylist()]
-    label, count = got["grade"].to_numpy().astype(np.int64), np.array([len(p) for p in places])
-    return CumulativeLink.fit(np.repeat(np.arange(rows), count), np.concatenate(places), label if grades else graded(np.minimum(label, 1), count), features)
+    count = np.array([len(p) for p in places])
+    return CumulativeLink.fit(np.repeat(np.arange(rows), count), np.concatenate(places), got["grade"].to_numpy().astype(np.int64), features)
 
 
 def score(docs: DataFrame, model: CumulativeLink, id_col: str = "doc_id", text_col: str = "text", threshold: float = REJECT_AT) -> DataFrame:

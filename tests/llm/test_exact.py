@@ -1,6 +1,7 @@
 import hashlib
 import re
 import zlib
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -71,10 +72,10 @@ def test_shard_slots(spark):
 
 
 def drained(tokens, weights, quantum):
-    """Deficit round-robin, turn by turn: the queue whose next turn is due first."""
+    """Deficit round-robin, turn by turn: the queue whose next turn is due first, of equals the one with more turns."""
     left, done, at, out = list(tokens), [0] * len(tokens), 0, {}
     while any(left):
-        s = min((x for x in range(len(left)) if left[x]), key=lambda x: ((2 * done[x] + 1) / weights[x], x))
+        s = min((x for x in range(len(left)) if left[x]), key=lambda x: (Fraction(2 * done[x] + 1, weights[x]), tokens[x] // -quantum, x))
         done[s] += 1
         out[s, done[s]] = at
         at += min(quantum, left[s])
@@ -82,11 +83,27 @@ def drained(tokens, weights, quantum):
     return out
 
 
-@pytest.mark.parametrize("tokens, weights", [([1000, 37, 512, 0, 5], [5, 1, 2, 9, 1]), ([64, 64, 64], [1, 1, 1]), ([300], [7]), ([5000, 5000], [3, 1])])
+@pytest.mark.parametrize("tokens, weights", [([1000, 37, 512, 0, 5], [5, 1, 2, 9, 1]), ([64, 64, 64], [1, 1, 1]), ([300], [7]), ([5000, 5000], [3, 1]), ([7 * (i % 11) for i in range(600)], [1 + i % 5 for i in range(600)])])
 def test_schedule(tokens, weights):
     s = Schedule(tokens, weights, 16)
-    for (q, j), at in drained(tokens, weights, 16).items():
-        assert s.position(q, np.array([j]))[0] == at
+    want = drained(tokens, weights, 16)
+    queues, turns = (np.array(x) for x in zip(*want, strict=True))
+    assert s.position(queues, turns).tolist() == list(want.values())
+
+
+def test_many_sources(spark):
+    """600 sources and a large one are 601 queues, served turn by turn."""
+    rows = [(i, "one two three four five six seven eight " * (1 + i % 25), "big" if i % 3 == 0 else f"s{i}") for i in range(900)]
+    weights = {"big": 0.5, **{f"s{i}": 1 / (1200 + i % 7) for i in range(900) if i % 3}}
+    got = pack(docs(spark, rows), vocabulary(), weights).collect()
+    begin, n = {r.doc_id: r.sequence_id * 1024 + r.offset for r in got if r.start == 0}, {r.doc_id: r.doc_tokens for r in got}
+    names = sorted(weights, key=lambda x: f"s:{x}")
+    tokens = [sum(n[i] for i, _, s in rows if s == x) for x in names]
+    want = drained(tokens, whole_weights([weights[x] for x in names]), 256)
+    for q, x in enumerate(names):
+        if x != "big":
+            assert begin[int(x[1:])] == want[q, 1]
+    assert sum(r.length for r in got) == sum(n.values())
 
 
 def test_packing_round_trip(spark):
@@ -127,7 +144,7 @@ def test_windows_keep_proportions(spark):
 
 def test_ids_are_those_of_the_file():
     tok, fast = Tokenizer.from_file(vocabulary()), encoder(vocabulary())
-    for t in ("Hello  world\n\n 12é", "it's x ﬁ \U0001f600", "", "a" * 3000, "%%% ### &&&"):
+    for t in ("Hello  world\n\n 12é", "it's x ﬁ \U0001f600", "", "a" * 3000, "%%% ### &&&", "a<|endoftext|>b <|endoftext|>", "<|endoftext|"):
         assert list(fast(t)) == tok.encode(t, add_special_tokens=False).ids
     big = np.array([1, 70000], dtype="<u4")
     assert unpacked(b"\xff" + big.tobytes()).tolist() == [1, 70000]

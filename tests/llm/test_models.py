@@ -2,8 +2,8 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from siltstone.llm.mixing import NULL, OTHER, counted, factors, mix, op4_raked_mixing, rake, tempered
-from siltstone.llm.toxicity import CumulativeLink, fit, op3_ordinal_toxicity, score
+from siltstone.llm.mixing import LANG_TARGETS, counted, factors, mix, op4_raked_mixing, rake
+from siltstone.llm.toxicity import CumulativeLink, bags, fit, graded, op3_ordinal_toxicity, score
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, topic string"
 
@@ -94,8 +94,10 @@ def test_mixing_edges(spark):
     assert len(got) == 5 and {r.tokens for r in got} == {0, 2, 100_000, 1}
     assert next(r for r in got if r.source == "zzz").sampled is False
     assert mixed(spark, []).count() == 0
-    few = spark.createDataFrame([(str(i), i) for i in range(70)], "source string, tokens bigint")
-    assert len(tempered(few, "source", 0.5)) == 65 and OTHER in tempered(few, "source", 0.5) and NULL not in tempered(few, "source", 0.5)
+    got = {r.id: r.probability for r in mixed(spark, [(1, "x y z", "en", "a", "t"), (2, "", "en", "bare", "t"), (3, None, None, None, None)]).collect()}
+    assert got[2] == got[3] == pytest.approx(0.85)  # cells without tokens
+    got = {r.id: r.probability for r in mixed(spark, [(1, "x y z", "en", "a", "t"), (2, "", "en", "bare", "t"), (3, "", "de", "a", "t")], targets={"source": {"a": 1.0}}).collect()}
+    assert got[2] == 0 and got[3] == pytest.approx(got[1])
 
 
 def test_a_rare_cell_leaves_the_draw(spark):
@@ -134,6 +136,59 @@ def test_all_categories_are_raked(spark):
     assert len(n) == 130 and np.allclose(have, want, rtol=1e-4)
 
 
-def test_queries(spark):
+def test_grades(spark):
+    rows = [(1, 1, 0), (1, 1, 1), (2, 0, 1), (3, None, 1), (4, 1, None), (5, 1, 0), (5, 0, 0), (None, 0, 1)]
+    got = {r.id: r.grade for r in graded(spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 0, 5: 0}
+    assert {r.id: r.grade for r in graded(spark.createDataFrame([(1, 3), (1, 2)], "doc_id bigint, toxic int"), grades=True).collect()} == {1: 3}
+
+
+def test_mixing_query_brute(spark):
+    """Plain fitting over dictionaries of the documents' cells."""
+    d = "/root/testdata/sf0.01"
+    docs, topic = pq.read_table(f"{d}/documents.parquet").to_pylist(), {}
+    for r in pq.read_table(f"{d}/embeddings.parquet").to_pylist():
+        topic[r["vec_id"]] = min(r["label"], topic.get(r["vec_id"], r["label"]))
+    cell = {r["doc_id"]: (r["source"], r["lang"], topic.get(r["doc_id"])) for r in docs}
+    n, cells = {r["doc_id"]: len((r["text"] or "").split()) for r in docs}, {}
+    for i, c in cell.items():
+        cells[c] = cells.get(c, 0) + n[i]
+    total = sum(cells.values())
+    targets = []
+    for axis, power in enumerate((0.9, None, 1.0)):
+        sums = {}
+        for c, x in cells.items():
+            sums[c[axis]] = sums.get(c[axis], 0) + x / total
+        goal = {k: v**power for k, v in sums.items()} if power else {k: LANG_TARGETS.get(k, 0) for k in sums}
+        targets.append({k: v / sum(goal.values()) for k, v in goal.items()})
+    fit_ = {c: x / total for c, x in cells.items()}
+    for _ in range(300):
+        for axis, goal in enumerate(targets):
+            sums = {}
+            for c, x in fit_.items():
+                sums[c[axis]] = sums.get(c[axis], 0) + x
+            fit_ = {c: x * goal[c[axis]] / sums[c[axis]] if sums[c[axis]] else 0.0 for c, x in fit_.items()}
+    got = op4_raked_mixing(spark, d).toPandas()
+    assert len(got) == len(docs)
+    for r in got.itertuples():
+        assert r.tokens == n[r.doc_id]
+        if r.tokens:
+            assert r.weight == pytest.approx(fit_[cell[r.doc_id]] / (cells[cell[r.doc_id]] / total), rel=1e-5)
+    have = (got.tokens * got.probability).groupby(got.lang).sum()
+    assert all(have[k] / have.sum() == pytest.approx(v, abs=1e-4) for k, v in LANG_TARGETS.items()) and 0.5 < have.sum() / got.tokens.sum() <= 0.851
+
+
+def test_toxicity_query(spark):
+    """Scores are those of a plain sum of weights over the words of each text."""
     d = "/root/testdata/sf0.001"
-    assert op3_ordinal_toxicity(spark, d).count() == op4_raked_mixing(spark, d).count() == 200
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    model = fit(docs, spark.read.parquet(f"{d}/labels.parquet"))
+    got = {r.doc_id: r for r in op3_ordinal_toxicity(spark, d).collect()}
+    table = pq.read_table(f"{d}/documents.parquet").to_pylist()
+    assert len(got) == len(table) == 200
+    weight = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    for r in table:
+        raw = np.frombuffer((r["text"] or "").encode(), np.uint8)
+        values, _, _ = bags(raw, np.array([0, len(raw)]))
+        p = [1 / (1 + np.exp(-(sum(weight.get(v, 0.0) for v in values.tolist()) - t))) for t in model.thresholds]
+        assert got[r["doc_id"]].severity == pytest.approx(sum(p)) and got[r["doc_id"]].rejected == (p[0] >= 0.2)

@@ -4,10 +4,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from siltstone.llm import common, minhash_dedup
 from siltstone.llm.bytewords import chunks, sets
-from siltstone.llm.common import components
+from siltstone.llm.common import components, far, near, without
 from siltstone.llm.minhash_dedup import near_duplicates, needed, op5_bottom_k_minhash
 
 WS = " \t\n\x0b\x0c\r"
@@ -116,6 +117,21 @@ def test_edges_of_the_input(spark):
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(df).collect()), key=str)
     assert got == [(1, 1, True), (1, 1, True), (None, None, True)]
     assert near_duplicates(df.limit(0)).count() == 0
+    long = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(long)), (1, "x y z"), (2, " ".join(long[:39])), (3, "x Y  z"), (3, "q r s"), (2, " ".join(long[:39]))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), mark=F.xxhash64("text")).collect()
+    assert sorted((r.doc_id, r.component_id, r.n_shingles) for r in got) == [(1, 1, 1), (1, 1, 36), (2, 1, 35), (2, 1, 35), (3, 1, 1), (3, 3, 1)]
+    assert len({r.mark for r in got}) == 5
+
+
+def test_sieve(spark):
+    df = spark.range(1000).selectExpr("id", "cast(null as string) as bits", "'x' as row")
+    few = spark.createDataFrame([(3,), (None,), (999,), (5000,)], "k bigint")
+    assert {3, 999} <= {r.id for r in near(df, [F.col("id")], few, ["k"]).collect()}
+    assert near(df, [F.col("id")], few, ["k"]).count() + far(df, [F.col("id")], few, ["k"]).count() == 1000
+    more = df.unionByName(df.selectExpr("cast(null as bigint) as id", "bits", "row").limit(2))
+    got = without(more, [F.col("id")], few, ["k"])
+    assert got.columns == df.columns and {r.id for r in got.collect()} == set(range(1000)) - {3, 999} and without(more, [F.col("id")], few.limit(0), ["k"]).count() == 1002
 
 
 def test_query_brute(spark):

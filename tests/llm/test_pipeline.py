@@ -77,6 +77,22 @@ def test_stages_against_brute_force(spark, tables):
     assert whole == drawn
 
 
+def test_rows_that_repeat_an_id(spark, tables):
+    """Rows of one id are decided by their texts, rows without an id too."""
+    d, _ = tables
+    stage = dict(corpus_pipeline.STAGES)
+    long = " ".join(f"k{i}" for i in range(60))
+    rows = [(3, "same text"), (5, "same text"), (5, "only here"), (7, long), (5, long + " more"), (None, "same  text"), (None, "without an id")]
+    docs = spark.createDataFrame([(i, t, "en", "s1", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").selectExpr("*", "1 as mark", "2 as word", "3 as place")
+    got = stage["exact_dedup"](spark, docs, d)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(3, "same text"), *rows[2:5], rows[6]]))
+    got = stage["near_dedup"](spark, docs, d)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(3, "same text"), (5, "only here"), (5, long + " more"), *rows[5:]]))
+    assert got.columns == docs.columns
+    drawn = stage["mixing"](spark, docs, d).collect()
+    assert all(len({r.text for r in drawn if r.doc_id == i}) in (0, sum(i == j for j, _ in rows)) for i in (3, 5, 7))
+
+
 def test_empty_table(spark, tables):
     d, _ = tables
     docs = spark.read.parquet(f"{d}/documents.parquet").limit(0)
