@@ -1,8 +1,10 @@
 """A corpus pipeline: toxicity, exact dedup, near dedup, mixing, packing.
 
-Each stage works on all that the one before kept. Decisions are joined back by doc_id with merge
-joins, as their number grows with the documents. Rows without an id can't be named by a decision:
-they stay until they are drawn by the mixing stage like any other row, and are packed.
+Each stage works on all that the one before kept. Decisions are made on narrow rows and name a document
+by its id and a hash of its text, so rows that repeat an id with other texts are decided apart, and rows
+that repeat both stay or go together. Of the texts, a decision moves only those that a sieve of what
+goes can't clear (see ``without``); the others are filtered where they are read. A null id is a name like
+any other.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import parquet, written
+from siltstone.llm.common import parquet, without, written
 from siltstone.llm.exact_dedup import exact_dedup
 from siltstone.llm.minhash_dedup import near_duplicates
 from siltstone.llm.mixing import mixed_documents
@@ -19,9 +21,8 @@ from siltstone.llm.toxicity import fit, without_toxic
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents but those whose ids are in gone."""
-    columns = docs.columns
-    return docs.join(gone.select("doc_id").where("doc_id is not null").distinct().hint("merge"), "doc_id", "left_anti").select(*columns)
+    """The documents but those named by (doc_id, mark) in gone."""
+    return without(docs, [F.col("doc_id"), F.xxhash64("text")], written(gone.select("doc_id", "mark")), ["doc_id", "mark"])
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,15 +30,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact_dedup(docs, hash_all=True).where("not kept"))
+    return _without(docs, exact_dedup(docs, mark=F.xxhash64("text")).where("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, near_duplicates(docs, width=5, percent=80).where("not kept"))
+    return _without(docs, near_duplicates(docs, width=5, percent=80, mark=F.xxhash64("text")).where("not kept"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, mixed_documents(spark, docs, sf_dir).select(F.col("id").alias("doc_id"), "sampled").where("not sampled"))
+    return _without(docs, mixed_documents(spark, docs, sf_dir, mark=F.xxhash64("text")).where("not sampled").withColumnRenamed("id", "doc_id"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
