@@ -10,9 +10,10 @@ by a hash of the id. Features come from that sample, those whose occurrence in g
 chance; there are at most MAX_FEATURES weights (a parameter), so what is broadcast is bounded. Scoring reads every
 row and whole texts, in one pass without a shuffle.
 
-Labels carry 0 or 1 for toxic and for quality. Where they carry no grades, a toxic text is of grade 1,
-and of grade 2 if it is labelled as of no quality too; others are of grade 0. Grades are not made from
-what the model sees. With several labels of one document the most severe counts.
+Labels carry 0 or 1. Where they carry no grades, the rows labelled 1 are split into two: a model with
+one threshold is fitted on each half of the sample and scores the other half, and a row above the median
+of these scores is of the more severe grade. So no row is graded by a model that has seen it. With several labels
+of one document the most severe counts.
 
 Defined cases: a null or empty text has no feature, expected severity of the thresholds alone and is
 not rejected; labels that are null or without a document are left out; with no labelled rows, or
@@ -147,23 +148,32 @@ def indicative(counts: DataFrame, rows: int, bad_rows: int, most: int = MAX_FEAT
     return np.sort(got["feature"].to_numpy().view(np.uint64))
 
 
-def graded(labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", grades: bool = False) -> DataFrame:
-    """(id, grade), one row per document. ``grades``: the labels are grades already."""
-    grade = F.col(label_col).cast("int")
-    if not grades:
-        worse = F.col("quality") == 0 if "quality" in labels.columns else F.lit(False)
-        grade = F.when(grade > 0, F.when(worse, 2).otherwise(1)).when(grade == 0, 0)
-    return labels.select(F.col(id_col).alias("id"), grade.alias("grade")).where("id is not null and grade >= 0").groupBy("id").agg(F.max("grade").alias("grade"))
+def marked(labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id") -> DataFrame:
+    """(id, grade), one row per document, with the most severe of its labels."""
+    return labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("grade")).where("id is not null and grade >= 0").groupBy("id").agg(F.max("grade").alias("grade"))
+
+
+def graded(label: np.ndarray, rows: np.ndarray, cols: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """0 where the label is 0; of the others, 2 where a model of the other half of the rows gives more than the median, else 1."""
+    half, score = np.arange(len(label)) % 2, np.zeros(len(label))
+    for k in (0, 1):
+        own = half == k
+        if label[own].any() and not label[own].all():
+            inside = own[rows]
+            place = np.cumsum(own) - 1
+            model = CumulativeLink.fit(place[rows[inside]], cols[inside], label[own], features, steps=150)
+            score[~own] = np.bincount(rows[~inside], weights=model.weights[cols[~inside]], minlength=len(label))[~own]
+    return np.where(label > 0, 1 + (score > np.median(score[label > 0])), 0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", grades: bool = False, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES) -> CumulativeLink:
-    """The model of a bounded sample of labelled rows.
+    """The model of a bounded sample of labelled rows. ``grades``: the labels are grades already.
 
     Features are counted and chosen by the executors; the driver gets at most ``max_features`` of them,
     and of each row of the sample which of these it has.
     """
     ship(docs.sparkSession)
-    marks = graded(labels, grade_col, id_col, grades)
+    marks = marked(labels, grade_col, id_col)
     n = marks.count()
     if n > sample_rows:
         marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n))
@@ -179,8 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: st
         return none
     got = sample.mapInArrow(_places(features), "id bigint, grade int, places array<bigint>").orderBy("id", "places").toArrow()
     places = [np.array(p, dtype=np.int64) for p in got["places"].to_pylist()]
-    count = np.array([len(p) for p in places])
-    return CumulativeLink.fit(np.repeat(np.arange(rows), count), np.concatenate(places), got["grade"].to_numpy().astype(np.int64), features)
+    where, cols = np.repeat(np.arange(rows), [len(p) for p in places]), np.concatenate(places)
+    grade = got["grade"].to_numpy().astype(np.int64)
+    return CumulativeLink.fit(where, cols, grade if grades else graded(np.minimum(grade, 1), where, cols, features), features)
 
 
 def score(docs: DataFrame, model: CumulativeLink, id_col: str = "doc_id", text_col: str = "text", threshold: float = REJECT_AT) -> DataFrame:

@@ -10,7 +10,12 @@ and the longest that fits decides.
 
 Mining takes labelled rows up to SAMPLE_ROWS, thinned beyond that by a hash of the id. With a support
 that is a share of the sample, rules are bounded by the sample and small enough to send along;
-applying them reads every row once, without a shuffle.
+applying them reads every row once, without a shuffle. Rules have up to ``longest`` tokens, a parameter.
+
+FP-growth gives every subset of the tokens that long bad URLs share, so tokens that occur in the very same
+rows are mined as one: any of them fits where it stands in a rule, and a rule of two of them would be as
+confident as one of either. Where rows are still wider than WIDE, combinations are counted level
+by level up to ``longest``, which gives the same rules.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path, no tokens and is allowed;
 an empty table gives no rows; without labelled rows, or bad ones, there are no mined rules; repeated
@@ -20,17 +25,20 @@ rows are judged each; a long URL is taken whole; other columns are not touched.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import combinations
+from math import ceil
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import parquet, ship
+from .common import parquet, ship, written
 
 SAMPLE_ROWS = 100_000
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.005, 0.6, 3
-BAD = "\x00bad"
+MIN_SUPPORT, MIN_CONFIDENCE, LONGEST = 0.005, 0.6, 3
+#: Different tokens of a row up to which FP-growth gives all their subsets.
+WIDE = 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # The written rules of the contract: (host, path, verdict).
@@ -65,29 +73,74 @@ def tokens(host_col: Column, path_col: Column) -> Column:
     return F.array_distinct(F.concat(hosts, paths))
 
 
-def mine(rows: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> list[tuple[tuple[str, ...], float, float]]:
-    """(tokens, confidence, support) of the rules kept. rows: (items, bad boolean).
+def merged(rows: DataFrame, least: int) -> dict[str, str]:
+    """Each token that at least so many bad rows have, and the smallest token of those that occur in the very same rows."""
+    each = rows.select("row", "bad", F.explode(F.array_distinct("items")).alias("item")).where("item is not null")
+    marks = each.groupBy("item").agg(F.count_if("bad").alias("n"), F.count(F.lit(1)).alias("all"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("y")).where(F.col("n") >= least)
+    got = marks.collect()  # a row of so many tokens has at most so many, and support is a share of the rows of the sample
+    first: dict[tuple, str] = {}
+    for r in sorted(got, key=lambda r: r["item"]):
+        first.setdefault((r["all"], r["x"], r["y"]), r["item"])
+    return {r["item"]: first[r["all"], r["x"], r["y"]] for r in got}
+
+
+def _level(size: int, known: set[tuple[str, ...]]):
+    """Counts of the combinations of so many tokens whose smaller ones are all known."""
+    def run(batches):
+        seen: Counter = Counter()
+        for batch in batches:
+            for items in batch.column(0).to_pylist():
+                seen.update(c for c in combinations(sorted(items), size) if all(x in known for x in combinations(c, size - 1)))
+        yield pa.RecordBatch.from_arrays([pa.array([list(c) for c in seen], pa.list_(pa.string())), pa.array(list(seen.values()), pa.int64())], names=["items", "freq"])
+    return run
+
+
+def frequent(bad: DataFrame, least: int, total: int, longest: int) -> list[tuple[tuple[str, ...], int]]:
+    """(tokens, rows) of the combinations of up to ``longest`` tokens that at least so many of the rows (items) have."""
+    if (bad.agg(F.max(F.size("items"))).first()[0] or 0) <= WIDE:
+        sets = FPGrowth(itemsCol="items", minSupport=least / total, minConfidence=0.0).fit(bad).freqItemsets.where(F.size("items") <= longest)
+        return [(tuple(sorted(r["items"])), r["freq"]) for r in sets.toLocalIterator() if r["freq"] >= least]
+    found, known = [], {()}
+    for size in range(1, longest + 1):
+        got = bad.mapInArrow(_level(size, known), "items array<string>, freq bigint").groupBy("items").agg(F.sum("freq").alias("freq")).where(F.col("freq") >= least)
+        level = [(tuple(r["items"]), r["freq"]) for r in got.toLocalIterator()]
+        found, known = found + level, {s for s, _ in level}
+    return found
+
+
+def mine(rows: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, longest: int = LONGEST) -> tuple[list[tuple[tuple[str, ...], float, float]], dict[str, str]]:
+    """(tokens, confidence, support) of the rules kept, and the token by which each token is named in them. rows: (items, bad boolean).
 
-    The number of tokens of a rule is at most MAX_TOKENS; the labelled bad rows alone are searched
-    for frequent sets, as a rule's support is its number of bad rows, and one pass over the sample
-    then counts each set among all of them.
+    The labelled bad rows alone are searched for frequent sets, as a rule's support is its number of
+    bad rows, and one pass over the sample then counts each set among all of them.
     """
-    total = rows.count()
-    bad = rows.where("bad").select("items").where(F.size("items") > 0)
-    n_bad = bad.count()
+    ship(rows.sparkSession)
+    rows = written(rows.select(F.coalesce("items", F.array().cast("array<string>")).alias("items"), "bad").withColumn("row", F.monotonically_increasing_id()))
+    total, n_bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
     if not n_bad:
-        return []
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support * total, 2) / n_bad), minConfidence=0.0).fit(bad)
-    sets = [(tuple(sorted(r["items"])), r["freq"]) for r in model.freqItemsets.where(F.size("items") <= MAX_TOKENS).toLocalIterator()]
+        return [], {}
+    least = max(ceil(min_support * total - 1e-9), 2)
+    names = merged(rows, least)
+    if not names:
+        return [], {}
+
+    def named(batches):
+        for batch in batches:
+            items = [sorted({names[x] for x in row if x in names}) for row in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string())), batch.column(1)], names=["items", "bad"])
+
+    rows = written(rows.select("items", "bad").mapInArrow(named, "items array<string>, bad boolean"))
+    bad = rows.where("bad and size(items) > 0").select("items")
+    sets = frequent(bad, least, max(1, bad.count()), longest)
     if not sets:
-        return []
+        return [], {}
     index = Index([s for s, _ in sets])
 
     def count(batches):
         seen: Counter = Counter()
         for batch in batches:
             for items in batch.column(0).to_pylist():
-                seen.update(index.fitting(items or ()))
+                seen.update(index.fitting(items))
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["rule", "n"])
 
     counted = rows.select("items").mapInArrow(count, "rule bigint, n bigint").groupBy("rule").agg(F.sum("n").alias("n")).collect()
@@ -95,10 +148,11 @@ def mine(rows: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: floa
     found = {s: (k / among[i], k / total) for i, (s, k) in enumerate(sets) if among.get(i) and k / among[i] >= min_confidence}
     kept: dict[tuple[str, ...], tuple[float, float]] = {}
     for s in sorted(found, key=lambda s: (len(s), s)):
-        smaller = [kept[t][0] for k in range(1 << len(s)) if (t := tuple(x for i, x in enumerate(s) if k >> i & 1)) in kept and len(t) < len(s)]
+        smaller = [kept[t][0] for k in range(len(s)) for t in combinations(s, k) if t in kept]
         if not smaller or found[s][0] > max(smaller):
             kept[s] = found[s]
-    return [(s, *kept[s]) for s in sorted(kept)]
+    used = {x for s in kept for x in s}
+    return [(s, *kept[s]) for s in sorted(kept)], {x: y for x, y in names.items() if y in used}
 
 
 class Index:
@@ -116,7 +170,7 @@ class Index:
         return [i for x in have for i in self.lists.get(x, ()) if self.rules[i] <= have]
 
 
-def judge(urls: DataFrame, mined: list[tuple[tuple[str, ...], float, float]], rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(urls: DataFrame, mined: list[tuple[tuple[str, ...], float, float]], rules: list[tuple[str, str, str]], names: dict[str, str] | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per input row: id, host, path, rule, verdict, mined_rule (tokens of the most confident mined rule that fits), confidence."""
     ship(urls.sparkSession)
     index = Index([s for s, _, _ in mined])
@@ -124,7 +178,8 @@ def judge(urls: DataFrame, mined: list[tuple[tuple[str, ...], float, float]], ru
 
     def run(batches):
         for batch in batches:
-            best = [max((by[i] for i in index.fitting(items or ())), default=(None, None)) for items in batch.column(4).to_pylist()]
+            named = ([names.get(x) for x in items] if names is not None else items for items in batch.column(4).to_pylist())
+            best = [max((by[i] for i in index.fitting(items)), default=(None, None)) for items in named]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], batch.column(5), pa.array([b for _, b in best], pa.string()), pa.array([c for c, _ in best], pa.float64())],
                                              names=["id", "host", "path", "rule", "verdict", "mined_rule", "confidence"])
 
@@ -146,8 +201,7 @@ def labelled(pages: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
 
 
 def op2_url_rules(spark, sf_dir: str) -> DataFrame:
+    ship(spark)
     pages = parquet(spark, sf_dir, "pages").select("page_id", "url")
-    rows = labelled(pages, parquet(spark, sf_dir, "labels")).persist()
-    mined = mine(rows)
-    rows.unpersist()
-    return judge(pages, mined, RULES)
+    mined, names = mine(labelled(pages, parquet(spark, sf_dir, "labels")))
+    return judge(pages, mined, RULES, names)

@@ -3,7 +3,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from siltstone.llm.mixing import LANG_TARGETS, counted, factors, mix, op4_raked_mixing, rake
-from siltstone.llm.toxicity import CumulativeLink, bags, fit, graded, op3_ordinal_toxicity, score
+from siltstone.llm.toxicity import CumulativeLink, bags, fit, graded, marked, op3_ordinal_toxicity, score
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, topic string"
 
@@ -137,10 +137,14 @@ def test_all_categories_are_raked(spark):
 
 
 def test_grades(spark):
-    rows = [(1, 1, 0), (1, 1, 1), (2, 0, 1), (3, None, 1), (4, 1, None), (5, 1, 0), (5, 0, 0), (None, 0, 1)]
-    got = {r.id: r.grade for r in graded(spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")).collect()}
-    assert got == {1: 1, 2: 2, 3: 1, 4: 0, 5: 0}
-    assert {r.id: r.grade for r in graded(spark.createDataFrame([(1, 3), (1, 2)], "doc_id bigint, toxic int"), grades=True).collect()} == {1: 3}
+    rows = [(1, 0), (1, 1), (2, 1), (4, None), (5, 0), (5, 0), (None, 1)]
+    assert {r.id: r.grade for r in marked(spark.createDataFrame(rows, "doc_id bigint, toxic int")).collect()} == {1: 1, 2: 1, 5: 0}
+    rng = np.random.default_rng(3)
+    x = rng.random((2000, 5)) < 0.4
+    label = (x.sum(axis=1) + rng.logistic(size=2000) * 0.3 > 2.5).astype(int)
+    rows, cols = np.nonzero(x)
+    got = graded(label, rows, cols, np.arange(5, dtype=np.uint64))
+    assert ((got > 0) == (label > 0)).all() and x.sum(axis=1)[got == 2].mean() > x.sum(axis=1)[got == 1].mean() + 0.5
 
 
 def test_mixing_query_brute(spark):

@@ -1,11 +1,14 @@
 import hashlib
+import re
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from siltstone.llm import embedding_dedup
+from siltstone.llm import embedding_dedup, url_filter
 from siltstone.llm.chat_format import assemble, digests, format_turns, op8_columnar_chat, read_back
 from siltstone.llm.embedding_dedup import decode, near_vectors, neighbours, op10_lattice_embeddings, plan
 from siltstone.llm.url_filter import RULES, judge, mine, op2_url_rules, tokens, written_rule
@@ -47,7 +50,8 @@ def test_mined_rules_brute(spark):
         items = sorted({f"t{x}" for x in rng.integers(0, 8, 3)})
         bad = {"t1", "t2"} <= set(items) or (items[0] == "t7") or rng.random() < 0.05
         rows.append((items, bool(bad)))
-    got = mine(spark.createDataFrame(rows, "items array<string>, bad boolean"), 0.01, 0.8)
+    got, names = mine(spark.createDataFrame(rows, "items array<string>, bad boolean"), 0.01, 0.8)
+    assert all(x == y for x, y in names.items())
     have = [(set(i), b) for i, b in rows]
     assert ("t1", "t2") in [s for s, _, _ in got]
     for s, confidence, support in got:
@@ -56,17 +60,71 @@ def test_mined_rules_brute(spark):
         assert support == pytest.approx(sum(among) / len(have)) and support >= 0.01
         for smaller in got:
             assert not (set(smaller[0]) < set(s) and smaller[1] >= confidence)
-    assert mine(spark.createDataFrame([], "items array<string>, bad boolean")) == []
+    assert mine(spark.createDataFrame([], "items array<string>, bad boolean")) == ([], {})
+
+
+def plainly_mined(rows, least, confidence, longest=3):
+    """Rules over raw tokens: every combination, counted and pruned."""
+    total, bad = Counter(), Counter()
+    for items, is_bad in rows:
+        for k in range(1, longest + 1):
+            for c in combinations(sorted(set(items)), k):
+                total[c] += 1
+                bad[c] += is_bad
+    kept = {}
+    for s in sorted((s for s, n in bad.items() if n >= least and n / total[s] >= confidence), key=len):
+        if all(kept[t] < bad[s] / total[s] for k in range(len(s)) for t in combinations(s, k) if t in kept):
+            kept[s] = bad[s] / total[s]
+    return kept
+
+
+@pytest.mark.parametrize("wide", [12, 0])
+def test_same_rules_from_either_miner(spark, monkeypatch, wide):
+    monkeypatch.setattr(url_filter, "WIDE", wide)
+    rng = np.random.default_rng(9)
+    rows = []
+    for _ in range(400):  # b always beside a, d beside c
+        items = sorted({f"t{x}" for x in rng.integers(0, 6, 3)})
+        items += ["a", "b"] if rng.random() < 0.3 else []
+        items += ["c", "d"] if rng.random() < 0.3 else []
+        rows.append((items, bool(("a" in items and "c" in items) or rng.random() < 0.1)))
+    got, names = mine(spark.createDataFrame(rows, "items array<string>, bad boolean"), 0.02, 0.7)
+    want = plainly_mined(rows, 8, 0.7)
+    assert (names["b"], names["d"]) == ("a", "c") and ("a", "c") in {s for s, _, _ in got}
+    for items, _ in [*rows, (["b", "c"], 0), (["a"], 0), (["d", "b", "zz"], 0)]:
+        have = {names.get(x) for x in items}
+        assert max((c for s, c, _ in got if set(s) <= have), default=None) == pytest.approx(max((c for s, c in want.items() if set(s) <= set(items)), default=None))
+
+
+def test_long_bad_urls_end(spark):
+    rows = [([f"x{i}" for i in range(60)], True)] * 20 + [([f"y{i}" for i in range(30)] + [f"z{k}"] * (k % 2), True) for k in range(20)] + [(["q"], False)] * 100
+    got, names = mine(spark.createDataFrame(rows, "items array<string>, bad boolean"))
+    assert {s for s, _, _ in got} == {("x0",), ("y0",)} and names["x59"] == "x0"
 
 
 def test_url_query(spark):
     d = "/root/testdata/sf0.001"
+    labels = {}
+    for r in pq.read_table(f"{d}/labels.parquet").to_pylist():
+        labels[r["doc_id"]] = labels.get(r["doc_id"], False) or r["toxic"] == 1 or r["quality"] == 0
+
+    def items(h, p):
+        parts = [x for x in re.split(r"[^\w]+|_", "".join(c.lower() if "A" <= c <= "Z" else c for c in p)) if x]
+        return [f"h:{x}" for x in h.split(".") if x] + [f"n:{len(x)}" if re.fullmatch("[0-9]+", x) else f"p:{x}" for x in parts]
+
+    table = pq.read_table(f"{d}/pages.parquet").to_pylist()
+    sample = [(items(*parsed(r["url"])), labels[r["page_id"]]) for r in table if r["page_id"] in labels]
+    want = plainly_mined(sample, max(2, int(np.ceil(0.005 * len(sample) - 1e-9))), 0.6)
+    assert want
     got = {r.page_id: r for r in op2_url_rules(spark, d).collect()}
     for r in pq.read_table(f"{d}/pages.parquet").to_pylist():
         h, p = parsed(r["url"])
         rule = ruled(h, p)
         assert (got[r["page_id"]].host, got[r["page_id"]].path) == (h, p)
         assert got[r["page_id"]].rule == (rule and rule[0] + rule[1])
+        fits = [c for t, c in want.items() if set(t) <= set(items(h, p))]
+        assert got[r["page_id"]].verdict == (rule[2] if rule else "block" if fits else "allow")
+        assert got[r["page_id"]].confidence == pytest.approx(max(fits, default=None))
 
 
 def digest(turns):
