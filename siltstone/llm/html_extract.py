@@ -1,35 +1,40 @@
-"""Main text of pages: structure where the markup tells, nearest-URL differencing where it doesn't.
-
-A page is read into visible blocks with one pass over its tags; references are decoded, white space
-in a block becomes one space. Elements that are menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles, comments or hidden, by tag, role, class or id, are left out. If the page has
-an article (or else a main element, or else a body of an article by its class), its blocks are the
-text, and nothing in it is deleted for being on other pages too: articles may share passages.
-
-A page without any of these is differenced: pages of a host are ordered by path, the blocks of a page
-are aligned with those of its nearest pages, before and after, by longest common subsequence, and
-blocks that are aligned go. A page with which nearly all of the blocks are aligned that aren't left
-out by their tags is a copy and tells nothing, so the next one on that side is asked, until one isn't
-a copy. A run of equal pages is asked once. Pages are ordered by a range partitioning, so a host may
-lie in many partitions; pages for which a partition ends before a page is found that isn't a copy go
-on with the runs of the partitions beyond it.
+"""Main text of pages by nearest-URL differencing, with the markup where differencing can't tell.
+
+A page is read into visible blocks with one pass over its tags; references are decoded, runs of white
+space (as ``str.split`` knows it, so no-break spaces too) become one space. Pages of a host are ordered by
+path, and the blocks of every page are aligned with those of its nearest pages, before and after, by
+longest common subsequence. Neighbours that are nearly the same page tell nothing: pages in path order
+each of which holds nearly all text of the next, or the other way round, are a run of copies, and the
+pages beyond the run are asked.
+
+An aligned block is deleted
+* in a page whose markup names no main text: always;
+* in a page with an article (or else a main element, or else a body of an article by its class): if in
+  differencing TEMPLATE of the host's pages, of PAGES at least, it is aligned. Articles may share
+  passages, and what only some pages share is not the template's.
+Blocks that can't be aligned, as menus and adverts may turn from page to page, are judged by the markup alone: what is
+in elements that are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
+comments or hidden, by tag, role, class or id, or outside of the main text if there is one, goes.
+
+Pages are ordered by a range partitioning, so a host may lie in many partitions. A partition needs two
+pages of others, those beyond the runs at its ends; each gives its outermost four for that.
 
 Defined cases: null or empty html has no text; a page whose host has no other page keeps its blocks;
 a null url has the empty host; repeated rows are extracted each (a copy tells nothing); an empty
-table gives no rows; long pages are read whole; other columns are not touched.
+table gives no rows; long pages are read and aligned whole; other columns are not touched.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parquet, ship, written
+from .common import far, near, parquet, ship, written
 from .url_filter import host, path
 
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?|<[!?/][^>]*>?", re.S)
@@ -50,6 +55,10 @@ IMPLIED = set("p li dd dt td th tr option".split())
 ARTICLE, MAIN, NAME = 3, 2, 1
 #: A page that is aligned with this share of the blocks of another that aren't left out is a copy of it.
 COPY = 0.95
+#: A block is the template's if it is aligned in this share of a host's pages, which are so many at least.
+TEMPLATE, PAGES = 0.8, 10
+#: Bits of an alignment that are held at once; a larger one is halved first.
+HELD_BITS = 1 << 28
 
 
 def _kind(name: str, attributes: str, in_article: bool) -> tuple[bool, int]:
@@ -160,41 +169,60 @@ def chosen(page: list[tuple[str, bool, int]]) -> tuple[list[int], bool]:
     return [i for i, (_, out, _) in enumerate(page) if not out], False
 
 
+def _heights(a: list, b: list):
+    """For each line of a, the lengths of the longest common subsequences up to it: a number whose bit j is 0 where line j of b makes one longer."""
+    where: dict = {}
+    for j, line in enumerate(b):
+        where[line] = where.get(line, 0) | 1 << j
+    full = now = (1 << len(b)) - 1
+    for line in a:
+        met = now & where.get(line, 0)
+        now = (now + met | now - met) & full
+        yield now
+
+
+def _longer(a: list, b: list) -> np.ndarray:
+    """The length of the longest common subsequence of a and the first j lines of b, for each j."""
+    last = (1 << len(b)) - 1
+    for last in _heights(a, b):  # noqa: B007
+        pass
+    bits = np.unpackbits(np.frombuffer(last.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _common(a: list, b: list) -> list[int]:
+    """Places in a of a longest common subsequence of a and b, bit-parallel over b."""
+    if not a or not b:
+        return []
+    if len(a) > 1 and len(a) * len(b) > HELD_BITS:
+        half = len(a) // 2
+        cut = int((_longer(a[:half], b) + _longer(a[:half - 1 if half else None:-1], b[::-1])[::-1]).argmax())
+        return _common(a[:half], b[:cut]) + [half + i for i in _common(a[half:], b[cut:])]
+    rows, found, i, j = [(1 << len(b)) - 1, *_heights(a, b)], [], len(a), len(b)
+    while i and j:
+        if rows[i] >> j - 1 & 1:
+            j -= 1
+        else:
+            i -= 1
+            if rows[i] >> j - 1 & 1:
+                found.append(i)
+                j -= 1
+    return found[::-1]
+
+
 def aligned(a: list, b: list) -> list[int]:
-    """Places in a of a longest common subsequence of a and b (by increasing runs of matching places)."""
+    """Places in a of a longest common subsequence of a and b."""
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
     tail = 0
     while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
-    places: dict = {}
-    for j in range(len(b) - tail - 1, head - 1, -1):
-        places.setdefault(b[j], []).append(j)
-    ends: list[int] = []
-    last: list[tuple] = []
-    for i in range(head, len(a) - tail):
-        for j in places.get(a[i], ()):
-            k = bisect_left(ends, j)
-            link = (i, last[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                last.append(link)
-            elif j < ends[k]:
-                ends[k], last[k] = j, link
-    middle, link = [], last[-1] if last else None
-    while link:
-        middle.append(link[0])
-        link = link[1]
-    return [*range(head), *reversed(middle), *range(len(a) - tail, len(a))]
-
-
-def differenced(lines: list, kept: list[int], others: list[list]) -> list[int]:
-    """What is left of the kept blocks without those aligned with a neighbour's that isn't a copy."""
-    gone: set[int] = set()
-    for other in others:
-        gone.update(shared(lines, kept, other) or ())
-    return [i for i in kept if i not in gone]
+    inner, other = range(head, len(a) - tail), b[head : len(b) - tail]
+    both = {a[i] for i in inner}.intersection(other)
+    inner = [i for i in inner if a[i] in both]
+    middle = _common([a[i] for i in inner], [x for x in other if x in both])
+    return [*range(head), *(inner[i] for i in middle), *range(len(a) - tail, len(a))]
 
 
 def shared(lines: list, kept: list[int], other: list) -> set[int] | None:
@@ -205,129 +233,135 @@ def shared(lines: list, kept: list[int], other: list) -> set[int] | None:
     return found if len(found) < COPY * len(kept) else None
 
 
+def copies(a: tuple[str, list, list], b: tuple[str, list, list]) -> bool:
+    """Whether two pages (host, lines, kept) of a host are in one run."""
+    return a[0] == b[0] and (shared(a[1], a[2], b[1]) is None or shared(b[1], b[2], a[1]) is None)
+
+
+def _digest(x: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(x) - (1 << 63)
+
+
 def _read(batches):
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
-            texts, plain, kept, lines, sums = [], [], [], [], []
+            texts, plain, kept, marks = [], [], [], []
             for page in batch.column(4).to_pylist():
                 got = blocks(page)
                 keep, sure = chosen(got)
-                texts.append("\n".join(got[i][0] for i in keep))
+                texts.append([got[i][0] for i in keep])
                 plain.append(not sure)
                 kept.append(keep)
-                lines.append([t for t, _, _ in got] if not sure else None)
-                sums.append(_digest(page or "") if not sure else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(texts, pa.string()), pa.array(plain), pa.array(kept, pa.list_(pa.int32())), pa.array(lines, pa.list_(pa.string())), pa.array(sums, pa.int64())],
-                                             names=["id", "url", "host", "path", "text", "plain", "kept", "lines", "sum"])
+                marks.append([_digest(t) for t, _, _ in got])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(texts, pa.list_(pa.string())), pa.array(plain), pa.array(kept, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int64()))],
+                                             names=["id", "url", "host", "path", "texts", "plain", "kept", "marks"])
 
 
-def _digest(x: str) -> int:
-    import xxhash
+def _in_order(pages: pa.Table) -> tuple[list[tuple], list[int]]:
+    """(host, lines, kept) of the pages of a partition in order, and the run of each."""
+    pages = pages.sort_by("at")
+    rows = list(zip(*(pages[c].to_pylist() for c in ("host", "marks", "kept")), strict=True))
+    runs = [0] * len(rows)
+    for i in range(1, len(rows)):
+        runs[i] = runs[i - 1] + (rows[i] != rows[i - 1] and not copies(rows[i - 1], rows[i]))
+    return rows, runs
+
+
+PAGE = [("host", pa.string()), ("marks", pa.list_(pa.int64())), ("kept", pa.list_(pa.int32()))]
+ENDS = pa.schema([("part", pa.int32()), ("kind", pa.string()), ("runs", pa.int32()), *PAGE])
+GONE = pa.schema([("row", pa.int64()), ("host", pa.string()), ("asked", pa.bool_()), ("places", pa.list_(pa.int32())), ("lines", pa.list_(pa.int64()))])
+PAGE_SQL = "host string, marks array<bigint>, kept array<int>"
 
-    return xxhash.xxh64_intdigest(x) - (1 << 63)
 
+def _ends(pages: pa.Table) -> pa.Table:
+    """The outermost pages of a partition, and those beyond its outermost runs."""
+    part = pages["part"][0].as_py()
+    rows, runs = _in_order(pages)
+    at = {"first": 0, "last": len(rows) - 1}
+    if runs[-1]:
+        at |= {"after": runs.index(1), "before": len(rows) - 1 - runs[::-1].index(runs[-1] - 1)}
+    return pa.Table.from_pylist([dict(zip(ENDS.names, (part, kind, runs[-1] + 1, *rows[i]), strict=True)) for kind, i in at.items()], schema=ENDS)
 
-def _hashes(batches):
+
+def _joined(batches):
+    """(part, joined): whether the run at the end of a partition goes on in the next. Batches: part, and the two pages."""
     for batch in batches:
-        lines, kept, sums = [], [], []
-        for page in batch.column(4).to_pylist():
-            got = blocks(page)
-            keep, sure = chosen(got)
-            lines.append([_digest(t) for t, _, _ in got])
-            kept.append(None if sure else keep)
-            sums.append(_digest(page or ""))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sums, pa.int64()), pa.array(lines, pa.list_(pa.int64())), pa.array(kept, pa.list_(pa.int32()))],
-                                         names=["id", "url", "host", "path", "sum", "lines", "kept"])
-
-
-def _runs(pages: pa.Table) -> tuple[list[tuple], list[int]]:
-    """(host, lines) of each run of equal pages of a partition in order, and each page's run."""
-    runs, at = [], []
-    for one in zip(pages["host"].to_pylist(), pages["lines"].to_pylist(), strict=True):
-        if not runs or runs[-1] != one:
-            runs.append(one)
-        at.append(len(runs) - 1)
-    return runs, at
-
-
-def _search(runs: list[tuple], at: int, side: int, host: str, lines: list, kept: list[int]) -> list[int] | None:
-    """The blocks shared with the first run from ``at`` on that isn't a copy; none are where the host ends, None where the partition does."""
-    while 0 <= at < len(runs):
-        if runs[at][0] != host:
-            return []
-        found = shared(lines, kept, runs[at][1])
-        if found is not None:
-            return sorted(found)
-        at += side
-    return None
-
-
-def _within(beyond: dict[tuple[int, int], int]):
-    def run(pages: pa.Table) -> pa.Table:
-        pages = pages.sort_by("row")
-        part, (runs, places) = pages["part"][0].as_py(), _runs(pages)
-        rows, known = [], {}
-        for i, url, total, kept, at in zip(*(pages[c].to_pylist() for c in ("id", "url", "sum", "kept")), places, strict=True):
-            for side in (-1, 1) if kept else ():
-                key = at, side, tuple(kept)
-                if key not in known:
-                    gone, start = _search(runs, at + side, side, *runs[at], kept), beyond.get((part, side))
-                    known[key] = (None, None, gone or [], None, None, None) if gone is not None or start is None else (_digest(repr((*runs[at], kept))), start, None, *runs[at], kept)
-                rows.append((i, url, total, side, *known[key]))
-        return pa.Table.from_pylist([dict(zip(WITHIN.names, r, strict=True)) for r in rows], schema=WITHIN)
-    return run
-
-
-def _beyond(beyond: dict[tuple[int, int], int]):
-    def run(askers: pa.Table, pages: pa.Table) -> pa.Table:
-        runs, _ = _runs(pages.sort_by("row"))
-        rows = askers.to_pylist()
-        for r in rows:
-            r["gone"] = _search(runs, 0 if r["side"] > 0 else len(runs) - 1, r["side"], r["host"], r["lines"], r["kept"])
-            if r["gone"] is None:
-                r["at"] = beyond.get((r["at"], r["side"]))
-                r["gone"] = [] if r["at"] is None else None
-        return pa.Table.from_pylist([{k: r[k] for k in BEYOND.names} for r in rows], schema=BEYOND)
-    return run
-
-
-_PAGE = [("host", pa.string()), ("lines", pa.list_(pa.int64())), ("kept", pa.list_(pa.int32()))]
-WITHIN = pa.schema([("id", pa.int64()), ("url", pa.string()), ("sum", pa.int64()), ("side", pa.int32()), ("who", pa.int64()), ("start", pa.int32()), ("gone", pa.list_(pa.int32())), *_PAGE])
-BEYOND = pa.schema([("who", pa.int64()), ("side", pa.int32()), ("start", pa.int32()), ("at", pa.int32()), ("gone", pa.list_(pa.int32())), *_PAGE])
-_PAGE_SQL = "host string, lines array<bigint>, kept array<int>"
-
-
-def neighbours(lined: DataFrame) -> DataFrame:
-    """(id, url, sum, gone): the places of the blocks that are shared with the nearest pages, before and after on the host by path, that aren't copies.
-
-    Partitions are searched first. Equal pages whose search comes to the end of one go on as one row,
-    a partition a round.
-    """
-    order = ["host", "path", "id", "url", "sum"]
-    placed = written(lined.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}))
-    parts = sorted(r.part for r in placed.select("part").distinct().collect())
-    beyond = {(a, 1): b for a, b in zip(parts, parts[1:])} | {(b, -1): a for a, b in zip(parts, parts[1:])}
-    first = written(placed.groupBy("part").applyInArrow(_within(beyond), f"id bigint, url string, sum bigint, side int, who bigint, start int, gone array<int>, {_PAGE_SQL}"))
-    same = ["who", "side", "start"]
-    found = first.where("start is null").select("id", "url", "sum", "side", "gone")
-    asking = written(first.where("start is not null").dropDuplicates(same).select(*same, F.col("start").alias("at"), "gone", "host", "lines", "kept"))
-    waiting = first.where("start is not null").select("id", "url", "sum", *same)
-    while at := [r["at"] for r in asking.select("at").distinct().collect()]:
-        there = placed.where(F.col("part").isin(at)).select(F.col("part").alias("at"), "row", "host", "lines")
-        got = written(asking.groupBy("at").cogroup(there.groupBy("at")).applyInArrow(_beyond(beyond), f"who bigint, side int, start int, at int, gone array<int>, {_PAGE_SQL}"))
-        found = found.unionByName(waiting.join(got.where("gone is not null").select(*same, "gone"), same).select("id", "url", "sum", "side", "gone"))
-        asking = got.where("gone is null")
-    one = found.dropDuplicates(["id", "url", "sum", "side"])
-    return one.groupBy("id", "url", "sum").agg(F.flatten(F.collect_list("gone")).alias("gone"))  # two sides
-
-
-def _without_shared(batches):
+        columns = [c.to_pylist() for c in batch.columns]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([copies(x[:3], x[3:]) for x in zip(*columns[1:], strict=True)], pa.bool_())], names=["part", "joined"])
+
+
+def beyond(parts: dict[int, int], joined: dict[int, bool]) -> list[tuple[int, str, int, str]]:
+    """(partition, side, partition and kind of the page beyond its outermost run on that side). parts: their numbers of runs."""
+    order, found = sorted(parts), []
+    for side, step, near_end, far_end in (("right", 1, "first", "after"), ("left", -1, "last", "before")):
+        known: dict[int, tuple[int, str] | None] = {}
+        for i in range(len(order))[::-step]:
+            j = i + step
+            if not 0 <= j < len(order):
+                known[i] = None
+            elif not joined.get(order[min(i, j)], False):
+                known[i] = order[j], near_end
+            else:
+                known[i] = (order[j], far_end) if parts[order[j]] > 1 else known[j]
+            if known[i]:
+                found.append((order[i], side, *known[i]))
+    return found
+
+
+def _within(key, pages: pa.Table, outside: pa.Table) -> pa.Table:
+    """The kept blocks of each page that are aligned with the pages beside its run."""
+    rows, runs = _in_order(pages)
+    ids = pages.sort_by("at")["row"].to_pylist()
+    others = {r["side"]: (r["host"], r["marks"], r["kept"]) for r in outside.to_pylist()}
+    first = {r: i for i, r in reversed(list(enumerate(runs)))}
+    last = {r: i for i, r in enumerate(runs)}
+    out, before, got = [], None, None
+    for i, (host, lines, kept) in enumerate(rows):
+        if (runs[i], rows[i]) != before:
+            before = runs[i], rows[i]
+            beside = (rows[last[runs[i] - 1]] if runs[i] else others.get("left"), rows[first[runs[i] + 1]] if runs[i] < runs[-1] else others.get("right"))
+            found = [x for x in (shared(lines, kept, o[1]) for o in beside if o and o[0] == host) if x is not None]
+            got = bool(found), sorted(set().union(*found))
+        out.append((ids[i], host, got[0], got[1], [lines[k] for k in got[1]]))
+    return pa.Table.from_pylist([dict(zip(GONE.names, r, strict=True)) for r in out], schema=GONE)
+
+
+def differenced(read: DataFrame) -> DataFrame:
+    """(row, host, asked, places, lines) of each page (row, host, path, id, url, marks, kept) with text: the kept blocks that are aligned with its nearest pages that aren't copies, and their hashes; asked: whether it has one."""
+    order = ["host", "path", "id", "url", "marks"]
+    pages = read.where("size(kept) > 0").select("row", *order, "kept")
+    placed = written(pages.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}).drop("path", "id", "url"))
+    ends = written(placed.groupBy("part").applyInArrow(_ends, f"part int, kind string, runs int, {PAGE_SQL}"))
+    parts = {r.part: r.runs for r in ends.where("kind = 'first'").select("part", "runs").collect()}  # a number for each partition
+    following = read.sparkSession.createDataFrame(list(zip(sorted(parts), sorted(parts)[1:], strict=False)), "part int, next int")
+    page = ["host", "marks", "kept"]
+    pair = ends.where("kind = 'last'").select("part", *page).join(following, "part").join(ends.where("kind = 'first'").select(F.col("part").alias("next"), *[F.col(c).alias(f"{c}2") for c in page]), "next")
+    joined = {r.part: r.joined for r in pair.select("part", *page, *[f"{c}2" for c in page]).mapInArrow(_joined, "part int, joined boolean").collect()}
+    where = read.sparkSession.createDataFrame(beyond(parts, joined), "to int, side string, part int, kind string")
+    outside = where.join(ends, ["part", "kind"]).select(F.col("to").alias("part"), "side", *page)
+    return written(placed.groupBy("part").cogroup(outside.groupBy("part")).applyInArrow(_within, "row bigint, host string, asked boolean, places array<int>, lines array<bigint>"))
+
+
+def deleted(read: DataFrame, found: DataFrame, share: float = TEMPLATE, least: int = PAGES) -> DataFrame:
+    """(row, places): the blocks that go."""
+    asked = found.where("asked").groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least)
+    each = found.where("size(places) > 0").select("row", "host", F.explode(F.arrays_zip("places", "lines")).alias("x")).select("row", "host", "x.places", "x.lines")
+    votes = each.select("row", "host", "lines").distinct().groupBy("host", "lines").agg(F.count(F.lit(1)).alias("n"))
+    template = votes.join(asked, "host").where(F.col("n") >= share * F.col("pages")).select("host", "lines")
+    plain = read.where("plain and size(kept) > 0").select("row")
+    gone = each.join(plain, "row", "left_semi").select("row", "places").unionByName(each.join(template, ["host", "lines"], "left_semi").select("row", "places"))
+    return gone.groupBy("row").agg(F.collect_set("places").alias("gone"))  # of one page
+
+
+def _texts(batches):
     for batch in batches:
         texts = []
         for lines, kept, gone in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
             out = set(gone or ())
-            texts.append("\n".join(lines[i] for i in kept if i not in out))
+            texts.append("\n".join(t for t, i in zip(lines, kept, strict=True) if i not in out))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
 
@@ -335,16 +369,14 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """One row per input row: id, url, text, n_chars."""
     ship(pages.sparkSession)
     raw = pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).alias("url"), host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"), F.col(html_col).alias("html"))
-    read = written(raw.mapInArrow(_read, "id bigint, url string, host string, path string, text string, plain boolean, kept array<int>, lines array<string>, sum bigint"))
-    text = read.where("not plain").select("id", "url", "text")
-    plain = read.where("plain and size(kept) > 0")
-    text = text.unionByName(read.where("plain and size(kept) = 0").select("id", "url", "text"))
-    if not plain.isEmpty():
-        hosts = plain.select(F.col("host").alias("h")).distinct()
-        lined = raw.join(hosts, F.col("host") == F.col("h"), "left_semi").mapInArrow(_hashes, "id bigint, url string, host string, path string, sum bigint, lines array<bigint>, kept array<int>")
-        near = neighbours(lined).toDF("id2", "url2", "sum2", "gone")
-        asked = plain.join(near, F.col("id").eqNullSafe(F.col("id2")) & F.col("url").eqNullSafe(F.col("url2")) & (F.col("sum") == F.col("sum2")), "left")
-        text = text.unionByName(asked.select("id", "url", "lines", "kept", "gone").mapInArrow(_without_shared, "id bigint, url string, text string"))
+    read = raw.mapInArrow(_read, "id bigint, url string, host string, path string, texts array<string>, plain boolean, kept array<int>, marks array<bigint>")
+    read = written(read.withColumn("row", F.monotonically_increasing_id()))
+    gone = written(deleted(read, differenced(read)))
+    page = read.select("id", "url", "texts", "kept", "row")
+    # only pages that lose a block meet the list of blocks that go
+    changed = near(page, [F.col("row")], gone, ["row"]).join(gone.hint("merge"), "row", "left")
+    same = far(page, [F.col("row")], gone, ["row"]).withColumn("gone", F.lit(None).cast("array<int>"))
+    text = changed.select("id", "url", "texts", "kept", "gone").unionByName(same.select("id", "url", "texts", "kept", "gone")).mapInArrow(_texts, "id bigint, url string, text string")
     return text.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("bigint").alias("n_chars"))
 
 

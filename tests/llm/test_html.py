@@ -1,10 +1,15 @@
 import html
 import random
 import re
+import time
+from collections import Counter
 
 import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
 
-from siltstone.llm.html_extract import aligned, blocks, chosen, differenced, main_text, op6_page_differencing
+from siltstone.llm import html_extract
+from siltstone.llm.html_extract import aligned, beyond, blocks, chosen, differenced, main_text, op6_page_differencing
 
 
 def text(page):
@@ -40,7 +45,9 @@ def lcs(a, b):
     return best[-1][-1]
 
 
-def test_alignment_is_longest():
+@pytest.mark.parametrize("held", [1 << 28, 4])
+def test_alignment_is_longest(monkeypatch, held):
+    monkeypatch.setattr(html_extract, "HELD_BITS", held)
     rng = random.Random(1)
     for _ in range(300):
         a, b = ([rng.randrange(5) for _ in range(rng.randrange(12))] for _ in range(2))
@@ -50,6 +57,58 @@ def test_alignment_is_longest():
         assert all(any(a[i] == y for y in rest) for i in got)
 
 
+def test_alignment_of_repeated_lines_is_quick():
+    rng = random.Random(2)
+    a, b = ([rng.randrange(2) for _ in range(n)] for n in (8000, 12000))
+    start = time.monotonic()
+    assert len(aligned(a, b)) > 6500 and time.monotonic() - start < 5
+
+
+def test_pages_beyond_runs():
+    """Partitions 1 to 5; 2 to 4 are one run, which 1 ends with and 5 begins with."""
+    got = {(a, side): (b, kind) for a, side, b, kind in beyond({1: 3, 2: 1, 3: 1, 4: 1, 5: 2}, {1: True, 2: True, 3: True, 4: True})}
+    assert got == {**{(k, "right"): (5, "after") for k in (1, 2, 3, 4)}, **{(k, "left"): (1, "before") for k in (2, 3, 4, 5)}}
+    got = {(a, side): (b, kind) for a, side, b, kind in beyond({1: 1, 4: 1, 9: 1}, {1: True})}
+    assert got == {(1, "right"): (9, "first"), (4, "right"): (9, "first"), (9, "left"): (4, "last")}
+    assert beyond({}, {}) == []
+
+
+def test_template_inside_of_articles(spark):
+    """What nearly all pages of a host have in their articles goes; passages that some articles share stay."""
+    def page(i, extra=""):
+        return f"<nav>m{i}</nav><article><p>Read more of us</p><p>own {i}</p>{extra}<p>further {i}</p></article>"
+
+    rows = [(i, f"http://h.com/{i:03d}", page(i, "<p>a passage</p>" * (i // 4 % 2))) for i in range(40)]
+    rows += [(100 + i, f"http://few.com/{i}", page(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in main_text(df).collect()}
+    assert all(got[i] == f"own {i}\n" + "a passage\n" * (i // 4 % 2) + f"further {i}" for i in range(40))
+    assert all(got[100 + i] == f"Read more of us\nown {i}\nfurther {i}" for i in range(5))
+
+
+def test_every_page_is_differenced(spark):
+    d = "/root/testdata/sf0.01"
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    raw = pages.selectExpr("page_id as id", "url", "html").withColumns({"host": html_extract.host(F.col("url")), "path": html_extract.path(F.col("url"))})
+    read = html_extract.written(raw.select("id", "url", "host", "path", "html").mapInArrow(html_extract._read, "id bigint, url string, host string, path string, texts array<string>, plain boolean, kept array<int>, marks array<bigint>").withColumn("row", F.monotonically_increasing_id()))
+    got = {r.row: r for r in differenced(read).collect()}
+    rows = sorted((r.asDict() for r in read.collect()), key=lambda r: (r["host"], r["path"], r["id"]))
+    alone = Counter(r["host"] for r in rows)
+    runs = [0]
+    for a, b in zip(rows, rows[1:]):
+        same = a["host"] == b["host"] and any(len(set(aligned(x["marks"], y["marks"])) & set(x["kept"])) >= 0.95 * len(x["kept"]) for x, y in ((a, b), (b, a)))
+        runs.append(runs[-1] + (not same))
+    for i, r in enumerate(rows):
+        beside = [next((rows[j] for j in order if runs[j] != runs[i]), None) for order in (range(i, -1, -1), range(i, len(rows)))]
+        want = set()
+        for other in beside:
+            if other and other["host"] == r["host"]:
+                found = set(aligned(r["marks"], other["marks"])) & set(r["kept"])
+                want |= found if len(found) < 0.95 * len(r["kept"]) else set()
+        assert set(got[r["row"]].places) == want
+        assert got[r["row"]].asked or alone[r["host"]] == 1 or len({runs[k] for k, x in enumerate(rows) if x["host"] == r["host"]}) == 1
+
+
 def plain(n, body, host="h.com", path=None):
     return n, f"http://{host}/{path or f'{n:03d}'}", f"<div>Welcome</div><p>Top</p>{body}<p>Bottom line</p>"
 
@@ -67,7 +126,6 @@ def test_differencing(spark):
     assert (got[70].text, got[71].text, got[72].text) == ("", "x", "")
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert main_text(df.limit(0)).count() == 0
-    assert differenced([1, 2, 3], [0, 1, 2], []) == [0, 1, 2]
 
 
 def test_menus_and_runs_of_copies(spark):
