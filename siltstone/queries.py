@@ -413,7 +413,7 @@ def license_verdict(spark, sf_dir):
     return _wrapped(spark, sf_dir).select("doc_id", T.licence_verdict("xml").alias("v")).select("doc_id", "v.ok", "v.uri", "v.detail")
 
 
-@query(None)
+@query("""select doc_id, 'The √s = ' || (doc_id % 14) || ' TeV pT' || substr('⁰¹²³⁴⁵⁶⁷⁸', cast(doc_id % 9 as int) + 1, 1) || ' α≤β – ref ' as caption from documents""")
 def latex_clean(spark, sf_dir):
     """Generated captions: the tables have no LaTeX."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("The $\\sqrt{s}$ = "), F.col("doc_id") % 14, F.lit(" \\TeV~$p_{T}^{"), F.col("doc_id") % 9, F.lit("}$ \\alpha\\leq\\beta -- ref \\cite{a"), "doc_id", F.lit("}")).alias("caption"))

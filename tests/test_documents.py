@@ -10,7 +10,7 @@ from siltstone.functions import text as T
 from siltstone.functions.latex import clean
 from siltstone.operators import documents, fidelity
 from siltstone.operators.foreign import from_publisher, from_tei
-from siltstone.operators.house import body_latex, measure, orphan_figures, prose, residual, to_house, wire
+from siltstone.operators.house import body_latex, latex_spans, measure, orphan_figures, prose, residual, to_house, wire
 from siltstone.operators.tree import parse, serialise
 from siltstone.sources.archives import is_jats, kind, pick_figures, read_members, transform_for, unzipped
 
@@ -85,11 +85,20 @@ def test_rows_never_fail_the_job(spark):
 @pytest.mark.parametrize("raw, want", [
     (r"$\sqrt{s}$ = 13 \TeV", "√s = 13 TeV"), (r"$p_{T}^{2}$", "pT²"), (r"\alpha\leq\le", "α≤≤"), (r"a -- b --- c", "a – b — c"), (r"x^{-1}_{0}", "x⁻¹₀"), (r"m_{\mathrm{lep}}", "mₗₑₚ"), (r"\bar{t}t", "t̄t"),
     (r"\frac{a}{b} \SI{13}{TeV}", "a/b 13 TeV"), (r"5\% \& ( a )", "5% & (a)"), (r"see \cite{x} .", "see."), (r"\foo{bar}", "bar"), ("plain", "plain"), ("", ""), (None, None), (r"\mX^\pm", "mX±"), (r"\left( x \right)", "(x)"), ("q^{q}", "qq"),
+    (r"H\to\gamma\gamma, \MET", "H→γγ, ETᵐⁱˢˢ"), (r"a\, b\quad c~d", "a b c d"), (r"\sqrt 2 \hat x\=o \={u}", "√2 x\u0304o\u0304 u\u0304"), (r"\overline{ab} \num{5}", "a\u0304b 5"), (r"\textrm{\mathbf{x}} {y}", "x y"),
+    (r"\looseness=-1 text \label{q}end", " text end"), ("a ^ b _", "a ^ b _"), (r"\SI{1} \frac", "1 "), (r"x_i^2", "xᵢ²"), (r"\ref", ""), (r"a\\b", "a\\"), ("{", "{"), ("${", ""), ("-----", "—–"),
 ])
 def test_latex(raw, want):
     assert clean(raw) == want
 
 
+def test_latex_spans():
+    text = r"a \$5 $x$ $$y$$ \[z\] \(w\) \begin{align*}p&q\end{align*} \cite{k, l} \citep {m} $open \begin{other}x\end{other} $$"
+    got = [(kind, content) for _, _, kind, content in latex_spans(text)]
+    assert got[:7] == [("inline", "x"), ("block", "y"), ("block", "z"), ("inline", "w"), ("block", "p&q"), ("cite", "k, l"), ("cite", "m")] and list(latex_spans(r"\$a\$ \begin{equation")) == []
+    assert [text[a:b] for a, b, _, _ in latex_spans(text)][:2] == ["$x$", "$$y$$"]
+
+
 def test_text_functions(spark):
     one = lambda c: spark.range(1).select(c.alias("v")).first().v
     assert one(T.slug(F.lit("--Taylor & Francis!"))) == "taylor-francis" and one(T.slug(F.lit(None).cast("string"), "unknown")) == "unknown"
