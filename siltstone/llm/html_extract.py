@@ -349,10 +349,10 @@ def deleted(read: DataFrame, found: DataFrame, share: float = TEMPLATE, least: i
     """(row, places): the blocks that go."""
     asked = found.where("asked").groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least)
     each = found.where("size(places) > 0").select("row", "host", F.explode(F.arrays_zip("places", "lines")).alias("x")).select("row", "host", "x.places", "x.lines")
-    votes = each.select("row", "host", "lines").distinct().groupBy("host", "lines").agg(F.count(F.lit(1)).alias("n"))
-    template = votes.join(asked, "host").where(F.col("n") >= share * F.col("pages")).select("host", "lines")
+    votes = found.select("host", F.explode(F.array_distinct("lines")).alias("lines")).groupBy("host", "lines").agg(F.count(F.lit(1)).alias("n"))
+    template = written(votes.join(asked, "host").where(F.col("n") >= share * F.col("pages")).select("host", "lines"))
     plain = read.where("plain and size(kept) > 0").select("row")
-    gone = each.join(plain, "row", "left_semi").select("row", "places").unionByName(each.join(template, ["host", "lines"], "left_semi").select("row", "places"))
+    gone = each.join(plain, "row", "left_semi").select("row", "places").unionByName(near(each, [F.col("host"), F.col("lines")], template, ["host", "lines"]).join(template, ["host", "lines"], "left_semi").select("row", "places"))
     return gone.groupBy("row").agg(F.collect_set("places").alias("gone"))  # of one page
 
 
