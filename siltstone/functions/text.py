@@ -43,6 +43,7 @@ def doi_variants(doi: Column | str, figures: bool = False) -> Column:
     """A DOI and the spellings a case-sensitive index has of it; ``figures``: the shorter list of the figure source."""
     d = _c(doi)
     part = lambda p, i: F.regexp_extract(d, p, i)
+    # fixed values: the spellings of two publishers' identifiers
     aps, jhep = r"^(10\.1103)/([a-z]+)\.(.+)$", r"^(10\.1007)/jhep(\d+)\((\d+)\)(\d+)$"
     cased = F.lit(None).cast("string")
     for low, proper in APS_CASE.items():
@@ -59,6 +60,7 @@ def native_urls(doi: Column | str, journal: Column | str) -> Column:
     is_ = lambda p: F.startswith(d, F.lit(p))
     number = lambda p: F.nullif(F.regexp_extract(d, p, 1), F.lit(""))
     name = F.replace(F.trim(F.regexp_replace(F.lower(F.coalesce(_c(journal), F.lit(""))), "^frontiers (in|of) ", "")), F.lit(" "), F.lit("-"))
+    # fixed values: where each publisher serves its files
     urls = [
         F.when(is_("10.1371/"), F.concat(F.lit("https://journals.plos.org/plosone/article/file?id="), d, F.lit("&type=manuscript"))),
         F.when(is_("10.7554/"), F.concat(F.lit("https://elifesciences.org/articles/"), number(r"(?i)elife\.(\d+)"), F.lit(".xml"))),
@@ -146,11 +148,13 @@ def nfkc(s: pd.Series) -> pd.Series:
 
 
 def normal_form(text: Column | str) -> Column:
-    """Ligatures and Unicode compatibility forms replaced. Plain ASCII, the common case, never leaves the JVM's codegen but for the batch."""
+    """Ligatures and Unicode compatibility forms replaced. A text in plain ASCII has none: it stays in the JVM, and Python gets a null for it."""
     t = _c(text)
+    wide = F.rlike(t, F.lit("[^\\x00-\\x7F]"))
+    spelled = t
     for k, v in LIGATURES.items():
-        t = F.replace(t, F.lit(k), F.lit(v))
-    return nfkc(t)
+        spelled = F.replace(spelled, F.lit(k), F.lit(v))
+    return F.when(wide, nfkc(F.when(wide, spelled))).otherwise(t)
 
 
 def tokens(text: Column | str) -> Column:
@@ -174,8 +178,8 @@ def numerals(toks: Column | str) -> Column:
     return F.array_distinct(F.filter(_c(toks), lambda t: t.rlike("[0-9]") & (F.length(t) >= 2)))
 
 
-def shingles(toks: Column | str, n: int = 5) -> Column:
-    """Every n tokens in a row, in order; none of fewer than n.
+def shingles(toks: Column | str, n: int = 5, hashed: bool = False) -> Column:
+    """Every n tokens in a row, in order; none of fewer than n. ``hashed``: as 64-bit numbers, for sets that are only counted.
 
     The array is shifted and zipped, so that it is never named inside a lambda: where a filter is
     pushed down, Catalyst puts what makes the array in place of its name, and would run it per element.
@@ -183,7 +187,7 @@ def shingles(toks: Column | str, n: int = 5) -> Column:
     t = _c(toks)
     m = F.greatest(F.size(t) - (n - 1), F.lit(0))
     zipped = F.arrays_zip(*[F.slice(t, i + 1, m).alias(f"t{i}") for i in range(n)])
-    return F.transform(zipped, lambda z: F.concat_ws(" ", *[z.getField(f"t{i}") for i in range(n)]))
+    return F.transform(zipped, lambda z: F.xxhash64(*[z.getField(f"t{i}") for i in range(n)]) if hashed else F.concat_ws(" ", *[z.getField(f"t{i}") for i in range(n)]))
 
 
 def caption_key(text: Column | str) -> Column:

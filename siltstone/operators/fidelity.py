@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normal_form, numerals, shingles, tokens, with_letter
@@ -12,6 +14,8 @@ from .spread import spread
 DEFAULTS = {"grounding": 0.60, "fail": 0.40, "floor": 0.65, "mass": 0.35, "source_tokens": 2000, "n": 5, "runs": 5}
 
 
+#: Words of both sides that are aligned at once.
+SLICE_WORDS = 1 << 20
 METRICS = ["completeness", "grounding", "mass_ratio", "num_recall"]
 
 
@@ -24,16 +28,16 @@ def _thousandths(x: Column) -> Column:
 
 
 def streams(pairs: DataFrame, normalise: bool = True) -> DataFrame:
-    """Tokens, letter tokens, distinct shingles and numerals of both texts of a pair (pair_id, source_text, target_text, ...)."""
+    """Tokens and letter tokens of both texts of a pair (pair_id, source_text, target_text, ...)."""
     norm = normal_form if normalise else F.col
     out = spread(pairs).withColumns({f"{s}_all": tokens(norm(f"{s}_text")) for s in ("source", "target")})
-    out = out.withColumns({f"{s}_toks": with_letter(f"{s}_all") for s in ("source", "target")})
-    return out.withColumns({f"{s}_list": shingles(f"{s}_toks", DEFAULTS["n"]) for s in ("source", "target")} | {f"{s}_nums": numerals(f"{s}_all") for s in ("source", "target")})
+    return out.withColumns({f"{s}_toks": with_letter(f"{s}_all") for s in ("source", "target")})
 
 
 def metrics(pairs: DataFrame, normalise: bool = True) -> DataFrame:
     """completeness, grounding, mass_ratio and num_recall, unrounded, with token counts. Sets stay within a row: no shuffle."""
-    s = streams(pairs, normalise).withColumns({"source_set": F.array_distinct("source_list"), "target_set": F.array_distinct("target_list")})
+    both = ("source", "target")
+    s = streams(pairs, normalise).withColumns({f"{x}_set": F.array_distinct(shingles(f"{x}_toks", DEFAULTS["n"], hashed=True)) for x in both} | {f"{x}_nums": numerals(f"{x}_all") for x in both})
     s = s.withColumn("common", F.size(F.array_intersect("source_set", "target_set")))
     return s.withColumns({
         "completeness": _ratio(F.col("common"), F.size("source_set")), "grounding": _ratio(F.col("common"), F.size("target_set")),
@@ -75,19 +79,64 @@ def evaluate(pairs: DataFrame, source_tokens: int = DEFAULTS["source_tokens"], n
     return judged(pairs, source_tokens, normalise).withColumns({k: _thousandths(F.col(k)) for k in (*METRICS, "pass_floor")})
 
 
+def _codes(columns: list[np.ndarray]) -> np.ndarray:
+    """A number for each row of these columns, the same for equal rows."""
+    out = columns[0]
+    for c in columns[1:]:
+        out = np.unique(out * (int(c.max(initial=0)) + 1) + c, return_inverse=True)[1]
+    return out
+
+
+def _shingled(words: np.ndarray, size: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, position, place of the first word) of every shingle of rows of so many words."""
+    begin, count = np.cumsum(size) - size, np.maximum(size - n + 1, 0)
+    row = np.repeat(np.arange(len(size)), count)
+    at = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+    return row, at, begin[row] + at
+
+
+def lacking(source: pa.ListArray, target: pa.ListArray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, position) of the shingles of each source that its target lacks, in order. Both are lists of words."""
+    flat = [x.flatten() for x in (source, target)]
+    codes = pa.chunked_array(flat).combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+    sizes = [x.value_lengths().to_numpy().astype(np.int64) for x in (source, target)]
+    (row, at, first), (row2, _, first2) = (_shingled(codes, size, n) for size in sizes)
+    first = np.concatenate([first, first2 + len(flat[0])])
+    key = _codes([np.concatenate([row, row2]), *(codes[first + i] for i in range(n))])
+    out = ~np.isin(key[: len(row)], key[len(row) :])
+    return row[out], at[out]
+
+
+def _runs(n: int, most: int):
+    """(pair_id, shingles, at_token, snippet). Batches: pair_id, source and target words."""
+    def found(batch):
+        words = batch.column(1)
+        row, at = lacking(words, batch.column(2), n)
+        new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)]) if len(row) else np.zeros(0, np.int64)
+        size, row, at = np.diff(np.r_[new, len(row)]), row[new], at[new]
+        order = np.lexsort((at, -size, row))
+        row, at, size = row[order], at[order], size[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = (place < most) & (size >= n)
+        row, at, size = row[keep], at[keep], size[keep]
+        said = [" ".join(words[r].as_py()[a : a + 24])[:160] for r, a in zip(row.tolist(), at.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(size.astype(np.int64)), pa.array(at.astype(np.int32)), pa.array(said, pa.string())], names=["pair_id", "shingles", "at_token", "snippet"])
+
+    def run(batches):
+        for whole in batches:
+            ends, i = np.cumsum([sum(x) for x in zip(*(whole.column(c).value_lengths().fill_null(0).to_pylist() for c in (1, 2)), strict=True)]), 0
+            while i < whole.num_rows:  # some SLICE_WORDS at a time, one pair at least
+                stop = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SLICE_WORDS, side="right")))
+                yield found(whole.slice(i, stop - i))
+                i = stop
+    return run
+
+
 def missing_runs(pairs: DataFrame, normalise: bool = True) -> DataFrame:
     """(pair_id, shingles, at_token, snippet) of the longest runs of source shingles that the target lacks.
 
-    Gaps and islands: a run is constant in position less its rank among the missing. The longest five
-    runs (of equals the first) are taken, then those shorter than a shingle go.
+    A run is a stretch of missing shingles in a row. The longest five runs (of equals the first) are
+    taken, then those shorter than a shingle go. All of it lies within a pair: one pass, no shuffle.
     """
-    s = streams(pairs, normalise)
-    at = s.select("pair_id", F.posexplode_outer("source_list").alias("pos", "shingle")).where("pos is not null")
-    there = s.select("pair_id", F.explode_outer(F.array_distinct("target_list")).alias("shingle"))
-    lacking = at.join(there, ["pair_id", "shingle"], "left_anti").select("pair_id", "pos")
-    island = F.col("pos") - F.row_number().over(Window.partitionBy("pair_id").orderBy("pos"))
-    runs = lacking.withColumn("island", island).groupBy("pair_id", "island").agg(F.count(F.lit(1)).alias("shingles"), F.min("pos").alias("at_token"))
-    place = F.row_number().over(Window.partitionBy("pair_id").orderBy(F.desc("shingles"), "at_token"))
-    top = runs.withColumn("place", place).where((F.col("place") <= DEFAULTS["runs"]) & (F.col("shingles") >= DEFAULTS["n"]))
-    words = F.array_join(F.slice("source_toks", F.col("at_token") + 1, 24), " ")
-    return top.join(s.select("pair_id", "source_toks"), "pair_id").select("pair_id", "shingles", "at_token", F.substring(words, 1, 160).alias("snippet"))
+    s = streams(pairs, normalise).select("pair_id", *[F.coalesce(f"{x}_toks", F.array().cast("array<string>")) for x in ("source", "target")])
+    return s.mapInArrow(_runs(DEFAULTS["n"], DEFAULTS["runs"]), f"pair_id {pairs.schema['pair_id'].dataType.simpleString()}, shingles bigint, at_token int, snippet string")

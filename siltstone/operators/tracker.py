@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.rules import route_works
+from ..shipping import ship
 from ..sources.records import OUTCOME_COLUMNS, pin_types, sidecar_columns
 
+#: Rows of a range that is numbered by one task.
+RANKED_ROWS = 500_000
 STATUSES = ["pending", "ingested", "partial", "escalate", "failed"]
 OUTCOME_TYPES = {"ingest_status": "string", "gates_passed": "boolean", "figures_status": "string", "escalate_reason": "string", "ingest_mid": "string", "ingest_ts": "string"}
 SIDE_TYPES = {"sidecar_path": "string", "sidecar": "string", "n_assets": "int", "err_count": "int", "warn_count": "int"}
@@ -108,20 +114,32 @@ def allocate(files: DataFrame, known: DataFrame, prefix: str = "MORE-2025-", fir
     return files.join(known, "id").select("id", "place", "mid").unionByName(made)
 
 
-def ranked(df: DataFrame, order: str, parts: int = 64) -> DataFrame:
-    """rank from 1 over all rows in order (of a unique column), by ranges instead of one window over everything."""
-    lo, hi = df.agg(F.min(order), F.max(order)).first()
-    lo, step = lo or 0, max(1, -(-((hi or 0) - (lo or 0) + 1) // parts))
-    part = F.floor((F.col(order) - lo) / step)
-    counts = df.groupBy(part.alias("_part")).count()
+def ranked(df: DataFrame, order: str) -> DataFrame:
+    """rank from 1 over all rows in order (of a unique column, a number or a string).
+
+    Rows are numbered within ranges of about RANKED_ROWS, and the ranges set one after another. Where
+    ranges begin is read from a bounded sample, so neither a far outlier nor a dense stretch makes a large one.
+    """
+    n = df.count()
+    parts = -(-n // RANKED_ROWS)
+    bounds: list = []
+    if parts > 1:
+        seen = sorted(r[0] for r in df.select(order).sample(min(1.0, 50 * parts / n), seed=7).collect() if r[0] is not None)
+        bounds = sorted({seen[i * len(seen) // parts] for i in range(1, parts)}) if seen else []
+
+    @F.pandas_udf("int")
+    def range_of(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: bisect_right(bounds, v), na_action="ignore").fillna(0).astype("int32")
+
+    ship(df.sparkSession)
+    placed = df.withColumn("_part", range_of(F.col(order)) if bounds else F.lit(0))
+    counts = placed.groupBy("_part").count()
     before = counts.select("_part", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_part").orderBy(order))
-    return df.withColumn("_part", part).join(before, "_part").withColumn("rank", F.col("_before") + within).drop("_part", "_before")
+    return placed.join(before, "_part").withColumn("rank", F.col("_before") + within).drop("_part", "_before")
 
 
 def pilot_numbers(rows: DataFrame, prefix: str = "MORE-2025-99", width: int = 4) -> DataFrame:
-    """rows (id, slug) numbered from 0 in order of slug and id: within a slug by a window, slugs after one another by their sizes."""
-    sizes = rows.groupBy("slug").count()
-    before = sizes.select("slug", F.coalesce(F.sum("count").over(Window.orderBy("slug").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    n = F.col("_b") + F.row_number().over(Window.partitionBy("slug").orderBy("id")) - 1
-    return rows.join(before, "slug").select("id", "slug", F.concat(F.lit(prefix), padded(n, width)).alias("mid"))
+    """rows (id, slug) numbered from 0 in order of slug and id."""
+    numbered = ranked(rows.withColumn("_key", F.concat("slug", F.lit("\u0000"), F.col("id").cast("string"))), "_key")
+    return numbered.select("id", "slug", F.concat(F.lit(prefix), padded(F.col("rank") - 1, width)).alias("mid"))

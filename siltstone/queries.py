@@ -225,12 +225,12 @@ def attempts_plan(spark, sf_dir):
     return selection.attempts(routed(spark, sf_dir).select("id"), logged(spark, sf_dir), 200)
 
 
-@query(f"""{ROUTED_SQL}{OUTCOMES_SQL}, known as (select id, mid from outcomes where mid is not null), f as (select concat('W', doc_id) as id, doc_id as place from documents where doc_id % 2 = 0 or doc_id % 3 = 0),
+@query(f"""{ROUTED_SQL}{OUTCOMES_SQL}, known as (select id, mid from outcomes where mid is not null), f as (select concat('W', doc_id) as id, doc_id as place from documents),
   top as (select coalesce(max(cast(regexp_extract(mid, '-([0-9]+)$', 1) as bigint)), 910000) as top from known where regexp_matches(mid, '-[0-9]+$')),
   fresh as (select id, place, row_number() over (order by place) as r from f anti join known using (id))
-  select id, place, mid from f join known using (id) union all select id, place, concat('MORE-2025-', lpad(cast(top + r as varchar), 6, '0')) from fresh, top""")
+  select id, place, mid from f join known using (id) union all select id, place, concat('MORE-2025-', lpad(cast(top + r as varchar), cast(greatest(6, length(cast(top + r as varchar))) as integer), '0')) from fresh, top""")
 def mid_allocation(spark, sf_dir):
-    files = table(spark, sf_dir, "documents").where("doc_id % 2 = 0 or doc_id % 3 = 0").select(F.concat(F.lit("W"), "doc_id").alias("id"), F.col("doc_id").alias("place"))
+    files = table(spark, sf_dir, "documents").select(F.concat(F.lit("W"), "doc_id").alias("id"), F.col("doc_id").alias("place"))
     return tracker.allocate(files, outcomes(spark, sf_dir).where("mid is not null").select("id", "mid"))
 
 
@@ -277,8 +277,8 @@ def sidecar_idioms(spark, sf_dir):
     return j.select("id", F.coalesce(at("$.assets.source") == "repo_pdf", F.lit(False)).alias("from_repository"), F.json_array_length(at("$.assets.manifest")).alias("n"))
 
 
-@query(f"""{WORKS_SQL}, r as (select id, substring(trim(regexp_replace(lower(publisher), '[^a-z0-9]+', '-', 'g'), '-'), 1, 40) as slug from works where has_grobid and publisher is not null)
-  select id, slug, concat('MORE-2025-99', lpad(cast(row_number() over (order by slug, id) - 1 as varchar), 4, '0')) as mid from r""")
+@query(f"""{WORKS_SQL}, r as (select id, substring(trim(regexp_replace(lower(publisher), '[^a-z0-9]+', '-', 'g'), '-'), 1, 40) as slug from works where has_grobid and publisher is not null), o as (select *, row_number() over (order by slug, id) - 1 as n from r)
+  select id, slug, concat('MORE-2025-99', lpad(cast(n as varchar), cast(greatest(4, length(cast(n as varchar))) as integer), '0')) as mid from o""")
 def pilot_numbers(spark, sf_dir):
     w = works(spark, sf_dir).where("has_grobid and publisher is not null").select("id", T.slug("publisher").alias("slug"))
     return tracker.pilot_numbers(w)
@@ -502,13 +502,13 @@ def content_hash(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.hash16("text").alias("sha16"))
 
 
-@query("""with a as (select doc_id, lang, n_chars from documents where doc_id % 10 <> 3), b as (select doc_id, case when doc_id % 9 = 0 then null else lang end as lang, case when doc_id % 4 = 0 then n_chars + 1 else n_chars end as n_chars from documents where doc_id % 10 <> 4)
+@query("""with a as (select doc_id, lang, n_chars from documents), b as (select case when doc_id % 10 = 4 then -1 - doc_id else doc_id end as doc_id, case when doc_id % 9 = 0 then null else lang end as lang, case when doc_id % 4 = 0 then n_chars + 1 else n_chars end as n_chars from documents)
   select count(*) filter (where a.doc_id is not null and b.doc_id is not null and a.lang is distinct from b.lang) as lang, count(*) filter (where a.doc_id is not null and b.doc_id is not null and a.n_chars is distinct from b.n_chars) as n_chars,
     count(*) filter (where a.doc_id is null or b.doc_id is null) as unpaired from a full join b using (doc_id)""")
 def table_differences(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    b = d.where("doc_id % 10 <> 4").select("doc_id", F.when(F.col("doc_id") % 9 != 0, F.col("lang")).alias("lang"), (F.col("n_chars") + F.when(F.col("doc_id") % 4 == 0, 1).otherwise(0)).alias("n_chars"))
-    return reports.differences(d.where("doc_id % 10 <> 3"), b, "doc_id", ["lang", "n_chars"])
+    b = d.select(F.when(F.col("doc_id") % 10 == 4, -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"), F.when(F.col("doc_id") % 9 != 0, F.col("lang")).alias("lang"), (F.col("n_chars") + F.when(F.col("doc_id") % 4 == 0, 1).otherwise(0)).alias("n_chars"))
+    return reports.differences(d, b, "doc_id", ["lang", "n_chars"])
 
 
 # --- documents

@@ -84,6 +84,18 @@ def test_numbers_outgrow_their_width(spark):
     assert {r.id: r.mid for r in tracker.pilot_numbers(rows).collect()} == {f"W{i:05d}": f"MORE-2025-99{i:04d}" for i in range(10_020)}
 
 
+def test_ranks_by_ranges(spark, monkeypatch):
+    """Many ranges, an outlier and a hot slug: every row has its place."""
+    monkeypatch.setattr(tracker, "RANKED_ROWS", 50)
+    ids = [*range(900), 10**15]
+    got = {r.place: r["rank"] for r in tracker.ranked(spark.createDataFrame([(i,) for i in ids], "place bigint").repartition(5), "place").collect()}
+    assert got == {x: i + 1 for i, x in enumerate(sorted(ids))}
+    rows = [(f"W{i:04d}", "hot" if i % 3 else f"s{i % 7}") for i in range(600)]
+    got = {r.id: int(r.mid[12:]) for r in tracker.pilot_numbers(spark.createDataFrame(rows, "id string, slug string")).collect()}
+    assert got == {x[0]: i for i, x in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    assert tracker.ranked(spark.createDataFrame([], "place bigint"), "place").count() == 0
+
+
 def test_limit_before_skip(spark):
     files = spark.createDataFrame([(f"W{i}",) for i in range(5)], "id string")
     log = spark.createDataFrame([("W0", "ingested"), ("W1", "failed")], "id string, ingest_status string")
