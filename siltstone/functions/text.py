@@ -88,6 +88,20 @@ def person(name: Column | str) -> Column:
     return F.struct(F.array_join(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), " ").alias("given"), F.element_at(w, -1).alias("surname"))
 
 
+def authors(authorships: Column | str) -> Column:
+    """array<struct<author struct<display_name, orcid>, raw_affiliation_strings, institutions array<struct<display_name>>>> as (given, surname, orcid, affs).
+
+    Those without a name go. Affiliations are those printed, or else the institutions' names.
+    """
+    def one(a: Column) -> Column:
+        who = person(F.trim(a["author"]["display_name"]))
+        some = F.filter(F.coalesce(a["raw_affiliation_strings"], F.array().cast("array<string>")), lambda x: x.isNotNull() & (F.trim(x) != ""))
+        houses = F.filter(F.transform(F.coalesce(a["institutions"], F.array().cast("array<struct<display_name:string>>")), lambda i: i["display_name"]), lambda x: x.isNotNull() & (x != ""))
+        return F.struct(who["given"].alias("given"), who["surname"].alias("surname"), F.coalesce(a["author"]["orcid"], F.lit("")).alias("orcid"), F.when(F.size(some) > 0, some).otherwise(houses).alias("affs"))
+    named = F.filter(_c(authorships), lambda a: F.coalesce(F.trim(a["author"]["display_name"]), F.lit("")) != "")
+    return F.coalesce(F.transform(named, one), F.array().cast("array<struct<given:string,surname:string,orcid:string,affs:array<string>>>"))
+
+
 def split_list(text: Column | str) -> Column:
     """Parts at commas outside of double quotes; quotes go, an empty last part too."""
     parts = F.split(F.regexp_replace(_c(text), r',(?=(?:[^"]*"[^"]*")*[^"]*$)', "\u0001"), "\u0001")

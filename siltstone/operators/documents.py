@@ -8,8 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .foreign import bibliography_size, from_publisher, from_tei
-from .house import body_latex, captions, measure, prose, residual, to_house, wire
+from ..shipping import ship
+from .foreign import bibliography_size, from_publisher, from_tei, source_journal
+from .house import body_latex, captions, front_latex, measure, prose, residual, to_house, wire
 from .spread import spread
 from .tree import parse, serialise
 
@@ -36,13 +37,15 @@ def _per_document(fields: list[tuple[str, pa.DataType]], make):
 
 def _housed(xml: str, kind: str, mid: str, meta: str | None, codes: list | None, have: list | None):
     known = json.loads(meta or "{}")
-    root = parse(xml)
+    root = parse(xml, recover=True)
     if kind == "tei":
         root = from_tei(root, known, known.get("reference_style", "author-year"), known.get("headings_numbered"))
     elif kind == "elsevier":
-        root = from_publisher(root, known)
+        root = from_publisher(root, {**known, "journal": source_journal(root) or known.get("journal")})
     root, missing = to_house(root, mid, [(c["code"], c["label"]) for c in codes or []], have)
     captions(root)
+    if "\\" in xml or "$" in xml:
+        front_latex(root)
     if "\\cite" in xml or "$" in xml:
         body_latex(root)
     return DOCTYPE + serialise(root) + "\n", missing, residual(root)
@@ -58,6 +61,7 @@ def crosswalk(sources: DataFrame) -> DataFrame:
 def fingerprint(articles: DataFrame, column: str = "article") -> DataFrame:
     """(id, the eleven measures but the external validation, error)."""
     kinds = {"boolean": pa.bool_(), "int": pa.int32()}
+    ship(articles.sparkSession)
     fields = [(n, kinds[k]) for n, k in (x.split() for x in FINGERPRINT.split(", "))]
     run = _per_document(fields, lambda xml: tuple(measure(parse(xml)).values()))
     return articles.select(F.col("id").cast("string"), column).mapInArrow(run, f"id string, {FINGERPRINT}, error string")
@@ -65,13 +69,15 @@ def fingerprint(articles: DataFrame, column: str = "article") -> DataFrame:
 
 def texts(articles: DataFrame, column: str = "article") -> DataFrame:
     """(id, prose without mathematics, ref count, error), the input of the fidelity check."""
+    ship(articles.sparkSession)
     run = _per_document([("text", pa.string()), ("refs", pa.int32())], lambda xml: (prose(r := parse(xml)), sum(1 for _ in r.walk("ref"))))
     return articles.select(F.col("id").cast("string"), column).mapInArrow(run, "id string, text string, refs int, error string")
 
 
 def bibliographies(sources: DataFrame, column: str = "xml") -> DataFrame:
     """(id, references in the TEI's bibliography, error)."""
-    run = _per_document([("refs", pa.int32())], lambda xml: (bibliography_size(parse(xml)),))
+    ship(sources.sparkSession)
+    run = _per_document([("refs", pa.int32())], lambda xml: (bibliography_size(parse(xml, recover=True)),))
     return sources.select(F.col("id").cast("string"), column).mapInArrow(run, "id string, refs int, error string")
 
 
@@ -82,6 +88,7 @@ def repair_figures(articles: DataFrame) -> DataFrame:
         n, uneven = wire(root, [(f["file"], f["caption"], f["num"]) for f in found or []])
         captions(root)
         return DOCTYPE + serialise(root) + "\n", n, uneven
+    ship(articles.sparkSession)
     run = _per_document([("article", pa.string()), ("wired", pa.int32()), ("uneven", pa.bool_())], make)
     return articles.select(F.col("id").cast("string"), "article", "found").mapInArrow(run, "id string, article string, wired int, uneven boolean, error string")
 
@@ -107,6 +114,22 @@ def figure_stubs(xml: str) -> Column:
     return F.array_distinct(F.filter(found, lambda h: (h != "") & ~F.startswith(h, F.lit("http")) & ~F.startswith(h, F.lit("/")) & ~F.contains(h, F.lit(".."))))
 
 
+def linked_members(links: DataFrame, members: DataFrame) -> DataFrame:
+    """links (id, path, names): one row per name, in order, that the archive at path has a member (path, member) of."""
+    each = links.select("id", "path", F.posexplode("names").alias("place", "member"))
+    return each.join(members.select("path", "member").where("member is not null"), ["path", "member"], "left_semi").select("id", "path", "place", "member")
+
+
+def checked(articles: DataFrame, sources: DataFrame, source_texts: DataFrame, **thresholds) -> DataFrame:
+    """The fidelity check of converted files: articles (id, article), sources (id, xml) for their reference counts, source_texts (id, text)."""
+    from .fidelity import evaluate
+
+    target = texts(articles).select("id", F.col("text").alias("target_text"), F.col("refs").alias("ref_target"))
+    counts = bibliographies(sources).select("id", F.col("refs").alias("ref_source"))
+    pairs = target.join(source_texts.select(F.col("id").cast("string").alias("id"), F.col("text").alias("source_text")), "id").join(counts, "id", "left")
+    return evaluate(pairs.withColumnRenamed("id", "pair_id").withColumn("floor", F.lit(None).cast("double")), **thresholds)
+
+
 def sample_articles(docs: DataFrame) -> DataFrame:
     """Articles of three vocabularies made from whole documents, for queries over the test tables."""
     body = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))

@@ -44,11 +44,10 @@ def landscape(works: DataFrame) -> DataFrame:
 def facets(works: DataFrame, top: int = 10) -> DataFrame:
     """Top values of journal, version, licence and year: one scan by grouping sets, the first ten of each facet."""
     spark = works.sparkSession
-    works.where("is_oa").createOrReplaceTempView("_siltstone_facets")
     n = spark.sql("""
         select case grouping_id(journal, version, license, year) when 7 then 'journal' when 11 then 'version' when 13 then 'license' else 'year' end as facet,
                coalesce(journal, version, license, cast(year as string), '(none)') as value, count(*) as n
-        from _siltstone_facets group by grouping sets ((journal), (version), (license), (year))""")
+        from {w} group by grouping sets ((journal), (version), (license), (year))""", w=works.where("is_oa"))
     place = F.row_number().over(Window.partitionBy("facet").orderBy(F.desc("n"), "value"))
     return n.withColumn("place", place).where(F.col("place") <= top)
 

@@ -7,6 +7,8 @@ Comments and processing instructions go; a document type is read over.
 
 from __future__ import annotations
 
+import html
+import re
 from collections.abc import Callable, Iterator
 from xml.parsers import expat
 from xml.sax.saxutils import escape, quoteattr
@@ -71,8 +73,53 @@ def joined(kids: list[Node | str]) -> list[Node | str]:
     return out
 
 
-def parse(text: str) -> Node:
-    """The tree of a document; raises ValueError where it isn't well formed."""
+# A tag, or what has none of the text in it; a CDATA section's content is text.
+PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<raw>.*?)(?:\]\]>|\Z)|<\?.*?(?:\?>|\Z)|<![A-Za-z][^\[>]*(?:\[.*?\]\s*)?>|<(?P<end>/?)(?P<name>[A-Za-z_][\w:.-]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+ATTRIBUTE = re.compile(r"([A-Za-z_][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')")
+
+
+def recovered(text: str) -> Node:
+    """The tree of a damaged document, as far as it can be told.
+
+    An end that closes nothing open is passed over; one that closes an outer element closes those
+    inside too; what is open at the end ends there; a reference that isn't known stays as it is written; a stray
+    angle bracket is text. Raises ValueError where there is no element at all.
+    """
+    root = Node("")
+    stack, at = [root], 0
+
+    def write(data: str) -> None:
+        kids = stack[-1].kids
+        if data and kids and isinstance(kids[-1], str):
+            kids[-1] += data
+        elif data:
+            kids.append(data)
+
+    for m in PIECE.finditer(text):
+        write(html.unescape(text[at : m.start()]))
+        at = m.end()
+        if m["raw"] is not None:
+            write(m["raw"])
+        if not m["name"]:
+            continue
+        name = m["name"].rpartition(":")[2]
+        if m["end"]:
+            if any(n.name == name for n in stack[1:]):
+                while stack.pop().name != name:
+                    pass
+            continue
+        attrs = {k if k.startswith(("xlink:", "xml:")) else k.rpartition(":")[2]: html.unescape(a or b) for k, a, b in ATTRIBUTE.findall(m["rest"]) if not k.startswith("xmlns")}
+        stack[-1].kids.append(Node(name, attrs))
+        if not m["rest"].rstrip().endswith("/"):
+            stack.append(stack[-1].kids[-1])
+    write(html.unescape(text[at:]))
+    if not root.nodes():
+        raise ValueError("not well formed: no element")
+    return root.nodes()[0]
+
+
+def parse(text: str, recover: bool = False) -> Node:
+    """The tree of a document. Where it isn't well formed, what can be told of it with ``recover``, else ValueError."""
     root = Node("")
     stack = [root]
 
@@ -99,6 +146,8 @@ def parse(text: str) -> Node:
     try:
         p.Parse(text, True)
     except expat.ExpatError as e:
+        if recover:
+            return recovered(text)
         raise ValueError(f"not well formed: {e}") from e
     return root.nodes()[0]
 

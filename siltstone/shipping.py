@@ -13,10 +13,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends a zip of the package along, once an application, unless executors see the sources by PYTHONPATH or working folder."""
-    app = spark.sparkContext.applicationId
+    """Sends a zip of the package along, once an application. On one machine executors may see the sources by PYTHONPATH or working folder; of others that can't be told."""
+    app, local = spark.sparkContext.applicationId, spark.sparkContext.master.partition("[")[0] == "local"
     seen = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if app in _SHIPPED or ROOT in seen or os.path.realpath(os.getcwd()) == ROOT:
+    if app in _SHIPPED or local and (ROOT in seen or os.path.realpath(os.getcwd()) == ROOT):
         return
     path = os.path.join(os.path.realpath(tempfile.mkdtemp()), "siltstone.zip")
     with zipfile.ZipFile(path, "w") as z:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import doi_variants, native_urls
@@ -72,6 +72,42 @@ def eprint(records: Column) -> Column:
     return F.get(F.filter(every, lambda v: v.rlike(r"^\d{4}\.\d{4,5}$")), F.lit(0))
 
 
+def topic(raw: str = "primary_topic") -> list[Column]:
+    """(field, domain) of a record's main topic."""
+    return [F.col(f"{raw}.field.display_name").alias("field"), F.col(f"{raw}.domain.display_name").alias("domain")]
+
+
+def figure_addresses(doi: Column, images: Column) -> Column:
+    """Addresses of a journal's figures by their number in the image's name, in order; none for other publishers."""
+    number = lambda h: F.regexp_extract(h, r"\.(g\d+)", 1)
+    made = F.transform(F.filter(images, lambda h: number(h) != ""), lambda h: F.concat(F.lit("https://journals.plos.org/plosone/article/figure/image?id="), doi, F.lit("."), number(h), F.lit("&size=large")))
+    return F.when(F.startswith(doi, F.lit("10.1371/")), made).otherwise(F.array().cast("array<string>"))
+
+
+def source_figures(picked: DataFrame, order: DataFrame, wanted: DataFrame) -> DataFrame:
+    """picked (path, stem, member), order (path, place, stem), wanted (path, figures): (path, number, member), or nothing of an archive.
+
+    Figures are numbered as the source includes them, or, where it includes none of them, by name. An archive with more
+    or fewer images than the article has figures isn't used: which is which can't be told.
+    """
+    first = order.groupBy("path", "stem").agg(F.min("place").alias("place"))
+    placed = picked.join(first, ["path", "stem"], "left")
+    named = F.count("place").over(Window.partitionBy("path"))
+    every = F.count(F.lit(1)).over(Window.partitionBy("path"))
+    sure = placed.withColumns({"named": named, "every": every}).join(wanted, "path").where((F.col("every") == F.col("figures")) & F.col("named").isin(F.lit(0), F.col("every")))
+    return sure.select("path", F.row_number().over(Window.partitionBy("path").orderBy("place", "stem")).alias("number"), "member")
+
+
+def discovered_id(results: Column, doi: Column) -> Column:
+    """The central id of the first result (array<struct<doi, pmcid>>) with this very DOI that has one."""
+    return F.get(F.filter(results, lambda r: (F.lower(r["doi"]) == F.lower(doi)) & F.startswith(r["pmcid"], F.lit("PMC"))), F.lit(0))["pmcid"]
+
+
+def with_fallback(primary: Column, fallback: Column, good) -> Column:
+    """The first of two answers that is good, and null when neither is."""
+    return F.when(F.coalesce(good(primary), F.lit(False)), primary).when(F.coalesce(good(fallback), F.lit(False)), fallback)
+
+
 def body_reference(text: str) -> Column:
     """The address of the full text in a header-only deposit; null for a text that is an article already or has none."""
     found = F.nullif(F.regexp_extract(text, r'<BodyRef[^>]*FileRef="([^"]+\.ft\.xml)"', 1), F.lit(""))

@@ -1,11 +1,17 @@
-"""Writing: pages by year, manifests, house XML files, staged folders. Commits are Spark's."""
+"""Writing: pages by year, manifests, house XML files, staged folders. Commits are Spark's.
+
+The outcome log is the only truth; the tracker is a view built from it, so nothing is written twice and a
+second write can't be missed."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tracker import latest
+from ..operators.tracker import latest, published
 
 
 def write_pages(works: DataFrame, path: str, year: str = "year") -> None:
@@ -31,6 +37,43 @@ def write_articles(articles: DataFrame, path: str, parts: int | None = None) ->
     (rows.repartition(parts) if parts else rows).write.mode("overwrite").option("compression", "gzip").json(path)
 
 
+def write_article_files(articles: DataFrame, path: str) -> None:
+    """One XML file per article, named by its id, in a folder that all executors share; for deliveries, not for stores of millions.
+
+    A file is written under another name and moved, so a task that runs again leaves whole files.
+    """
+    from ..shipping import ship
+
+    ship(articles.sparkSession)
+
+    def write(rows) -> None:
+        os.makedirs(path, exist_ok=True)
+        for r in rows:
+            partial = os.path.join(path, f".{r.id}.{uuid.uuid4().hex}")
+            with open(partial, "w", encoding="utf-8") as f:
+                f.write(r.article)
+            os.replace(partial, os.path.join(path, f"{r.id}.xml"))
+
+    articles.where("article is not null").select("id", "article").foreachPartition(write)
+
+
+def save_table(df: DataFrame, name: str) -> DataFrame:
+    """df as a table of the catalogue, replaced whole."""
+    df.write.mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def publish_view(tracker: DataFrame, name: str = "ccby_vor") -> DataFrame:
+    """The view of openly licensed published versions under a name that SQL can use."""
+    published(tracker).createOrReplaceTempView(name)
+    return tracker.sparkSession.table(name)
+
+
+def write_report(rows: DataFrame, path: str) -> None:
+    """A report, one JSON document a row, in one file: reports are small by what they are."""
+    rows.coalesce(1).write.mode("overwrite").json(path)
+
+
 def promote(spark: SparkSession, staged: str, final: str) -> None:
     """A folder that was written in full takes the place of another; the old one stays until then."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from siltstone.functions import text as T
 from siltstone.functions.latex import clean
 from siltstone.operators import documents, fidelity
-from siltstone.operators.foreign import from_publisher, from_tei
-from siltstone.operators.house import body_latex, latex_spans, measure, orphan_figures, prose, residual, to_house, wire
+from siltstone.operators.foreign import from_publisher, from_tei, source_journal
+from siltstone.operators.house import body_latex, front_latex, latex_spans, measure, orphan_figures, prose, residual, to_house, wire
 from siltstone.operators.tree import parse, serialise
 from siltstone.sources.archives import is_jats, kind, pick_figures, read_members, transform_for, unzipped
 
@@ -63,6 +63,29 @@ def test_publisher_vocabulary():
     assert '<xref ref-type="bibr" rid="bib1">[1]</xref> <sub>i</sub>' in out and "<p>kept</p>" in out and '<pub-id pub-id-type="doi">10.1/z</pub-id>' in out and "<label>1</label>" in out
 
 
+def test_damaged_documents():
+    assert serialise(parse("<a x='1'><b>t</c> &lt; &eacute; 1 < 2<d/></b><e>open", recover=True)) == '<a x="1"><b>t &lt; é 1 &lt; 2<d/></b><e>open</e></a>'
+    assert serialise(parse("<?xml version='1.0'?><!DOCTYPE a [<!ENTITY x 'y'>]><ns:a><!-- no --><![CDATA[1 < 2]]><b></a>after", recover=True)) == "<a>1 &lt; 2<b/></a>"
+    assert serialise(parse("<a><b>whole</b></a>", recover=True)) == "<a><b>whole</b></a>"
+    for text in ("", "no element", "<"):
+        with pytest.raises(ValueError, match="not well formed"):
+            parse(text, recover=True)
+    with pytest.raises(ValueError, match="not well formed"):
+        parse("<a><b></a>")
+    whole = serialise(to_house(parse(JATS), "M", [], ["a.jpg"])[0])
+    for cut in range(len(JATS) // 2, len(JATS), 37):  # a download that broke off
+        parse(JATS[:cut], recover=True)
+    assert serialise(to_house(parse(JATS + "<trailing", recover=True), "M", [], ["a.jpg"])[0]) == whole
+
+
+def test_front_matter_and_journal():
+    root = parse(r"<article><front><article-title>A $\alpha$ b<sub>\beta</sub> \pm c <inline-formula><tex-math>$\gamma$</tex-math></inline-formula></article-title></front><body><p>$x$</p></body></article>")
+    front_latex(root)
+    assert serialise(root) == r"<article><front><article-title>A α b<sub>β</sub> ± c <inline-formula><tex-math>$\gamma$</tex-math></inline-formula></article-title></front><body><p>$x$</p></body></article>".replace("<tex-math>", "<tex-math>")
+    assert source_journal(parse("<d xmlns:p='u'><p:srctitle>Second</p:srctitle><p:publicationName> First  J </p:publicationName></d>")) == "First J"
+    assert source_journal(parse("<d><srctitle>S</srctitle></d>")) == "S" and source_journal(parse("<d/>")) is None
+
+
 def test_repair():
     root = parse("<article><fig/><fig><graphic href='assets/x.png'/></fig><fig id='k'><label>L</label></fig></article>")
     assert len(orphan_figures(root)) == 2
@@ -72,7 +95,7 @@ def test_repair():
 
 
 def test_rows_never_fail_the_job(spark):
-    df = spark.createDataFrame([("1", "<article><p>x", "jats"), ("2", JATS, "jats"), ("3", None, "tei")], "id string, xml string, kind string").selectExpr("*", "'M' as mid", "null as meta", "cast(null as array<struct<code:string,label:string>>) as codes", "array('a.jpg') as assets")
+    df = spark.createDataFrame([("1", "<<no element", "jats"), ("2", JATS, "jats"), ("3", None, "tei")], "id string, xml string, kind string").selectExpr("*", "'M' as mid", "null as meta", "cast(null as array<struct<code:string,label:string>>) as codes", "array('a.jpg') as assets")
     got = {r.id: r for r in documents.crosswalk(df).collect()}
     assert got["1"].article is None and "not well formed" in got["1"].error and got["3"].error and got["2"].error is None and got["2"].residual == 0
     prints = documents.fingerprint(documents.crosswalk(df).where("id = '2'")).first()

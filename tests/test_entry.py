@@ -30,15 +30,17 @@ def test_imports_without_the_training_data_folder(tmp_path):
 
 
 def test_executors_get_the_package(tmp_path):
-    """Workers start elsewhere and without a path to the sources."""
+    """Workers start elsewhere and without a path to the sources, and each query is the first of its session."""
     code = f"""
 import sys
 sys.path.insert(0, {ROOT!r})
 from pyspark.sql import SparkSession
 import __spark_entry__ as e
-spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
-for name in ("latex_clean", "xml_crosswalk", "fidelity_verdict", *[n for n in e.queries() if n.startswith("op8_")]):
-    assert e.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+few = ("latex_clean", "xml_crosswalk", "article_fingerprint", "fidelity_verdict", "missing_runs", "caption_matches")
+for name in [n for n in e.queries() if n in few or n.startswith("op") or n == "pipeline"]:
+    spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+    assert e.queries()[name](spark, "/root/testdata/sf0.001").count() > 0, name
+    spark.stop()
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
