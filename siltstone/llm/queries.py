@@ -9,9 +9,9 @@ from .html_extract import op6_page_differencing
 from .minhash_dedup import OP5_SQL, op5_bottom_k_minhash
 from .mixing import op4_raked_mixing
 from .packing import op1_mixture_packing
-from .sharding import op7_jump_shards
+from .sharding import OP7_SQL, op7_jump_shards
 from .toxicity import op3_ordinal_toxicity
-from .url_filter import op2_url_rules
+from .url_filter import OP2_SQL, op2_url_rules
 
 QUERIES = {
     "op1_mixture_packing": op1_mixture_packing,
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lattice_embeddings": op10_lattice_embeddings,
 }
-ORACLES = {"op5_bottom_k_minhash": OP5_SQL, "op8_columnar_chat": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op10_lattice_embeddings": OP10_SQL}
+ORACLES = {"op2_url_rules": OP2_SQL, "op7_jump_shards": OP7_SQL, "op5_bottom_k_minhash": OP5_SQL, "op8_columnar_chat": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op10_lattice_embeddings": OP10_SQL}

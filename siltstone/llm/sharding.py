@@ -88,3 +88,22 @@ def shard(rows: DataFrame, shards: int, key_col: str = "doc_id", text_col: str =
 
 def op7_jump_shards(spark, sf_dir: str) -> DataFrame:
     return shard(parquet(spark, sf_dir, "documents"), shards=8)
+
+
+#: Slots are those of one file that is ordered by its ids, as it is read in one split. The checksum goes over the bits of a text, with a fixed value for its polynomial.
+OP7_SQL = """
+with recursive d as (select doc_id, encode(coalesce(text, '')) as b from documents),
+n as (select unnest([8, 9]) as shards),
+j as (
+  select doc_id, shards, cast(doc_id as uhugeint) as k, cast(-1 as bigint) as b, cast(0 as bigint) as j from documents, n
+  union all
+  select doc_id, shards, k2, j, cast(floor((j + 1) * (2147483648.0 / cast(k2 // 8589934592 + 1 as double))) as bigint)
+  from (select *, (k * 2862933555777941757 + 1) % 18446744073709551616 as k2 from j where j < shards)
+), s as (select doc_id, max(b) filter (where shards = 8 and j >= 8) as shard, max(b) filter (where shards = 9 and j >= 9) as grown from j group by doc_id),
+h as (select doc_id, octet_length(b) as n, hex(b) as x from d),
+v as (select doc_id, n, list_transform(regexp_extract_all(x, '..'), lambda y: cast('0x' || y as bigint)) as bytes from h),
+w as (select doc_id, n, list_prepend(4294967295, flatten(list_transform(bytes, lambda y: [y & 1, (y >> 1) & 1, (y >> 2) & 1, (y >> 3) & 1, (y >> 4) & 1, (y >> 5) & 1, (y >> 6) & 1, (y >> 7) & 1]))) as bits from v),
+c as (select doc_id, n, xor(list_reduce(bits, lambda a, y: xor(a >> 1, case when xor(a & 1, y) = 1 then 3988292384 else 0 end)), 4294967295) as crc from w)
+select doc_id, cast(n + 1 as bigint) as size, cast(crc as bigint) as text_crc32, 'key' as law, cast(shard as integer) as shard, row_number() over (partition by shard order by doc_id) - 1 as slot, cast(grown as integer) as grown_shard
+from c join s using (doc_id)
+"""
