@@ -382,3 +382,13 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 def op6_page_differencing(spark, sf_dir: str) -> DataFrame:
     return main_text(parquet(spark, sf_dir, "pages"))
+
+
+#: Of pages like those of the tables: what is between the tags of their article, with the references that they use.
+OP6_SQL = r"""
+with a as (select page_id, url, split_part(split_part(substring(html, nullif(instr(html, '<article>'), 0) + 9), '</article>', 1), '<footer>', 1) as x from pages),
+b as (select page_id, url, list_transform(regexp_split_to_array(replace(regexp_replace(coalesce(x, ''), '(?s)<!--.*?-->', '', 'g'), '<br>', ' '), '</?(?:p|h1)>'), lambda l: regexp_replace(l, '<[^>]*>', '', 'g')) as lines from a),
+c as (select page_id, url, list_transform(lines, lambda l: replace(replace(replace(replace(l, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) as lines from b),
+d as (select page_id, url, array_to_string(list_filter(list_transform(lines, lambda l: trim(regexp_replace(l, '[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'))), lambda l: l <> ''), chr(10)) as text from c)
+select page_id, url, text, length(text) as n_chars from d
+"""
