@@ -37,6 +37,8 @@ MIN_SHARE = 0.5
 #: P(grade > 0) from which a text is rejected: a toxic text that stays costs more than a clean one that goes.
 REJECT_AT = 0.2
 PREFIXES = (4, 5, 6, 7, 8)
+#: Bags that are looked at at once.
+SLICE_ROWS = 1024
 
 
 def bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +76,7 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _feature_counts(batches):
     """(feature, n, bad): rows and bad rows of each feature, summed for a batch. Batches: id, grade, bag."""
-    for batch in batches:
+    for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
         values, row = _flat(batch.column(2))
         bad = batch.column(1).to_numpy()[row] > 0
         names, cols = np.unique(values, return_inverse=True)
@@ -85,7 +87,7 @@ def _feature_counts(batches):
 def _places(features: np.ndarray):
     """(id, grade, places): which of the features each text has. Batches: id, grade, bag."""
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             values, row = _flat(batch.column(2))
             place = np.minimum(np.searchsorted(features, values), len(features) - 1)
             hit = features[place] == values
