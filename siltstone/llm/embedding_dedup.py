@@ -3,13 +3,15 @@
 Unit vectors are projected at random to blocks of 8 numbers, and each block is decoded to its nearest
 point of the E8 lattice; the points of a table's blocks name a cell. A vector is entered in its own
 cell of each table and in the PROBES next nearest ones, where one block's point is exchanged for a
-neighbour. Vectors that meet in a cell are compared by cosine in double precision.
+neighbour. An entry carries the signs of SIGNS projections, 16 bytes, and not the vector: of those that
+meet in a cell, pairs whose signs agree as often as those of a pair at the threshold do (but for one
+in a million) are candidates. Candidates make clusters; each vector is sent to its cluster alone, once where that
+has up to BLOCK members, and every pair of a cluster is compared by cosine in double precision, so each is counted once.
 
 Equal vectors form a class, which is hashed once. The number of tables is such that a pair of exactly
 the threshold is missed at most once in 1/MISS by a simulation of the projection; more vectors get
-more blocks, so that a cell keeps few chance members. A cell of more than BLOCK members is split, and
-every two parts meet in one task. A pair that meets in several cells is counted in the one of the
-smallest name; a task returns sums of links and a spanning forest of them, not pairs.
+more blocks, so that a cell keeps few chance members. A cell or cluster of more than BLOCK members is
+split, and every two parts meet in one task. A task returns spanning forests and sums of links, not pairs.
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or a value that isn't finite
 link with nothing; vectors of different lengths don't link; a null id links with nothing; rows that
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 from itertools import combinations, product
-from math import ceil, log
+from math import acos, ceil, comb, log, pi
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,9 @@ from pyspark.sql import functions as F
 
 from .bytewords import mix
 from .common import components, parquet, ship, written
-from .minhash_dedup import forest, overlaps
+from .minhash_dedup import forest
 
-SCALE, PROBES, MISS, BLOCK = 1.5, 2, 0.005, 1024
+SCALE, PROBES, MISS, BLOCK, SIGNS = 1.5, 2, 0.005, 1024, 128
 #: Chance that two unrelated unit vectors have one E8 cell at SCALE, and members a cell may have by chance.
 CHANCE, CROWD = 1e-3, 100
 
@@ -118,43 +120,48 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+def signs(rows: np.ndarray, seed: int = 5) -> np.ndarray:
+    """(vector, 2): the signs of SIGNS random projections as bits of two numbers."""
+    plan = np.random.default_rng([seed, rows.shape[1]]).normal(size=(rows.shape[1], SIGNS))
+    return np.packbits(rows @ plan > 0, axis=1).view(np.int64)
+
+
+def differing(cosine: float, miss: float = 1e-6) -> int:
+    """The most signs in which a pair of this cosine differs, but for ``miss``."""
+    p, total = acos(cosine) / pi, 0.0
+    for k in range(SIGNS + 1):
+        total += comb(SIGNS, k) * p**k * (1 - p) ** (SIGNS - k)
+        if total >= 1 - miss:
+            return k
+    return SIGNS
+
+
 def _hashed(blocks: int, tables: int, kind: str):
     """kind: the numpy type of the components, in which vectors are sent as they are."""
     def run(batches):
         by_dim: dict[int, Lattice] = {}
         for batch in batches:
-            ids, sizes, vectors, names = [], [], [], []
+            ids, sizes, vectors, names, bits = [], [], [], [], []
             cells = [np.array(v, dtype=kind) for v in batch.column(2).to_pylist()]
             for dim in sorted({len(v) for v in cells}):
                 at = [i for i, v in enumerate(cells) if len(v) == dim]
                 by_dim.setdefault(dim, Lattice(dim, blocks, tables))
-                found = by_dim[dim].cells(unit(np.array([cells[i] for i in at])))
+                rows = unit(np.array([cells[i] for i in at]))
+                found = by_dim[dim].cells(rows)
+                bits.append(signs(rows))
                 for k, i in enumerate(at):
                     ids.append(batch.column(0)[i].as_py())
                     sizes.append(batch.column(1)[i].as_py())
                     vectors.append(cells[i].tobytes())
                     names.append(np.unique(found[k]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary()), pa.array(names, pa.list_(pa.int64()))], names=["id", "size", "vector", "cells"])
+            bits = np.concatenate(bits) if bits else np.zeros((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary()), pa.array(names, pa.list_(pa.int64())), pa.array(bits[:, 0]), pa.array(bits[:, 1])],
+                                             names=["id", "size", "vector", "cells", "s0", "s1"])
     return run
 
 
-def _compared(cosine: float, kind: str):
-    def met(key, part, ids, sizes, vectors, cells):
-        """Sums of links and a forest of them, for pairs whose smallest common cell is this one."""
-        cell, i, j = key
-        x, w, side = unit(np.array([np.frombuffer(v, dtype=kind) for v in vectors])), np.array(sizes, dtype=np.int64), np.array(part)
-        linked = x @ x.T >= cosine
-        np.fill_diagonal(linked, False)
-        if i != j:
-            linked &= side[:, None] != side[None, :]
-        if linked.any():
-            some = np.flatnonzero(linked.any(axis=1))
-            before = overlaps([np.array([c for c in cells[k] if c < cell], dtype=np.int64) for k in some]) > 0
-            linked[np.ix_(some, some)] &= ~before
-        total, own = linked @ w, np.array(ids)
-        out = [(int(own[k]), None, int(total[k])) for k in np.flatnonzero(total)]
-        return out + [(a, b, 0) for a, b in forest(own, linked)]
-
+def _groups(met, width: int):
+    """Over rows (key, i, j, part, ...) sorted by (key, i, j): what ``met`` gives of each group of two rows or more."""
     def batch_of(rows):
         a, b, n = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "n"])
@@ -162,11 +169,11 @@ def _compared(cosine: float, kind: str):
     def run(batches):
         key, held, out = None, [], []
         for batch in batches:
-            for cell, i, j, *row in zip(*(batch.column(c).to_pylist() for c in range(8)), strict=True):
-                if (cell, i, j) != key:
+            for k, i, j, *row in zip(*(batch.column(c).to_pylist() for c in range(width)), strict=True):
+                if (k, i, j) != key:
                     if len(held) > 1:
                         out += met(key, *zip(*held, strict=True))
-                    key, held = (cell, i, j), []
+                    key, held = (k, i, j), []
                     if len(out) > 5000:
                         yield batch_of(out)
                         out = []
@@ -177,6 +184,47 @@ def _compared(cosine: float, kind: str):
     return run
 
 
+def _apart(linked: np.ndarray, key: tuple, part) -> np.ndarray:
+    """Without a vector's link to itself and, where two parts meet, without those inside either."""
+    np.fill_diagonal(linked, False)
+    if key[1] != key[2]:
+        side = np.array(part)
+        linked &= side[:, None] != side[None, :]
+    return linked
+
+
+def _alike(most: int):
+    def met(key, part, ids, s0, s1):
+        """A forest of the pairs whose signs may be those of a linked pair."""
+        a, b = (np.array(x, dtype=np.int64).view(np.uint64) for x in (s0, s1))
+        apart = np.bitwise_count(a[:, None] ^ a[None, :]).astype(np.int16) + np.bitwise_count(b[:, None] ^ b[None, :])
+        return [(x, y, 0) for x, y in forest(np.array(ids), _apart(apart <= most, key, part))]
+    return _groups(met, 7)
+
+
+def _compared(cosine: float, kind: str):
+    def met(key, part, ids, sizes, vectors):
+        """Sums of links and a forest of them."""
+        out, own, w = [], np.array(ids), np.array(sizes, dtype=np.int64)
+        for dim in sorted({len(v) for v in vectors}):  # chance may put two lengths into one cluster
+            at = [k for k, v in enumerate(vectors) if len(v) == dim]
+            x = unit(np.array([np.frombuffer(vectors[k], dtype=kind) for k in at]))
+            linked = _apart(x @ x.T >= cosine, key, [part[k] for k in at])
+            total = linked @ w[at]
+            out += [(int(own[at[k]]), None, int(total[k])) for k in np.flatnonzero(total)]
+            out += [(a, b, 0) for a, b in forest(own[at], linked)]
+        return out
+    return _groups(met, 7)
+
+
+def _parted(rows: DataFrame, key: str) -> DataFrame:
+    """rows with more than one of a key, in groups (key, i, j) of up to two parts of BLOCK: each row is in all groups of its part."""
+    many = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key, F.ceil(F.col("n") / BLOCK).alias("parts"))
+    placed = rows.join(many.hint("merge"), key).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    every = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    return every.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("parts", "other")
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per input row: id, n_links, component_id, kept."""
     ship(vectors.sparkSession)
@@ -188,15 +236,13 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     held = rows.where("sound").join(classes, [*(rows[c] == classes[c] for c in ("h1", "h2", "h3")), rows["id"] == classes["rep"]]).select("rep", "size", "v").dropDuplicates(["rep", "v"])
     blocks, tables = plan(classes.count(), cosine)
     kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
-    hashed = written(held.mapInArrow(_hashed(blocks, tables, kind), "id bigint, size bigint, vector binary, cells array<bigint>"))
-    entries = hashed.select("id", F.explode("cells").alias("cell"))
-    shared = entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell", F.ceil(F.col("n") / BLOCK).alias("parts"))
-    part = F.pmod(F.xxhash64("id"), F.col("parts"))
-    spread = entries.join(shared, "cell").withColumn("part", part).select(
-        "cell", "id", "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("j")).select(
-        "cell", F.least("part", "j").alias("i"), F.greatest("part", "j").alias("j"), "part", "id")
-    sent = spread.join(hashed, "id").select("cell", "i", "j", "part", "id", "size", "vector", "cells")
-    sent = sent.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "id")
+    hashed = written(held.mapInArrow(_hashed(blocks, tables, kind), "id bigint, size bigint, vector binary, cells array<bigint>, s0 bigint, s1 bigint"))
+    entries = _parted(hashed.select("id", "s0", "s1", F.explode("cells").alias("cell")), "cell").select("cell", "i", "j", "part", "id", "s0", "s1")
+    alike = entries.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "id").mapInArrow(_alike(differing(cosine)), "a bigint, b bigint, n bigint")
+    clusters = components(alike).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    members = written(_parted(clusters, "cluster").select("cluster", "i", "j", "part", "id"))
+    sent = hashed.select("id", "size", "vector").join(members.hint("merge"), "id").select("cluster", "i", "j", "part", "id", "size", "vector")
+    sent = sent.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id")
     found = written(sent.mapInArrow(_compared(cosine, kind), "a bigint, b bigint, n bigint"))
     sums = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     joined = components(found.where("b is not null"))
