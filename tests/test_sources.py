@@ -48,6 +48,6 @@ def test_sinks(spark, tmp_path):
 
 
 def test_command_line(spark, capsys):
-    assert main(["--list"]) == 0 and "route_works" in capsys.readouterr().out
-    assert main(["--explain"]) == 0 and "scoap3_aps" in capsys.readouterr().out
-    assert main(["landscape"]) == 0
+    assert main(["query", "--limit-shown", "200"]) == 0 and "route_works" in capsys.readouterr().out
+    assert main(["policy", "--limit-shown", "99"]) == 0 and "scoap3_aps" in capsys.readouterr().out
+    assert main(["query", "landscape"]) == 0
