@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .functions.latex import residual_count
-from .operators import documents, gates, matching, pilot, tracker
+from .operators import documents, gates, lineage, matching, pilot, tracker
 from .queries import LOG_SQL, WORKS_SQL, logged, query
 from .sources import acquire, archives, records, stores
 from .standin import table, works
@@ -267,6 +267,21 @@ def archive_links(spark, sf_dir):
     return documents.linked_members(links, members).select("id", F.substring("member", 2, 20).cast("bigint").alias("place"), "member")
 
 
+@query("""select doc_id, case when doc_id % 2 = 0 then 'fidelity,lint,validate' else 'lint,validate' end as gates, cast(case when doc_id % 2 = 0 then 3 else 2 end as integer) as n from documents""")
+def engine_stamps(spark, sf_dir):
+    d = _docs(spark, sf_dir, "map('validate', 'v1', 'lint', 'l2', 'fidelity', 'f1') as engine")
+    s = d.select("doc_id", lineage.stamp(F.col("engine"), F.col("doc_id") % 2 == 0).alias("s"))
+    return s.select("doc_id", F.array_join(F.array_sort(F.map_keys("s")), ",").alias("gates"), F.size("s").alias("n"))
+
+
+@query("""select 'W' || doc_id as id, 'W' || doc_id as work_id, cast(doc_id % 5 as integer) as n_assets, cast(doc_id % 3 as integer) as err_count, cast(0 as integer) as warn_count, doc_id % 2 = 0 and doc_id % 7 > 0 as both_pass, lang as route from documents""")
+def sidecar_records(spark, sf_dir):
+    """Nested records made of flat columns, and read back by path."""
+    rows = _docs(spark, sf_dir, "lang", "concat('W', doc_id) as id", "concat('M', doc_id) as mid", "'10.1/x' as doi", "'J' as journal", "'T' as title", "lang as route", "'B' as lane", "'oa' as asset_route", "doc_id % 2 = 0 as validate", "doc_id % 7 > 0 as lint",
+                 "cast(doc_id % 3 as int) as errors", "0 as warnings", "cast(doc_id % 5 as int) as n_assets", "'publisher' as asset_source", "map('crosswalk', 1) as pipeline")
+    return lineage.sidecar(rows).select("id", *records.sidecar_columns(), (F.get_json_object("sidecar", "$.gates.both_pass") == "true").alias("both_pass"), F.get_json_object("sidecar", "$.route.route").alias("route"))
+
+
 # --- articles
 
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
-
 
 
 def lane_share(tracker: DataFrame) -> DataFrame:
@@ -81,23 +79,23 @@ def low_tail(values: Column) -> Column:
 
 
 def distribution(rows: DataFrame, by: str, metrics: list[str]) -> DataFrame:
-    """n, min, low tail, median and max of each metric by group, from one row per metric.
+    """n, min, low tail, median and max of each metric by group, in one pass over the rows.
 
-    The low tail is the value of a row number, so it needs no array of a group's values.
+    Equal values are combined before they are numbered, and what is asked for is the value of a row
+    number each, so no array of a group's values is made and dear metrics are computed once.
     """
     long = rows.select(by, F.explode(F.map_from_arrays(F.array(*[F.lit(m) for m in metrics]), F.array(*[F.col(m).cast("double") for m in metrics]))).alias("metric", "v")).where("v is not null")
-    n = long.groupBy(by, "metric").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.median("v").alias("median"), F.max("v").alias("most"))
-    at = F.when(F.col("n") >= 20, F.greatest(F.floor(F.col("n") * 0.05), F.lit(1))).otherwise(1)
-    per = long.groupBy(by, "metric", "v").agg(F.count(F.lit(1)).alias("k"))  # ties combined before values are numbered
-    upto = F.sum("k").over(Window.partitionBy(by, "metric").orderBy("v"))
-    tail = per.withColumn("upto", upto).join(n.select(by, "metric", at.alias("at")), [by, "metric"]).where(F.col("upto") >= F.col("at")).groupBy(by, "metric").agg(F.min("v").alias("p5"))
-    return n.join(tail, [by, "metric"]).select(by, "metric", "n", "least", "p5", "median", "most")
+    per = long.groupBy(by, "metric", "v").agg(F.count(F.lit(1)).alias("k"))
+    group = Window.partitionBy(by, "metric")
+    per = per.withColumns({"upto": F.sum("k").over(group.orderBy("v")), "all": F.sum("k").over(group)})
+    at = lambda place: F.min(F.when(F.col("upto") >= place, F.col("v")))
+    low = F.when(F.col("all") >= 20, F.greatest(F.floor(F.col("all") * 0.05), F.lit(1))).otherwise(1)
+    middle = at(F.floor((F.col("all") + 1) / 2)) * 0.5 + at(F.floor(F.col("all") / 2) + 1) * 0.5
+    return per.groupBy(by, "metric").agg(F.max("all").alias("n"), F.min("v").alias("least"), at(low).alias("p5"), middle.alias("median"), F.max("v").alias("most"))
 
 
 def calibration(verdicts: DataFrame, by: str, metrics: list[str]) -> DataFrame:
-    """``distribution`` of metrics that are dear to compute: they are computed once and kept while the report is made."""
-    kept = verdicts.select(by, *metrics).persist(StorageLevel.MEMORY_AND_DISK)
-    return distribution(kept, by, metrics)
+    return distribution(verdicts.select(by, *metrics), by, metrics)
 
 
 def differences(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
