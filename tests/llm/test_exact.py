@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from siltstone.llm.exact_dedup import OP9_SQL, exact_dedup, op9_exact_dedup
-from siltstone.llm.packing import Schedule, encoder, pack, unpacked, vocabulary, whole_weights
+from siltstone.llm.packing import Schedule, encoder, op1_mixture_packing, pack, unpacked, vocabulary, whole_weights
 from siltstone.llm.sharding import shard
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -131,6 +131,26 @@ def test_packing_round_trip(spark):
     assert pack(docs(spark, []), vocabulary()).count() == 0
 
 
+def test_packing_query(spark):
+    """Every document of a table, read back from the query's pieces."""
+    d, tok = "/root/testdata/sf0.001", Tokenizer.from_file(vocabulary())
+    by_doc, by_seq = {}, {}
+    for r in op1_mixture_packing(spark, d).collect():
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_seq.setdefault(r.sequence_id, []).append(r)
+    table = duckdb.sql(f"select doc_id, text from '{d}/documents.parquet'").fetchall()
+    assert set(by_doc) == {i for i, _ in table}
+    for i, text in table:
+        want, at = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 0], "<u4"), 0
+        for p in sorted(by_doc[i], key=lambda r: r.start):
+            assert (p.start, p.doc_tokens, p.ids_crc32) == (at, len(want), zlib.crc32(want[at : at + p.length].tobytes()))
+            at += p.length
+        assert at == len(want)
+    for seq, pieces in by_seq.items():
+        ends = np.cumsum([0, *[p.length for p in sorted(pieces, key=lambda r: r.offset)]])
+        assert sorted(p.offset for p in pieces) == ends[:-1].tolist() and (ends[-1] == 1024 or seq == max(by_seq))
+
+
 def test_windows_keep_proportions(spark):
     rows = [(i, "one two three four five six " * 40, "big" if i % 4 else "small") for i in range(400)]
     got = pack(docs(spark, rows), vocabulary(), {"big": 0.5, "small": 0.5}).collect()
