@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from .functions import text as T
 from .functions.latex import residual_count
 from .operators import documents, gates, lineage, matching, pilot, tracker
-from .queries import LOG_SQL, WORKS_SQL, logged, query
+from .plans import rules
+from .queries import LOG_SQL, ROUTED_SQL, WORKS_SQL, logged, query
 from .sources import acquire, archives, records, stores
 from .standin import table, works
 
@@ -311,3 +312,68 @@ def damaged_articles(spark, sf_dir):
     return got.select("id", F.when(F.col("article").isNotNull(), F.regexp_extract("article", "<article-title>(.*?)</article-title>", 1)).alias("title"), F.regexp_count("article", F.lit("<p>")).cast("bigint").alias("paragraphs"))
 
 
+def _articles(spark, sf_dir, xml: str, kind: str, meta: str = "'{}'"):
+    """One article for each document, its text made of SQL text, brought to the house form."""
+    s = _docs(spark, sf_dir, f"{xml} as xml", f"{meta} as meta").selectExpr("doc_id as id", "xml", f"'{kind}' as kind", "concat('M-', doc_id) as mid", "meta", "cast(null as array<struct<code:string,label:string>>) as codes", "array('a.jpg') as assets")
+    return documents.crosswalk(s)
+
+
+def _n(pattern: str):
+    return F.regexp_count("article", F.lit(pattern)).cast("bigint")
+
+
+@query("""select cast(doc_id as varchar) as id, cast(2 + doc_id % 2 as bigint) as inline, cast(1 as bigint) as display, case when doc_id % 3 = 0 then cast(2 as bigint) else cast(1 as bigint) end as links, 'GeV' || doc_id as tex, true as plain, 'Mass α' || (doc_id % 9) as caption, 'On β in ' || lang as title from documents""")
+def latex_articles(spark, sf_dir):
+    """Formulas, citations and captions written as LaTeX."""
+    xml = r"""concat('<article><front><article-meta><title-group><article-title>On $\\beta$ in ', lang, '</article-title></title-group></article-meta></front><body><sec><p>By \\cite{b1, z9} where \\[ \\GeV', ' ', doc_id, ' \\] and $x_', doc_id, '$ or \\(y\\)',
+      case when doc_id % 2 = 1 then ' $z$' else '' end, case when doc_id % 3 = 0 then ' \\citep{b1}' else '' end, '</p><fig id="f"><caption><p>Mass $\\alpha', ' $', doc_id % 9, '</p></caption></fig></sec></body><back><ref-list><ref id="b1"><mixed-citation>R</mixed-citation></ref></ref-list></back></article>')"""
+    got = _articles(spark, sf_dir, xml, "jats")
+    one = lambda p: F.regexp_extract("article", p, 1)
+    return got.select("id", _n("<inline-formula>").alias("inline"), _n("<disp-formula>").alias("display"), _n('<xref ref-type="bibr" rid="b1">').alias("links"), F.replace(one("<disp-formula><tex-math>([^<]*)</tex-math>"), F.lit(" "), F.lit("")).alias("tex"),
+                      (F.regexp_count("article", F.lit(r"\\cite")) == 0).alias("plain"), F.replace(one("<caption><p>([^<]*)</p>"), F.lit(" "), F.lit("")).alias("caption"), one("<article-title>([^<]*)<").alias("title")).withColumn("caption", F.concat(F.lit("Mass "), F.substring("caption", 5, 9)))
+
+
+@query("""select cast(doc_id as varchar) as id, case when doc_id % 2 = 0 then 'b0' end as by_name, 'fg' as figure, case when doc_id % 3 < 2 then 'b' || (doc_id % 3) end as by_number, cast(1 as bigint) as apps, 'Money ' || doc_id as funding, case when doc_id % 4 = 0 then '1.2' end as label, 'Kept' as journal from documents""")
+def tei_articles(spark, sf_dir):
+    """References by name and year and by number, figures, annexes and headings of another vocabulary."""
+    xml = """concat('<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt><title type="main">T</title></titleStmt></fileDesc></teiHeader><text><body><div><head>', case when doc_id % 4 = 0 then '1.2. ' else '' end, 'Intro</head>',
+      '<p>See <ref type="bibr">(', case when doc_id % 2 = 0 then 'Smith' else 'Nobody' end, ' et al., 2020)</ref> and <ref type="figure">Fig. 1</ref> or <ref type="bibr">[', doc_id % 3 + 1, ']</ref></p></div><figure xml:id="fg"><head>Figure 1</head></figure></body>',
+      '<back><div type="funding"><div><p>Money ', doc_id, '</p></div></div><div type="annex"><div><head>Appendix A</head><p>x</p></div><div><head>.1</head><p>y</p></div></div><listBibl><biblStruct xml:id="b0">Smith 2020</biblStruct><biblStruct xml:id="b1">Roe 2001</biblStruct></listBibl></back></text></TEI>')"""
+    got = _articles(spark, sf_dir, xml, "tei", """'{"journal": "Kept", "reference_style": "numbered", "headings_numbered": true}'""")
+    one = lambda p: F.nullif(F.regexp_extract("article", p, 1), F.lit(""))
+    return got.select("id", one('rid="([^"]*)">Smith').alias("by_name"), one('ref-type="fig" rid="([^"]*)"').alias("figure"), one('rid="([^"]*)">[123]<').alias("by_number"), _n("<app[ >]").alias("apps"), one("<funding-statement>([^<]*)<").alias("funding"),
+                      one("<sec[^>]*><label>([^<]*)</label><title>Intro").alias("label"), one("<journal-title>([^<]*)<").alias("journal"))
+
+
+@query("""select doc_id, 'a.png|b' || (doc_id % 5) || '.gif' as images, case when doc_id % 2 = 0 then 'data' || doc_id || '.csv' else '' end as extra, cast(case when doc_id % 3 = 0 then 2 else 3 end as integer) as stubs from documents""")
+def linked_files(spark, sf_dir):
+    """Images and other files that an article links, each once and in order."""
+    d = _docs(spark, sf_dir, """concat('<a><graphic xlink:href="x/a.png"/><inline-graphic href="a.png"/><graphic href="b', doc_id % 5, '.gif"/><media href="http://elsewhere.org/m.mp4"/><supplementary-material href="a.png"/>',
+      case when doc_id % 2 = 0 then concat('<supplementary-material xlink:href="s/data', doc_id, '.csv"/>') else '' end, case when doc_id % 3 = 0 then '<graphic href="../out.png"/>' else '<graphic href="y/a.png"/>' end, '</a>') as xml""")
+    return d.select("doc_id", F.array_join(F.filter(documents.image_links("xml"), lambda x: x != "out.png"), "|").alias("images"), F.array_join(documents.extra_links("xml"), "|").alias("extra"), F.size(documents.figure_stubs("xml")).alias("stubs"))
+
+
+@query(f"""{LOG_SQL} select id, ingest_status, gates_passed, figures_status, escalate_reason, ingest_mid, ingest_ts from logged""")
+def parsed_logs(spark, sf_dir):
+    """The outcome log as it is kept, JSON maps by work id, read back as rows."""
+    rows = logged(spark, sf_dir).withColumnsRenamed({"ingest_mid": "mid", "ingest_ts": "ts"})
+    entry = F.struct("ingest_status", "gates_passed", "figures_status", "escalate_reason", "mid", "ts")
+    files = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", entry)))).alias("value"))
+    return records.outcome_rows(files.select("value"))
+
+
+@query(f"""{WORKS_SQL} select id, license, in_pmc, cast(null as boolean) as has_pdf, cast(year as integer) as year from works""")
+def pinned_types(spark, sf_dir):
+    """Columns that were inferred as JSON text, or as nothing, given their types."""
+    w = works(spark, sf_dir).select("id", F.when(F.col("license").isNotNull(), F.concat(F.lit('"'), "license", F.lit('"'))).alias("license"), F.col("in_pmc").cast("string").alias("in_pmc"), F.lit("junk").alias("has_pdf"), F.col("year").cast("string").alias("year"))
+    return records.pin_types(w, {"license": "string", "in_pmc": "boolean", "has_pdf": "boolean", "year": "int"})
+
+
+@query(f"""{ROUTED_SQL} select id, case scoap3 when 'aps' then 0 when 'other' then 1 end as scoap3_arm, case when license = 'cc-by' and lane in ('C_ingest', 'Cprime_transform') then 0 when license in ('cc-by', 'cc-by-sa', 'public-domain', 'cc0') then 1 end as disposition_arm from routed""")
+def fired_rules(spark, sf_dir):
+    """Which arm of a table decided."""
+    table_of = {t.column: t for t in rules.tables()}
+    r = rules.route_works(works(spark, sf_dir))
+    scoap3 = table_of["scoap3"].fired()
+    last_aps = max(i for i, a in enumerate(table_of["scoap3"].arms) if a.then == "aps")
+    return r.select("id", F.when(scoap3.isNotNull(), (scoap3 > last_aps).cast("int")).alias("scoap3_arm"), table_of["disposition"].fired().alias("disposition_arm"))
