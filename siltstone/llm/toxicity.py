@@ -7,7 +7,7 @@ Expected severity is the sum of these probabilities.
 
 Fitting takes labelled rows up to SAMPLE_ROWS, a documented bound: a larger labelled set is thinned
 by a hash of the id. Features come from that sample, those whose occurrence in graded rows is beyond
-chance; there are at most MAX_FEATURES weights (a parameter), so what is broadcast is bounded. Scoring reads every
+chance, so no weight is below 0 and a long text that has many can't outweigh them; there are at most MAX_FEATURES weights (a parameter), so what is broadcast is bounded. Scoring reads every
 row and whole texts, in one pass without a shuffle.
 
 Labels carry 0 or 1. Where they carry no grades, the rows labelled 1 are split into two: a model with
@@ -97,14 +97,14 @@ def _places(features: np.ndarray):
 
 
 class CumulativeLink:
-    """Shared weights and ordered thresholds, fitted by gradient steps with momentum, scaled by running squares."""
+    """Shared weights and ordered thresholds, fitted by gradient steps with momentum, scaled by running squares, and projected where weights may not be negative."""
 
     def __init__(self, features: np.ndarray, weights: np.ndarray, thresholds: np.ndarray):
         self.features, self.weights, self.thresholds = features, weights, thresholds
 
     @classmethod
-    def fit(cls, rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, features: np.ndarray, steps: int = 400, rate: float = 0.15, l2: float = 1e-4) -> CumulativeLink:
-        """rows, cols: the places of ones in a sparse matrix; grades from 0 for each row of it."""
+    def fit(cls, rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, features: np.ndarray, steps: int = 400, rate: float = 0.15, l2: float = 1e-4, rising: bool = False) -> CumulativeLink:
+        """rows, cols: the places of ones in a sparse matrix; grades from 0 for each row of it. ``rising``: no weight below 0."""
         n, top = len(grades), int(grades.max())
         share = np.clip([(grades >= k).mean() for k in range(1, top + 1)], 1e-6, 1 - 1e-6)
         w, theta = np.zeros(len(features)), np.log((1 - share) / share)
@@ -125,7 +125,8 @@ class CumulativeLink:
             state[0] = 0.9 * state[0] + 0.1 * g
             state[1] = 0.99 * state[1] + 0.01 * g * g
             move = rate * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
-            w, theta = w - move[: len(w)], np.maximum.accumulate(theta - move[len(w) :] + np.arange(top) * 1e-9)
+            w = np.maximum(w - move[: len(w)], 0) if rising else w - move[: len(w)]
+            theta = np.maximum.accumulate(theta - move[len(w) :] + np.arange(top) * 1e-9)
         order = np.argsort(features)
         return cls(features[order], w[order], theta)
 
@@ -163,7 +164,7 @@ def graded(label: np.ndarray, rows: np.ndarray, cols: np.ndarray, features: np.n
         if label[own].any() and not label[own].all():
             inside = own[rows]
             place = np.cumsum(own) - 1
-            model = CumulativeLink.fit(place[rows[inside]], cols[inside], label[own], features, steps=150)
+            model = CumulativeLink.fit(place[rows[inside]], cols[inside], label[own], features, steps=150, rising=True)
             score[~own] = np.bincount(rows[~inside], weights=model.weights[cols[~inside]], minlength=len(label))[~own]
     return np.where(label > 0, 1 + (score > np.median(score[label > 0])), 0)
 
@@ -193,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "toxic", id_col: st
     places = [np.array(p, dtype=np.int64) for p in got["places"].to_pylist()]
     where, cols = np.repeat(np.arange(rows), [len(p) for p in places]), np.concatenate(places)
     grade = got["grade"].to_numpy().astype(np.int64)
-    return CumulativeLink.fit(where, cols, grade if grades else graded(np.minimum(grade, 1), where, cols, features), features)
+    return CumulativeLink.fit(where, cols, grade if grades else graded(np.minimum(grade, 1), where, cols, features), features, rising=True)
 
 
 def score(docs: DataFrame, model: CumulativeLink, id_col: str = "doc_id", text_col: str = "text", threshold: float = REJECT_AT) -> DataFrame:
