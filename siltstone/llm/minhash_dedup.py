@@ -27,7 +27,7 @@ other columns are not touched.
 
 from __future__ import annotations
 
-from math import ceil, comb, log
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa

@@ -11,7 +11,7 @@ import pytest
 from siltstone.llm import embedding_dedup, url_filter
 from siltstone.llm.chat_format import assemble, digests, format_turns, op8_columnar_chat, read_back
 from siltstone.llm.embedding_dedup import decode, near_vectors, neighbours, op10_lattice_embeddings, plan
-from siltstone.llm.url_filter import RULES, judge, mine, op2_url_rules, tokens, written_rule
+from siltstone.llm.url_filter import RULES, judge, mine, op2_url_rules
 
 
 def parsed(url):
