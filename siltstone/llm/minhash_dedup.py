@@ -7,9 +7,12 @@
    is by how often a value occurs, from a table of fixed size, then by value: lists of values that
    many documents share are left out wherever enough rarer values exist. The order affects cost
    only, so no value and no partner is capped.
-3. Lists are read as stars and give clusters outside of which no link can exist. A cluster of more
-   than BLOCK documents is split into blocks by set size and id; every two blocks whose sizes allow a
-   link meet in one task, so no task holds more than two.
+3. Entries of lists that more than one document is in carry the set's size and 16 bits of each LISTED
+   value. The members of a list whose sizes and LISTED values allow the threshold are linked, and what these links join is
+   a cluster. A value shared by chance doesn't join documents: with enough of them it would join most of a large table
+   into one. Bits can only make an overlap look larger, so no link is lost. A list of more than LONG members, and a cluster
+   of more than BLOCK, is split into blocks by set size and id; every two blocks whose sizes allow a link meet in
+   one task, so no task holds more than two.
 4. Sketches of KEPT values are sent to their clusters, and each pair is estimated by the sketch of
    its union; pairs that may reach the threshold give finer clusters.
 5. Texts are sent to the finer clusters, and what may reach the threshold by a sketch of UNION values
@@ -27,10 +30,12 @@ other columns are not touched.
 
 from __future__ import annotations
 
+from functools import cache
 from math import comb, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +43,14 @@ from .bytewords import chunks, mix, sets
 from .common import components, near, parquet, ship, written
 
 LISTED, KEPT, UNION, BLOCK = 32, 64, 256, 512
+#: Members up to which a list is compared in one task, and up to which its pairs are compared along with those of other lists.
+LONG, SHORT = 2048, 8
+TILE = 64
 TABLE_BITS = 20
 SALTS = 0x5BD1E995, 0x27D4EB2F
 
 
+@cache
 def needed(k: int, t: float, miss: float = 1e-7) -> int:
     """The most values of a union's k smallest that a pair of similarity t shares, but for ``miss``."""
     total, x = 0.0, 0
@@ -90,7 +99,8 @@ def _counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(n.astype(np.int64))], names=["slot", "n"])
 
 
-def _postings(table, t: float):
+def _postings(table, t: float, entries: bool):
+    """(value) of every list that a row (id, n, sketch) is in; with ``entries`` (value, id, n, low), where low has 16 bits of each LISTED value."""
     need = needed(LISTED, t)
 
     def run(batches):
@@ -105,8 +115,13 @@ def _postings(table, t: float):
             whole = n < LISTED * t - 1e-9
             least = np.where(whole, np.ceil(n * t - 1e-9), np.minimum(need, size)).astype(np.int64)
             keep = place < (size - least + 1)[row]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[order][keep].view(np.int64)), batch.column(0).take(pa.array(row[keep]))], names=["value", "id"])
+            found, names = [pa.array(values[order][keep].view(np.int64))], ["value"]
+            if entries:
+                ends = np.concatenate([[0], 2 * np.cumsum(size)]).astype(np.int32)
+                low = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(values.astype("<u2"))])
+                at = pa.array(row[keep])
+                found, names = [*found, batch.column(0).take(at), batch.column(1).take(at), low.take(at)], ["value", "id", "n", "low"]
+            yield pa.RecordBatch.from_arrays(found, names=names)
     return run
 
 
@@ -151,10 +166,76 @@ def forest(ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
 
 def alike(ids: np.ndarray, size: np.ndarray, low: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Edges that join the documents of these sketches whose similarity may reach the threshold."""
-    shared = overlaps(low)
-    small, large, both = np.minimum.outer(size, size), np.maximum.outer(size, size), np.add.outer(size, size)
-    enough = np.where(large <= KEPT, 100 * shared >= percent * (both - shared), shared >= needed(KEPT, percent / 100))
-    return forest(ids, enough & (100 * small >= percent * large) & ~np.eye(len(ids), dtype=bool))
+    return forest(ids, _enough(overlaps(low), size[:, None], size, percent, KEPT) & ~np.eye(len(ids), dtype=bool))
+
+
+def _enough(shared: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int, k: int) -> np.ndarray:
+    """Whether sets of sizes x and y may reach the threshold when ``shared`` of their k smallest values are in both."""
+    small, large = np.minimum(x, y), np.maximum(x, y)
+    return np.where(large <= k, 100 * shared >= percent * (x + y - shared), shared >= needed(k, percent / 100)) & (100 * small >= percent * large)
+
+
+def _grid(low: pa.Array) -> np.ndarray:
+    """The values of each row, filled up to LISTED with -1."""
+    size = np.diff(np.frombuffer(low.buffers()[1], dtype=np.int32)[low.offset : low.offset + len(low) + 1]) // 2
+    out = np.full((len(low), LISTED), -1, dtype=np.int32)
+    out[np.arange(LISTED) < size[:, None]] = np.frombuffer(b"".join(low.to_pylist()), dtype="<u2")
+    return out
+
+
+def _meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many equal values each row of one grid has with each of another; never less than their sets share."""
+    held, owner = b[b >= 0], np.nonzero(b >= 0)[0]
+    order = np.argsort(held, kind="stable")
+    held, owner = held[order], owner[order]
+    value, row = a[a >= 0], np.nonzero(a >= 0)[0]
+    first = np.searchsorted(held, value)
+    n = np.searchsorted(held, value, side="right") - first
+    at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return np.bincount(np.repeat(row, n) * len(b) + owner[at], minlength=len(a) * len(b)).reshape(len(a), len(b))
+
+
+def gathered(ids: np.ndarray, size: np.ndarray, grid: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Edges that join the members of a list that may reach the threshold: one for each merge.
+
+    Of two members that are already joined nothing is asked, so a large group of near copies costs about one tile.
+    """
+    label = np.arange(len(ids))
+    found: list[tuple[int, int]] = []
+    for first in range(0, len(ids), TILE):
+        rows = np.arange(first, min(len(ids), first + TILE))
+        most = label[rows] == np.bincount(label[rows]).argmax()
+        for mine in (rows[~most], rows[most]):
+            others = np.arange(first, len(ids))
+            if len(mine) and (label[mine] == label[mine[0]]).all():
+                others = others[label[others] != label[mine[0]]]
+            if not len(mine) or not len(others):
+                continue
+            enough = _enough(_meeting(grid[mine], grid[others]), size[mine][:, None], size[others], percent, LISTED)
+            for x, fits in zip(mine.tolist(), enough, strict=True):
+                hit = others[fits]
+                of, at = np.unique(label[hit], return_index=True)
+                new = of != label[x]
+                if new.any():
+                    found += [(int(ids[x]), int(ids[y])) for y in hit[at[new]]]
+                    of = np.append(of[new], label[x])
+                    label[np.isin(label, of)] = of.min()
+    return found
+
+
+def _paired(ids: np.ndarray, size: np.ndarray, grid: np.ndarray, list_of: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """The pairs of short lists that may reach the threshold, all lists at once."""
+    found: list[tuple[int, int]] = []
+    for step in range(1, SHORT):
+        a = np.flatnonzero(list_of[step:] == list_of[:-step])
+        a = a[100 * np.minimum(size[a], size[a + step]) >= percent * np.maximum(size[a], size[a + step])]
+        for i in range(0, len(a), 2048):
+            x, y = a[i : i + 2048], a[i : i + 2048] + step
+            other = np.where(grid[y] < 0, -2, grid[y])
+            shared = (grid[x][:, :, None] == other[:, None, :]).sum((1, 2))
+            enough = _enough(shared, size[x], size[y], percent, LISTED)
+            found += zip(ids[x[enough]].tolist(), ids[y[enough]].tolist(), strict=True)
+    return found
 
 
 def links(ids: np.ndarray, full: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -204,6 +285,41 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
 
 
+def _gathered(percent: int):
+    """Over rows (key, id, n, low), sorted by key."""
+    def run(batches):
+        left = []
+
+        def done(rows):
+            rows = rows.combine_chunks().to_batches()[0]
+            key = rows.column(0)
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+            list_of, start = np.cumsum(new) - 1, np.append(np.flatnonzero(new), len(key))
+            ids, size, grid = rows.column(1).to_numpy(), rows.column(2).to_numpy(), _grid(rows.column(3))
+            short = np.flatnonzero((np.diff(start) <= SHORT)[list_of])
+            out = _paired(ids[short], size[short], grid[short], list_of[short], percent)
+            for i in np.flatnonzero(np.diff(start) > SHORT).tolist():
+                of = slice(start[i], start[i + 1])
+                out += gathered(ids[of], size[of], grid[of], percent)
+            return _edges(out)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, last = batch.column(0), batch.column(0)[batch.num_rows - 1]
+            at = pc.index(key, last).as_py()  # from here on it is one list, which the next batch may go on with
+            if at == 0 and left and left[-1].column(0)[0] == last:
+                left.append(batch)
+                continue
+            if left or at:
+                yield done(pa.Table.from_batches([*left, batch.slice(0, at)]))
+            left = [batch.slice(at)]
+        if left:
+            yield done(pa.Table.from_batches(left))
+    return run
+
+
 def _alike(percent: int):
     """Over rows (key, id, n, sketch), sorted by key."""
     def run(batches):
@@ -251,13 +367,13 @@ def _linked(width: int, percent: int):
     return run
 
 
-def _blocks(members: DataFrame, t: float) -> DataFrame:
-    """(id, key): where each member of a cluster goes; a key is a cluster or two blocks of one."""
+def _blocks(members: DataFrame, t: float, block: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """(id, key) and the columns in ``also``: where each member of a cluster goes; a key is a cluster or two blocks of one."""
     step = log(1 / t)
     m = members.withColumn("band", F.floor(F.log("n") / step).cast("bigint"))
     total = m.groupBy("cluster").agg(F.count(F.lit(1)).alias("total"))
-    per = m.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("here")).join(total, "cluster").where(F.col("total") > BLOCK)
-    per = per.select("cluster", "band", F.ceil(F.col("here") / BLOCK).alias("parts"))
+    per = m.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("here")).join(total, "cluster").where(F.col("total") > block)
+    per = per.select("cluster", "band", F.ceil(F.col("here") / block).alias("parts"))
     around = per.select("cluster", "band", "parts").join(
         per.select("cluster", (F.col("band") - 1).alias("band"), F.col("parts").alias("above")), ["cluster", "band"], "left").join(
         per.select("cluster", (F.col("band") + 1).alias("band"), F.col("parts").alias("below")), ["cluster", "band"], "left")
@@ -272,7 +388,7 @@ def _blocks(members: DataFrame, t: float) -> DataFrame:
         keys("parts", band, band, lambda j: F.least(part, j), lambda j: F.greatest(part, j)),
         keys("above", band, band + 1, lambda j: part, lambda j: j),
         keys("below", band - 1, band, lambda j: j, lambda j: part))
-    return m.select("id", F.explode(F.when(F.col("parts").isNull(), F.array(F.col("cluster").cast("string"))).otherwise(split)).alias("key"))
+    return m.select("id", *also, F.explode(F.when(F.col("parts").isNull(), F.array(F.col("cluster").cast("string"))).otherwise(split)).alias("key"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
@@ -290,16 +406,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     table = np.zeros(1 << TABLE_BITS, dtype=np.int64)  # fixed size: 8 MB
     got = reps.select("sketch").mapInArrow(_counts, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     table[got["slot"].to_numpy()] = got["n"].to_numpy()
-    postings = reps.mapInArrow(_postings(spark.sparkContext.broadcast(table), t), "value bigint, id bigint")
-    lists = postings.groupBy("value").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head < tail").select("value", "head")
-    stars = postings.join(lists.hint("merge"), "value").where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
+    often = spark.sparkContext.broadcast(table)
+    lists = written(reps.mapInArrow(_postings(often, t, False), "value bigint").groupBy("value").agg(F.count(F.lit(1)).alias("total")).where("total > 1"))
+    # of the entries only those of a list with others are moved
+    entries = near(reps.mapInArrow(_postings(often, t, True), "value bigint, id bigint, n bigint, low binary"), [F.col("value")], lists, ["value"])
+    entries = written(entries.join(lists.hint("merge"), "value").withColumnRenamed("value", "cluster"))
+    listed = entries.where(F.col("total") <= LONG).select(F.col("cluster").cast("string").alias("key"), "id", "n", "low").unionByName(
+        _blocks(entries.where(F.col("total") > LONG).drop("total"), t, LONG, ("n", "low")))
+    candidates = listed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_gathered(percent), "a bigint, b bigint")
 
     def placed(edges: DataFrame) -> DataFrame:
         clusters = components(edges).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
-        return written(_blocks(written(reps.select("id", "n").join(clusters.hint("merge"), "id")), t))
+        return written(_blocks(written(reps.select("id", "n").join(clusters.hint("merge"), "id")), t, BLOCK))
 
     # what is placed grows with the documents, so joins are merge joins at every size; only rows that may be met are moved
-    rough = placed(stars)
+    rough = placed(candidates)
     met = near(reps, [F.col("id")], rough, ["id"]).join(rough.hint("merge"), "id").select("key", "id", "n", "sketch").repartition("key").sortWithinPartitions("key", "id")
     finer = placed(met.mapInArrow(_alike(percent), "a bigint, b bigint"))
     wanted = written(classes.select(F.col("class").alias("id"), "rep", "k1").join(finer.hint("merge"), "id").select("key", F.col("id").alias("class"), "rep", "k1"))
