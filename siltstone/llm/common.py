@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 
-__all__ = ["clean", "components", "far", "near", "parquet", "scratch", "ship", "without", "written"]
+__all__ = ["clean", "components", "far", "forgotten", "near", "parquet", "scratch", "ship", "swept", "without", "written"]
 
 _MADE: list[str] = []
 #: Edges that one task joins: some 100 MB there.
@@ -62,6 +62,19 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forgotten(df: DataFrame) -> None:
+    """Deletes what ``written`` gave df's rows. Nothing that reads them may come after."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def swept(df: DataFrame) -> None:
+    """Lets executors delete the shuffle files of jobs that are over. Spark does so when the driver collects its garbage, which a large heap puts off."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -11,8 +11,9 @@
    value. The members of a list whose sizes and LISTED values allow the threshold are linked, and what these links join is
    a cluster. A value shared by chance doesn't join documents: with enough of them it would join most of a large table
    into one. Bits can only make an overlap look larger, so no link is lost. A list of more than LONG members, and a cluster
-   of more than BLOCK, is split into blocks by set size and id; every two blocks whose sizes allow a link meet in
-   one task, so no task holds more than two.
+   of more than BLOCK, is dealt into blocks twice, by set size and id and by id alone, and each block is compared in one task.
+   Of two members that are joined by then nothing is asked. So those that aren't with most of their cluster, and no others,
+   visit all its blocks whose sizes allow a link, in rounds that move about as many rows as there are classes.
 4. Sketches of KEPT values are sent to their clusters, and each pair is estimated by the sketch of
    its union; pairs that may reach the threshold give finer clusters.
 5. Texts are sent to the finer clusters, and what may reach the threshold by a sketch of UNION values
@@ -30,6 +31,7 @@ other columns are not touched.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 from math import comb, log
 
@@ -40,11 +42,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import chunks, mix, sets
-from .common import components, near, parquet, ship, written
+from .common import components, forgotten, near, parquet, ship, swept, written
 
 LISTED, KEPT, UNION, BLOCK = 32, 64, 256, 512
 #: Members up to which a list is compared in one task, and up to which its pairs are compared along with those of other lists.
 LONG, SHORT = 2048, 8
+#: Rows of visitors to blocks that are moved at once, or as many as there are classes.
+AT_ONCE = 1 << 16
 TILE = 64
 TABLE_BITS = 20
 SALTS = 0x5BD1E995, 0x27D4EB2F
@@ -195,12 +199,12 @@ def _meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bincount(np.repeat(row, n) * len(b) + owner[at], minlength=len(a) * len(b)).reshape(len(a), len(b))
 
 
-def gathered(ids: np.ndarray, size: np.ndarray, grid: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Edges that join the members of a list that may reach the threshold: one for each merge.
+def gathered(ids: np.ndarray, size: np.ndarray, grid: np.ndarray, percent: int, joined: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Edges that join the members of a list that may reach the threshold: one for each merge. Members of one value in ``joined`` are joined already.
 
     Of two members that are already joined nothing is asked, so a large group of near copies costs about one tile.
     """
-    label = np.arange(len(ids))
+    label = np.arange(len(ids)) if joined is None else np.unique(joined, return_inverse=True)[1]
     found: list[tuple[int, int]] = []
     for first in range(0, len(ids), TILE):
         rows = np.arange(first, min(len(ids), first + TILE))
@@ -238,8 +242,8 @@ def _paired(ids: np.ndarray, size: np.ndarray, grid: np.ndarray, list_of: np.nda
     return found
 
 
-def links(ids: np.ndarray, full: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Confirmed links that join what is linked among these sets; one for each merge."""
+def links(ids: np.ndarray, full: list[np.ndarray], percent: int, joined: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Confirmed links that join what is linked among these sets; one for each merge. Sets of one value in ``joined`` are joined already."""
     m = len(ids)
     size = np.array([len(x) for x in full])
     low = [x[:UNION] for x in full]
@@ -248,8 +252,12 @@ def links(ids: np.ndarray, full: list[np.ndarray], percent: int) -> list[tuple[i
     possible = (100 * small.astype(np.int64) >= percent * large) & ~np.eye(m, dtype=bool)
     whole = size <= UNION
     both = np.logical_and.outer(whole, whole)
-    sure = possible & both & (100 * shared >= percent * (np.add.outer(size, size) - shared))
     parent = list(range(m))
+    if joined is not None:
+        _, first, at = np.unique(joined, return_index=True, return_inverse=True)
+        parent = first[at].tolist()
+        possible &= at[:, None] != at
+    sure = possible & both & (100 * shared >= percent * (np.add.outer(size, size) - shared))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -286,7 +294,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _gathered(percent: int):
-    """Over rows (key, id, n, low), sorted by key."""
+    """Over rows (key, id, n, low) and maybe (joined), sorted by key."""
     def run(batches):
         left = []
 
@@ -301,7 +309,7 @@ def _gathered(percent: int):
             out = _paired(ids[short], size[short], grid[short], list_of[short], percent)
             for i in np.flatnonzero(np.diff(start) > SHORT).tolist():
                 of = slice(start[i], start[i + 1])
-                out += gathered(ids[of], size[of], grid[of], percent)
+                out += gathered(ids[of], size[of], grid[of], percent, rows.column(4).to_numpy()[of] if rows.num_columns > 4 else None)
             return _edges(out)
 
         for batch in batches:
@@ -341,15 +349,16 @@ def _alike(percent: int):
 
 
 def _linked(width: int, percent: int):
-    """Over rows (key, class, k1, text), sorted by key and class: of rows that repeat an id, those whose text isn't of the class are passed over, and so are repeats."""
+    """Over rows (key, class, k1, text) and maybe (joined), sorted by key and class: of rows that repeat an id, those whose text isn't of the class are passed over, and so are repeats."""
     def run(batches):
-        key, ids, full = None, [], []
+        key, ids, full, joined = None, [], [], []
 
         def done():
-            return _edges(links(np.array(ids), full, percent))
+            return _edges(links(np.array(ids), full, percent, np.array(joined) if joined else None))
 
         for batch in batches:
             keys, own, sums = (batch.column(i).to_pylist() for i in range(3))
+            labels = batch.column(4).to_pylist() if batch.num_columns > 4 else None
             for first, data, offsets in chunks(batch.column(3)):
                 values, at = sets(data, offsets, width)
                 found = _totals(mix(values ^ np.uint64(SALTS[0])), at).tolist()
@@ -357,38 +366,69 @@ def _linked(width: int, percent: int):
                     if keys[first + i] != key:
                         if len(ids) > 1:
                             yield done()
-                        key, ids, full = keys[first + i], [], []
+                        key, ids, full, joined = keys[first + i], [], [], []
                     if found[i] != sums[first + i] or ids and ids[-1] == own[first + i]:
                         continue
                     ids.append(own[first + i])
+                    if labels:
+                        joined.append(labels[first + i])
                     full.append(values[at[i] : at[i + 1]].copy())
         if len(ids) > 1:
             yield done()
     return run
 
 
-def _blocks(members: DataFrame, t: float, block: int, also: tuple[str, ...] = ()) -> DataFrame:
-    """(id, key) and the columns in ``also``: where each member of a cluster goes; a key is a cluster or two blocks of one."""
-    step = log(1 / t)
-    m = members.withColumn("band", F.floor(F.log("n") / step).cast("bigint"))
-    total = m.groupBy("cluster").agg(F.count(F.lit(1)).alias("total"))
-    per = m.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("here")).join(total, "cluster").where(F.col("total") > block)
-    per = per.select("cluster", "band", F.ceil(F.col("here") / block).alias("parts"))
-    around = per.select("cluster", "band", "parts").join(
-        per.select("cluster", (F.col("band") - 1).alias("band"), F.col("parts").alias("above")), ["cluster", "band"], "left").join(
-        per.select("cluster", (F.col("band") + 1).alias("band"), F.col("parts").alias("below")), ["cluster", "band"], "left")
-    m = m.join(around, ["cluster", "band"], "left").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-
-    def keys(other, a, b, x, y):
-        return F.transform(F.when(F.col(other).isNull(), F.array().cast("array<bigint>")).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)),
-                           lambda j: F.concat_ws(":", F.col("cluster"), a, b, x(j), y(j)))
+def _met(members: DataFrame, t: float, block: int, rows: int, meet: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Edges (a, b) that join what ``meet`` links among the members of each cluster.
 
-    band, part = F.col("band"), F.col("part")
-    split = F.concat(
-        keys("parts", band, band, lambda j: F.least(part, j), lambda j: F.greatest(part, j)),
-        keys("above", band, band + 1, lambda j: part, lambda j: j),
-        keys("below", band - 1, band, lambda j: j, lambda j: part))
-    return m.select("id", *also, F.explode(F.when(F.col("parts").isNull(), F.array(F.col("cluster").cast("string"))).otherwise(split)).alias("key"))
+    members: (cluster, id, n, total) and other columns, where total is how many the cluster has. meet gets these but for
+    cluster and total, with a key, and after the first round with the component that joins a member by then. One call of it gets
+    some ``rows`` at a time of those that visit blocks, or one set of visitors to one cluster, so disk doesn't grow with the square of a cluster.
+    """
+    also = [c for c in members.columns if c not in ("cluster", "total")]
+    few = members.where(F.col("total") <= block).select(F.col("cluster").cast("string").alias("key"), *also)
+    many = members.where(F.col("total") > block).withColumn("band", F.floor(F.log("n") / log(1 / t)).cast("bigint"))
+    if many.isEmpty():
+        return written(meet(few))
+
+    def dealt(df: DataFrame, parts: str, part: str, salt: int) -> DataFrame:
+        """df with the part of its cluster and band that a row is in, of some ``block`` rows each."""
+        per = df.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / block).alias(parts))
+        return df.join(per.hint("merge"), ["cluster", "band"]).withColumn(part, F.pmod(F.xxhash64("id", F.lit(salt)), F.col(parts)))
+
+    many = written(dealt(many, "parts", "part", 1))
+    any_part = F.pmod(F.xxhash64("id", F.lit(2)), F.ceil(F.col("total") / block))
+    first = [many.select(F.concat_ws(":", *key).alias("key"), *also) for key in (("cluster", "band", "part"), ("cluster", any_part))]
+    edges = written(meet(few.unionByName(first[0]).unionByName(first[1])))
+    swept(members)
+    label = components(edges).select(F.col("node").alias("id"), "component")
+    many = many.join(label.hint("merge"), "id", "left").withColumn("joined", F.coalesce("component", "id")).drop("component")
+    most = many.groupBy("cluster", "joined").agg(F.count(F.lit(1)).alias("here")).groupBy("cluster").agg(F.max(F.struct("here", "joined"))["joined"].alias("most"))
+    apart = many.join(most.hint("merge"), "cluster").where("joined <> most").drop("parts", "most")
+    apart = written(dealt(apart, "sets", "set", 3))
+    homes = many.groupBy("cluster", F.col("band").alias("home"), "parts").agg(F.count(F.lit(1)).alias("there"))
+    visits = apart.groupBy("cluster", "band", "sets").agg(F.count(F.lit(1)).alias("here"))
+    visits = written(visits.join(homes.hint("merge"), "cluster").where("abs(band - home) <= 1"))
+    moved = visits.agg(F.sum(F.col("here") * F.col("parts") + F.col("there") * F.col("sets"))).first()[0]
+    if not moved:
+        return edges
+    rounds = -(-moved // rows)
+    many, found = written(many), edges
+    keys, of_round = ["cluster", "band", "set", "home", "place"], F.pmod(F.xxhash64("cluster", "band", "set"), F.lit(rounds))
+
+    def upto(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    asked = visits.select("cluster", "band", "home", "parts", "sets")
+    for i in range(rounds):
+        # a visitor is at home in one of the blocks, where it stays
+        guests = apart.where(of_round == i).withColumn("own", F.col("band")).drop("sets").join(asked.hint("merge"), ["cluster", "band"]).withColumn("place", upto("parts"))
+        guests = guests.where("own <> home or place <> part")
+        hosts = many.withColumnsRenamed({"band": "home", "part": "place"}).drop("parts").join(asked.hint("merge"), ["cluster", "home"]).withColumn("set", upto("sets")).where(of_round == i)
+        here = [df.select(F.concat_ws(":", *keys).alias("key"), *also, "joined") for df in (guests, hosts)]
+        found = found.unionByName(written(meet(here[0].unionByName(here[1]))))
+        swept(members)
+    return found
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
@@ -401,6 +441,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     set_key = ["k1", "k2", "n"]
     sound = digests.where("n > 0 and id is not null")
     classes = written(sound.groupBy(*set_key).agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch")).withColumn("class", F.monotonically_increasing_id()))
+    swept(docs)
     reps = classes.select(F.col("class").alias("id"), "n", "sketch")
 
     table = np.zeros(1 << TABLE_BITS, dtype=np.int64)  # fixed size: 8 MB
@@ -411,21 +452,38 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     # of the entries only those of a list with others are moved
     entries = near(reps.mapInArrow(_postings(often, t, True), "value bigint, id bigint, n bigint, low binary"), [F.col("value")], lists, ["value"])
     entries = written(entries.join(lists.hint("merge"), "value").withColumnRenamed("value", "cluster"))
-    listed = entries.where(F.col("total") <= LONG).select(F.col("cluster").cast("string").alias("key"), "id", "n", "low").unionByName(
-        _blocks(entries.where(F.col("total") > LONG).drop("total"), t, LONG, ("n", "low")))
-    candidates = listed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_gathered(percent), "a bigint, b bigint")
+    swept(docs)
+    least_rows = max(AT_ONCE, reps.count())
+
+    def sorted_by_key(df: DataFrame, *then: str) -> DataFrame:
+        return df.repartition("key").sortWithinPartitions("key", *then)
+
+    candidates = _met(entries, t, LONG, least_rows, lambda df: sorted_by_key(df, "id").mapInArrow(_gathered(percent), "a bigint, b bigint"))
 
     def placed(edges: DataFrame) -> DataFrame:
         clusters = components(edges).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
-        return written(_blocks(written(reps.select("id", "n").join(clusters.hint("merge"), "id")), t, BLOCK))
+        total = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("total"))
+        return written(reps.select("id", "n").join(clusters.join(total.hint("merge"), "cluster").hint("merge"), "id"))
 
     # what is placed grows with the documents, so joins are merge joins at every size; only rows that may be met are moved
+    def by_sketch(df: DataFrame) -> DataFrame:
+        df = written(df.select("key", "id"))
+        met = near(reps, [F.col("id")], df, ["id"]).join(df.hint("merge"), "id").select("key", "id", "n", "sketch")
+        return sorted_by_key(met, "id").mapInArrow(_alike(percent), "a bigint, b bigint")
+
+    def by_text(df: DataFrame) -> DataFrame:
+        joined = ["joined"] if "joined" in df.columns else []
+        wanted = written(classes.select(F.col("class").alias("id"), "rep", "k1").join(df.hint("merge"), "id").select("key", F.col("id").alias("class"), "rep", "k1", *joined))
+        pairs = near(texts.select("id", "text"), [F.col("id")], wanted, ["rep"]).join(wanted.hint("merge"), F.col("id") == F.col("rep"))
+        return sorted_by_key(pairs.select("key", "class", "k1", "text", *joined), "class").mapInArrow(_linked(width, percent), "a bigint, b bigint")
+
     rough = placed(candidates)
-    met = near(reps, [F.col("id")], rough, ["id"]).join(rough.hint("merge"), "id").select("key", "id", "n", "sketch").repartition("key").sortWithinPartitions("key", "id")
-    finer = placed(met.mapInArrow(_alike(percent), "a bigint, b bigint"))
-    wanted = written(classes.select(F.col("class").alias("id"), "rep", "k1").join(finer.hint("merge"), "id").select("key", F.col("id").alias("class"), "rep", "k1"))
-    pairs = near(texts.select("id", "text"), [F.col("id")], wanted, ["rep"]).join(wanted.hint("merge"), F.col("id") == F.col("rep")).select("key", "class", "k1", "text")
-    found = components(pairs.repartition("key").sortWithinPartitions("key", "class").mapInArrow(_linked(width, percent), "a bigint, b bigint"))
+    forgotten(entries)
+    swept(docs)
+    finer = placed(_met(rough, t, BLOCK, least_rows, by_sketch))
+    swept(docs)
+    found = components(_met(finer, t, BLOCK, least_rows, by_text))
+    swept(docs)
     joined = written(classes.select("class", *set_key, "rep").join(found.hint("merge"), F.col("class") == F.col("node"), "left"))
     linked = joined.where("component is not null")
     least = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
