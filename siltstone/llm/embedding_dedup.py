@@ -5,7 +5,7 @@ point of the E8 lattice; the points of a table's blocks name a cell. A vector is
 cell of each table and in the PROBES next nearest ones, where one block's point is exchanged for a
 neighbour. Vectors that meet in a cell are compared by cosine in double precision.
 
-Equal vectors form a class, which is hashed once. The number of tables is such that a pair of exactly
+Equal vectors form a class, which is numbered and hashed once. The number of tables is such that a pair of exactly
 the threshold is missed at most once in 1/MISS by a simulation of the projection; more vectors get
 more blocks, so that a cell keeps few chance members. A cell of more than BLOCK members is split, and
 every two parts meet in one task. A pair that meets in several cells is counted in the one of the
@@ -13,7 +13,7 @@ smallest name; a task returns sums of links and a spanning forest of them, not p
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or a value that isn't finite
 link with nothing; vectors of different lengths don't link; a null id links with nothing; rows that
-repeat an id are counted each and share its component; an empty table gives no rows; other columns
+repeat an id are counted each, by its own vector, and link like rows of other ids; an empty table gives no rows; other columns
 are not touched.
 """
 
@@ -184,8 +184,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     sound = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0) & F.col("id").isNotNull()
     rows = written(vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("v")).select(
         "id", "v", F.coalesce(sound, F.lit(False)).alias("sound"), F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"), F.hash("v").alias("h3")))
-    classes = rows.where("sound").groupBy("h1", "h2", "h3").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
-    held = rows.where("sound").join(classes, [*(rows[c] == classes[c] for c in ("h1", "h2", "h3")), rows["id"] == classes["rep"]]).select("rep", "size", "v").dropDuplicates(["rep", "v"])
+    same = ["h1", "h2", "h3"]
+    classes = written(rows.where("sound").groupBy(*same).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")).withColumn("class", F.monotonically_increasing_id()))
+    held = rows.where("sound").join(classes, [*(rows[c] == classes[c] for c in same), rows["id"] == classes["rep"]]).select(F.col("class").alias("id"), "size", "v").dropDuplicates(["id"])
     blocks, tables = plan(classes.count(), cosine)
     kind = "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
     hashed = written(held.mapInArrow(_hashed(blocks, tables, kind), "id bigint, size bigint, vector binary, cells array<bigint>"))
@@ -198,11 +199,11 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     sent = spread.join(hashed, "id").select("cell", "i", "j", "part", "id", "size", "vector", "cells")
     sent = sent.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "id")
     found = written(sent.mapInArrow(_compared(cosine, kind), "a bigint, b bigint, n bigint"))
-    sums = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    joined = components(found.where("b is not null"))
-    of_class = classes.join(sums, "rep", "left").join(joined, F.col("rep") == F.col("node"), "left").select(
-        "h1", "h2", "h3", F.lit(True).alias("sound"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("least"))
-    got = rows.drop("v").join(of_class, ["h1", "h2", "h3", "sound"], "left")
+    sums = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("others"))
+    joined = classes.join(components(found.where("b is not null")), F.col("class") == F.col("node"), "left").withColumn("of", F.coalesce("component", "class")).drop("node", "component")
+    smallest = joined.groupBy("of").agg(F.min("rep").alias("least"))
+    of_class = joined.join(sums, "class", "left").join(smallest, "of").select(*same, F.lit(True).alias("sound"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"), "least")
+    got = rows.drop("v").join(of_class, [*same, "sound"], "left")
     least = F.coalesce("least", "id")
     return got.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0).cast("bigint")).alias("n_links"), least.alias("component_id"), F.col("id").eqNullSafe(least).alias("kept"))
 

@@ -14,7 +14,9 @@ An aligned block is deleted
   passages, and what only some pages share is not the template's.
 Blocks that can't be aligned, as menus and adverts may turn from page to page, are judged by the markup alone: what is
 in elements that are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments or hidden, by tag, role, class or id, or outside of the main text if there is one, goes.
+comments or hidden, by tag, role, class or id, or outside of the main text if there is one, goes. A class or id counts
+as a whole: beside a word of such things it may have words of shape and place alone. An element that is named
+as the main text isn't it if it holds less than TEASER of the page's text.
 
 Pages are ordered by a range partitioning, so a host may lie in many partitions. A partition needs two
 pages of others, those beyond the runs at its ends; each gives its outermost four for that.
@@ -47,12 +49,18 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes noscript template".split())
 NO_TEXT = set("nav footer aside form button select datalist dialog menu svg canvas object audio video map head label input applet".split())
 NO_WORDS = set("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted promotion sidebar aside menu nav navbar navigation breadcrumb breadcrumbs masthead topbar header footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup signin login comment comments disqus discussion replies reply respond social share sharing related recommended recommendations widget toolbar pagination pager copyright search paywall".split())
+#: Words that say what shape or place an element has, and not what is in it.
+SHAPES = set("area bar block body bottom box btn button buttons card cell center col column container content desktop feed global grid group icon icons id inner item items js label large layout left link links list main mobile module outer page panel placeholder position post posts primary right row secondary section site slot small story stories sticky tab title top unit view wrap wrapper zone".split())
 NO_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 NAMED = [{"article", "body"}, {"article", "content"}, {"article", "text"}, {"entry", "content"}, {"post", "content"}, {"post", "body"}, {"story", "body"}, {"main", "content"}]
 # Elements that the end of an inline element doesn't end; elements that the next of their name ends.
 WALLS = set("article main body table td th section aside nav header footer".split())
+#: Elements of running text; in an article their class says little.
+PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li".split())
 IMPLIED = set("p li dd dt td th tr option".split())
 ARTICLE, MAIN, NAME = 3, 2, 1
+#: A main text that the markup names has this share at least of the page's text that isn't left out; with less it is a teaser.
+TEASER = 0.25
 #: A page that is aligned with this share of the blocks of another that aren't left out is a copy of it.
 COPY = 0.95
 #: A block is the template's if it is aligned in this share of a host's pages, which are so many at least.
@@ -61,6 +69,14 @@ TEMPLATE, PAGES = 0.8, 10
 HELD_BITS = 1 << 28
 
 
+def _unwanted(one: str, words: set[str], in_article: bool, whole: bool) -> bool:
+    """Whether a class or id is of what isn't main text: one of NO_WORDS, or (unless ``whole``) such words with words of shape and numbers alone, as in social-share-box; social-science isn't."""
+    bad = words & NO_WORDS
+    if not bad or in_article and bad == {"header"}:
+        return False
+    return one.lower() in NO_WORDS or not whole and all(w in NO_WORDS or w in SHAPES or w.isdigit() or len(w) == 1 for w in words)
+
+
 def _kind(name: str, attributes: str, in_article: bool) -> tuple[bool, int]:
     """(left out, level of the main text that it opens)."""
     level = ARTICLE if name == "article" else MAIN if name == "main" else 0
@@ -71,8 +87,7 @@ def _kind(name: str, attributes: str, in_article: bool) -> tuple[bool, int]:
             if a in ("class", "id"):
                 for one in value.split():
                     words = {w.lower() for w in WORDS.findall(one)}
-                    bad = words & NO_WORDS
-                    if name not in ("html", "body", "main") and bad and not (in_article and bad == {"header"}) and "no" not in words and "without" not in words:
+                    if name not in ("html", "body", "main") and _unwanted(one, words, in_article, in_article and name in PROSE):
                         out = True
                     if any(n <= words for n in NAMED):
                         level = max(level, NAME)
@@ -162,10 +177,12 @@ def blocks(page: str | None) -> list[tuple[str, bool, int]]:
 
 
 def chosen(page: list[tuple[str, bool, int]]) -> tuple[list[int], bool]:
-    """Which blocks are the main text, and whether the markup says so."""
+    """Which blocks are the main text, and whether the markup says so: the most certain name whose text isn't a teaser."""
+    whole = sum(len(text) for text, out, _ in page if not out)
     for level in (ARTICLE, MAIN, NAME):
-        if any(not out and at >= level for _, out, at in page):
-            return [i for i, (_, out, at) in enumerate(page) if not out and at >= level], True
+        named = [i for i, (_, out, at) in enumerate(page) if not out and at >= level]
+        if named and sum(len(page[i][0]) for i in named) >= TEASER * whole:
+            return named, True
     return [i for i, (_, out, _) in enumerate(page) if not out], False
 
 

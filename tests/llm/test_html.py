@@ -37,6 +37,20 @@ def test_breaks_and_levels():
     assert len(text("<article>" + "<p>word" * 20_000)) == 20_000 * 5 - 1
 
 
+def test_classes_count_as_a_whole():
+    inside = "<p class='social-science'>a</p><div class='ad-free-note'>b</div><p class='comment-on-law'>c</p><div class='no-sidebar'>d</div><h2 class='related-work'>e</h2>"
+    assert text(f"<article>{inside}</article>") == "a\nb\nc\nd\ne"
+    outside = "".join(f"<div class='{c}'>x</div>" for c in ("social-share", "share_buttons", "ad-300x250", "adSlot", "cookie-notice", "related-posts", "commentList"))
+    assert text(f"<div>kept<div class='site-header'>x</div>{outside}</div>") == "kept" and text(f"<article>kept{outside}</article>") == "kept"
+
+
+def test_teasers_are_not_the_text():
+    long = "<p>" + "the whole story " * 30 + "</p>"
+    assert text(f"<div class='content'>{long}</div><article><p>Read also</p></article>").startswith("the whole story")
+    assert text(f"<main>{long}</main><article><p>Read also</p></article>") == ("the whole story " * 30).strip()
+    assert text(f"<article>{long}</article><p>outside</p>") == ("the whole story " * 30).strip()
+
+
 def lcs(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
@@ -148,6 +162,49 @@ def test_menus_and_runs_of_copies(spark):
     assert {got[i] for i in range(100, 130)} == {"same\ntext"} and (got[99], got[131]) == ("first", "last")
 
 
+def test_query_differences_unmarked_pages(spark, tmp_path):
+    """A table whose boilerplate no markup names, through the query: what a page's nearest others have in the same order goes, by a plain longest common subsequence."""
+    rng = random.Random(5)
+    words = [f"word{i}" for i in range(400)]
+    rows = []
+    for i in range(120):
+        host, k = f"host{i % 3}.com", i // 3
+        own = [" ".join(rng.choices(words, k=8)) for _ in range(rng.randrange(3, 9))]
+        frame = [f"Welcome to {host}", "All topics and more", *[f"Topic {t}" for t in range(rng.randrange(2, 5))]], ["Terms of use", f"Contact {host}"]
+        rows.append((i, f"http://{host}/a/{k:04d}", "".join(f"<div>{x}</div>" for x in [*frame[0], *own, *frame[1]]), own))
+    spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string").repartition(3).write.parquet(f"file://{tmp_path}/pages.parquet")
+    got = {r.page_id: r.text for r in op6_page_differencing(spark, f"file://{tmp_path}").collect()}
+    assert len(got) == len(rows)
+    lost = 0
+    for host in range(3):
+        pages = [r for r in rows if r[0] % 3 == host]
+        lines = [re.findall("<div>(.*?)</div>", r[2]) for r in pages]
+        for n, (r, mine) in enumerate(zip(pages, lines, strict=True)):
+            gone = {x for m in (n - 1, n + 1) if 0 <= m < len(pages) for x in common_lines(mine, lines[m])}
+            assert got[r[0]] == "\n".join(x for x in mine if x not in gone) == "\n".join(r[3] if not any(x.startswith("Topic") and x not in gone for x in mine) else [x for x in mine if x not in gone])
+            lost += len(gone)
+    assert lost > 500
+
+
+def common_lines(a, b):
+    """A longest common subsequence, by the table of lengths; lines of a page differ from one another here, so it is one of lines."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    i = j = 0
+    out = []
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append(a[i])
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def brute(page):
     """Of pages like those of the test tables: what is between the tags of their article."""
     inside = page.partition("<article>")[2].partition("</article>")[0].partition("<footer>")[0]

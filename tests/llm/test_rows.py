@@ -231,3 +231,24 @@ def test_vector_recall(spark):
 
 def test_plan_grows():
     assert plan(1000, 0.9)[0] == 1 < plan(10**9, 0.9)[0]
+
+
+def test_rows_of_one_id_with_other_vectors(spark):
+    """Links are those of each vector, however many of them have one id."""
+    rng = np.random.default_rng(11)
+    a = np.ones(16) / 4
+    near = [(a + rng.normal(size=16) * 0.02).tolist() for _ in range(6)]
+    far = (np.array([1, -1] * 8) / 4).tolist()
+    rows = [(5, near[0]), (5, near[1]), (6, near[2]), (7, near[3]), (5, far), (8, far), (8, near[4]), (9, near[4]), (9, near[4]), (4, (-a).tolist()), (4, far)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)).collect()
+    linked = [[j for j, (_, y) in enumerate(rows) if j != i and np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y) >= 0.9] for i, (_, x) in enumerate(rows)]
+    want = []
+    for i, (name, _) in enumerate(rows):
+        reached, todo = {i}, [i]
+        while todo:
+            todo = [j for k in todo for j in linked[k] if j not in reached]
+            reached |= set(todo)
+        least = min(rows[j][0] for j in reached)
+        want.append((name, len(linked[i]), least, name == least))
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    assert (5, 2, 4, False) in want and (4, 0, 4, True) in want
