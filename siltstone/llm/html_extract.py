@@ -58,7 +58,7 @@ WALLS = set("article main body table td th section aside nav header footer".spli
 #: Elements of running text; in an article their class says little.
 PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li".split())
 IMPLIED = set("p li dd dt td th tr option".split())
-ARTICLE, MAIN, NAME = 3, 2, 1
+ARTICLE, MAIN, NAME = 4, 2, 1  # bits: what an element is in may be named in several ways
 #: A main text that the markup names has this share at least of the page's text that isn't left out; with less it is a teaser.
 TEASER = 0.25
 #: A page that is aligned with this share of the blocks of another that aren't left out is a copy of it.
@@ -78,7 +78,7 @@ def _unwanted(one: str, words: set[str], in_article: bool, whole: bool) -> bool:
 
 
 def _kind(name: str, attributes: str, in_article: bool) -> tuple[bool, int]:
-    """(left out, level of the main text that it opens)."""
+    """(left out, names of main text that it opens)."""
     level = ARTICLE if name == "article" else MAIN if name == "main" else 0
     out = name in NO_TEXT or name == "header" and not in_article
     if attributes and not attributes.isspace():
@@ -90,12 +90,12 @@ def _kind(name: str, attributes: str, in_article: bool) -> tuple[bool, int]:
                     if name not in ("html", "body", "main") and _unwanted(one, words, in_article, in_article and name in PROSE):
                         out = True
                     if any(n <= words for n in NAMED):
-                        level = max(level, NAME)
+                        level |= NAME
             elif a == "role":
                 out |= value.lower() in NO_ROLES
-                level = max(level, ARTICLE if value.lower() == "article" else MAIN if value.lower() == "main" else 0)
+                level |= ARTICLE if value.lower() == "article" else MAIN if value.lower() == "main" else 0
             elif a == "itemprop":
-                level = max(level, MAIN if value == "articleBody" else 0)
+                level |= MAIN if value == "articleBody" else 0
             elif a == "style":
                 out |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
             elif a == "hidden" or value.lower() == "true":
@@ -112,7 +112,7 @@ def _above(stack: list[tuple[str, bool, int]], name: str):
 
 
 def blocks(page: str | None) -> list[tuple[str, bool, int]]:
-    """(text, left out, highest level of main text around it) of each block with text, in order."""
+    """(text, left out, names of main text around it) of each block with text, in order."""
     page = page or ""
     found: list[tuple[str, bool, int]] = []
     stack: list[tuple[str, bool, int]] = []
@@ -162,14 +162,14 @@ def blocks(page: str | None) -> list[tuple[str, bool, int]]:
         elif name not in VOID:
             if stack and (stack[-1][0] == "p" and name in BLOCKS or stack[-1][0] == name and name in IMPLIED):
                 pop(stack[-1][0])
-            left, opens = _kind(name, m[3], level >= ARTICLE)
+            left, opens = _kind(name, m[3], bool(level & ARTICLE))
             # other inline elements change nothing; those of a name that is open must be counted
             if name in BLOCKS or left or opens or open_.get(name):
-                if left > out or opens > level:
+                if left > out or opens & ~level:
                     flush()
                 stack.append((name, out, level))
                 open_[name] = open_.get(name, 0) + 1
-                out, level = out or left, max(level, opens)
+                out, level = out or left, level | opens
     if at < len(page):
         text.append(page[at:])
     flush()
@@ -180,7 +180,7 @@ def chosen(page: list[tuple[str, bool, int]]) -> tuple[list[int], bool]:
     """Which blocks are the main text, and whether the markup says so: the most certain name whose text isn't a teaser."""
     whole = sum(len(text) for text, out, _ in page if not out)
     for level in (ARTICLE, MAIN, NAME):
-        named = [i for i, (_, out, at) in enumerate(page) if not out and at >= level]
+        named = [i for i, (_, out, at) in enumerate(page) if not out and at & level]
         if named and sum(len(page[i][0]) for i in named) >= TEASER * whole:
             return named, True
     return [i for i, (_, out, _) in enumerate(page) if not out], False
