@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .functions.latex import residual_count
-from .operators import documents, gates, lineage, matching, pilot, tracker
+from .operators import documents, gates, lineage, matching, order, pilot, tracker
 from .plans import rules
 from .queries import LOG_SQL, ROUTED_SQL, WORKS_SQL, logged, query
 from .sources import acquire, archives, records, stores
@@ -145,9 +145,8 @@ def yearly_stores(spark, sf_dir):
   c as (select source as doc, doc_id as cite, cast(doc_id % 60 as varchar) as number from documents), l as (select doc, label as number, arg_min(ref, pos) as by_label from r group by all), p as (select doc, cast(pos + 1 as varchar) as number, ref as by_place from r)
   select doc, cite, number, coalesce(by_label, by_place) as ref from c left join l using (doc, number) left join p using (doc, number)""")
 def numbered_links(spark, sf_dir):
-    from pyspark.sql import Window
     d = table(spark, sf_dir, "documents")
-    refs = d.select(F.col("source").alias("doc"), F.col("doc_id").alias("ref"), (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).alias("pos"), (F.col("doc_id") % 40).cast("string").alias("label"))
+    refs = order.places_within(d.select(F.col("source").alias("doc"), F.col("doc_id").alias("ref"), (F.col("doc_id") % 40).cast("string").alias("label")), ["doc"], "ref", "pos")
     cites = d.select(F.col("source").alias("doc"), F.col("doc_id").alias("cite"), (F.col("doc_id") % 60).cast("string").alias("number"))
     return matching.link_numbered(cites, refs)
 
@@ -259,11 +258,11 @@ def logged_statuses(spark, sf_dir):
     return logged(spark, sf_dir).groupBy("ingest_status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""select 'W' || (doc_id % 97) as id, doc_id as place, 'm' || doc_id as member from documents where doc_id % 2 = 0""")
+@query("""select 'W' || (doc_id // 10) as id, doc_id as place, 'm' || doc_id as member from documents where doc_id % 2 = 0""")
 def archive_links(spark, sf_dir):
     """Names that articles link, kept where the archive has them."""
     d = table(spark, sf_dir, "documents")
-    links = d.selectExpr("concat('W', doc_id % 97) as id", "'a.zip' as path", "doc_id", "concat('m', doc_id) as name").groupBy("id", "path").agg(F.array_sort(F.collect_list(F.struct("doc_id", "name"))).alias("x")).select("id", "path", F.col("x.name").alias("names"))
+    links = d.selectExpr("concat('W', doc_id div 10) as id", "'a.zip' as path", "doc_id", "concat('m', doc_id) as name").groupBy("id", "path").agg(F.array_sort(F.collect_list(F.struct("doc_id", "name"))).alias("x")).select("id", "path", F.col("x.name").alias("names"))
     members = d.selectExpr("'a.zip' as path", "case when doc_id % 2 = 0 then concat('m', doc_id) end as member")
     return documents.linked_members(links, members).select("id", F.substring("member", 2, 20).cast("bigint").alias("place"), "member")
 

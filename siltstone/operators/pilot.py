@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import message_kind
-from .reports import publisher_stats
+from .order import select_ranks
+from .reports import MIDDLE, middle, publisher_stats
 from .tracker import pilot_numbers
 
 #: What a metadata page and a document cost.
@@ -40,7 +41,10 @@ def measurable(report: DataFrame, manifest: DataFrame, files: DataFrame) -> Data
 
 def completeness_by(rows: DataFrame, by: str = "slug") -> DataFrame:
     """n, median and least completeness of what the lint passes."""
-    return rows.where("lint_pass").groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.median("completeness").alias("median"), F.min("completeness").alias("least"))
+    passed = rows.where("lint_pass")
+    found = select_ranks(passed.select(by, F.col("completeness").cast("double").alias("v")), [by], "v", MIDDLE)
+    n = passed.groupBy(by).agg(F.count(F.lit(1)).alias("n"))  # those without a completeness too
+    return n.alias("a").join(found.alias("b"), F.col(f"a.{by}").eqNullSafe(F.col(f"b.{by}")), "left").select(f"a.{by}", "a.n", middle().alias("median"), "b.least")
 
 
 def kinds_by(findings: DataFrame, by: str, message: Column, top: int = 8) -> DataFrame:

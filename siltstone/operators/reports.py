@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import select_ranks
+
 
 def lane_share(tracker: DataFrame) -> DataFrame:
     n = tracker.groupBy("lane").agg(F.count(F.lit(1)).alias("n"))
@@ -78,20 +80,27 @@ def low_tail(values: Column) -> Column:
     return F.when(n == 0, F.lit(None)).otherwise(F.get(values, F.when(n >= 20, F.greatest(F.floor(n * 0.05).cast("int") - 1, F.lit(0))).otherwise(0)))
 
 
+def low_rank(n: Column) -> Column:
+    """The rank of ``low_tail``."""
+    return F.when(n >= 20, F.greatest(F.floor(n * 0.05), F.lit(1))).otherwise(1)
+
+
+#: The ranks that the median is between.
+MIDDLE = {"lower": lambda n: F.floor((n + 1) / 2), "upper": lambda n: F.floor(n / 2) + 1}
+
+
+def middle() -> Column:
+    return F.col("lower") * 0.5 + F.col("upper") * 0.5
+
+
 def distribution(rows: DataFrame, by: str, metrics: list[str]) -> DataFrame:
     """n, min, low tail, median and max of each metric by group, in one pass over the rows.
 
-    Equal values are combined before they are numbered, and what is asked for is the value of a row
-    number each, so no array of a group's values is made and dear metrics are computed once.
+    Equal values are combined, and ranks are found by ranges (``order``), so no group is sorted whole and dear metrics are computed once.
     """
-    long = rows.select(by, F.explode(F.map_from_arrays(F.array(*[F.lit(m) for m in metrics]), F.array(*[F.col(m).cast("double") for m in metrics]))).alias("metric", "v")).where("v is not null")
-    per = long.groupBy(by, "metric", "v").agg(F.count(F.lit(1)).alias("k"))
-    group = Window.partitionBy(by, "metric")
-    per = per.withColumns({"upto": F.sum("k").over(group.orderBy("v")), "all": F.sum("k").over(group)})
-    at = lambda place: F.min(F.when(F.col("upto") >= place, F.col("v")))
-    low = F.when(F.col("all") >= 20, F.greatest(F.floor(F.col("all") * 0.05), F.lit(1))).otherwise(1)
-    middle = at(F.floor((F.col("all") + 1) / 2)) * 0.5 + at(F.floor(F.col("all") / 2) + 1) * 0.5
-    return per.groupBy(by, "metric").agg(F.max("all").alias("n"), F.min("v").alias("least"), at(low).alias("p5"), middle.alias("median"), F.max("v").alias("most"))
+    long = rows.select(by, F.explode(F.map_from_arrays(F.array(*[F.lit(m) for m in metrics]), F.array(*[F.col(m).cast("double") for m in metrics]))).alias("metric", "v"))
+    ranks = {"p5": low_rank, **MIDDLE}
+    return select_ranks(long, [by, "metric"], "v", ranks).select(by, "metric", "n", "least", "p5", middle().alias("median"), "most")
 
 
 def calibration(verdicts: DataFrame, by: str, metrics: list[str]) -> DataFrame:
