@@ -8,7 +8,7 @@ score lies in an interval that halves with each plane, and a pair is dropped as
 1. positives: below the worst of the best scores with rows of the anchor's label so far;
 2. negatives: outside of every window of the anchor's positives, or below the worst of the best in those it touches.
 
-A plane is a matrix product while many pairs are left; when few are, their rows are gathered. What is left after the last plane has its exact score.
+A plane is a matrix product while many pairs are left; when few are, their rows are gathered. The first planes, which decide nothing alone, are one product. What is left after the last plane has its exact score.
 
 Anchors, in groups of GROUP, meet rows, in slots of some SLOT. A task holds one group's anchors with their best rows so far and streams the rows
 of a slot past them, so its memory doesn't grow with the table, whatever label or vector a third of all rows have. An anchor goes to each
@@ -31,9 +31,13 @@ from pyspark.sql import functions as F
 from .common import parquet, ship, written
 
 #: Anchors of a group, rows of a slot, rows that are compared at once, and anchors that are compared at once.
-GROUP, SLOT, ROWS, ANCHORS = 4096, 1 << 16, 2048, 256
-#: Slots per core at least, so that all cores work and end at about the same time.
-SHARES = 4
+GROUP, SLOT, ROWS, ANCHORS = 4096, 1 << 16, 4096, 256
+#: Slots per core, so that all cores work and end at about the same time, as long as each has LEAST rows.
+SHARES, LEAST = 4, 4096
+#: The plane after which pairs are first tested.
+FIRST = 4
+#: Scores and bounds are nearer to 0.
+FAR = 1 << 61
 #: Pairs are gathered when fewer than one in SPARSE are left.
 SPARSE = 6
 
@@ -56,28 +60,31 @@ class Planes:
         return (1 << k) - 1
 
 
-def sliced(anchors: np.ndarray, planes: Planes, alive: np.ndarray, qualify) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, row, score) of the pairs of ``alive`` that qualify(anchor, low, high) keeps after each plane; low to high is the interval of their score."""
+def sliced(anchors: np.ndarray, planes: Planes, alive: np.ndarray, lower: np.ndarray, upper: np.ndarray, qualify) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, row, score) of the pairs of ``alive`` whose score is from its anchor's ``lower`` to its ``upper``, and that qualify(anchor, low, high) keeps, low to high being what their score may be."""
     up, down = np.where(anchors > 0, anchors, 0).sum(axis=1), np.where(anchors < 0, anchors, 0).sum(axis=1)
-    exact = np.float64 if int(np.abs(anchors).sum(axis=1).max(initial=0)) << planes.top + 1 < 1 << 52 else np.int64  # whole numbers are exact in both
-    whole, total, pairs, k = anchors.astype(exact), np.zeros(alive.shape, dtype=exact), None, planes.top
-    while k >= 0 and pairs is None:
+    most = int(np.abs(anchors).sum(axis=1).max(initial=0)) << planes.top + 1
+    exact = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 52 else np.int64  # whole numbers are exact in all three
+    whole, k = anchors.astype(exact), min(planes.top, FIRST)
+    # planes above k can't decide anything yet, and are taken in one product
+    total = whole @ (planes.rows >> k << k).astype(exact).T
+    while True:
+        rest = planes.rest(k)
+        alive &= (total >= (lower - rest * up)[:, None]) & (total <= (upper - rest * down)[:, None])
+        if not k or np.count_nonzero(alive) * SPARSE < alive.size:
+            break
+        k -= 1
         total += planes.weight(k) * (whole @ planes.bits(k).astype(exact).T)
-        a, r = np.nonzero(alive)
-        part = total[a, r].astype(np.int64)
-        keep = qualify(a, part + planes.rest(k) * down[a], part + planes.rest(k) * up[a])
+    a, r = np.nonzero(alive)
+    part = total[a, r].astype(np.int64)
+    while len(a):
+        rest = planes.rest(k)
+        keep = qualify(a, part + rest * down[a], part + rest * up[a])
         a, r, part = a[keep], r[keep], part[keep]
-        alive = np.zeros(alive.shape, dtype=bool)
-        alive[a, r] = True
-        if len(a) * SPARSE < alive.size or not k:
-            pairs = a, r, part
+        if not k:
+            break
         k -= 1
-    a, r, part = pairs
-    while k >= 0 and len(a):
         part = part + planes.weight(k) * np.einsum("ij,ij->i", anchors[a], planes.bits(k, r))
-        keep = qualify(a, part + planes.rest(k) * down[a], part + planes.rest(k) * up[a])
-        a, r, part = a[keep], r[keep], part[keep]
-        k -= 1
     return a, r, part
 
 
@@ -87,7 +94,7 @@ class Best:
     def __init__(self, n: int, most: int):
         self.n, self.most = n, most
         self.list, self.score, self.id, self.label, self.mark = (np.zeros(0, dtype=np.int64) for _ in range(5))
-        self.worst = np.full(n, np.iinfo(np.int64).min)
+        self.worst = np.full(n, -FAR, dtype=np.int64)
 
     def add(self, where: np.ndarray, score: np.ndarray, ids: np.ndarray, label: np.ndarray, mark: np.ndarray) -> None:
         if not len(where):
@@ -103,53 +110,58 @@ class Best:
 
 
 class Anchors:
-    """Anchors of a group with the windows their rows have to be in, and the best so far."""
+    """Anchors of a group, by label, with the windows their rows have to be in, and the best so far."""
 
-    def __init__(self, rows: list[dict], dim: int, most: int, windows: bool):
-        self.ids, self.label, self.mark = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("id", "label", "mark"))
-        self.values = np.array([r["v"] for r in rows], dtype=np.int64).reshape(len(rows), dim)
-        self.windows = windows
-        self.low = self.high = np.zeros((len(rows), 1), dtype=np.int64)
+    def __init__(self, rows: pa.Table, dim: int, most: int, windows: bool):
+        rows = rows.sort_by([("label", "ascending")])
+        self.ids, self.label, self.mark = (rows[c].to_numpy().astype(np.int64) for c in ("id", "label", "mark"))
+        self.values, self.windows = _matrix(rows["v"].combine_chunks(), dim), windows
+        self.low, self.high = np.full((len(self.ids), 1), -FAR, dtype=np.int64), np.full((len(self.ids), 1), FAR, dtype=np.int64)
         if windows:
-            width = max(len(r["lows"]) for r in rows)
-            self.low, self.high = np.ones((len(rows), width), dtype=np.int64), np.zeros((len(rows), width), dtype=np.int64)
-            for i, r in enumerate(rows):
-                self.low[i, : len(r["lows"])], self.high[i, : len(r["lows"])] = r["lows"], r["highs"]
+            lows, highs = rows["lows"].to_pylist(), rows["highs"].to_pylist()
+            width = max(map(len, lows))
+            # none is from FAR on
+            self.low, self.high = (np.array([x + [fill] * (width - len(x)) for x in each], dtype=np.int64) for each, fill in ((lows, FAR), (highs, -FAR)))
         self.best = Best(self.low.size, most)
 
     def meet(self, ids: np.ndarray, label: np.ndarray, mark: np.ndarray, values: np.ndarray) -> None:
-        """Brings some rows past the anchors."""
-        planes = Planes(values)
-        for first in range(0, len(self.ids), ANCHORS):
-            some = slice(first, first + ANCHORS)
-            alive = self.label[some, None] == label[None, :]
-            if self.windows:
-                alive = ~alive
-            else:  # a row is no partner of itself
-                alive &= ~((self.ids[some, None] == ids[None, :]) & (self.mark[some, None] == mark[None, :]))
-            if not alive.any():
-                continue
-            width = self.low.shape[1]
-            worst = self.best.worst.reshape(-1, width)[some]
-            low, high = self.low[some], self.high[some]
-
-            def qualify(a, least, most, worst=worst, low=low, high=high):
-                if not self.windows:
-                    return most >= worst[a, 0]
-                return ((np.minimum(most[:, None], high[a]) >= np.maximum(np.maximum(least[:, None], low[a]), worst[a]))).any(axis=1)
-
-            a, r, score = sliced(self.values[some], planes, alive, qualify)
-            of, at = a * width, np.arange(len(a))
-            if self.windows:
-                at, w = np.nonzero((score[:, None] >= low[a]) & (score[:, None] <= high[a]))
-                of = a[at] * width + w
-            self.best.add(of + first * width, score[at], ids[r[at]], label[r[at]], mark[r[at]])
+        """Brings some rows past the anchors: rows of each label past the anchors of the same, or of the others."""
+        if self.windows:
+            for first in range(0, len(self.ids), ANCHORS):
+                some = slice(first, first + ANCHORS)
+                self._compare(some, self.label[some, None] != label[None, :], ids, label, mark, Planes(values))
+            return
+        order = np.argsort(label, kind="stable")
+        ids, label, mark, values = ids[order], label[order], mark[order], values[order]
+        for one in np.unique(label).tolist():
+            (a, b), of = np.searchsorted(self.label, [one, one + 1]), slice(*np.searchsorted(label, [one, one + 1]))
+            for first in range(a, b, ANCHORS):
+                some = slice(first, min(b, first + ANCHORS))
+                # a row is no partner of itself
+                others = (self.ids[some, None] != ids[None, of]) | (self.mark[some, None] != mark[None, of])
+                self._compare(some, others, ids[of], label[of], mark[of], Planes(values[of]))
+
+    def _compare(self, some: slice, alive: np.ndarray, ids: np.ndarray, label: np.ndarray, mark: np.ndarray, planes: Planes) -> None:
+        width = self.low.shape[1]
+        high = self.high[some]
+        low = np.maximum(self.low[some], self.best.worst.reshape(-1, width)[some])
+
+        def qualify(a, least, most):
+            return (np.minimum(most[:, None], high[a]) >= np.maximum(least[:, None], low[a])).any(axis=1)
+
+        a, r, score = sliced(self.values[some], planes, alive, low.min(axis=1), high.max(axis=1), qualify)
+        at, w = np.nonzero((score[:, None] >= low[a]) & (score[:, None] <= high[a]))
+        self.best.add((some.start + a[at]) * width + w, score[at], ids[r[at]], label[r[at]], mark[r[at]])
 
     def rows(self) -> pa.RecordBatch:
         of, width = self.best.list // self.low.shape[1], self.low.shape[1]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (self.ids[of], self.label[of], self.mark[of], self.best.list % width, self.best.id, self.best.label, self.best.mark, self.best.score)], names=MET)
 
 
+def _matrix(rows: pa.Array, dim: int) -> np.ndarray:
+    return rows.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(rows), dim)
+
+
 MET = ["anchor", "anchor_label", "anchor_mark", "place", "id", "label", "mark", "score"]
 
 
@@ -167,14 +179,13 @@ def _met(most: int, windows: bool):
                         yield anchors.rows()
                     key, waiting, anchors = (dim, group, slot), [], None
                 if kind == 0:
-                    waiting += batch.slice(a, b - a).to_pylist()
+                    waiting.append(batch.slice(a, b - a))
                     continue
                 if waiting:
-                    anchors, waiting = Anchors(waiting, dim, most, windows), []
+                    anchors, waiting = Anchors(pa.Table.from_batches(waiting), dim, most, windows), []
                 for x in range(a, b if anchors else a, ROWS):
                     part = batch.slice(x, min(ROWS, b - x))
-                    values = part.column("v").flatten().to_numpy().astype(np.int64).reshape(part.num_rows, dim)
-                    anchors.meet(*(part.column(c).to_numpy().astype(np.int64) for c in ("id", "label", "mark")), values)
+                    anchors.meet(*(part.column(c).to_numpy().astype(np.int64) for c in ("id", "label", "mark")), _matrix(part.column("v"), dim))
         if anchors:
             yield anchors.rows()
     return run
@@ -217,7 +228,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column | None =
     kind = next(t for t, most in (("smallint", 1 << 15), ("int", 1 << 31), ("bigint", 1 << 62)) if float(largest or 0) < most)
     rows = rows.withColumn("v", F.col("v").cast(f"array<{kind}>"))
     groups = max(1, -(-asking // GROUP))
-    slots = max(1, -(-n // SLOT), -(-SHARES * spark.sparkContext.defaultParallelism // groups))
+    slots = max(1, -(-n // SLOT), min(-(-n // LEAST), -(-SHARES * spark.sparkContext.defaultParallelism // groups)))
     asked = rows.where("asks").drop("asks")
     anchor, out = ["anchor", "anchor_label", "anchor_mark"], ", ".join(f"{c} bigint" for c in MET)
 

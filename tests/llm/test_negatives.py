@@ -41,7 +41,8 @@ def test_sliced_intervals_hold():
         assert (low <= high).all()
         return (high >= 100_000) & (low <= 400_000)
 
-    a, r, score = sliced(anchors, Planes(rows), np.ones((7, 40), dtype=bool), qualify)
+    bounds = np.full(7, 100_000), np.full(7, 400_000)
+    a, r, score = sliced(anchors, Planes(rows), np.ones((7, 40), dtype=bool), *bounds, qualify)
     hit = np.argwhere((want >= 100_000) & (want <= 400_000))
     assert sorted(zip(a.tolist(), r.tolist(), strict=True)) == sorted(map(tuple, hit.tolist())) and (score == want[a, r]).all()
 
