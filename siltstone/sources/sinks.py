@@ -5,13 +5,11 @@ second write can't be missed."""
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.tracker import latest, published
+from .packages import write_packages
 
 
 def write_pages(works: DataFrame, path: str, year: str = "year") -> None:
@@ -38,23 +36,9 @@ def write_articles(articles: DataFrame, path: str, parts: int | None = None) ->
 
 
 def write_article_files(articles: DataFrame, path: str) -> None:
-    """One XML file per article, named by its id, in a folder that all executors share; for deliveries, not for stores of millions.
-
-    A file is written under another name and moved, so a task that runs again leaves whole files.
-    """
-    from ..shipping import ship
-
-    ship(articles.sparkSession)
-
-    def write(rows) -> None:
-        os.makedirs(path, exist_ok=True)
-        for r in rows:
-            partial = os.path.join(path, f".{r.id}.{uuid.uuid4().hex}")
-            with open(partial, "w", encoding="utf-8") as f:
-                f.write(r.article)
-            os.replace(partial, os.path.join(path, f"{r.id}.xml"))
-
-    articles.where("article is not null").select("id", "article").foreachPartition(write)
+    """One XML file per article, named by its id, all committed as one; for deliveries, not for stores of millions."""
+    rows = articles.where("article is not null")
+    write_packages(rows.select(F.lit(None).alias("package"), F.concat("id", F.lit(".xml")).alias("file"), F.encode("article", "UTF-8").alias("content")), path)
 
 
 def save_table(df: DataFrame, name: str) -> DataFrame:
