@@ -105,11 +105,3 @@ def distribution(rows: DataFrame, by: str, metrics: list[str]) -> DataFrame:
 
 def calibration(verdicts: DataFrame, by: str, metrics: list[str]) -> DataFrame:
     return distribution(verdicts.select(by, *metrics), by, metrics)
-
-
-def differences(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """How many rows differ in each column, and rows on one side alone."""
-    x = a.select(key, *[F.col(c).alias(f"a_{c}") for c in columns], F.lit(True).alias("in_a"))
-    y = b.select(key, *[F.col(c).alias(f"b_{c}") for c in columns], F.lit(True).alias("in_b"))
-    both = F.col("in_a") & F.col("in_b")
-    return x.join(y, key, "full").agg(*[F.count_if(both & ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))).alias(c) for c in columns], F.count_if(~F.coalesce(both, F.lit(False))).alias("unpaired"))

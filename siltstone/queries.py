@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .functions.latex import clean_text
-from .operators import documents, fidelity, lineage, matching, reports, selection, tracker
+from .operators import changes, documents, fidelity, lineage, matching, reports, selection, tracker
 from .operators.spread import spread
 from .plans import rules
 from .sources import acquire
@@ -508,7 +508,7 @@ def content_hash(spark, sf_dir):
 def table_differences(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     b = d.select(F.when(F.col("doc_id") % 10 == 4, -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"), F.when(F.col("doc_id") % 9 != 0, F.col("lang")).alias("lang"), (F.col("n_chars") + F.when(F.col("doc_id") % 4 == 0, 1).otherwise(0)).alias("n_chars"))
-    return reports.differences(d, b, "doc_id", ["lang", "n_chars"])
+    return changes.differences(d, b, "doc_id", ["lang", "n_chars"])
 
 
 # --- documents

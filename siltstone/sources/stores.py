@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import io
 import json
 from datetime import date
 
@@ -192,14 +193,14 @@ def fetch_landed(store: str, asked: str, columns: list[str], cursor: str, most:
     at, skip = (0, 0) if cursor == "*" else map(int, cursor.split(":"))
     rows, size = [], min(PAGE_ROWS, most or PAGE_ROWS)
     for k in range(at, len(files)):
-        with fs.open_input_stream(files[k]) as f:
-            lines = f.read().decode().splitlines()
-        for i in range(skip if k == at else 0, len(lines)):
-            record = json.loads(lines[i])
-            if all(_passes(record.get(name), test) for name, test in said.items()):
-                rows.append({c: record.get(c) for c in columns})
-                if len(rows) == size:
-                    return rows, f"{k}:{i + 1}"
+        with io.BufferedReader(fs.open_input_file(files[k])) as f:
+            f.seek(skip if k == at else 0)
+            while line := f.readline():
+                record = json.loads(line)
+                if all(_passes(record.get(name), test) for name, test in said.items()):
+                    rows.append({c: record.get(c) for c in columns})
+                    if len(rows) == size:
+                        return rows, f"{k}:{f.tell()}"
     return rows, None
 
 

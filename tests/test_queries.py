@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import siltstone.more_queries  # noqa: F401
+import siltstone.store_queries  # noqa: F401
 from siltstone.queries import ORACLES, QUERIES
 
 D = "/root/testdata/sf0.001"
