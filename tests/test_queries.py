@@ -3,6 +3,7 @@ import math
 import duckdb
 import pytest
 
+import siltstone.house_queries  # noqa: F401
 import siltstone.more_queries  # noqa: F401
 import siltstone.store_queries  # noqa: F401
 from siltstone.queries import ORACLES, QUERIES
