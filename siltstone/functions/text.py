@@ -51,7 +51,7 @@ def doi_variants(doi: Column | str, figures: bool = False) -> Column:
             cased = F.when(part(aps, 2) == low, F.lit(proper)).otherwise(cased)
     spelled = F.when(cased.isNotNull(), F.concat(part(aps, 1), F.lit("/"), cased, F.lit("."), part(aps, 3)))
     journal = F.when(d.rlike(jhep), F.concat(part(jhep, 1), F.lit("/JHEP"), part(jhep, 2), F.lit("("), part(jhep, 3), F.lit(")"), part(jhep, 4)))
-    return F.filter(F.array(d, spelled, *([] if figures else [journal])), lambda x: x.isNotNull())
+    return F.array_compact(F.array(d, spelled, *([] if figures else [journal])))
 
 
 def native_urls(doi: Column | str, journal: Column | str) -> Column:
@@ -70,7 +70,7 @@ def native_urls(doi: Column | str, journal: Column | str) -> Column:
         F.when(is_("10.3390/"), F.concat(F.lit("https://www.mdpi.com/article/"), d, F.lit("/xml"))),
         F.when(is_("10.3389/") & (name != ""), F.concat(F.lit("https://www.frontiersin.org/journals/"), name, F.lit("/articles/"), d, F.lit("/xml"))),
     ]
-    return F.filter(F.array(*urls), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*urls))
 
 
 def message_kind(message: Column | str) -> Column:

@@ -279,7 +279,8 @@ def sidecar_records(spark, sf_dir):
     """Nested records made of flat columns, and read back by path."""
     rows = _docs(spark, sf_dir, "lang", "concat('W', doc_id) as id", "concat('M', doc_id) as mid", "'10.1/x' as doi", "'J' as journal", "'T' as title", "lang as route", "'B' as lane", "'oa' as asset_route", "doc_id % 2 = 0 as validate", "doc_id % 7 > 0 as lint",
                  "cast(doc_id % 3 as int) as errors", "0 as warnings", "cast(doc_id % 5 as int) as n_assets", "'publisher' as asset_source", "map('crosswalk', 1) as pipeline")
-    return lineage.sidecar(rows).select("id", *records.sidecar_columns(), (F.get_json_object("sidecar", "$.gates.both_pass") == "true").alias("both_pass"), F.get_json_object("sidecar", "$.route.route").alias("route"))
+    found = records.sidecar_fields(lineage.sidecar(rows), more={"both_pass": ("$.gates.both_pass", "boolean"), "route": ("$.route.route", "string")})
+    return found.select("id", *records.SIDECAR, "both_pass", "route")
 
 
 # --- articles

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.records import OUTCOME_COLUMNS
-from .tracker import SIDE_TYPES, latest, overlay, sidecar_columns
+from .tracker import SIDE_TYPES, latest, overlay, sidecar_rows
 
 BUCKETS = 64
 
@@ -43,6 +43,5 @@ def overlaid(spark: SparkSession, name: str, outcomes: DataFrame | None = None,
     if sidecars is not None:
         for column, kind in SIDE_TYPES.items():
             out = out if column in out.columns else out.withColumn(column, F.lit(None).cast(kind))
-        rows = sidecars.where("not bad").select("sidecar_path", "sidecar", *sidecar_columns()).where("work_id is not null").withColumnRenamed("work_id", "id")
-        out = overlay(out, latest(rows.repartition(buckets, "id"), ["id"], ["sidecar_path"]).hint("merge"), "id", list(SIDE_TYPES))
+        out = overlay(out, latest(sidecar_rows(sidecars).repartition(buckets, "id"), ["id"], ["sidecar_path"]).hint("merge"), "id", list(SIDE_TYPES))
     return out

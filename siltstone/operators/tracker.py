@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..plans.rules import route_works
 from ..shipping import ship
-from ..sources.records import OUTCOME_COLUMNS, pin_types, sidecar_columns
+from ..sources.records import OUTCOME_COLUMNS, pin_types, sidecar_fields
 
 #: Rows of a range that is numbered by one task.
 RANKED_ROWS = 500_000
@@ -47,12 +47,17 @@ def seeded(routed: DataFrame) -> DataFrame:
     return out.withColumn("ingest_status", F.when(F.col("lane") == "out_of_scope", "out_of_scope").otherwise("pending"))
 
 
+def sidecar_rows(sidecars: DataFrame) -> DataFrame:
+    """Sidecars (sidecar_path, sidecar) by work: id and the five columns. Texts that aren't JSON, and those of no work, are left out."""
+    found = sidecar_fields(sidecars.select("sidecar_path", "sidecar"))
+    return found.where("not bad and work_id is not null").select(F.col("work_id").alias("id"), *SIDE_TYPES)
+
+
 def index_sidecars(works: DataFrame, sidecars: DataFrame) -> DataFrame:
     """Adds the five sidecar columns by work id; the last path of a work wins, files that aren't JSON are left out."""
     for name, kind in SIDE_TYPES.items():
         works = works if name in works.columns else works.withColumn(name, F.lit(None).cast(kind))
-    rows = sidecars.where("not bad").select("sidecar_path", "sidecar", *sidecar_columns()).where("work_id is not null").withColumnRenamed("work_id", "id")
-    return overlay(works, latest(rows, ["id"], ["sidecar_path"]), "id", list(SIDE_TYPES))
+    return overlay(works, latest(sidecar_rows(sidecars), ["id"], ["sidecar_path"]), "id", list(SIDE_TYPES))
 
 
 def build(works: DataFrame, outcomes: DataFrame | None = None, sidecars: DataFrame | None = None) -> DataFrame:

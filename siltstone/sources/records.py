@@ -73,15 +73,20 @@ def outcome_rows(text: DataFrame) -> DataFrame:
 
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
-    """Sidecar files under a folder: path, text, and ``bad`` where the text isn't JSON."""
+    """Sidecar files under a folder: path, text, its fields, and ``bad`` where the text isn't JSON."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "metadata.json").text(path, wholetext=True)
-    return files.select(F.col("_metadata.file_path").alias("sidecar_path"), F.col("value").alias("sidecar"), F.expr("try_parse_json(value)").isNull().alias("bad"))
+    return sidecar_fields(files.select(F.col("_metadata.file_path").alias("sidecar_path"), F.col("value").alias("sidecar")))
 
 
-def sidecar_columns(text: str = "sidecar") -> list[Column]:
-    """work_id, n_assets, err_count and warn_count of a sidecar's JSON text; nulls where they are missing."""
-    at = lambda path: F.get_json_object(text, path)
-    return [at("$.identity.work_id").alias("work_id"), at("$.assets.count").try_cast("int").alias("n_assets"), at("$.gates.errors").try_cast("int").alias("err_count"), at("$.gates.warnings").try_cast("int").alias("warn_count")]
+#: Fields of a sidecar that the tracker has columns of: path and type.
+SIDECAR = {"work_id": ("$.identity.work_id", "string"), "n_assets": ("$.assets.count", "int"), "err_count": ("$.gates.errors", "int"), "warn_count": ("$.gates.warnings", "int")}
+
+
+def sidecar_fields(rows: DataFrame, text: str = "sidecar", more: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """rows with ``bad`` and the fields of a sidecar, and ``more`` of them by name: path and type. A text is parsed once, to a variant; what is missing, or of another type, is null."""
+    parsed = rows.withColumn("_parsed", F.try_parse_json(text))
+    fields = {name: F.try_variant_get("_parsed", path, kind) for name, (path, kind) in {**SIDECAR, **(more or {})}.items()}
+    return parsed.withColumns({"bad": F.col("_parsed").isNull(), **fields}).drop("_parsed")
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str) -> DataFrame:

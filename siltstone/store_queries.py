@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
+from .functions.sql import register
 from .operators import changes, kept, tracker
-from .queries import LOG_SQL, WORKS_SQL, logged, query, routed
+from .queries import LOG_SQL, ROUTED_SQL, WORKS_SQL, logged, query, routed
 from .scratch import scratch
-from .sources import stores
+from .sources import ranged, records, stores
 from .sources.records import OUTCOME_COLUMNS
 from .standin import table, works
 
@@ -46,7 +47,7 @@ def rejudged(spark, sf_dir):
     path, d = scratch(spark), table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
 
     def judge(again: bool):
-        return lambda rows: rows.select("id", F.length("text").alias("chars"), (F.col("lang") == "en").alias("english"), F.lit(again).alias("judged_again"))
+        return lambda rows: rows.select("id", F.length("text").cast("bigint").alias("chars"), (F.col("lang") == "en").alias("english"), F.lit(again).alias("judged_again"))
 
     def marked(rows):
         return rows.withColumn("mark", changes.mark_of("text", {"length": 2}))
@@ -64,3 +65,49 @@ def kept_overlay(spark, sf_dir):
     name = f"kept_{uuid.uuid4().hex}"
     kept.keep(tracker.seeded(routed(spark, sf_dir)), name, 16, scratch(spark))
     return kept.overlaid(spark, name, logged(spark, sf_dir)).select("id", "route", *OUTCOME_COLUMNS)
+
+
+# --- SQL alone
+
+
+@query(f"{ROUTED_SQL} select id, scoap3, route, route_access, asset_route, lane, disposition, coalesce(substring(trim(regexp_replace(lower(publisher), '[^a-z0-9]+', '-', 'g'), '-'), 1, 40), 'unknown') as slug from routed")
+def sql_routes(spark, sf_dir):
+    """The rule tables as functions of SQL."""
+    register(spark)
+    return spark.sql("""
+        select id, scoap3_of(journal) as scoap3, route_of(license, in_pmc, scoap3, journal, publisher) as route, route_access_of(route) as route_access, asset_route_of(route, pdf_url, has_pdf) as asset_route,
+               lane_of(route) as lane, disposition_of(license, lane) as disposition, slug_of(publisher) as slug from {w}""", w=works(spark, sf_dir))
+
+
+@query(f"""{WORKS_SQL}, v as (select id, [doi, case when doi like '10.1103/physrevd.%' then replace(doi, 'physrevd', 'PhysRevD') end, case when regexp_matches(doi, '^10\\.1007/jhep[0-9]+\\([0-9]+\\)[0-9]+$') then replace(doi, 'jhep', 'JHEP') end] as vs from works where doi is not null),
+  f as (select id, list_filter(vs, lambda x: x is not null) as vs from v) select id, unnest(vs) as spelling, cast(unnest(range(len(vs))) as integer) as place from f""")
+def sql_spellings(spark, sf_dir):
+    """Spellings of identifiers by a table function, beside each work."""
+    register(spark)
+    return spark.sql("select w.id, s.spelling, s.place from {w} w, lateral doi_spellings(w.doi) s where w.doi is not null", w=works(spark, sf_dir))
+
+
+# --- sidecars and archives
+
+
+@query("""select lang as folder, count(*) as files, count(*) filter (where doc_id % 9 = 4) as bad, count(*) filter (where doc_id % 9 <> 4 and doc_id % 5 <> 2) as of_works, cast(sum(case when doc_id % 9 = 4 or doc_id % 5 = 2 or doc_id % 7 = 1 then 0 else doc_id % 40 end) as bigint) as assets from documents group by 1""")
+def corrupt_sidecars(spark, sf_dir):
+    """Sidecars of which some are cut, lack a field or hold another type: what is there is read, and the bad ones are counted."""
+    text = """case when doc_id % 9 = 4 then concat('{"identity": {"work_id": "W', doc_id) else concat('{"identity": {', case when doc_id % 5 = 2 then '' else concat('"work_id": "W', doc_id, '"') end, '}, "assets": {"count": ',
+      case when doc_id % 7 = 1 then '"many"' else cast(doc_id % 40 as string) end, '}, "more": [1, {"x": null}]}') end"""
+    rows = records.sidecar_fields(table(spark, sf_dir, "documents").selectExpr("lang as folder", f"{text} as sidecar"))
+    of_work = F.col("work_id").isNotNull()
+    return rows.groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.count_if("bad").alias("bad"), F.count_if(of_work).alias("of_works"), F.coalesce(F.sum(F.when(of_work, F.col("n_assets"))), F.lit(0)).cast("bigint").alias("assets"))
+
+
+@query("""select 'b' || (doc_id // 200) as archive, 'd/' || doc_id || '.txt' as name, octet_length(encode(text)) as bytes, sha256(text) as sha256 from documents where doc_id % 3 > 0""")
+def archived_members(spark, sf_dir):
+    """Whole documents put in archives, and some of the members read back by their ranges."""
+    d = table(spark, sf_dir, "documents").selectExpr("concat('b', doc_id div 200) as archive", "concat('d/', doc_id, '.txt') as member", "encode(text, 'UTF-8') as content")
+    path = scratch(spark)
+    ranged.write_archives(d, f"{path}/archives").write.parquet(f"{path}/list")
+    made = spark.read.parquet(f"{path}/list")
+    wanted = ranged.member_index(made).where("cast(regexp_extract(name, '([0-9]+)', 1) as bigint) % 3 > 0")
+    got = ranged.read_ranges(wanted).where("error is null")
+    archive = F.regexp_extract("path", "([^/]+)-[0-9a-f]+[.]tar$", 1)
+    return got.select(archive.alias("archive"), "name", F.octet_length("content").cast("bigint").alias("bytes"), F.sha2("content", 256).alias("sha256"))

@@ -2,8 +2,9 @@ import json
 
 from pyspark.sql import functions as F
 
+from siltstone.functions.sql import register
 from siltstone.operators import lineage, matching, reports, selection, tracker
-from siltstone.sources.records import OUTCOME_COLUMNS, flatten, outcome_rows, pin_types, read_pages, read_sidecars
+from siltstone.sources.records import OUTCOME_COLUMNS, flatten, outcome_rows, pin_types, read_pages, read_sidecars, sidecar_fields
 from siltstone.streaming.outcomes import upsert_latest, windowed_counts
 
 
@@ -143,3 +144,23 @@ def test_stream(spark, tmp_path):
 
 def test_outcome_columns():
     assert list(tracker.OUTCOME_TYPES) == OUTCOME_COLUMNS
+
+
+def test_sidecars_are_parsed_once(spark):
+    texts = ['{"identity": {"work_id": "W1"}, "assets": {"count": 3}, "gates": {"errors": "7", "warnings": null}}', '{"identity": {}}', "[1]", "{", "", None, '{"identity": {"work_id": 5}, "assets": {"count": "x"}}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, sidecar string")
+    found = sidecar_fields(df, more={"first": ("$[0]", "int")})
+    got = {r.i: (r.bad, r.work_id, r.n_assets, r.err_count, r.warn_count, r.first) for r in found.collect()}
+    assert got[0] == (False, "W1", 3, 7, None, None) and got[1][:2] == (False, None) and got[2] == (False, None, None, None, None, 1)
+    assert got[3][0] and got[4][0] and got[5][0] and got[6] == (False, "5", None, None, None, None)
+    assert found._jdf.queryExecution().executedPlan().toString().count("parse_json") <= 1 or found._jdf.queryExecution().executedPlan().toString().lower().count("parsejson") <= 1
+
+
+def test_functions_of_sql(spark):
+    names = register(spark)
+    assert set(names) == {"scoap3_of", "route_of", "route_access_of", "asset_route_of", "lane_of", "disposition_of", "slug_of", "doi_spellings", "xml_addresses", "latex_spans"} and register(spark) == names
+    rows = spark.sql(r"select t, s.* from values ('a $x$ \\cite{k}'), (null), ('none') as v(t), lateral latex_spans(t) s").collect()
+    assert [(r.kind, r.content) for r in rows] == [("inline", "x"), ("cite", "k")]
+    assert [tuple(r) for r in spark.sql("select u.place, u.url from values ('10.7717/peerj.12', 'J'), (null, null) as v(d, j), lateral xml_addresses(d, j) u").collect()] == [(0, "https://peerj.com/articles/12.xml")]
+    plan = spark.sql("select lane_of(route_of(l, false, null, null, 'Wiley')) from values ('cc-by') as t(l)")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lane_of" not in plan.split("\n", 1)[1] if "\n" in plan else True  # inlined
