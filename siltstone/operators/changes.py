@@ -68,6 +68,19 @@ def mark_of(content: Column | str, versions: dict[str, str | int]) -> Column:
     return F.substring(F.sha2(F.concat(F.lit(stamp + "\n"), F.coalesce(F.sha2(text, 256), F.lit("missing"))), 256), 1, 16)
 
 
+#: Bits of the sieve of ids, as a power of two: it has at most 2**18 words of 64, which are broadcast.
+SIEVE_BITS = 24
+
+
+def _sifted(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ids, and few others where ids are few: rows may be wide, and so only these are moved."""
+    place = F.xxhash64("id").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(_place & 63 as int))")
+    words = ids.select(place.alias("_place")).groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    met = rows.withColumn("_place", place).join(F.broadcast(words), F.shiftright("_place", 6) == F.col("_word"))
+    return met.where(F.col("_bits").bitwiseAND(bit) != 0).drop("_place", "_word", "_bits")
+
+
 def _there(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -100,7 +113,8 @@ def rejudge(inputs: DataFrame, judge: Callable[[DataFrame], DataFrame], path: st
     changes = f"{staged}/changes"
     pairs.select(F.col("id").cast(kind), F.col("mark").isNotNull().alias("here")).write.parquet(changes)
     changed = spark.read.parquet(changes)
-    fresh = judge(inputs.join(changed.where("here").select("id"), "id", "left_semi"))
+    ids = changed.where("here").select("id")
+    fresh = judge(_sifted(inputs, ids).join(ids.hint("merge"), "id", "left_semi") if fs else inputs)
     fresh = fresh.join(some, "id").withColumn("bucket", bucket_of(["id"], buckets))
     rest = kept.where(F.col("bucket").isin(found)).join(changed.select("id"), "id", "left_anti")
     columns = [*schema.fieldNames(), "mark", "bucket"]

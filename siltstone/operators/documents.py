@@ -67,6 +67,29 @@ def fingerprint(articles: DataFrame, column: str = "article") -> DataFrame:
     return articles.select(F.col("id").cast("string"), column).mapInArrow(run, f"id string, {FINGERPRINT}, error string")
 
 
+#: The measures that one XPath expression gives, in the order of FINGERPRINT but for what is left of LaTeX.
+COUNTED = {
+    "root_is_article": "number(name(/*) = 'article')", "has_title": "number(normalize-space((//article-title)[1]) != '')", "contrib_count": "count(//contrib[@contrib-type = 'author'])",
+    "affs_all_have_ids": "number(not(//aff[not(@id) or @id = '']))", "bibr_links": "count(//xref[@ref-type = 'bibr'])", "ref_count": "count(//ref)", "fig_count": "count(//fig)",
+    "formula_count": "count(//inline-formula) + count(//disp-formula)", "cc_license_typed": "number(boolean(//license[@license-type = 'creative-commons']))"}
+#: LaTeX in a text: a citation, a formula between its marks, or what a backslash stands before. A formula in dollars isn't empty.
+MARKS = r"(?s)\\cite[tp]?\*?\s*\{[^{}]*\}|\\begin\{(equation|align|gather|eqnarray|multline|displaymath)\*?\}(?:\\(?!end\{\1\*?\}).|[^\\])*\\end\{\1\*?\}|\\\[(?:\\(?!\]).|[^\\])*\\\]|\\\((?:\\(?!\)).|[^\\])*\\\)|\$\$.(?:\\.|(?!\$\$)[^\\])*\$\$|\$(?!\$).(?:\\.|[^\\$])*\$|\\."
+
+
+def measures(articles: DataFrame, column: str = "article") -> DataFrame:
+    """(id and the measures of ``fingerprint``) of articles that are well formed, as ``crosswalk`` gives them, in the JVM: a text is parsed once, and again only if it may hold LaTeX. What isn't well formed raises an error; ``fingerprint`` reads it."""
+    xml = F.regexp_replace(F.col(column), r"(?s)^\s*(<\?xml.*?\?>)?\s*<!DOCTYPE[^\[>]*(\[.*?\]\s*)?>", "")
+    joined = "concat(" + ", ' ', ".join(COUNTED.values()) + ")"
+    outside = " or ".join(f"ancestor::{n}" for n in ("inline-formula", "disp-formula", "tex-math", "math", "alternatives"))
+    prose = F.xpath("_xml", F.lit(f"(//body)[1]//text()[not({outside})]"))
+    spans = F.aggregate(prose, F.lit(0), lambda n, t: n + F.size(F.filter(F.regexp_extract_all(t, F.lit(MARKS), F.lit(0)), lambda m: F.length(m) > 2)))
+    residual = F.when(F.contains("_xml", F.lit("$")) | F.contains("_xml", F.lit("\\")), spans).otherwise(0)
+    rows = articles.select(F.col("id").cast("string").alias("id"), xml.alias("_xml")).withColumn("_counts", F.split(F.xpath_string("_xml", F.lit(joined)), " "))
+    of = {name: F.get("_counts", F.lit(i)).cast("double").cast("int") for i, name in enumerate(COUNTED)}
+    kinds = dict(x.split() for x in FINGERPRINT.split(", "))
+    return rows.select("id", *[(residual if name == "residual_latex" else of[name]).cast(kind).alias(name) for name, kind in kinds.items()])
+
+
 def texts(articles: DataFrame, column: str = "article") -> DataFrame:
     """(id, prose without mathematics, ref count, error), the input of the fidelity check."""
     ship(articles.sparkSession)

@@ -173,3 +173,15 @@ def test_archives(spark):
     assert [r[0] for r in df.orderBy("path").select(kind("content")).collect()] == ["other", "other", "gzip", "zip"] and unzipped(gzip.compress(b"q")) == b"q"
     x = spark.createDataFrame([("<article><front>", "<!DOCTYPE a '//ES//DTD'>"), ("<html>", "tei-c.org/ns/1.0"), (None, "z")], "a string, b string").select(is_jats("a"), transform_for("b")).collect()
     assert [tuple(r) for r in x] == [(True, "elsevier"), (False, "tei"), (False, "jats")]
+
+
+def test_measures_are_those_of_the_tree(spark):
+    bodies = [r"a $x$ b \$5 and $y", r"$$y$$ \[z\] \(w\) \begin{align*}p&amp;q\end{align*}", r"\cite{k, l} \citep {m} $open \begin{other}x\end{other} $$", "plain", r"<p>in $a$</p><inline-formula><tex-math>$no$</tex-math></inline-formula>tail $b$ $c$", r"$\alpha\$ $ \\ $q$", ""]
+    rows = [(str(i), f'<article><front><article-meta><title-group><article-title>{"T" if i % 2 else " "}</article-title></title-group><contrib-group><contrib contrib-type="author"/><contrib/></contrib-group><aff{" id=" + chr(34) + "a" + chr(34) if i % 3 else ""}>x</aff></article-meta></front><body><p>{b}</p><fig/><fig/></body><back><ref-list><ref/><xref ref-type="bibr"/></ref-list></back></article>') for i, b in enumerate(bodies)]
+    rows += [("none", "<article/>"), ("other", "<x><license license-type='creative-commons'/></x>"), ("typed", documents.DOCTYPE + "<article xmlns:xlink='http://www.w3.org/1999/xlink'><aff id='q'/><license license-type='creative-commons' xlink:href='h'/></article>")]
+    df = spark.createDataFrame(rows, "id string, article string")
+    names = [x.split()[0] for x in documents.FINGERPRINT.split(", ")]
+    one, two = ({r.id: tuple(r[n] for n in names) for r in f(df).collect()} for f in (documents.measures, documents.fingerprint))
+    assert one == two and one["1"][4] == 4
+    plan = documents.measures(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan
