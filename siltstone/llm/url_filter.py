@@ -14,7 +14,7 @@ applying them reads every row once, without a shuffle. Rules have up to ``longes
 
 FP-growth gives every subset of the tokens that long bad URLs share, so tokens that occur in the very same
 rows are mined as one: any of them fits where it stands in a rule, and a rule of two of them would be as
-confident as one of either. Where rows are still wider than WIDE, combinations are counted level
+confident as one of either. Where so many rows are still wider than WIDE that a set as wide could be frequent, combinations are counted level
 by level up to ``longest``, which gives the same rules.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path, no tokens and is allowed;
@@ -97,7 +97,8 @@ def _level(size: int, known: set[tuple[str, ...]]):
 
 def frequent(bad: DataFrame, least: int, total: int, longest: int) -> list[tuple[tuple[str, ...], int]]:
     """(tokens, rows) of the combinations of up to ``longest`` tokens that at least so many of the rows (items) have."""
-    if (bad.agg(F.max(F.size("items"))).first()[0] or 0) <= WIDE:
+    # fewer wide rows than a set needs can't make a wide set frequent, whatever is in them
+    if bad.where(F.size("items") > WIDE).count() < least:
         sets = FPGrowth(itemsCol="items", minSupport=least / total, minConfidence=0.0).fit(bad).freqItemsets.where(F.size("items") <= longest)
         return [(tuple(sorted(r["items"])), r["freq"]) for r in sets.toLocalIterator() if r["freq"] >= least]
     found, known = [], {()}

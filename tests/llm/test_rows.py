@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -96,6 +97,18 @@ def test_same_rules_from_either_miner(spark, monkeypatch, wide):
         assert max((c for s, c, _ in got if set(s) <= have), default=None) == pytest.approx(max((c for s, c in want.items() if set(s) <= set(items)), default=None))
 
 
+def test_one_wide_bad_row_changes_nothing(spark, monkeypatch):
+    """One row of 60 tokens, each frequent by itself, is mined by FP-growth like the others, and soon."""
+    rng = np.random.default_rng(3)
+    names = [f"t{x:02d}" for x in range(60)]
+    rows = [(sorted({names[x] for x in rng.integers(0, 60, 4)} | ({"a"} if rng.random() < 0.3 else set())), True) for _ in range(600)] + [(sorted({names[x] for x in rng.integers(0, 60, 4)}), False) for _ in range(600)]
+    monkeypatch.setattr(url_filter, "_level", None)  # counting by levels would fail
+    before = time.monotonic()
+    got = [set(s) for s, _, _ in mine(spark.createDataFrame([*rows, (names, True)], "items array<string>, bad boolean"), 0.01, 0.7)[0]]
+    assert time.monotonic() - before < 60
+    assert got == [set(s) for s, _, _ in mine(spark.createDataFrame(rows, "items array<string>, bad boolean"), 0.01, 0.7)[0]] and {"a"} in got
+
+
 def test_long_bad_urls_end(spark):
     rows = [([f"x{i}" for i in range(60)], True)] * 20 + [([f"y{i}" for i in range(30)] + [f"z{k}"] * (k % 2), True) for k in range(20)] + [(["q"], False)] * 100
     got, names = mine(spark.createDataFrame(rows, "items array<string>, bad boolean"))
