@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import documents
+from .operators import documents, lineage
 from .queries import query
 from .standin import table
 
@@ -76,3 +76,39 @@ def house_articles(spark, sf_dir):
 def source_measures(spark, sf_dir):
     """The measures of articles as a publisher has them, before anything is done to them, without a Python worker."""
     return documents.measures(articles(spark, sf_dir).select("id", F.col("xml").alias("article")))
+
+
+@query("""with d as (select doc_id, doc_id % 4 as need, doc_id % 3 as found from documents)
+  select cast(doc_id as varchar) as id, cast(least(need, found) as integer) as wired, need <> found as uneven,
+    array_to_string(list_concat(list_transform(list_slice([1, 2, 3], 1, least(need, found)), lambda k: 'assets/r' || k || '.png'), list_transform(list_slice([1, 2, 3], least(need, found) + 1, need), lambda k: 'gone' || k || '.gif')), ' ') as graphics,
+    array_to_string(list_transform(list_slice([1, 2], 1, least(need, found)), lambda k: 'Figure ' || k), '|') as labels, array_to_string(list_transform(list_slice([1, 2], 1, least(need, found)), lambda k: 'Mass α of ' || k || ' in ' || doc_id), '|') as captions from d""")
+def repaired_figures(spark, sf_dir):
+    """Recovered images given to the figures of an article that have none, in order, with their captions."""
+    figs = _each("need", "'<fig><graphic xlink:href=\"gone', k, '.gif\"/></fig>'")
+    d = table(spark, sf_dir, "documents").selectExpr("doc_id", "doc_id % 4 as need", "doc_id % 3 as n").selectExpr(
+        "doc_id as id", f"concat('<article><body><p>x</p>', {figs}, '<fig id=\"kept\"><graphic xlink:href=\"assets/own.png\"/></fig></body></article>') as article",
+        "reverse(transform(filter(sequence(0, cast(n as int)), k -> k > 0), k -> named_struct('file', concat('r', k, '.png'), 'caption', concat('Mass $\\\\alpha$ of ', k, ' in ', doc_id), 'num', k))) as found")
+    got = documents.repair_figures(d)
+    every = lambda p: F.regexp_extract_all("article", F.lit(p), F.lit(1))
+    shown = F.filter(every('<graphic xlink:href="([^"]*)"'), lambda x: x != "assets/own.png")
+    return got.select("id", "wired", "uneven", F.array_join(shown, " ").alias("graphics"), F.array_join(every("<label>([^<]*)</label>"), "|").alias("labels"), F.array_join(every("<caption><p>([^<]*)</p>"), "|").alias("captions"))
+
+
+@query("""with d as (select doc_id, doc_id % 6 as refs, text from documents), w as (select *, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as words from d)
+  select cast(doc_id as varchar) as pair_id, cast(case when doc_id % 2 = 0 then refs else refs + 1 end as integer) as ref_source, cast(refs as integer) as ref_target from w""")
+def file_references(spark, sf_dir):
+    """References of a converted article and of the source it came from, as the file-level check compares them."""
+    refs = _each("refs", "'<ref id=\"b', k, '\"/>'")
+    bibl = _each("refs + doc_id % 2", "'<biblStruct/>'")
+    body = "array_join(transform(split(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '\\n'), x -> concat('<p>', x, '</p>')), '')"
+    d = table(spark, sf_dir, "documents").selectExpr("doc_id as id", "text", "doc_id", "doc_id % 6 as refs")
+    article = d.selectExpr("id", f"concat('<article><body>', {body}, '</body><back><ref-list>', {refs}, '</ref-list></back></article>') as article")
+    source = d.selectExpr("id", f"concat('<TEI><text><back><listBibl>', {bibl}, '</listBibl></back></text></TEI>') as xml")
+    return documents.checked(article, source, d.select("id", "text"), source_tokens=100).select("pair_id", "ref_source", "ref_target")
+
+
+@query("select 'f/' || doc_id || '.txt' as path, case when doc_id % 11 = 3 then 'missing' else substring(sha256(text), 1, 16) end as sha16 from documents")
+def file_fingerprints(spark, sf_dir):
+    """Fingerprints of files, some of which aren't there."""
+    files = table(spark, sf_dir, "documents").selectExpr("concat('f/', doc_id, '.txt') as path", "case when doc_id % 11 <> 3 then encode(text, 'UTF-8') end as content")
+    return lineage.fingerprints(files)

@@ -11,7 +11,7 @@ from .functions.sql import register
 from .operators import changes, kept, tracker
 from .queries import LOG_SQL, ROUTED_SQL, WORKS_SQL, logged, query, routed
 from .scratch import scratch
-from .sources import ranged, records, stores
+from .sources import acquire, ranged, records, stores
 from .sources.records import OUTCOME_COLUMNS
 from .standin import table, works
 
@@ -111,3 +111,22 @@ def archived_members(spark, sf_dir):
     got = ranged.read_ranges(wanted).where("error is null")
     archive = F.regexp_extract("path", "([^/]+)-[0-9a-f]+[.]tar$", 1)
     return got.select(archive.alias("archive"), "name", F.octet_length("content").cast("bigint").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+@query(f"""{WORKS_SQL}, d as (select doc_id, doc_id % 3 > 0 as has, doc_id % 2 = 0 as printed from documents)
+  select doc_id, case when has then 'x' || doc_id || '.xml' end as xml, 'p' || doc_id || '.pdf' as pdf, case when printed then '2401.' || lpad(cast(doc_id % 100000 as varchar), 5, '0') end as eprint, case when doc_id % 4 = 0 then 'http://a/b' || doc_id || '.ft.xml' end as body from d""")
+def file_records(spark, sf_dir):
+    """What a repository's records and a header's references lead to: files by identifier and type, preprint numbers, bodies kept apart."""
+    raw = """concat('[{"dois": ["10.1/other"], "files": [{"file": "o.xml", "filetype": "xml"}]}, {"dois": ["10.1/A', doc_id, '"], "files": [{"file": "p', doc_id, '.pdf", "filetype": "pdf"}', case when doc_id % 3 > 0 then concat(', {"file": "x', doc_id, '.xml", "filetype": "xml"}') else '' end,
+      ']', case when doc_id % 2 = 0 then concat(', "eprints": ["10.1/a", "2401.', lpad(cast(doc_id % 100000 as string), 5, '0'), '"]') else ', "eprints": ["n/a"]' end, '}]')"""
+    header = "case when doc_id % 4 = 0 then concat('<Header><BodyRef FileRef=\"http://a/b', doc_id, '.ft.xml\"/></Header>') else concat('<article/><BodyRef FileRef=\"http://a/b', doc_id, '.ft.xml\"/>') end"
+    d = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{raw} as raw", f"{header} as header").withColumn("records", F.from_json("raw", acquire.RECORDS))
+    doi = F.concat(F.lit("10.1/a"), "doc_id")
+    return d.select("doc_id", acquire.pick_file(F.col("records"), doi, "xml").alias("xml"), acquire.pick_file(F.col("records"), doi, "pdf").alias("pdf"), acquire.eprint(F.col("records")).alias("eprint"), acquire.body_reference("header").alias("body"))
+
+
+@query(f"""{WORKS_SQL}, u as (select id, case when doi like '10.1371/%' then 1 when doi like '10.7554/%' then 1 when doi like '10.12688/%' then 1 when doi like '10.7717/%' then 1 when doi like '10.1098/%' then 1 when doi like '10.3390/%' then 1 when doi like '10.3389/%' and journal is not null then 1 else 0 end as n from works)
+  select id, cast(n as integer) as addresses from u""")
+def text_addresses(spark, sf_dir):
+    """How many addresses there are to ask for a work's text."""
+    return works(spark, sf_dir).select("id", F.size(acquire.text_addresses()).alias("addresses"))
