@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..scratch import scratch
 
 BUCKETS = 1024
+#: Buckets of a stored table: each is a folder of files, so they should hold some MB each.
+STORED = 256
 HALF = 0xFFFFFFFF
 
 
@@ -87,7 +89,7 @@ def _there(spark: SparkSession, path: str):
     return fs if fs.exists(at) else None
 
 
-def rejudge(inputs: DataFrame, judge: Callable[[DataFrame], DataFrame], path: str, buckets: int = BUCKETS) -> dict[str, int]:
+def rejudge(inputs: DataFrame, judge: Callable[[DataFrame], DataFrame], path: str, buckets: int = STORED) -> dict[str, int]:
     """Brings the table of judgements at ``path`` up to date with inputs (id, mark, ...): how many were judged, taken out, and how many buckets were written.
 
     judge gives (id, ...) for rows of inputs. The table has these columns, mark and the bucket, which is its partition. Ids are unique and not null. Only inputs

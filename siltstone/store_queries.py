@@ -52,9 +52,9 @@ def rejudged(spark, sf_dir):
     def marked(rows):
         return rows.withColumn("mark", changes.mark_of("text", {"length": 2}))
 
-    changes.rejudge(marked(d.where("id % 89 <> 2")), judge(False), path)
+    changes.rejudge(marked(d.where("id % 89 <> 2")), judge(False), path, buckets=32)
     now = d.where("id % 97 <> 0").withColumn("text", F.when(F.col("id") % 100 == 5, F.concat("text", F.lit(" again"))).otherwise(F.col("text")))
-    changes.rejudge(marked(now), judge(True), path)
+    changes.rejudge(marked(now), judge(True), path, buckets=32)
     return changes.judged(spark, path).select("id", "chars", "english", "judged_again", "mark")
 
 
