@@ -10,3 +10,9 @@ def test_written_tables_go_at_the_end(spark):
     clean(spark)
     assert not glob.glob(f"{base}/siltstone-*")
     clean(spark)
+
+
+def test_oracles_are_texts_of_queries():
+    from siltstone.llm.queries import ORACLES, QUERIES
+
+    assert set(ORACLES) <= set(QUERIES) and all(isinstance(x, str) for x in ORACLES.values()) and len(QUERIES) == 13
