@@ -6,16 +6,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..functions.text import normal_form, numerals, shingles, tokens, with_letter
+from ..functions.words import Shingled, slices
 from .spread import spread
 
 # Calibrated values.
 DEFAULTS = {"grounding": 0.60, "fail": 0.40, "floor": 0.65, "mass": 0.35, "source_tokens": 2000, "n": 5, "runs": 5}
 
-
-#: Words of both sides that are aligned at once.
-SLICE_WORDS = 1 << 20
+#: Bytes of both sides that are compared at once.
+SLICE_BYTES = 1 << 20
+COUNTS = ["source_tokens", "target_tokens", "source_set", "target_set", "common", "source_nums", "both_nums"]
 METRICS = ["completeness", "grounding", "mass_ratio", "num_recall"]
 
 
@@ -27,23 +28,40 @@ def _thousandths(x: Column) -> Column:
     return F.bround(x, 3)
 
 
-def streams(pairs: DataFrame, normalise: bool = True) -> DataFrame:
-    """Tokens and letter tokens of both texts of a pair (pair_id, source_text, target_text, ...)."""
-    norm = normal_form if normalise else F.col
-    out = spread(pairs).withColumns({f"{s}_all": tokens(norm(f"{s}_text")) for s in ("source", "target")})
-    return out.withColumns({f"{s}_toks": with_letter(f"{s}_all") for s in ("source", "target")})
+def _texts(batch: pa.RecordBatch) -> list[list[bytes | None]]:
+    return [batch.column(c).cast(pa.binary()).to_pylist() for c in (0, 1)]
+
+
+def _counted(n: int, normalise: bool):
+    """The columns of COUNTS, after those that come with the two texts. What needs a text that is null is null."""
+    def counted(batch):
+        source, target = _texts(batch)
+        s = Shingled(source, target, n, normalise)
+        numerals, both = s.numerals()
+        no_source, no_target = (np.array([x is None for x in side], bool) for side in (source, target))
+        found = [(s.size[: s.pairs], no_source), (s.size[s.pairs :], no_target), (s.per_pair(s.in_source), no_source), (s.per_pair(s.in_target), no_target),
+                 (s.per_pair(s.in_source & s.in_target), no_source | no_target), (numerals, no_source), (both, no_source | no_target)]
+        return pa.RecordBatch.from_arrays([*batch.columns[2:], *[pa.array(x.astype(np.int32), mask=gone) for x, gone in found]], names=[*batch.schema.names[2:], *COUNTS])
+
+    def run(batches):
+        for whole in batches:
+            for part in slices(whole, [0, 1], SLICE_BYTES):
+                yield counted(part)
+    return run
 
 
 def metrics(pairs: DataFrame, normalise: bool = True) -> DataFrame:
-    """completeness, grounding, mass_ratio and num_recall, unrounded, with token counts. Sets stay within a row: no shuffle."""
-    both = ("source", "target")
-    s = streams(pairs, normalise).withColumns({f"{x}_set": F.array_distinct(shingles(f"{x}_toks", DEFAULTS["n"], hashed=True)) for x in both} | {f"{x}_nums": numerals(f"{x}_all") for x in both})
-    s = s.withColumn("common", F.size(F.array_intersect("source_set", "target_set")))
+    """pairs without their texts, with completeness, grounding, mass_ratio and num_recall, unrounded, and token counts.
+
+    Sets stay within a row: one pass, no shuffle. Of the texts only counts leave Python.
+    """
+    rest = [c for c in pairs.columns if c not in ("source_text", "target_text")]
+    kinds = StructType([*(pairs.schema[c] for c in rest), *(StructField(c, IntegerType()) for c in COUNTS)])
+    s = spread(pairs).select("source_text", "target_text", *rest).mapInArrow(_counted(DEFAULTS["n"], normalise), kinds)
+    c = F.col
     return s.withColumns({
-        "completeness": _ratio(F.col("common"), F.size("source_set")), "grounding": _ratio(F.col("common"), F.size("target_set")),
-        "mass_ratio": _ratio(F.size("target_toks"), F.size("source_toks")),
-        "num_recall": _ratio(F.size(F.array_intersect("source_nums", "target_nums")), F.size("source_nums"), 1.0),
-        "source_tokens": F.size("source_toks"), "target_tokens": F.size("target_toks")})
+        "completeness": _ratio(c("common"), c("source_set")), "grounding": _ratio(c("common"), c("target_set")), "mass_ratio": _ratio(c("target_tokens"), c("source_tokens")),
+        "num_recall": _ratio(c("both_nums"), c("source_nums"), 1.0)}).drop("source_set", "target_set", "common", "source_nums", "both_nums")
 
 
 def _two(x: Column) -> Column:
@@ -79,39 +97,11 @@ def evaluate(pairs: DataFrame, source_tokens: int = DEFAULTS["source_tokens"], n
     return judged(pairs, source_tokens, normalise).withColumns({k: _thousandths(F.col(k)) for k in (*METRICS, "pass_floor")})
 
 
-def _codes(columns: list[np.ndarray]) -> np.ndarray:
-    """A number for each row of these columns, the same for equal rows."""
-    out = columns[0]
-    for c in columns[1:]:
-        out = np.unique(out * (int(c.max(initial=0)) + 1) + c, return_inverse=True)[1]
-    return out
-
-
-def _shingled(words: np.ndarray, size: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, position, place of the first word) of every shingle of rows of so many words."""
-    begin, count = np.cumsum(size) - size, np.maximum(size - n + 1, 0)
-    row = np.repeat(np.arange(len(size)), count)
-    at = np.arange(len(row)) - (np.cumsum(count) - count)[row]
-    return row, at, begin[row] + at
-
-
-def lacking(source: pa.ListArray, target: pa.ListArray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, position) of the shingles of each source that its target lacks, in order. Both are lists of words."""
-    flat = [x.flatten() for x in (source, target)]
-    codes = pa.chunked_array(flat).combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
-    sizes = [x.value_lengths().to_numpy().astype(np.int64) for x in (source, target)]
-    (row, at, first), (row2, _, first2) = (_shingled(codes, size, n) for size in sizes)
-    first = np.concatenate([first, first2 + len(flat[0])])
-    key = _codes([np.concatenate([row, row2]), *(codes[first + i] for i in range(n))])
-    out = ~np.isin(key[: len(row)], key[len(row) :])
-    return row[out], at[out]
-
-
-def _runs(n: int, most: int):
-    """(pair_id, shingles, at_token, snippet). Batches: pair_id, source and target words."""
+def _runs(n: int, most: int, normalise: bool):
+    """(pair_id, shingles, at_token, snippet). Batches: source and target texts, pair_id."""
     def found(batch):
-        words = batch.column(1)
-        row, at = lacking(words, batch.column(2), n)
+        s = Shingled(*_texts(batch), n, normalise)
+        row, at = s.lacking()
         new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)]) if len(row) else np.zeros(0, np.int64)
         size, row, at = np.diff(np.r_[new, len(row)]), row[new], at[new]
         order = np.lexsort((at, -size, row))
@@ -119,16 +109,13 @@ def _runs(n: int, most: int):
         place = np.arange(len(row)) - np.searchsorted(row, row)
         keep = (place < most) & (size >= n)
         row, at, size = row[keep], at[keep], size[keep]
-        said = [" ".join(words[r].as_py()[a : a + 24])[:160] for r, a in zip(row.tolist(), at.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(size.astype(np.int64)), pa.array(at.astype(np.int32)), pa.array(said, pa.string())], names=["pair_id", "shingles", "at_token", "snippet"])
+        said = [s.said(r, a, 24)[:160] for r, a in zip(row.tolist(), at.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(row)), pa.array(size.astype(np.int64)), pa.array(at.astype(np.int32)), pa.array(said, pa.string())], names=["pair_id", "shingles", "at_token", "snippet"])
 
     def run(batches):
         for whole in batches:
-            ends, i = np.cumsum([sum(x) for x in zip(*(whole.column(c).value_lengths().fill_null(0).to_pylist() for c in (1, 2)), strict=True)]), 0
-            while i < whole.num_rows:  # some SLICE_WORDS at a time, one pair at least
-                stop = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SLICE_WORDS, side="right")))
-                yield found(whole.slice(i, stop - i))
-                i = stop
+            for part in slices(whole, [0, 1], SLICE_BYTES):
+                yield found(part)
     return run
 
 
@@ -138,5 +125,5 @@ def missing_runs(pairs: DataFrame, normalise: bool = True) -> DataFrame:
     A run is a stretch of missing shingles in a row. The longest five runs (of equals the first) are
     taken, then those shorter than a shingle go. All of it lies within a pair: one pass, no shuffle.
     """
-    s = streams(pairs, normalise).select("pair_id", *[F.coalesce(f"{x}_toks", F.array().cast("array<string>")) for x in ("source", "target")])
-    return s.mapInArrow(_runs(DEFAULTS["n"], DEFAULTS["runs"]), f"pair_id {pairs.schema['pair_id'].dataType.simpleString()}, shingles bigint, at_token int, snippet string")
+    s = spread(pairs).select("source_text", "target_text", "pair_id")
+    return s.mapInArrow(_runs(DEFAULTS["n"], DEFAULTS["runs"], normalise), f"pair_id {pairs.schema['pair_id'].dataType.simpleString()}, shingles bigint, at_token int, snippet string")

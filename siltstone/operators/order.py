@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import once
+
 RANGES = 128
 #: Groups whose bounds (of at most 8 KB each or so) are broadcast; with more they are joined.
 BROADCAST_GROUPS = 2000
@@ -47,9 +49,10 @@ def _is_small(groups: DataFrame) -> bool:
 def select_ranks(rows: DataFrame, group: list[str], value: str, ranks: dict[str, Callable[[Column], Column]], ranges: int = RANGES) -> DataFrame:
     """One row per group: n, least, most, and for each of ``ranks`` the value of that rank (from 1), which is a function of n.
 
-    Null values aren't counted; a group that has no other gives no row. Value: a number.
+    Null values aren't counted; a group that has no other gives no row. Value: a number. rows are computed once: what follows reads
+    the counted values, narrow rows, from the shared folder.
     """
-    per = rows.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    per = once(rows.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("k")))
     facts = per.groupBy(*group).agg(F.sum("k").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.percentile_approx("v", _steps(ranges), 20 * ranges).alias("bounds"))
     small = _is_small(facts)
     placed = _ranged(per, facts.select(*group, "bounds"), group, "v", small)

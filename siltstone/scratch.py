@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_KEPT: list[str] = []
 
 
 def scratch(spark: SparkSession) -> str:
@@ -17,3 +21,21 @@ def scratch(spark: SparkSession) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="siltstone-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/siltstone-{uuid.uuid4().hex}"
+
+
+def once(df: DataFrame) -> DataFrame:
+    """The rows of df, made once, written to the shared folder and read from there; deleted when the driver ends."""
+    spark = df.sparkSession
+    _KEPT.append(scratch(spark))
+    df.write.parquet(_KEPT[-1])
+    return spark.read.schema(df.schema).parquet(_KEPT[-1])
+
+
+@atexit.register
+def _at_end() -> None:
+    spark = SparkSession.getActiveSession() if _KEPT else None
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            for kept in _KEPT:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(kept)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -56,3 +56,15 @@ def test_completeness_of_slugs(spark):
     rows = [("a", True, 0.5), ("a", True, None), ("a", False, 0.1), ("a", True, 0.25), (None, True, 1.0), ("n", True, None)]
     got = {r.slug: (r.n, r.median, r.least) for r in pilot.completeness_by(spark.createDataFrame(rows, "slug string, lint_pass boolean, completeness double")).collect()}
     assert got == {"a": (3, 0.375, 0.25), None: (1, 1.0, 1.0), "n": (1, None, None)}
+
+
+def test_rows_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def dear(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    df = spark.range(300).selectExpr("id % 3 as g", "id % 50 as v").mapInArrow(dear, "g bigint, v bigint")
+    got = {r.g: (r.n, r.lower, r.upper) for r in order.select_ranks(df, ["g"], "v", dict(MIDDLE)).collect()}
+    assert got == {g: (100, 24, 25) for g in range(3)} and seen.value == 300
