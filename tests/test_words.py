@@ -51,3 +51,22 @@ def test_one_plain_pass_over_texts(spark):
     for made in (fidelity.evaluate(df), fidelity.missing_runs(df)):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert plan.count("MapInArrow") == 1 and "array_distinct" not in plan and "split" not in plan
+
+
+def test_missing_runs_by_hand(spark):
+    rng = random.Random(3)
+    rows = [(i, *[" ".join(rng.choice(["Aa", "b", "c9", "77", "é"]) for _ in range(rng.randrange(200))) for _ in range(2)]) for i in range(40)]
+    got = sorted(tuple(r) for r in fidelity.missing_runs(spark.createDataFrame(rows, "pair_id bigint, source_text string, target_text string")).collect())
+    want = []
+    for i, *texts in rows:
+        source, target = ([x for x in t.lower().replace("é", " ").split() if not x.isdigit()] for t in texts)
+        have = {tuple(target[k : k + 5]) for k in range(len(target) - 4)}
+        runs: list[list[int]] = []
+        for k in range(len(source) - 4):
+            if tuple(source[k : k + 5]) not in have:
+                if runs and runs[-1][0] + runs[-1][1] == k:
+                    runs[-1][1] += 1
+                else:
+                    runs.append([k, 1])
+        want += [(i, size, at, " ".join(source[at : at + 24])[:160]) for at, size in sorted(runs, key=lambda r: (-r[1], r[0]))[:5] if size >= 5]
+    assert got == sorted(want) and len(want) > 40
