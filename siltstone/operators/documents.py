@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.words import slices
 from ..shipping import ship
 from .foreign import bibliography_size, from_publisher, from_tei, source_journal
 from .house import body_latex, captions, front_latex, measure, prose, residual, to_house, wire
@@ -18,20 +19,32 @@ DOCTYPE = '<?xml version="1.0" encoding="utf-8"?>\n<!DOCTYPE article PUBLIC "-//
 FINGERPRINT = "root_is_article boolean, has_title boolean, contrib_count int, affs_all_have_ids boolean, residual_latex int, bibr_links int, ref_count int, fig_count int, formula_count int, cc_license_typed boolean"
 
 
+#: Characters of cells that are rows of Python objects at once.
+SLICE_BYTES = 1 << 20
+
+
 def _per_document(fields: list[tuple[str, pa.DataType]], make):
-    """A function of Arrow batches: id first, then what ``make`` gives of the other cells, then its error."""
+    """A function of Arrow batches: id first, then what ``make`` gives of the other cells, then its error.
+
+    A batch is some 64 MB of texts. A part of SLICE_BYTES is taken, made and given away before the next, so a worker holds a batch as Arrow
+    and never all its texts, trees and results as objects.
+    """
     names, kinds = zip(*fields, strict=True)
 
+    def made(batch):
+        rows = []
+        for id_, *cells in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            try:
+                rows.append((id_, *make(*cells), None))
+            except Exception as e:
+                rows.append((id_, *[None] * len(fields), f"{type(e).__name__}: {e}"[:200]))
+        columns = list(zip(*rows, strict=True)) or [()] * (len(fields) + 2)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), *kinds, pa.string()), strict=True)], names=["id", *names, "error"])
+
     def run(batches):
         for batch in batches:
-            rows = []
-            for id_, *cells in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                try:
-                    rows.append((id_, *make(*cells), None))
-                except Exception as e:
-                    rows.append((id_, *[None] * len(fields), f"{type(e).__name__}: {e}"[:200]))
-            columns = list(zip(*rows, strict=True)) or [()] * (len(fields) + 2)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), *kinds, pa.string()), strict=True)], names=["id", *names, "error"])
+            for part in slices(batch, [i for i, t in enumerate(batch.schema.types) if pa.types.is_string(t) or pa.types.is_large_string(t)], SLICE_BYTES):
+                yield made(part)
     return run
 
 

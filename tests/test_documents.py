@@ -1,8 +1,10 @@
 import gzip
 import io
+import sys
 import tarfile
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,3 +187,41 @@ def test_measures_are_those_of_the_tree(spark):
     assert one == two and one["1"][4] == 4
     plan = documents.measures(df)._jdf.queryExecution().executedPlan().toString()
     assert "Arrow" not in plan and "Python" not in plan
+
+
+def test_caption_keys_are_made_once(spark):
+    """Not for every place of the key, inside of the lambda."""
+    df = spark.createDataFrame([("The quick brown fox", "xx quick-brown yy"), ("short", "short"), (None, "a"), ("quick brown", None)], "a string, b string")
+    got = df.select(T.captions_aligned("a", "b").alias("v"))
+    assert [r.v for r in got.collect()] == [True, False, False, None]
+    inside = got._jdf.queryExecution().optimizedPlan().toString().split("lambdafunction(")[1:]
+    assert len(inside) == 2 and not any("regexp_replace" in x for x in inside)
+
+
+def test_workers_hold_a_part_of_a_batch(monkeypatch):
+    """Rows of objects are made of a megabyte or so, however large a batch is, and every row comes, whatever its size."""
+    rows = [(str(i), "x" * size) for i, size in enumerate([300_000] * 20 + [3_000_000, 1, 0, 5])]
+    batch = pa.RecordBatch.from_pylist([{"id": i, "xml": x} for i, x in rows] + [{"id": "null", "xml": None}])
+    run = documents._per_document([("n", pa.int32())], lambda xml: (len(xml),))
+    parts = [p.to_pylist() for p in run([batch, batch.slice(0, 0)])]
+    assert [(r["id"], r["n"]) for p in parts for r in p] == [(i, len(x)) for i, x in rows] + [("null", None)] and parts[-1][-1]["error"]
+    assert max(sum(r["n"] or 0 for r in p) for p in parts if len(p) > 1) <= documents.SLICE_BYTES and len(parts) > 6
+
+
+def test_work_grows_with_nodes_and_not_with_letters():
+    """Calls made for a paragraph: its letters aren't looked at one by one, and a dozen passes or so visit it."""
+    def calls(paragraphs, letters):
+        n, xml = [0], "<article><front><article-meta/></front><body>" + ("<p>" + "a" * letters + "</p>") * paragraphs + "<p>$x$</p></body></article>"
+
+        def count(frame, event, arg):
+            n[0] += event in ("call", "c_call")
+        sys.setprofile(count)
+        try:
+            out = documents._housed(xml, "jats", "M", "{}", [], ["a.jpg"])
+            measured = measure(parse(out[0]))
+        finally:
+            sys.setprofile(None)
+        assert out[0].count("<p>" + "a" * letters + "</p>") == paragraphs and measured["residual_latex"] == 0
+        return n[0]
+    base = calls(100, 10)
+    assert calls(100, 2000) < base * 1.2 and calls(300, 10) - base < 200 * 130
