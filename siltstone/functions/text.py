@@ -211,5 +211,6 @@ def caption_key(text: Column | str) -> Column:
 
 def captions_aligned(a: Column | str, b: Column | str) -> Column:
     """Whether any 8 characters in a row of the first 80 of one caption's key are in the other's."""
-    x, y = F.substring(caption_key(a), 1, 80), caption_key(b)
-    return F.when(F.length(x) >= 8, F.exists(F.sequence(F.lit(1), F.length(x) - 7), lambda i: F.contains(y, F.substr(x, i, F.lit(8))))).otherwise(F.lit(False))
+    keys = F.array(F.struct(F.substring(caption_key(a), 1, 80).alias("x"), caption_key(b).alias("y")))  # made once: named in a lambda, they would be made for every place
+    found = F.exists(keys, lambda k: F.exists(F.sequence(F.lit(1), F.length(k["x"]) - 7), lambda i: F.contains(k["y"], F.substr(k["x"], i, F.lit(8)))))
+    return F.when(F.length(F.substring(caption_key(a), 1, 80)) >= 8, found).otherwise(F.lit(False))
