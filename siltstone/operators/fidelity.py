@@ -6,7 +6,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.words import Shingled, slices
 from .spread import spread
@@ -28,36 +27,30 @@ def _thousandths(x: Column) -> Column:
     return F.bround(x, 3)
 
 
-def _texts(batch: pa.RecordBatch) -> list[list[bytes | None]]:
-    return [batch.column(c).cast(pa.binary()).to_pylist() for c in (0, 1)]
-
-
 def _counted(n: int, normalise: bool):
-    """The columns of COUNTS, after those that come with the two texts. What needs a text that is null is null."""
-    def counted(batch):
-        source, target = _texts(batch)
+    """The numbers of COUNTS of a source and its target. What needs a text that is null is null."""
+    def counted(texts):
+        source, target = (c.cast(pa.binary()).to_pylist() for c in texts.columns)
         s = Shingled(source, target, n, normalise)
         numerals, both = s.numerals()
         no_source, no_target = (np.array([x is None for x in side], bool) for side in (source, target))
         found = [(s.size[: s.pairs], no_source), (s.size[s.pairs :], no_target), (s.per_pair(s.in_source), no_source), (s.per_pair(s.in_target), no_target),
                  (s.per_pair(s.in_source & s.in_target), no_source | no_target), (numerals, no_source), (both, no_source | no_target)]
-        return pa.RecordBatch.from_arrays([*batch.columns[2:], *[pa.array(x.astype(np.int32), mask=gone) for x, gone in found]], names=[*batch.schema.names[2:], *COUNTS])
+        return [pa.array(x.astype(np.int32), mask=gone) for x, gone in found]
 
-    def run(batches):
-        for whole in batches:
-            for part in slices(whole, [0, 1], SLICE_BYTES):
-                yield counted(part)
-    return run
+    def run(source: pa.Array, target: pa.Array) -> pa.Array:
+        parts = [counted(part) for part in slices(pa.RecordBatch.from_arrays([source, target], names=["source", "target"]), [0, 1], SLICE_BYTES)]
+        return pa.StructArray.from_arrays([pa.concat_arrays(x) for x in zip(*parts, strict=True)] or [pa.array([], pa.int32())] * len(COUNTS), names=COUNTS)
+    return F.arrow_udf(run, ", ".join(f"{c} int" for c in COUNTS)).asNondeterministic()  # so that filters and explodes don't evaluate it again
 
 
 def metrics(pairs: DataFrame, normalise: bool = True) -> DataFrame:
     """pairs without their texts, with completeness, grounding, mass_ratio and num_recall, unrounded, and token counts.
 
-    Sets stay within a row: one pass, no shuffle. Of the texts only counts leave Python.
+    Sets stay within a row: one pass, no shuffle. Of the texts only counts leave Python; where no metric is used, no text is read.
     """
     rest = [c for c in pairs.columns if c not in ("source_text", "target_text")]
-    kinds = StructType([*(pairs.schema[c] for c in rest), *(StructField(c, IntegerType()) for c in COUNTS)])
-    s = spread(pairs).select("source_text", "target_text", *rest).mapInArrow(_counted(DEFAULTS["n"], normalise), kinds)
+    s = spread(pairs).select(*rest, _counted(DEFAULTS["n"], normalise)("source_text", "target_text").alias("_found")).select(*rest, *[F.col(f"_found.{c}").alias(c) for c in COUNTS])
     c = F.col
     return s.withColumns({
         "completeness": _ratio(c("common"), c("source_set")), "grounding": _ratio(c("common"), c("target_set")), "mass_ratio": _ratio(c("target_tokens"), c("source_tokens")),
@@ -100,7 +93,7 @@ def evaluate(pairs: DataFrame, source_tokens: int = DEFAULTS["source_tokens"], n
 def _runs(n: int, most: int, normalise: bool):
     """(pair_id, shingles, at_token, snippet). Batches: source and target texts, pair_id."""
     def found(batch):
-        s = Shingled(*_texts(batch), n, normalise)
+        s = Shingled(*(batch.column(c).cast(pa.binary()).to_pylist() for c in (0, 1)), n, normalise)
         row, at = s.lacking()
         new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)]) if len(row) else np.zeros(0, np.int64)
         size, row, at = np.diff(np.r_[new, len(row)]), row[new], at[new]

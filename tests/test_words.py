@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -50,7 +51,8 @@ def test_one_plain_pass_over_texts(spark):
     df = spark.createDataFrame([("p", "a", "b", 1, 1, 0.0)], "pair_id string, source_text string, target_text string, ref_target int, ref_source int, floor double")
     for made in (fidelity.evaluate(df), fidelity.missing_runs(df)):
         plan = made._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("MapInArrow") == 1 and "array_distinct" not in plan and "split" not in plan
+        assert len(re.findall("MapInArrow|ArrowEvalPython", plan)) == 1 and "array_distinct" not in plan and "split" not in plan
+    assert "Python" not in fidelity.evaluate(df).select("pair_id", "ref_source")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_missing_runs_by_hand(spark):
