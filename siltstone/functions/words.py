@@ -19,6 +19,9 @@ BLANK, LETTERS, DIGITS = 32, slice(97, 123), slice(48, 58)
 FOLD = np.full(256, BLANK, np.uint8)
 FOLD[LETTERS] = FOLD[65:91] = np.arange(97, 123)
 FOLD[DIGITS] = np.arange(48, 58)
+FOLD, BLANKS = FOLD.tobytes(), np.flatnonzero(FOLD == BLANK).astype(np.uint8).tobytes()
+#: Bits that a packed column has at most.
+WORD_BITS = 63
 
 
 def slices(batch: pa.RecordBatch, texts: list[int], most: int):
@@ -57,21 +60,44 @@ def folded(text: bytes | None, normalise: bool = True) -> bytes:
 
 
 class Tokens:
-    """The tokens of texts, one text after another: ``words`` (Arrow strings), ``row`` (number of the text), and whether each has a letter, and a digit and two characters."""
+    """The tokens of texts, one text after another: ``words`` (Arrow strings), ``row`` (number of the text), ``codes`` (below ``distinct``, the same for equal tokens),
+    and whether each has a letter, and a digit and two characters; that is found once for each distinct token.
+    """
 
     def __init__(self, texts: list[bytes | None], normalise: bool = True):
         parts = [folded(t, normalise) for t in texts]
-        data = FOLD[np.frombuffer(b" ".join([b"", *parts, b""]), np.uint8)]
-        inside = data != BLANK
+        data = b" ".join([b"", *parts, b""])
+        inside = np.frombuffer(data.translate(FOLD), np.uint8) != BLANK
         edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1  # a blank is first and last
         begin, size = edges[0::2], edges[1::2] - edges[0::2]
-        chars = data[inside]
+        chars = np.frombuffer(data.translate(FOLD, BLANKS), np.uint8)
         at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         self.words = pa.StringArray.from_buffers(len(size), pa.py_buffer(at), pa.py_buffer(chars))
-        self.row = np.searchsorted(np.cumsum([len(p) + 1 for p in parts], dtype=np.int64), begin, side="right") if parts else begin
-        has = lambda low, high: np.logical_or.reduceat((chars >= low) & (chars < high), at[:-1]) if len(size) else np.zeros(0, bool)
-        self.letter = has(LETTERS.start, LETTERS.stop)
-        self.numeral = has(DIGITS.start, DIGITS.stop) & (size >= 2)
+        last = np.searchsorted(begin, np.cumsum([len(p) + 1 for p in parts], dtype=np.int64))
+        self.row = np.repeat(np.arange(len(parts)), np.diff(last, prepend=0))
+        found = self.words.dictionary_encode()
+        self.codes, self.distinct = found.indices.to_numpy().astype(np.int64), len(found.dictionary)
+        ends, chars = (np.frombuffer(b, kind) for b, kind in zip(found.dictionary.buffers()[1:], (np.int32, np.uint8), strict=True)) if self.distinct else (at, chars)
+        ends = ends[: self.distinct + 1]
+        has = lambda low, high: np.logical_or.reduceat((chars >= low) & (chars < high), ends[:-1]) if self.distinct else np.zeros(0, bool)
+        self.letter = has(LETTERS.start, LETTERS.stop)[self.codes]
+        self.numeral = (has(DIGITS.start, DIGITS.stop) & (np.diff(ends) >= 2))[self.codes]
+
+
+def packed(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """These columns of numbers from 0 in as few as hold them side by side: equal rows stay equal, and no others become so."""
+    out, room = [], 0
+    for c in columns:
+        bits = int(c.max(initial=0)).bit_length()
+        if bits > room:
+            out.append(c)
+            room = WORD_BITS - bits
+        elif out:
+            out[-1] = (out[-1] << bits) | c
+            room -= bits
+        else:
+            out, room = [c], WORD_BITS
+    return out
 
 
 def ranked(columns: list[np.ndarray]) -> np.ndarray:
@@ -91,6 +117,13 @@ def hashed(columns: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def sorted_by(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of a key, and which of the keys in order but the first are the one before."""
+    order = np.argsort(key)
+    key = key[order]
+    return order, key[1:] == key[:-1]
+
+
 class Shingled:
     """The shingles of n letter tokens of sources and their targets, compared within each pair.
 
@@ -100,26 +133,22 @@ class Shingled:
 
     def __init__(self, sources: list[bytes | None], targets: list[bytes | None], n: int, normalise: bool = True):
         self.pairs, self.tokens = len(sources), Tokens([*sources, *targets], normalise)
-        found = self.tokens.words.dictionary_encode()
-        self.codes, self.distinct = found.indices.to_numpy().astype(np.int64), len(found.dictionary)
         self.kept = np.flatnonzero(self.tokens.letter)
-        codes, row = self.codes[self.kept], self.tokens.row[self.kept]
+        codes, row = self.tokens.codes[self.kept], self.tokens.row[self.kept]
         self.size = np.bincount(row, minlength=2 * self.pairs)
         self.begin = np.cumsum(self.size) - self.size
-        first = np.flatnonzero(row[: max(len(row) - n + 1, 0)] == row[n - 1 :])
-        self.at, self.row = first - self.begin[row[first]], row[first] % max(self.pairs, 1)
+        m = max(len(row) - n + 1, 0)
+        first = np.flatnonzero(row[:m] == row[n - 1 :])
         self.own = int(np.searchsorted(row[first], self.pairs))
-        columns = [self.row, *(codes[first + i] for i in range(n))]
-        for key in (hashed, ranked):
-            k = key(columns)
-            order = np.argsort(k)
-            k = k[order]
-            same = np.flatnonzero(k[1:] == k[:-1])
-            if all((c[order[same]] == c[order[same + 1]]).all() for c in columns):
-                break
-        new = np.ones(len(k), bool)
-        new[same + 1] = False
-        self.group = np.empty(len(k), np.int64)
+        columns = [row[:m] % max(self.pairs, 1), *(codes[i : m + i] for i in range(n))]
+        narrow = [c[first] for c in packed(columns)]
+        self.at, self.row = first - self.begin[row[first]], columns[0][first]
+        key = hashed(narrow) if len(narrow) > 1 else narrow[0]
+        order, same = sorted_by(key)
+        if len(narrow) > 1 and not all((c[1:] == c[:-1])[same].all() for c in (c[order] for c in narrow)):
+            order, same = sorted_by(ranked([c[first] for c in columns]))
+        new = np.r_[True, ~same][: len(order)]
+        self.group = np.empty(len(order), np.int64)
         self.group[order] = np.cumsum(new) - 1
         self.pair = self.row[order[new]]
         self.in_source, self.in_target = (np.bincount(g, minlength=len(self.pair)) > 0 for g in (self.group[: self.own], self.group[self.own :]))
@@ -129,8 +158,8 @@ class Shingled:
 
     def numerals(self) -> tuple[np.ndarray, np.ndarray]:
         """How many numerals each source has, and how many of them its target has too."""
-        t, wide = self.tokens, max(self.distinct, 1)
-        row, code = t.row[t.numeral], self.codes[t.numeral]
+        t, wide = self.tokens, max(self.tokens.distinct, 1)
+        row, code = t.row[t.numeral], t.codes[t.numeral]
         own = row < self.pairs
         source, target = (np.unique((row[side] % max(self.pairs, 1)) * wide + code[side]) for side in (own, ~own))
         return tuple(np.bincount(x // wide, minlength=self.pairs) for x in (source, np.intersect1d(source, target, assume_unique=True)))
@@ -140,7 +169,10 @@ class Shingled:
         out = np.flatnonzero(~self.in_target[self.group[: self.own]])
         return self.row[out], self.at[out]
 
-    def said(self, pair: int, at: int, tokens: int) -> str:
-        """So many letter tokens of a source from a place on."""
-        at += int(self.begin[pair])
-        return " ".join(self.tokens.words.take(pa.array(self.kept[at : min(at + tokens, int(self.begin[pair] + self.size[pair]))])).to_pylist())
+    def said(self, pair: np.ndarray, at: np.ndarray, tokens: int, most: int) -> pa.Array:
+        """So many letter tokens of these sources from these places on, ``most`` characters of them; all of them in one step."""
+        size = np.minimum(tokens, self.size[pair] - at)
+        ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        place = np.arange(ends[-1]) + np.repeat(self.begin[pair] + at - ends[:-1], size)
+        lists = pa.ListArray.from_arrays(pa.array(ends), self.tokens.words.take(pa.array(self.kept[place])))
+        return pc.utf8_slice_codeunits(pc.binary_join(lists, " "), 0, most)

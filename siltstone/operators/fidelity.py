@@ -102,8 +102,7 @@ def _runs(n: int, most: int, normalise: bool):
         place = np.arange(len(row)) - np.searchsorted(row, row)
         keep = (place < most) & (size >= n)
         row, at, size = row[keep], at[keep], size[keep]
-        said = [s.said(r, a, 24)[:160] for r, a in zip(row.tolist(), at.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(row)), pa.array(size.astype(np.int64)), pa.array(at.astype(np.int32)), pa.array(said, pa.string())], names=["pair_id", "shingles", "at_token", "snippet"])
+        return pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(row)), pa.array(size.astype(np.int64)), pa.array(at.astype(np.int32)), s.said(row, at, 24, 160)], names=["pair_id", "shingles", "at_token", "snippet"])
 
     def run(batches):
         for whole in batches:
