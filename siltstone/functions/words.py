@@ -14,6 +14,8 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 HYPHEN = re.compile(rf"-[{SPACE}]*\n[{SPACE}]*")
 LINE_END = re.compile(rb"-[\t-\r ]*\n")
 WORD = {"Lu", "Ll", "Lt", "Lm", "Lo", "Nl", "Mn", "Me", "Mc", "Nd", "Pc"}
+#: The only letters beyond ASCII whose lower case is in it; of others the case doesn't matter, as no token has them.
+TO_ASCII = "\u0130\u212a"
 OTHER_WORD = re.compile(r"[\u200c\u200d\u24b6-\u24e9\U0001f130-\U0001f149\U0001f150-\U0001f169\U0001f170-\U0001f189]")
 BLANK, LETTERS, DIGITS = 32, slice(97, 123), slice(48, 58)
 FOLD = np.full(256, BLANK, np.uint8)
@@ -48,14 +50,15 @@ def _joined(text: str) -> str:
 
 
 def folded(text: bytes | None, normalise: bool = True) -> bytes:
-    """A text as its tokens need it; A-Z may be left. Most texts in ASCII are given back as they are."""
+    """A text as its tokens need it; capitals may be left. Most texts are given back as they are."""
     text = text or b""
     if (plain := text.isascii()) and not LINE_END.search(text):
         return text
-    low = text.decode("utf-8", "replace")
+    low = was = text.decode("utf-8", "replace")
     if not plain:
-        low = (unicodedata.normalize("NFKC", low) if normalise else low).lower()
-    out = low.encode()
+        low = unicodedata.normalize("NFKC", low) if normalise else low
+        low = low.lower() if any(c in low for c in TO_ASCII) else low
+    out = text if low == was else low.encode()
     return _joined(low).encode() if LINE_END.search(out) else out
 
 
@@ -151,7 +154,8 @@ class Shingled:
         self.group = np.empty(len(order), np.int64)
         self.group[order] = np.cumsum(new) - 1
         self.pair = self.row[order[new]]
-        self.in_source, self.in_target = (np.bincount(g, minlength=len(self.pair)) > 0 for g in (self.group[: self.own], self.group[self.own :]))
+        self.in_source, self.in_target = (np.zeros(len(self.pair), bool) for _ in range(2))
+        self.in_source[self.group[: self.own]] = self.in_target[self.group[self.own :]] = True
 
     def per_pair(self, groups: np.ndarray) -> np.ndarray:
         return np.bincount(self.pair[groups], minlength=self.pairs)
