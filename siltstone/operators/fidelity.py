@@ -13,7 +13,7 @@ from .spread import spread
 # Calibrated values.
 DEFAULTS = {"grounding": 0.60, "fail": 0.40, "floor": 0.65, "mass": 0.35, "source_tokens": 2000, "n": 5, "runs": 5}
 
-#: Bytes of both sides that are compared at once: what is made of them stays in a core's cache.
+#: Bytes of both sides that are compared at once. Larger parts have arrays for which memory is fetched from the system each time.
 SLICE_BYTES = 1 << 17
 COUNTS = ["source_tokens", "target_tokens", "source_set", "target_set", "common", "source_nums", "both_nums"]
 METRICS = ["completeness", "grounding", "mass_ratio", "num_recall"]
